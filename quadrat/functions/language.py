@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quadrat.functions.missing import ColumnLike, col
+from quadrat.functions.missing import ColumnLike, col, let
 from quadrat.functions.text import drop_bullets, normalise, title_and_body
 
 # Frequent function words per language (fixed values).
@@ -26,18 +26,19 @@ def words(c: ColumnLike) -> Column:
 
 def language_scores(c: ColumnLike, profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
     """(hits, language) per profile."""
-    tokens = words(c)
-    return F.array(*[
-        F.struct(F.size(F.filter(tokens, lambda w, ws=ws: w.isin(list(ws)))).alias("hits"), F.lit(lang).alias("lang"))
-        for lang, ws in sorted(profiles.items())
-    ])
+    def hits(tokens: Column, listed: Sequence[str]) -> Column:
+        return F.size(F.filter(tokens, lambda w: w.isin(list(listed))))
+
+    return let(words(c), lambda tokens: F.array(*[
+        F.struct(hits(tokens, listed).alias("hits"), F.lit(lang).alias("lang"))
+        for lang, listed in sorted(profiles.items())
+    ]))
 
 
 def language(c: ColumnLike, profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
     """Language with most function words; ties go to the last label, no text gives ``nan``."""
-    best = F.array_max(language_scores(c, profiles))
-    empty = F.coalesce(F.trim(col(c)), F.lit("")) == ""
-    return F.when(empty | (best["hits"] == 0), NO_LANGUAGE).otherwise(best["lang"])
+    return let(F.array_max(language_scores(F.coalesce(col(c), F.lit("")), profiles)), lambda best: F.when(
+        best["hits"] == 0, NO_LANGUAGE).otherwise(best["lang"]))
 
 
 def detection_text(title: ColumnLike, body: ColumnLike) -> Column:

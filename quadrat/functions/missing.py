@@ -19,6 +19,11 @@ def col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 # --- comparisons where missing counts as +infinity -------------------------------------
 
 

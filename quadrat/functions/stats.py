@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -57,7 +57,7 @@ def f_upper(f: float | None, df1: float, df2: float) -> float | None:
     return beta_cdf(df2 / (df2 + df1 * f), df2 / 2.0, df1 / 2.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     """p-value column for a result table (a few rows per model)."""
     return pd.Series([None if pd.isna(a) or pd.isna(b) else t_two_sided(a, b) for a, b in zip(t, df)], dtype="float64")

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from quadrat.functions.missing import ColumnLike, col
 
@@ -24,13 +24,18 @@ def squeeze(c: ColumnLike) -> Column:
     return F.trim(F.regexp_replace(col(c), r"(?U)\s+", " "))
 
 
+def _once(function):
+    """Keep filters from being pushed through (and so repeating) an Arrow function."""
+    return function.asNondeterministic()
+
+
 def normalise(form: str):
     """Unicode normal form as an Arrow function."""
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def _normalise(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else unicodedata.normalize(form, t))
 
-    return _normalise
+    return _once(_normalise)
 
 
 class _TextOnly(HTMLParser):
@@ -64,12 +69,14 @@ def strip_markup(text: str | None) -> str | None:
     return "".join(parser.parts)
 
 
-@F.pandas_udf("string")
+@_once
+@F.pandas_udf(T.StringType())
 def html_text(s: pd.Series) -> pd.Series:
     return s.map(strip_markup)
 
 
-@F.pandas_udf("string")
+@_once
+@F.pandas_udf(T.StringType())
 def decomposed_text(s: pd.Series) -> pd.Series:
     """Compatibility decomposition, then markup removal, in one Arrow pass."""
     return s.map(lambda t: None if t is None else strip_markup(unicodedata.normalize("NFKD", t)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quadrat.functions.missing import ColumnLike, col
+from quadrat.functions.missing import ColumnLike, col, let
 
 INDEX_SCHEMA = "struct<IndexLength:int,InvertedIndex:map<string,array<int>>>"
 # Placeholder that protects structural quotes during the repair (fixed value).
@@ -32,15 +32,13 @@ def repair_index(c: ColumnLike) -> Column:
 def parse_index(c: ColumnLike) -> Column:
     """Parsed index; NULL when the text is no complete JSON index."""
     parsed = F.from_json(repair_index(c), INDEX_SCHEMA, {"allowUnquotedControlChars": "true"})
-    return F.when(
-        parsed["IndexLength"].isNotNull() & parsed["InvertedIndex"].isNotNull(), parsed
-    )
+    return let(parsed, lambda p: F.when(p["IndexLength"].isNotNull() & p["InvertedIndex"].isNotNull(), p))
 
 
 def _placed(index: Column) -> Column:
     """(position, entry number, word) for every occurrence, sorted."""
     entries = F.map_entries(index["InvertedIndex"])
-    return F.array_sort(F.flatten(F.transform(
+    return F.sort_array(F.flatten(F.transform(
         entries, lambda e, n: F.transform(e["value"], lambda p: F.struct(p.alias("at"), n.alias("n"), e["key"].alias("word")))
     )))
 
@@ -55,11 +53,11 @@ def index_in_range(index: Column) -> Column:
 
 def index_text(index: Column) -> Column:
     """Words in position order; the last entry wins a contested position, gaps close up."""
-    placed = _placed(index)
-    kept = F.filter(
-        placed, lambda e, i: F.coalesce(F.get(placed, i + 1)["at"] != e["at"], F.lit(True))
-    )
-    return F.array_join(F.transform(kept, lambda e: e["word"]), " ")
+    def words(placed: Column) -> Column:
+        kept = F.filter(placed, lambda e, i: F.coalesce(F.get(placed, i + 1)["at"] != e["at"], F.lit(True)))
+        return F.array_join(F.transform(kept, lambda e: e["word"]), " ")
+
+    return let(_placed(index), words)
 
 
 def rebuild_text(df: DataFrame, index: str, out: str, failed: str) -> DataFrame:
@@ -67,24 +65,26 @@ def rebuild_text(df: DataFrame, index: str, out: str, failed: str) -> DataFrame:
 
     A missing index gives an empty text; a broken one gives an empty text and the flag.
     """
-    parsed = df.withColumn("__ix", parse_index(index))
-    good = F.col("__ix").isNotNull() & F.coalesce(index_in_range(F.col("__ix")), F.lit(False))
-    return parsed.select(
+    def outcome(ix: Column) -> Column:
+        good = F.coalesce(index_in_range(ix), F.lit(False))
+        return F.struct(F.when(good, index_text(ix)).otherwise("").alias("text"), good.alias("good"))
+
+    done = df.withColumn("__done", let(parse_index(index), outcome))
+    return done.select(
         *[c for c in df.columns if c != out],
-        F.when(good, index_text(F.col("__ix"))).otherwise("").alias(out),
-        (F.col(index).isNotNull() & ~good).alias(failed),
+        F.col("__done.text").alias(out), (F.col(index).isNotNull() & ~F.col("__done.good")).alias(failed),
     )
 
 
 def build_index(df: DataFrame, key: str, text: str, out: str) -> DataFrame:
     """Inverted index of a blank-separated text, in the loosely quoted form."""
     words = df.select(key, F.posexplode(F.split(text, " ")).alias("at", "word"))
-    per_word = words.groupBy(key, "word").agg(F.array_sort(F.collect_list("at")).alias("at"))
+    per_word = words.groupBy(key, "word").agg(F.sort_array(F.collect_list("at")).alias("at"))
     entry = F.concat(
         F.lit('"'), F.col("word"), F.lit('":['), F.array_join(F.col("at").cast("array<string>"), ","), F.lit("]")
     )
     per_text = per_word.groupBy(key).agg(
-        F.sum(F.size("at")).alias("n"), F.array_sort(F.collect_list(F.struct(F.col("at")[0], entry.alias("e")))).alias("es")
+        F.sum(F.size("at")).alias("n"), F.sort_array(F.collect_list(F.struct(F.col("at")[0], entry.alias("e")))).alias("es")
     )
     return per_text.select(key, F.concat(
         F.lit('{"IndexLength":'), F.col("n").cast("string"), F.lit(',"InvertedIndex":{'),

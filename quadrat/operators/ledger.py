@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quadrat.session import ensure_checkpoint_dir
+from quadrat.session import new_folder
 
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -58,9 +57,7 @@ def run_until_done(
     per key: the good outcome, or the last failure.
     """
     spark = df.sparkSession
-    if ledger is None:
-        ensure_checkpoint_dir(spark)
-        ledger = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/ledger-{uuid.uuid4().hex}"
+    ledger = ledger or new_folder(spark, "ledger")
     value = T.StructType.fromDDL(result)[0]
     schema = T.StructType([
         *[df.schema[k] for k in keys], value, T.StructField("ok", T.BooleanType()),
@@ -113,7 +110,7 @@ def fold_log(log: DataFrame, keys: Sequence[str], attempt: str, message: str, ma
     """
     checked = F.when(F.col(attempt) <= max_tries, F.col(attempt)).otherwise(
         F.raise_error(F.lit("attempt number above the retry limit")).cast("int"))
-    folded = log.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(checked.alias("a"), F.col(message).alias("m")))).alias("l"))
+    folded = log.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(checked.alias("a"), F.col(message).alias("m")))).alias("l"))
     return folded.select(*keys, F.array_join(F.transform("l", lambda x: x["m"]), " >>> ").alias(out))
 
 
@@ -123,4 +120,4 @@ def unresolved(work: DataFrame, done: DataFrame, unit: Sequence[str], item: str,
     The comparison is an anti-join on (unit, item); only what is left is listed.
     """
     rest = work.select(*unit, item).distinct().join(done.select(*unit, item), [*unit, item], "left_anti")
-    return rest.groupBy(*unit).agg(F.array_sort(F.collect_list(item)).alias(out))
+    return rest.groupBy(*unit).agg(F.sort_array(F.collect_list(item)).alias(out))

@@ -43,12 +43,11 @@ def with_row_numbers(
     )
     offsets = counts.withColumn(_BEFORE, F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
     if keys:
-        on = ranged[_PART] == offsets[_PART]
+        offsets = offsets.withColumnsRenamed({c: f"__of_{c}" for c in [_PART, *keys]})
+        on = F.col(_PART) == F.col(f"__of_{_PART}")
         for k in keys:
-            on = on & ranged[k].eqNullSafe(offsets[k])
-        numbered = ranged.join(offsets, on).select(
-            *[ranged[c] for c in df.columns], ranged[_POS], offsets[_FIRST], offsets[_BEFORE]
-        )
+            on = on & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+        numbered = ranged.join(offsets, on)
     else:
         # one row per partition: the size is bounded by the number of partitions
         numbered = ranged.join(F.broadcast(offsets), _PART)

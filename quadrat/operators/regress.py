@@ -1,9 +1,10 @@
 """Weighted least squares with absorbed fixed effects and clustered errors.
 
-The rows are read twice, whatever the number of iterations: once to collapse them to
-cells (one per combination of the absorbed keys) and once to subtract the cell effects
-that the iterations found.  Iterations run on the cells.  Only sums of products leave
-the executors; the k x k algebra happens on the driver.
+However many iterations are needed, the rows are read three times: for the overall
+means, to collapse them to cells (one per combination of the absorbed keys), and to
+subtract the effects that were found.  Iterations read the cells and write one small
+table of effects per absorbed key.  Only sums of products leave the executors; the
+k x k algebra happens on the driver.
 """
 
 from __future__ import annotations
@@ -150,14 +151,16 @@ def _effective_keys(absorb: Sequence[Sequence[str]]) -> list[tuple[str, ...]]:
 def _prune_singletons(cells: DataFrame, keys: Sequence[tuple[str, ...]]) -> DataFrame:
     """Drop cells whose level of some absorbed key has one row, until none is left."""
     while True:
+        found = False
         kept = cells
         for k in keys:
-            sizes = cells.groupBy(*k).agg(F.sum("__n").alias("__size")).filter("__size = 1")
-            kept = kept.join(sizes.select(*k), list(k), "left_anti")
-        kept = cut_lineage(kept)
-        if kept.count() == cells.count():
-            return kept
-        cells = kept
+            single = cells.groupBy(*k).agg(F.sum("__n").alias("__size")).filter("__size = 1").select(*k)
+            if single.limit(1).count():
+                found = True
+                kept = kept.join(single, list(k), "left_anti")
+        if not found:
+            return cells
+        cells = cut_lineage(kept)
 
 
 def _components(cells: DataFrame, a: tuple[str, ...], b: tuple[str, ...]) -> int:
@@ -183,7 +186,7 @@ def _nested_in(cells: DataFrame, key: tuple[str, ...], cluster: str | None) -> b
         return False
     if cluster in key:
         return True
-    split = cells.groupBy(*key).agg((F.min("__cl") != F.max("__cl")).alias("s")).filter("s")
+    split = cells.groupBy(*key).agg((F.min("__cmin") != F.max("__cmax")).alias("s")).filter("s")
     return split.limit(1).count() == 0
 
 
@@ -204,31 +207,71 @@ def _absorbed_df(cells: DataFrame, keys: Sequence[tuple[str, ...]], cluster: str
 # --- within transformation --------------------------------------------------------------
 
 
-def _demean_cells(
+def _level_means(cells: DataFrame, key: tuple[str, ...], residual: Mapping[str, Column], name: str) -> DataFrame:
+    """Weighted mean of the residual cell means per level of ``key``."""
+    return cells.groupBy(*key).agg(*[
+        F.try_divide(F.sum(F.col("__w") * r), F.sum("__w")).alias(f"{name}_{c}") for c, r in residual.items()
+    ])
+
+
+def _with_effects(rows: DataFrame, keys: Sequence[tuple[str, ...]], effects: Sequence[DataFrame], names: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Attach the level effects ``name_c`` of every key as ``name<j>_c``."""
+    for j, (k, table) in enumerate(zip(keys, effects)):
+        rows = rows.join(
+            table.select(*k, *[F.col(f"{n}_{c}").alias(f"{n}{j}_{c}") for n in names for c in columns]), list(k))
+    return rows
+
+
+def _solve_effects(
     cells: DataFrame, keys: Sequence[tuple[str, ...]], columns: Sequence[str], scale: Mapping[str, float],
     tol: float, max_sweeps: int,
-) -> DataFrame:
-    """Alternate over the keys, taking out group means, until the means vanish."""
-    for sweep in range(max_sweeps):
-        moved = []
-        for i, k in enumerate(keys):
-            means = cells.groupBy(*k).agg(*[
-                F.try_divide(F.sum(F.col("__w") * F.col(f"r_{c}")), F.sum("__w")).alias(f"g_{c}") for c in columns
-            ])
-            cells = cells.join(means, list(k)).withColumns(
-                {f"r_{c}": F.col(f"r_{c}") - F.col(f"g_{c}") for c in columns}
-            ).withColumn(f"__d{i}", F.greatest(*[
-                F.abs(F.col(f"g_{c}")) / F.lit(scale[c]) for c in columns
-            ]) if len(columns) > 1 else F.abs(F.col(f"g_{columns[0]}")) / F.lit(scale[columns[0]])).drop(
-                *[f"g_{c}" for c in columns])
-            moved.append(f"__d{i}")
-        if len(keys) == 1:
-            return cells.drop(*moved)
-        cells = cut_lineage(cells)
-        largest = max(v or 0.0 for v in cells.agg(*[F.max(m) for m in moved]).first())
-        cells = cells.drop(*moved)
+) -> list[DataFrame]:
+    """One table per key with the effects ``v_c`` whose sum is the projection of each column.
+
+    Keys are updated in turn: the new effects of a key are the means of what the other
+    keys leave over.  Two rounds (``r`` to ``u`` to ``v``) are run per step and
+    extrapolated (Irons and Tuck).  The cells stay as they are; each update writes one
+    row per level, so the plan does not grow with the iterations.
+    """
+    means = {c: F.col(f"m_{c}") for c in columns}
+    if len(keys) == 1:
+        return [cut_lineage(_level_means(cells, keys[0], means, "v"))]
+
+    def update(i: int, tables: list[tuple[DataFrame, str]], name: str) -> DataFrame:
+        rows, residual = cells, dict(means)
+        for j, (k, (table, now)) in enumerate(zip(keys, tables)):
+            if j != i:
+                rows = rows.join(table.select(*k, *[F.col(f"{now}_{c}").alias(f"e{j}_{c}") for c in columns]), list(k))
+                residual = {c: r - F.col(f"e{j}_{c}") for c, r in residual.items()}
+        return cut_lineage(_level_means(rows, keys[i], residual, name).join(tables[i][0], list(keys[i])))
+
+    zero = {f"r_{c}": F.lit(0.0) for c in columns}
+    tables = [(cells.select(*k).distinct().withColumns(zero), "r") for k in keys]
+    largest = float("inf")
+    for _ in range(0, max_sweeps, 2):
+        for name in ("u", "v"):
+            for i in range(len(keys)):
+                tables[i] = (update(i, tables, name), name)
+        found = [t for t, _ in tables]
+        rows = _with_effects(cells, keys, found, "ruv", columns)
+
+        def left(name: str, c: str) -> Column:
+            return reduce(lambda x, j: x - F.col(f"{name}{j}_{c}"), range(len(keys)), F.col(f"m_{c}"))
+
+        d1 = {c: left("v", c) - left("u", c) for c in columns}
+        d2 = {c: d1[c] - left("u", c) + left("r", c) for c in columns}
+        seen = rows.agg(
+            *[F.max(F.abs(d1[c])).alias(f"m_{c}") for c in columns],
+            *[F.sum(F.col("__w") * d1[c] * d2[c]).alias(f"p_{c}") for c in columns],
+            *[F.sum(F.col("__w") * d2[c] * d2[c]).alias(f"q_{c}") for c in columns],
+        ).first()
+        largest = max((seen[f"m_{c}"] or 0.0) / scale[c] for c in columns)
         if largest < tol:
-            return cells
+            return found
+        factor = {c: seen[f"p_{c}"] / seen[f"q_{c}"] if seen[f"q_{c}"] else 0.0 for c in columns}
+        tables = [(t.select(*k, *[
+            (F.col(f"v_{c}") - F.lit(factor[c]) * (F.col(f"v_{c}") - F.col(f"u_{c}"))).alias(f"r_{c}") for c in columns
+        ]), "r") for k, t in zip(keys, found)]
     raise ArithmeticError(f"fixed effects did not converge in {max_sweeps} sweeps (last change {largest:.3g})")
 
 
@@ -237,7 +280,7 @@ def _demean_cells(
 
 def absorb_regression(
     df: DataFrame, y: str, terms: Sequence[Term], absorb: Sequence[Sequence[str] | str],
-    weight: str | None = None, cluster: str | None = None, tol: float = 1e-9, max_sweeps: int = 500,
+    weight: str | None = None, cluster: str | None = None, tol: float = 1e-8, max_sweeps: int = 1000,
     model: str = "",
 ) -> Fit:
     """Regress ``y`` on ``terms`` with absorbed fixed effects.
@@ -248,20 +291,20 @@ def absorb_regression(
     all_keys = [(k,) if isinstance(k, str) else tuple(k) for k in absorb]
     keys = _effective_keys(all_keys)
     key_columns = list(dict.fromkeys(c for k in keys for c in k))
-    cell_columns = key_columns + ([cluster] if cluster and cluster not in key_columns else [])
+    carried = key_columns + ([cluster] if cluster and cluster not in key_columns else [])
     x = design(df, terms)
     names = [f"x{i}" for i in range(len(x))]
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     values = ["y", *names]
 
     needed = F.lit(True)
-    for c in [F.col(y), w, *x.values(), *[F.col(c) for c in cell_columns]]:
+    for c in [F.col(y), w, *x.values(), *[F.col(c) for c in carried]]:
         needed = needed & c.isNotNull()
     complete = df.filter(needed & (w > 0)) if weight is not None else df.filter(needed)
 
     def rows_of(frame: DataFrame) -> DataFrame:
         return frame.select(
-            *cell_columns, w.alias("__w"), F.col(y).cast("double").alias("y"),
+            *carried, w.alias("__w"), F.col(y).cast("double").alias("y"),
             *[e.alias(n) for n, e in zip(names, x.values())],
         )
 
@@ -271,21 +314,19 @@ def absorb_regression(
     centred = rows.withColumns({c: F.col(c) - F.lit(shift[c] or 0.0) for c in values})
     scale = {c: shift[f"s_{c}"] or 1.0 for c in values}
 
-    cells = centred.groupBy(*cell_columns).agg(
+    cells = centred.groupBy(*key_columns).agg(
         F.count(F.lit(1)).alias("__n"), F.sum("__w").alias("__w"),
-        *[F.sum(F.col("__w") * F.col(c)).alias(f"r_{c}") for c in values],
-    ).withColumns({f"r_{c}": F.col(f"r_{c}") / F.col("__w") for c in values})
-    if cluster:
-        cells = cells.withColumn("__cl", F.col(cluster).cast("string"))
-    cells = _prune_singletons(cut_lineage(cells), keys)
-    start = cells.select(*cell_columns, "__n", *[F.col(f"r_{c}").alias(f"m_{c}") for c in values])
-    demeaned = _demean_cells(cells, keys, values, scale, tol, max_sweeps)
-    effects = start.join(demeaned.select(*cell_columns, *[f"r_{c}" for c in values]), cell_columns).select(
-        *cell_columns, *[(F.col(f"m_{c}") - F.col(f"r_{c}")).alias(f"a_{c}") for c in values]
+        *[F.try_divide(F.sum(F.col("__w") * F.col(c)), F.sum("__w")).alias(f"m_{c}") for c in values],
+        *([F.min(cluster).alias("__cmin"), F.max(cluster).alias("__cmax")] if cluster else []),
     )
-    within = centred.join(effects, cell_columns).select(
+    cells = _prune_singletons(cut_lineage(cells), keys)
+    effects = _solve_effects(cells, keys, values, scale, tol, max_sweeps)
+    # rows of dropped singletons have no level here and leave with the inner joins
+    within = _with_effects(centred, keys, effects, "v", values)
+    residual = {c: reduce(lambda x, j: x - F.col(f"v{j}_{c}"), range(len(keys)), F.col(c)) for c in values}
+    within = within.select(
         *([cluster] if cluster else []), "__w",
-        *[F.col(c).alias(f"raw_{c}") for c in values], *[(F.col(c) - F.col(f"a_{c}")).alias(c) for c in values],
+        *[F.col(c).alias(f"raw_{c}") for c in values], *[r.alias(c) for c, r in residual.items()],
     )
 
     # one pass: products per cluster (or overall), raw sums of squares for the collinearity test
@@ -347,19 +388,15 @@ def absorb_regression(
         except np.linalg.LinAlgError:
             wald = None
     labels = list(x)
-    sample = complete.join(cells.select(*cell_columns), cell_columns, "left_semi")
+    sample = reduce(lambda d, e: d.join(e[1].select(*e[0]), list(e[0]), "left_semi"), zip(keys, effects), complete)
     return Fit(
         depvar=y, terms=[labels[i] for i in kept], omitted=[labels[i] for i in range(len(names)) if i not in kept],
         b=b, vcov=vcov, n=n, r2=1 - rss / tss if tss else float("nan"), r2_within=1 - rss / yy if yy else float("nan"),
-        f=wald, ymean=_unweighted_mean(sample, y), df_model=k, df_resid=int(df_resid), clusters=m, absorbed=absorbed,
+        f=wald, ymean=totals["wy"] / totals["w"] + (shift["y"] or 0.0), df_model=k, df_resid=int(df_resid), clusters=m, absorbed=absorbed,
         sample=sample, model=model,
     )
 
 
-def _unweighted_mean(sample: DataFrame, y: str) -> float:
-    return sample.agg(F.avg(F.col(y).cast("double"))).first()[0]
-
-
 def _robust(within, names, kept, b, inverse, n, df_resid) -> np.ndarray:
     """Heteroskedasticity-robust covariance for weighted models without clusters."""
     residual = F.col("y")

@@ -98,7 +98,7 @@ def substitute_by_table(df: DataFrame, key: str, text: str, table: DataFrame, ou
         return df.withColumn(out, substitute(text, pairs))
     hits = matching_terms(df.filter(F.length(text) > 0), key, text, table, "variant", _longest(table, "variant"))
     per_text = hits.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("rank", "variant", "canonical"))).alias("hits")
+        F.sort_array(F.collect_list(F.struct("rank", "variant", "canonical"))).alias("hits")
     )
     quoted = F.array_join(F.transform("hits", lambda h: F.concat(F.lit(r"\Q"), h["variant"], F.lit(r"\E"))), "|")
     lookup = F.map_from_entries(F.transform("hits", lambda h: F.struct(F.lower(h["variant"]), h["canonical"])))
@@ -126,7 +126,7 @@ def remove_places(df: DataFrame, key: str, text: str, places: DataFrame, out: st
     if listed is not None:
         return df.withColumn(out, drop_words(text, listed))
     hits = matching_terms(df.filter(F.length(text) > 0), key, text, places, "place", _longest(places, "place"))
-    per_text = hits.groupBy(key).agg(F.array_sort(
+    per_text = hits.groupBy(key).agg(F.sort_array(
         F.collect_set(F.struct((-F.length("place")).alias("n"), F.col("place")))
     ).alias("hits"))
     quoted = F.array_join(F.transform("hits", lambda h: F.concat(F.lit(r"\Q"), h["place"], F.lit(r"\E"))), "|")

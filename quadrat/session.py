@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,28 +37,36 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one named in ``spark.checkpoint.dir``.
 
     A private temporary folder is taken only in local mode, where driver and
     executors are one process; on a cluster an unset folder is an error.
     """
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="quadrat-checkpoint-", dir=os.environ.get("TMPDIR", "/tmp"))
-    context.setCheckpointDir(shared)
+    if shared:
+        return shared.rstrip("/")
+    named = context._jsc.sc().getCheckpointDir()
+    if named.isDefined():
+        return named.get().rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    folder = tempfile.mkdtemp(prefix="quadrat-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the written files.
+    """Write ``df`` to the shared folder and go on from the written table.
 
-    The result survives the loss of any executor and is computed once however
-    often it is read.
+    The result survives the loss of any executor, is computed once however often it is
+    read, and its size is known to the planner.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = new_folder(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

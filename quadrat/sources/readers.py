@@ -67,18 +67,16 @@ def parse_record(raw: Column | str, schema: T.StructType | str) -> Column:
 def with_line_numbers(raw: DataFrame) -> DataFrame:
     """0-based line number per file for rows carrying (file, block, pos).
 
-    Lines are counted inside each file block; the blocks of a file are then added up
-    from a table with one row per block.
+    Lines are counted inside each file block (the split of a file scan is the same on
+    every read); the blocks of a file are then added up from a table with one row per
+    block.
     """
     from pyspark.sql import Window as W
 
-    from quadrat.session import cut_lineage
-
-    rows = cut_lineage(raw)
-    blocks = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
+    blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
     before = F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
     offsets = blocks.withColumn("before", F.coalesce(before, F.lit(0))).drop("n")
-    return rows.join(offsets, ["file", "block"]).withColumn(
+    return raw.join(offsets, ["file", "block"]).withColumn(
         "line_no", (F.col("pos") - F.col("first") + F.col("before")).cast("bigint")
     ).drop("block", "pos", "first", "before")
 
