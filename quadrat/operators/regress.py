@@ -378,7 +378,7 @@ def absorb_regression(
         vcov, df_resid = small * inverse @ meat @ inverse, min(m - 1, n - k - absorbed)
     else:
         m, df_resid = None, n - k - absorbed
-        vcov = inverse * rss / df_resid if weight is None else inverse * np.nan
+        vcov = inverse * (rss / df_resid if df_resid > 0 else np.nan)
         if weight is not None:
             vcov = _robust(within, names, kept, b, inverse, n, df_resid)
     wald = None
