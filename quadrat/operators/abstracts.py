@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.functions.missing import ColumnLike, col, let
+from quadrat.session import fan_out
 
 INDEX_SCHEMA = "struct<IndexLength:int,InvertedIndex:map<string,array<int>>>"
 # Placeholder that protects structural quotes during the repair (fixed value).
@@ -78,7 +79,7 @@ def rebuild_text(df: DataFrame, index: str, out: str, failed: str) -> DataFrame:
 
 def build_index(df: DataFrame, key: str, text: str, out: str) -> DataFrame:
     """Inverted index of a blank-separated text, in the loosely quoted form."""
-    words = df.select(key, F.posexplode(F.split(text, " ")).alias("at", "word"))
+    words = fan_out(df.select(key, text)).select(key, F.posexplode(F.split(text, " ")).alias("at", "word"))
     per_word = words.groupBy(key, "word").agg(F.sort_array(F.collect_list("at")).alias("at"))
     entry = F.concat(
         F.lit('"'), F.col("word"), F.lit('":['), F.array_join(F.col("at").cast("array<string>"), ","), F.lit("]")

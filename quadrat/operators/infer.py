@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quadrat.functions.missing import all_present
 from quadrat.functions.text import first_tokens, join_components, prefixed
+from quadrat.session import fan_out
 
 # Input orders: variant name -> text components (fixed values).
 INPUT_TYPES: Mapping[str, Sequence[str]] = {
@@ -48,7 +49,7 @@ def compose_inputs(
         ))
         for v, cs in input_types.items()
     ])
-    return df.select(key, F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("i")).select(
+    return fan_out(df).select(key, F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("i")).select(
         "i.variant", key, "i.text"
     )
 
@@ -92,7 +93,7 @@ def embed_texts(
             ]
             yield batch[list(keys)].assign(embedding=[np.asarray(v, dtype="float32") for v in vectors])
 
-    ready = df.select(*keys, first_tokens(F.coalesce(F.col(text), F.lit("")), max_tokens).alias("__t"))
+    ready = fan_out(df.select(*keys, text)).select(*keys, first_tokens(F.coalesce(F.col(text), F.lit("")), max_tokens).alias("__t"))
     return ready.mapInPandas(run, schema)
 
 

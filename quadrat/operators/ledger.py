@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quadrat.session import new_folder
+from quadrat.session import fan_out, new_folder
 
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -43,7 +43,7 @@ def attempt_rows(
                         except Exception as problem:
                             yield row[list(keys)].assign(**{value.name: None, "ok": False, "error": str(problem)})[columns]
 
-    return df.mapInPandas(run, schema)
+    return fan_out(df).mapInPandas(run, schema)
 
 
 def run_until_done(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quadrat.functions.keys import number_from_text, title_case
 from quadrat.functions.missing import blank_to_null, mentions
 from quadrat.functions.text import capture, squeeze
+from quadrat.session import cut_lineage, fan_out
 
 
 class _Tables(HTMLParser):
@@ -18,13 +19,13 @@ class _Tables(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.rows: list[tuple[int, int, list[str], dict]] = []
+        self.rows: list[tuple] = []
         self.opened = 0
         self.stack: list[dict] = []
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self.stack.append({"no": self.opened, "row": 0, "cells": None, "cell": None, "attrs": dict(attrs)})
+            self.stack.append({"no": self.opened, "row": 0, "head": None, "cells": None, "cell": None, "attrs": dict(attrs)})
             self.opened += 1
         elif self.stack:
             top = self.stack[-1]
@@ -61,7 +62,8 @@ class _Tables(HTMLParser):
     def _end_row(self, t):
         self._end_cell(t)
         if t["cells"]:
-            self.rows.append((t["no"], t["row"], t["cells"], t["attrs"]))
+            t["head"] = t["head"] or t["cells"]
+            self.rows.append((t["no"], t["row"], t["cells"], t["head"], t["attrs"].get("id"), t["attrs"].get("title")))
             t["row"] += 1
         t["cells"] = None
 
@@ -71,30 +73,29 @@ class _Tables(HTMLParser):
             self._end_row(self.stack.pop())
 
 
-class _Links(HTMLParser):
-    """Anchors, with the attributes of the elements that enclose them."""
+class _Page(_Tables):
+    """Tables and anchors in one pass; ``within`` limits the anchors to an element."""
 
     VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
-    def __init__(self, within: tuple[str, str, str] | None):
-        super().__init__(convert_charrefs=True)
+    def __init__(self, within: tuple[str, str, str] | None = None):
+        super().__init__()
         self.within, self.depth, self.inside = within, 0, []
         self.links: list[list] = []
         self.open = None
 
-    def _wanted(self, tag, attrs):
-        return self.within is not None and tag == self.within[0] and attrs.get(self.within[1]) == self.within[2]
-
     def handle_starttag(self, tag, attrs):
+        super().handle_starttag(tag, attrs)
         if tag not in self.VOID:
             self.depth += 1
-            if self._wanted(tag, dict(attrs)):
+            if self.within is not None and tag == self.within[0] and dict(attrs).get(self.within[1]) == self.within[2]:
                 self.inside.append((tag, self.depth))
         if tag == "a" and (self.within is None or self.inside):
             self.open = [dict(attrs).get("href"), [], self.get_starttag_text()]
             self.links.append(self.open)
 
     def handle_endtag(self, tag):
+        super().handle_endtag(tag)
         if self.inside and self.inside[-1] == (tag, self.depth):
             self.inside.pop()
         if tag not in self.VOID:
@@ -103,59 +104,63 @@ class _Links(HTMLParser):
             self.open = None
 
     def handle_data(self, data):
+        super().handle_data(data)
         if self.open is not None:
             self.open[1].append(data)
 
 
-def extract_tables(pages: DataFrame, page: str, html: str) -> DataFrame:
-    """One row per table row: page, table and row number, cell texts, table id and title."""
+_ROW = ["table_no", "row_no", "cells", "header", "table_id", "table_title"]
+_LINK = ["link_no", "href", "anchor_text", "raw_tag"]
+_ROW_DDL = "table_no int, row_no int, cells array<string>, header array<string>, table_id string, table_title string"
+_LINK_DDL = "link_no int, href string, anchor_text string, raw_tag string"
+
+
+def parse_pages(pages: DataFrame, page: str, html: str, within: tuple[str, str, str] | None = None) -> DataFrame:
+    """Every table row and every anchor of each page, from one parse.
+
+    Table rows have a ``table_no``, anchors have a ``link_no``; the other columns are
+    missing.
+    """
     key = pages.schema[page]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for k, text in zip(batch[page], batch[html]):
-                parser = _Tables()
+                parser = _Page(within)
                 parser.feed(text or "")
                 parser.close()
-                out += [(k, t, r, cells, a.get("id"), a.get("title")) for t, r, cells, a in parser.rows]
-            yield pd.DataFrame(out, columns=[page, "table_no", "row_no", "cells", "table_id", "table_title"])
+                out += [(k, *row, None, None, None, None) for row in parser.rows]
+                out += [(k, None, None, None, None, None, None, i, h, "".join(t), raw) for i, (h, t, raw) in enumerate(parser.links)]
+            frame = pd.DataFrame(out, columns=[page, *_ROW, *_LINK])
+            yield frame.astype({c: "Int32" for c in ("table_no", "row_no", "link_no")})
 
-    return pages.select(page, html).mapInPandas(
-        run, f"`{page}` {key.dataType.simpleString()}, table_no int, row_no int, cells array<string>, "
-             "table_id string, table_title string"
-    )
+    return fan_out(pages.select(page, html)).mapInPandas(
+        run, f"`{page}` {key.dataType.simpleString()}, {_ROW_DDL}, {_LINK_DDL}")
 
 
-def extract_links(pages: DataFrame, page: str, html: str, within: tuple[str, str, str] | None = None) -> DataFrame:
-    """One row per anchor, optionally only inside an element (tag, attribute, value)."""
-    key = pages.schema[page]
+def table_rows(parsed: DataFrame, page: str) -> DataFrame:
+    return parsed.filter("table_no is not null").select(page, *_ROW)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for k, text in zip(batch[page], batch[html]):
-                parser = _Links(within)
-                parser.feed(text or "")
-                parser.close()
-                out += [(k, i, h, "".join(t), raw) for i, (h, t, raw) in enumerate(parser.links)]
-            yield pd.DataFrame(out, columns=[page, "link_no", "href", "anchor_text", "raw_tag"])
 
-    return pages.select(page, html).mapInPandas(
-        run, f"`{page}` {key.dataType.simpleString()}, link_no int, href string, anchor_text string, raw_tag string"
-    )
+def anchors(parsed: DataFrame, page: str) -> DataFrame:
+    return parsed.filter("link_no is not null").select(page, *_LINK)
 
 
-def with_header(rows: DataFrame, page: str, names: Sequence[str]) -> DataFrame:
-    """Use the first row of each table as its header and pick columns by header text.
+def extract_tables(pages: DataFrame, page: str, html: str) -> DataFrame:
+    """One row per table row: page, table and row number, cells, first row, table id and title."""
+    return table_rows(parse_pages(pages, page, html), page)
 
-    The header is one row per table, joined to the rows of its own table.
-    """
-    head = rows.filter("row_no = 0").select(page, "table_no", F.col("cells").alias("__head"))
-    body = rows.filter("row_no > 0").join(head, [page, "table_no"])
-    return body.select(page, "table_no", "row_no", "table_title", *[
-        F.try_element_at("cells", F.nullif(F.array_position("__head", n), F.lit(0)).cast("int")).alias(n)
-        for n in names
+
+def extract_links(pages: DataFrame, page: str, html: str, within: tuple[str, str, str] | None = None) -> DataFrame:
+    """One row per anchor, optionally only inside an element (tag, attribute, value)."""
+    return anchors(parse_pages(pages, page, html, within), page)
+
+
+def with_header(rows: DataFrame, page: str, names: Sequence[str]) -> DataFrame:
+    """Use the first row of each table as its header and pick columns by header text."""
+    return rows.filter("row_no > 0").select(page, "table_no", "row_no", "table_title", *[
+        F.try_element_at("cells", F.nullif(F.array_position("header", n), F.lit(0)).cast("int")).alias(n) for n in names
     ])
 
 
@@ -173,9 +178,14 @@ def clean_village_name(c) -> Column:
     return squeeze(title_case(c))
 
 
-def village_rows(pages: DataFrame, page: str, html: str) -> DataFrame:
+def parse_village_pages(pages: DataFrame, page: str, html: str, table_id: str = "example") -> DataFrame:
+    """Village pages parsed once and written, because rows and links are both read from them."""
+    return cut_lineage(parse_pages(pages, page, html, within=("table", "id", table_id)))
+
+
+def village_rows(parsed: DataFrame, page: str) -> DataFrame:
     """First table of each page as village rows: no totals, no empty rows, numbers coerced."""
-    rows = extract_tables(pages, page, html).filter("table_no = 0 and row_no > 0")
+    rows = table_rows(parsed, page).filter("table_no = 0 and row_no > 0")
     cells = rows.select(
         page, "row_no", blank_to_null(F.get("cells", F.lit(1))).alias("village"),
         *[blank_to_null(F.get("cells", F.lit(i))).alias(n) for i, n in enumerate(VILLAGE_COUNTS, start=2)],
@@ -187,13 +197,12 @@ def village_rows(pages: DataFrame, page: str, html: str) -> DataFrame:
     )
 
 
-def village_links(pages: DataFrame, page: str, html: str, table_id: str = "example") -> DataFrame:
+def village_links(parsed: DataFrame, page: str) -> DataFrame:
     """(page, village, code, short name) per village link; the last link of a village wins."""
-    links = extract_links(pages, page, html, within=("table", "id", table_id))
-    parsed = links.select(
+    named = anchors(parsed, page).select(
         page, "link_no",
         *[capture("href", VILLAGE_LINK, i, fallback="raw_tag").alias(n) for i, n in ((1, "code"), (2, "short_name"), (3, "name"))],
     ).withColumn("village", clean_village_name("name"))
     from quadrat.operators.groups import last_row
 
-    return last_row(parsed, [page, "village"], ["link_no"]).select(page, "village", "code", "short_name")
+    return last_row(named, [page, "village"], ["link_no"]).select(page, "village", "code", "short_name")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.functions.missing import ColumnLike, col
 from quadrat.functions.text import clean_place, drop_words
+from quadrat.session import fan_out
 
 # Term lists up to this length are compiled into the query as one pattern.
 LITERAL_TERMS = 2000
@@ -79,7 +80,7 @@ def matching_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: s
     Distinct (text, n-gram) pairs are joined to the terms; a frequent n-gram only makes
     the left side of the join heavy, which adaptive execution splits.
     """
-    words = df.select(key, _words(F.col(text)).alias("w"))
+    words = fan_out(df.select(key, text)).select(key, _words(F.col(text)).alias("w"))
     grams = F.array_distinct(F.flatten(F.array(*[_grams(F.col("w"), n) for n in range(1, longest + 1)])))
     grams = words.select(key, F.explode(grams).alias("gram"))
     return grams.filter("gram <> ''").join(

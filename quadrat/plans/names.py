@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quadrat.functions import text as X
 from quadrat.operators.substitute import remove_places, substitute_by_table
+from quadrat.session import fan_out
 
 
 def clean_text(
@@ -35,7 +36,7 @@ def clean_names(
     stopwords: Sequence[str] | None = None,
 ) -> DataFrame:
     """(key, nameDesc_clean): both texts cleaned, placeholders dropped, joined."""
-    rows = df.select(key, name, description)
+    rows = fan_out(df.select(key, name, description))
     for c in (name, description):
         rows = clean_text(rows, key, c, f"{c}_clean", places, phrases, words, stopwords)
     parts = [X.drop_placeholder(f"{c}_clean") for c in (name, description)]

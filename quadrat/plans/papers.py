@@ -11,7 +11,7 @@ from quadrat.functions.missing import known_year_and_type
 from quadrat.functions.text import squeeze
 from quadrat.operators.abstracts import rebuild_text
 from quadrat.operators.groups import latest_value_map
-from quadrat.session import cut_lineage
+from quadrat.session import cut_lineage, fan_out
 
 PAPER_SCHEMA = "id string, year int, doc_type string, title string, indexed_abstract string"
 
@@ -38,7 +38,7 @@ def prepare(papers: DataFrame, year: int = 1980, exclude_doc: str = "Patent", de
     is a loader for :func:`quadrat.functions.language.detect_with`; without one the
     function-word scorer is used.
     """
-    kept = papers.filter(known_year_and_type("year", year, "doc_type", exclude_doc))
+    kept = fan_out(papers.filter(known_year_and_type("year", year, "doc_type", exclude_doc)))
     rebuilt = rebuild_text(kept, "indexed_abstract", "abstract", "abstract_failed")
     clean = rebuilt.withColumns({
         "title": squeeze(F.coalesce(F.col("title"), F.lit(""))), "abstract": squeeze("abstract"),

@@ -24,7 +24,8 @@ def village_table(work: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFra
     as does a council without a page or table.
     """
     here = pages.join(work.select("file_key"), "file_key", "left_semi")
-    rows, links = H.village_rows(here, "file_key", "html"), H.village_links(here, "file_key", "html")
+    parsed = H.parse_village_pages(here, "file_key", "html")
+    rows, links = H.village_rows(parsed, "file_key"), H.village_links(parsed, "file_key")
     found, missed = J.strict_lookup(rows, links.withColumn("link", F.struct("code", "short_name")), ["file_key", "village"], "link")
     reason = work.select("file_key").join(pages.select("file_key").distinct().withColumn("page", F.lit(True)), "file_key", "left")
     reason = reason.join(rows.select("file_key").distinct().withColumn("table", F.lit(True)), "file_key", "left")

@@ -111,3 +111,31 @@ def format_stars(t: Tables):
 def star_marks(t: Tables):
     """The mark and cell formats on given values."""
     return t.orders.select("o_orderkey", S.stars(F.col("o_totalprice") / 1000000).alias("mark"), S.parenthesised(F.col("o_totalprice"), 2).alias("shown"))
+
+
+_JOBS = """SELECT l_quantity AS vacancy, l_linenumber::INTEGER AS minExperience, (l_linenumber + 2)::INTEGER AS maxExperience, l_extendedprice AS avgSalary,
+    CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 END AS jobAgreementType, quarter(l_shipdate)::INTEGER AS sector,
+    (l_linenumber + CASE l_linestatus WHEN 'O' THEN 2 ELSE 0 END)::INTEGER AS minEducationBranch FROM lineitem"""
+
+
+def _job_sql() -> str:
+    from quadrat.plans.descriptives import CATEGORIES, JOB_LABELS
+
+    one = "SELECT '{s}' AS section, '{v}' AS variable, round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS sd, count({x}) AS n FROM j"
+    parts = [one.format(s="", v=v, x=v) for v in JOB_LABELS]
+    parts += [one.format(s=s, v=v, x=f"CASE WHEN {src} IS NOT NULL THEN ({src} BETWEEN {a} AND {b})::INTEGER END")
+              for s, block in CATEGORIES.items() for v, (src, a, b) in block.items()]
+    return f"WITH j AS ({_JOBS}) " + " UNION ALL ".join(parts)
+
+
+@query("job_summary_table", _job_sql())
+def job_summary_table(t: Tables):
+    """The descriptive table of postings: continuous variables, then blocks of indicators listwise."""
+    from quadrat.plans.descriptives import job_summary
+
+    flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2)
+    jobs = t.lineitem.select(
+        F.col("l_quantity").alias("vacancy"), F.col("l_linenumber").alias("minExperience"), (F.col("l_linenumber") + 2).alias("maxExperience"),
+        F.col("l_extendedprice").alias("avgSalary"), flag.alias("jobAgreementType"), F.quarter("l_shipdate").alias("sector"),
+        (F.col("l_linenumber") + F.when(F.col("l_linestatus") == "O", 2).otherwise(0)).alias("minEducationBranch"))
+    return _rounded(job_summary(jobs))

@@ -57,6 +57,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def fan_out(df: DataFrame) -> DataFrame:
+    """Spread a compact input over all cores before costly per-row work.
+
+    An input big enough to fill every core with file splits of its own is left alone.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if size < cores * split else df
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 

@@ -103,9 +103,10 @@ def test_pages(spark):
     assert {r.t for r in tables.filter("table_no = 0").select(H.title_part("table_title", 1).alias("t")).collect()} == {"42"}
     links = H.extract_links(pages, "id", "html", within=("table", "id", "example"))
     assert links.count() == 2 and H.extract_links(pages, "id", "html").count() == 3
-    village = H.village_rows(pages, "id", "html").select("village", "New", "Revived")
+    parsed = H.parse_village_pages(pages, "id", "html")
+    village = H.village_rows(parsed, "id").select("village", "New", "Revived")
     assert rows(village, "village") == [("O'Nagar", 5.0, None), ("Ram Pur", 1200.0, None)]
-    got = rows(H.village_links(pages, "id", "html").select("village", "code", "short_name"), "code")
+    got = rows(H.village_links(parsed, "id").select("village", "code", "short_name"), "code")
     assert got == [("Ram Pur", "7", "ab"), ("O'Nagar", "8", "cd")]
 
 
