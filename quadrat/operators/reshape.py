@@ -33,7 +33,7 @@ def to_long(df: DataFrame, i: Sequence[str], stub: str, j: str, value: str | Non
     """One row per (i, suffix) for all columns starting with ``stub``; missing cells stay."""
     wide = [c for c in df.columns if c.startswith(stub) and c not in i]
     long = df.unpivot(list(i), wide, j, value or stub)
-    return long.withColumn(j, F.substring(F.col(j), len(stub) + 1, 1000))
+    return long.withColumn(j, F.substr(F.col(j), F.lit(len(stub) + 1)))
 
 
 def fill_zero(df: DataFrame, prefix: str) -> DataFrame:

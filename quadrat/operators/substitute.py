@@ -31,7 +31,7 @@ def substitution_table(cells: DataFrame, row: str = "row_no", items: str = "cell
     listed = (
         cells.withColumn("cells", F.filter(items, lambda x: x.isNotNull() & (x != "")))
         .select(F.col(row).alias("row"), F.col("cells")[0].alias("canonical"),
-                F.posexplode(F.slice("cells", 2, 100_000)).alias("place", "variant"))
+                F.posexplode(F.slice("cells", F.lit(2), F.size("cells"))).alias("place", "variant"))
         .withColumn("at", F.struct("row", "place"))
     )
     return listed.groupBy(F.lower("variant").alias("variant")).agg(
