@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,8 +38,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one named in ``spark.checkpoint.dir``.
 
-    A private temporary folder is taken only in local mode, where driver and
-    executors are one process; on a cluster an unset folder is an error.
+    Unset in local mode, a folder beside the warehouse tables is taken; on a cluster an
+    unset folder is an error.
     """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -52,7 +50,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.get().rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="quadrat-", dir=os.environ.get("TMPDIR", "/tmp"))
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/steps"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
