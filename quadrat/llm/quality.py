@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 from quadrat.llm.rows import append_columns
 from quadrat.session import cut_lineage
 
-BUCKETS = 1 << 10
-SAMPLE = 4000  # positives, and as many unlabelled texts: those with the smallest hash of their id
+BUCKETS = 1 << 8
+SAMPLE = 8000  # positives, and as many unlabelled texts: those with the smallest hash of their id
 STEPS = 600
 BATCH = 512
 CHUNK = 1 << 20
@@ -36,7 +36,7 @@ def features(text: str | None) -> np.ndarray:
     for i in range(0, max(len(shape) - 2, 0), CHUNK):
         part = shape[i:i + CHUNK + 2].astype(np.uint32)
         mixed = (part[:-2] << np.uint32(16) | part[1:-1] << np.uint32(8) | part[2:]) * np.uint32(2654435761)
-        grams += np.bincount(mixed >> np.uint32(22), minlength=BUCKETS)
+        grams += np.bincount(mixed >> np.uint32(24), minlength=BUCKETS)
     words, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip()]
     n, w, k = max(len(raw), 1), max(len(words), 1), max(len(lines), 1)
     kinds = np.bincount(shape, minlength=256)
@@ -83,7 +83,7 @@ def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
         else:
             gp, gu = sp - 1, su
         slope = np.append(p.T @ gp + u.T @ gu, gp.sum() + gu.sum()) / BATCH
-        slope[:-1] += 1e-3 * w[:-1]
+        slope[:-1] += 5 / len(positive) * w[:-1]  # the fewer the texts, the flatter the model
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope * slope
         w -= 0.02 * (1 - 0.9 * t / steps) * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.999 ** t)) + 1e-8)
     return w
