@@ -62,25 +62,24 @@ def _signed(x: int) -> int:
 
 
 def _cells(fp: Column) -> Column:
-    """The fingerprint's own cell and those one step away, with the bits by which to get there."""
+    """The fingerprint's own cell and those one step away."""
     point = _counts(fp)
-    steps = [F.struct(point.alias("cell"), F.lit(-1).alias("segment"), F.lit(False).alias("up"))]
+    cells = [point]
     for k in range(BITS // SEGMENT):
-        unit = F.lit(_signed(1 << (SEGMENT * k)))
+        unit = F.lit(1 << (SEGMENT * k))
         count = F.shiftrightunsigned(point, SEGMENT * k).bitwiseAND(F.lit(15))
-        steps.append(F.when(count < SEGMENT, F.struct((point + unit).alias("cell"), F.lit(k).alias("segment"), F.lit(True).alias("up"))))
-        steps.append(F.when(count > 0, F.struct((point - unit).alias("cell"), F.lit(k).alias("segment"), F.lit(False).alias("up"))))
-    return F.filter(F.array(*steps), lambda s: s.isNotNull())
+        cells += [F.when(count < SEGMENT, point + unit), F.when(count > 0, point - unit)]
+    return F.array_compact(F.array(*cells))
 
 
-def _strings() -> Column:
-    """Bit strings of a cell one bit or none away from a fingerprint that was entered there."""
-    moved = [F.when(F.col("segment") < 0, F.col("fp"))]
+def _strings(fp: Column, cell: Column) -> Column:
+    """Bit strings of a cell that differ from a fingerprint entered there in one bit or none."""
+    step = cell - _counts(fp)
+    moved = [F.when(step == 0, fp)]
     for k in range(BITS):
-        bit = F.lit(_signed(1 << k))
-        is_set = F.col("fp").bitwiseAND(bit) != 0
-        moved.append(F.when((F.col("segment") == k // SEGMENT) & (is_set != F.col("up")), F.col("fp").bitwiseXOR(bit)))
-    return F.filter(F.array(*moved), lambda s: s.isNotNull())
+        bit, unit = F.lit(_signed(1 << k)), F.lit(1 << (SEGMENT * (k // SEGMENT)))
+        moved.append(F.when(step == F.when(fp.bitwiseAND(bit) == 0, unit).otherwise(-unit), fp.bitwiseXOR(bit)))
+    return F.array_compact(F.array(*moved))
 
 
 def links(fingerprints: DataFrame, fp: str = "fp") -> DataFrame:
@@ -90,10 +89,10 @@ def links(fingerprints: DataFrame, fp: str = "fp") -> DataFrame:
     of them. The links have the same connected components as all pairs. Nulls are ignored.
     """
     points = cut_lineage(fingerprints.select(F.col(fp).alias("fp")).filter("fp is not null").distinct())
-    entered = points.select("fp", F.inline(_cells(F.col("fp"))))
-    shared = entered.groupBy("cell").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).filter("least <> most").select("cell")
+    entered = points.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
+    shared = entered.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("cell")
     close = entered.join(shared, "cell", "left_semi")
-    around = close.select("fp", F.explode(_strings()).alias("string")).groupBy("string").agg(F.collect_set("fp").alias("fps")).filter("size(fps) > 1")
+    around = close.select("fp", F.explode(_strings(F.col("fp"), F.col("cell"))).alias("string")).groupBy("string").agg(F.collect_set("fp").alias("fps")).filter("size(fps) > 1")
     pairs = around.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a <> b")
     return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2).distinct()
 
