@@ -89,7 +89,8 @@ def links(fingerprints: DataFrame, fp: str = "fp") -> DataFrame:
     of them. The links have the same connected components as all pairs. Nulls are ignored.
     """
     points = cut_lineage(fingerprints.select(F.col(fp).alias("fp")).filter("fp is not null").distinct())
-    entered = points.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
+    spread = points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")  # each row becomes some thirty
+    entered = spread.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
     shared = entered.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("cell")
     close = entered.join(shared, "cell", "left_semi")
     around = close.select("fp", F.explode(_strings(F.col("fp"), F.col("cell"))).alias("string")).groupBy("string").agg(F.collect_set("fp").alias("fps")).filter("size(fps) > 1")
