@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quadrat.llm.rows import append_columns
 
 SPACE = "▁"
-WORDS_KEPT = 250_000  # words remembered per task; only speed depends on it
-PAIRS_KEPT = 1_000_000
+WORDS_KEPT = 150_000  # words remembered per task; only speed depends on it
+PAIRS_KEPT = 500_000
 LONGEST_KEPT = 64
 
 
@@ -262,12 +262,23 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     return append_columns(df, ids, f"`{text}` string", make)
 
 
+def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: the ids of every whole text, and the text they say."""
+    name = _shipped(df, path)
+
+    def make():
+        encoder, decoder = _encoder(name), _decoder(name)
+        return lambda texts: [(packed, decoder.decode(packed)) for packed in (encoder.encode(t or "") for t in texts)]
+
+    return append_columns(df, text, f"`{ids}` binary, `{decoded}` string", make)
+
+
 def digest(c: str | Column) -> Column:
     return F.sha2(F.col(c) if isinstance(c, str) else c, 256)
 
 
 def token_report(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, number of ids, and digests of the ids and of the text decoded from them."""
-    coded = decode(encode(df.select(key, text), path, text), path)
+    coded = encode_decode(df.select(key, text), path, text)
     return coded.select(key, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), digest("ids").alias("ids_sha256"),
                         digest(F.col("decoded").cast("binary")).alias("decoded_sha256"))

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+STEP = 512
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns called like ``names`` in any letter case: results replace them."""
     taken = {n.lower() for n in names}
@@ -30,12 +33,13 @@ def append_columns(df: DataFrame, column: str, fields: str, make: Callable[[], C
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
-        for batch in batches:
-            found = apply(batch.column(position).to_pylist())
-            columns = list(zip(*found)) if found else [()] * len(arrow)
-            old = [i for i, n in enumerate(batch.schema.names) if n.lower() not in {a.lower() for a in added.names}]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in old] + [pa.array(c, f.type) for c, f in zip(columns, arrow)],
-                names=[batch.schema.names[i] for i in old] + arrow.names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, STEP):  # few rows at a time exist as Python objects
+                batch = whole.slice(at, STEP)
+                found = apply(batch.column(position).to_pylist())
+                old = [i for i, n in enumerate(batch.schema.names) if n.lower() not in {a.lower() for a in added.names}]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(i) for i in old] + [pa.array(c, f.type) for c, f in zip(zip(*found), arrow)],
+                    names=[batch.schema.names[i] for i in old] + arrow.names)
 
     return kept.mapInArrow(step, schema)

@@ -67,6 +67,9 @@ def test_odd_rows(table, library):
     df = table("doc_id bigint, text string, IDS string, n_tokens int", [(1, None, "x", 1), (1, None, "x", 1), (None, "", "y", 2), (2, "a b " * 50_000, None, None)])
     rows = {(r["doc_id"], r["n_tokens"]) for r in pieces.token_report(df, tokenizer_path()).collect()}
     assert rows == {(1, 2), (None, 2), (2, len(library.encode("a b " * 50_000)) + 2)}
+    apart = pieces.decode(pieces.encode(df, tokenizer_path()), tokenizer_path())
+    together = pieces.encode_decode(df, tokenizer_path())
+    assert sorted(map(str, apart.select("ids", "decoded").collect())) == sorted(map(str, together.select("ids", "decoded").collect()))
     coded = pieces.encode(df, tokenizer_path())
     assert coded.columns == ["doc_id", "text", "n_tokens", "ids"] and coded.count() == 4
     assert pieces.token_report(df.limit(0), tokenizer_path()).count() == 0
