@@ -1,3 +1,5 @@
+"""The fixture that the tests of this folder share."""
+
 import pytest
 
 

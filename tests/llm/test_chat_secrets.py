@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quadrat.llm import chat, secrets
 from quadrat.llm.queries import ORACLES, QUERIES
+from tables import table  # noqa: F401
 
 DATA = "/root/testdata/sf0.01"
 

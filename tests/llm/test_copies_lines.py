@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 
 from quadrat.llm import copies, lines
+from tables import table  # noqa: F401
 
 BLANK = " \t\n\x0b\x0c\r"
 

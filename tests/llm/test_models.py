@@ -6,6 +6,7 @@ import numpy as np
 
 from quadrat.llm import langid, quality
 from quadrat.llm.queries import QUERIES
+from tables import table  # noqa: F401
 
 DATA = "/root/testdata/sf0.01"
 

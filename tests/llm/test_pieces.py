@@ -10,6 +10,7 @@ import sentencepiece
 
 from quadrat.llm import pieces
 from quadrat.llm.queries import QUERIES, tokenizer_path
+from tables import table  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 

@@ -8,6 +8,7 @@ import xxhash
 from quadrat.llm import simhash
 from quadrat.llm.components import components
 from quadrat.llm.queries import QUERIES
+from tables import table  # noqa: F401
 
 DATA = "/root/testdata/sf0.01"
 

@@ -6,6 +6,7 @@ import re
 
 from quadrat.llm import windows
 from quadrat.llm.queries import QUERIES
+from tables import table  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 
