@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.functions.missing import ColumnLike, col, let
-from quadrat.functions.text import drop_bullets, normalise, title_and_body
+from quadrat.functions.text import drop_bullets, title_and_body
 
 # Frequent function words per language (fixed values).
 FUNCTION_WORDS: Mapping[str, Sequence[str]] = {
@@ -42,8 +42,8 @@ def language(c: ColumnLike, profiles: Mapping[str, Sequence[str]] = FUNCTION_WOR
 
 
 def detection_text(title: ColumnLike, body: ColumnLike) -> Column:
-    """The text shown to the detector."""
-    return normalise("NFKC")(drop_bullets(title_and_body(title, body)))
+    """The text shown to the detector, before its Unicode form is settled."""
+    return drop_bullets(title_and_body(title, body))
 
 
 def detect_with(
@@ -52,23 +52,27 @@ def detect_with(
 ) -> DataFrame:
     """Run an injected detector, loaded once per worker task, over Arrow batches.
 
-    A text the detector rejects gets no language and a set failure flag.
+    A batch the detector rejects is halved; a text it rejects alone gets no language and a
+    set failure flag.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = load()
         for batch in batches:
-            langs, bad = [], []
-            for t in batch[text]:
-                if not t:
-                    langs.append(NO_LANGUAGE)
-                    bad.append(False)
-                    continue
+            texts = batch[text].tolist()
+            langs: list = [None if t else NO_LANGUAGE for t in texts]
+            bad = [False] * len(texts)
+            waiting = [[i for i, t in enumerate(texts) if t]]
+            while waiting:
+                part = waiting.pop()
                 try:
-                    langs.append(predict([t])[0])
-                    bad.append(False)
+                    for i, lang in zip(part, predict([texts[i] for i in part]) if part else [], strict=True):
+                        langs[i] = lang
                 except Exception:
-                    langs.append(None)
-                    bad.append(True)
+                    half = len(part) // 2
+                    if half:
+                        waiting += [part[:half], part[half:]]
+                    else:
+                        bad[part[0]] = True
             yield batch.assign(**{out: langs, failed: bad})
 
     from pyspark.sql import types as T

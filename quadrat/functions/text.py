@@ -5,11 +5,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quadrat.functions.missing import ColumnLike, col
 
@@ -38,6 +40,19 @@ def normalise(form: str):
     return _once(_normalise)
 
 
+def with_normal_form(df: DataFrame, c: str, form: str) -> DataFrame:
+    """Replace a column by its Unicode normal form, as a step that expressions on it cannot be moved into."""
+    at = df.columns.index(c)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[at] = pc.utf8_normalize(columns[at], form=form)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return df.mapInArrow(run, df.schema)
+
+
 class _TextOnly(HTMLParser):
     """Collects character data outside script and style elements."""
 

@@ -8,26 +8,20 @@ from quadrat.functions.missing import ColumnLike, col, let
 from quadrat.session import fan_out
 
 INDEX_SCHEMA = "struct<IndexLength:int,InvertedIndex:map<string,array<int>>>"
-# Placeholder that protects structural quotes during the repair (fixed value).
-_QUOTE = "!#$*"
+# A quote is structural at the start of a key (after "{" or "],") and at its end (before ":[" or, for
+# the two field names, before ":").
+_STRUCTURAL = r'(?<=\{)"|(?<=\],)"|"(?=:\[)|(?<="IndexLength)"(?=:)|(?<=,)"(?=InvertedIndex":\{)|(?<=,"InvertedIndex)"(?=:\{)'
 
 
 def repair_index(c: ColumnLike) -> Column:
     """Make a loosely quoted index valid JSON.
 
-    Quotes at structural places stay, quotes inside words become apostrophes and
-    backslashes are doubled so that escapes stay literal text.
+    The text is cut at its structural quotes; in the pieces between them quotes become
+    apostrophes and backslashes are doubled, so that both stay literal text.
     """
-    def swap(text: Column, old: str, new: str) -> Column:
-        return F.replace(text, F.lit(old), F.lit(new))
-
-    out = swap(col(c), "\\", "\\\\")
-    out = swap(out, '":[', f"{_QUOTE}:[")
-    out = swap(out, '],"', f"],{_QUOTE}")
-    out = swap(out, ',"InvertedIndex":{"', f",{_QUOTE}InvertedIndex{_QUOTE}:{{{_QUOTE}")
-    out = swap(out, '{"IndexLength":', f"{{{_QUOTE}IndexLength{_QUOTE}:")
-    out = swap(out, '"', "'")
-    return swap(out, _QUOTE, '"')
+    pieces = F.split(col(c), _STRUCTURAL)
+    literal = F.transform(pieces, lambda p: F.translate(F.replace(p, F.lit("\\"), F.lit("\\\\")), '"', "'"))
+    return F.array_join(literal, '"')
 
 
 def parse_index(c: ColumnLike) -> Column:
@@ -77,17 +71,26 @@ def rebuild_text(df: DataFrame, index: str, out: str, failed: str) -> DataFrame:
     )
 
 
+def inverted_index(c: ColumnLike) -> Column:
+    """Inverted index of a blank-separated text, in the loosely quoted form, built in the row.
+
+    (word, position) pairs are sorted; each opens an entry or goes on with the one before it.
+    """
+    words = F.split(col(c), " ")
+
+    def entries(pairs: Column) -> Column:
+        def one(p: Column, i: Column) -> Column:
+            at = p["at"].cast("string")
+            opened = F.concat(F.when(i == 0, "").otherwise("],"), F.lit('"'), p["word"], F.lit('":['), at)
+            return F.when(p["word"] == F.get(pairs, i - 1)["word"], F.concat(F.lit(","), at)).otherwise(opened)
+
+        return F.concat(F.array_join(F.transform(pairs, one), ""), F.lit("]"))
+
+    pairs = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))))
+    return F.concat(F.lit('{"IndexLength":'), F.size(words).cast("string"), F.lit(',"InvertedIndex":{'), let(pairs, entries), F.lit("}}"))
+
+
 def build_index(df: DataFrame, key: str, text: str, out: str) -> DataFrame:
-    """Inverted index of a blank-separated text, in the loosely quoted form."""
-    words = fan_out(df.select(key, text)).select(key, F.posexplode(F.split(text, " ")).alias("at", "word"))
-    per_word = words.groupBy(key, "word").agg(F.sort_array(F.collect_list("at")).alias("at"))
-    entry = F.concat(
-        F.lit('"'), F.col("word"), F.lit('":['), F.array_join(F.col("at").cast("array<string>"), ","), F.lit("]")
-    )
-    per_text = per_word.groupBy(key).agg(
-        F.sum(F.size("at")).alias("n"), F.sort_array(F.collect_list(F.struct(F.col("at")[0], entry.alias("e")))).alias("es")
-    )
-    return per_text.select(key, F.concat(
-        F.lit('{"IndexLength":'), F.col("n").cast("string"), F.lit(',"InvertedIndex":{'),
-        F.array_join(F.transform("es", lambda x: x["e"]), ","), F.lit("}}"),
-    ).alias(out))
+    """(key, inverted index) of every text; null texts have none."""
+    return fan_out(df.select(key, text)).filter(F.col(text).isNotNull()).select(key, inverted_index(text).alias(out))
+

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.functions import stats
 from quadrat.functions.missing import complete_cases
@@ -43,7 +43,7 @@ def tabulate(df: DataFrame, c: str, weight: str | None = None) -> DataFrame:
     w = F.lit(1.0) if weight is None else F.col(weight)
     rows = complete_cases(df, [c] if weight is None else [c, weight])
     counted = rows.groupBy(c).agg(F.sum(w).alias("w"))
-    return counted.select(c, (F.lit(100.0) * F.col("w") / F.sum("w").over(W.partitionBy())).alias("pct"))
+    return counted.select(c, (F.lit(100.0) * F.col("w") / counted.agg(F.sum("w")).scalar()).alias("pct"))
 
 
 def crosstab(df: DataFrame, row: str, column: str, weight: str | None = None) -> DataFrame:
@@ -53,7 +53,7 @@ def crosstab(df: DataFrame, row: str, column: str, weight: str | None = None) ->
     cube = rows.cube(row, column).agg(
         F.sum(w).alias("w"), F.grouping(row).alias("__gr"), F.grouping(column).alias("__gc")
     )
-    grand = F.sum(F.when((F.col("__gr") == 1) & (F.col("__gc") == 1), F.col("w"))).over(W.partitionBy())
+    grand = rows.agg(F.sum(w)).scalar()
 
     def shown(c: str) -> Column:
         return F.when(F.col("__gr" if c == row else "__gc") == 1, "Total").otherwise(F.col(c).cast("string")).alias(c)

@@ -103,15 +103,14 @@ CHAT_TEMPLATE = (
     "<|start_header_id|>user<|end_header_id|>\n\n{user}<|eot_id|>\n"
     "<|start_header_id|>assistant<|end_header_id|>\n\n"
 )
-MAX_NEW_TOKENS = 25
-_NAME = re.compile(r"\b[A-Z][a-z]{5,}\b", re.ASCII)
+_NAME = re.compile(r"\b[A-Z][a-z]+\b", re.ASCII)
 
 
 def capitalised_terms(column: str, out: str = "ner") -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
-    """Default extractor: capitalised words in order, up to the output token limit."""
+    """Default extractor: all capitalised words in order."""
     def load():
         def extract(batch: pd.DataFrame) -> pd.DataFrame:
-            found = [", ".join(_NAME.findall(t)[:MAX_NEW_TOKENS]).strip() for t in batch[column]]
+            found = [", ".join(_NAME.findall(t)) for t in batch[column]]
             return batch.assign(**{out: found})
 
         return extract

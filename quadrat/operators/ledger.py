@@ -18,8 +18,8 @@ def attempt_rows(
     """Run a batch function over Arrow batches and keep each row's outcome.
 
     ``load`` runs once per task and returns the function; the function adds the
-    ``result`` column (a DDL field such as ``"ner string"``).  When a batch fails its
-    rows are tried one by one, so the error is booked on the row that caused it.
+    ``result`` column (a DDL field such as ``"ner string"``).  A batch that fails is
+    halved until the error is booked on the row that caused it.
     """
     value = T.StructType.fromDDL(result)[0]
     schema = T.StructType([
@@ -32,16 +32,17 @@ def attempt_rows(
         for batch in batches:
             step = batch_rows or max(len(batch), 1)
             for at in range(0, len(batch), step):
-                part = batch.iloc[at:at + step]
-                try:
-                    yield fn(part).assign(ok=True, error=None)[columns]
-                except Exception:
-                    for i in range(len(part)):
-                        row = part.iloc[i:i + 1]
-                        try:
-                            yield fn(row).assign(ok=True, error=None)[columns]
-                        except Exception as problem:
-                            yield row[list(keys)].assign(**{value.name: None, "ok": False, "error": str(problem)})[columns]
+                waiting = [batch.iloc[at:at + step]]
+                while waiting:
+                    part = waiting.pop()
+                    try:
+                        yield fn(part).assign(ok=True, error=None)[columns]
+                    except Exception as problem:
+                        half = len(part) // 2
+                        if half:
+                            waiting += [part.iloc[half:], part.iloc[:half]]
+                        else:
+                            yield part[list(keys)].assign(**{value.name: None, "ok": False, "error": str(problem)})[columns]
 
     return fan_out(df).mapInPandas(run, schema)
 
@@ -102,15 +103,9 @@ def error_counts(quarantine: DataFrame, stage: str = "stage") -> DataFrame:
     return quarantine.groupBy(stage).agg(F.count(F.lit(1)).alias("n"))
 
 
-def fold_log(log: DataFrame, keys: Sequence[str], attempt: str, message: str, max_tries: int, out: str = "log") -> DataFrame:
-    """Messages of each key joined in order of the attempt.
-
-    Attempts are bounded by the retry limit, which keeps a folded log small; a log
-    beyond the limit raises.
-    """
-    checked = F.when(F.col(attempt) <= max_tries, F.col(attempt)).otherwise(
-        F.raise_error(F.lit("attempt number above the retry limit")).cast("int"))
-    folded = log.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(checked.alias("a"), F.col(message).alias("m")))).alias("l"))
+def fold_log(log: DataFrame, keys: Sequence[str], attempt: str, message: str, out: str = "log") -> DataFrame:
+    """Messages of each key joined in order of the attempt; a key has as many as it had attempts."""
+    folded = log.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(attempt).alias("a"), F.col(message).alias("m")))).alias("l"))
     return folded.select(*keys, F.array_join(F.transform("l", lambda x: x["m"]), " >>> ").alias(out))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from quadrat.functions.missing import ColumnLike
 from quadrat.session import cut_lineage
 
-_POS, _PART, _FIRST, _BEFORE = "__pos", "__part", "__first", "__before"
+_POS, _PART, _FIRST, _BEFORE, _ALL = "__pos", "__part", "__first", "__before", "__all"
 
 
 def _ascending(columns: Sequence[ColumnLike]) -> list[Column]:
@@ -29,6 +29,11 @@ def with_row_numbers(
 
     ``order`` must end in a unique column so that the numbering is reproducible.
     """
+    return _numbered(df, order, by, out, start, None)
+
+
+def _numbered(df: DataFrame, order: Sequence[ColumnLike], by: Sequence[str], out: str, start: int, size: str | None) -> DataFrame:
+    """Row numbers, and the number of rows of the key if ``size`` names a column for it."""
     keys = list(by)
     sort = _ascending([*keys, *order])
     ranged = cut_lineage(
@@ -41,7 +46,8 @@ def with_row_numbers(
         W.partitionBy(*keys).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
         if keys else W.partitionBy(F.lit(0)).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
     )
-    offsets = counts.withColumn(_BEFORE, F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    offsets = counts.withColumn(_BEFORE, F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    offsets = offsets.withColumn(_ALL, F.sum("n").over(W.partitionBy(*(keys or [F.lit(0)])))).drop("n")
     if keys:
         offsets = offsets.withColumnsRenamed({c: f"__of_{c}" for c in [_PART, *keys]})
         on = F.col(_PART) == F.col(f"__of_{_PART}")
@@ -52,18 +58,15 @@ def with_row_numbers(
         # one row per partition: the size is bounded by the number of partitions
         numbered = ranged.join(F.broadcast(offsets), _PART)
     number = (F.col(_POS) - F.col(_FIRST) + F.col(_BEFORE) + F.lit(start)).cast("bigint")
-    return numbered.select(*df.columns, number.alias(out))
+    return numbered.select(*df.columns, number.alias(out), *([F.col(_ALL).cast("bigint").alias(size)] if size else []))
 
 
 def with_group_position(
     df: DataFrame, by: Sequence[str], order: Sequence[ColumnLike],
     number: str = "position", size: str = "group_size",
 ) -> DataFrame:
-    """1-based position and size of the group on every row."""
-    from quadrat.operators.groups import spread
-
-    numbered = with_row_numbers(df, order, out=number, start=1, by=by)
-    return spread(numbered, by, {size: F.count(F.lit(1))})
+    """1-based position and size of the group on every row; both come from the counts per partition and key."""
+    return _numbered(df, order, by, number, 1, size)
 
 
 def even_chunks(df: DataFrame, order: Sequence[ColumnLike], chunks: int, out: str = "chunk") -> DataFrame:
@@ -79,14 +82,12 @@ def even_chunks(df: DataFrame, order: Sequence[ColumnLike], chunks: int, out: st
     return numbered.withColumn(out, (chunk + 1).cast("int")).drop("__rn")
 
 
-def floor_splits(df: DataFrame, order: Sequence[ColumnLike], splits: int, out: str = "split") -> DataFrame:
-    """Splits of ``n // k`` rows, the remainder in the last; fewer rows than splits all go there."""
-    numbered = with_row_numbers(df, order, out="__rn")
-    size = numbered.count() // splits
-    split = (
-        F.least(F.floor(F.col("__rn") / F.lit(size)), F.lit(splits - 1)) + 1 if size else F.lit(splits)
-    )
-    return numbered.withColumn(out, split.cast("int")).drop("__rn")
+def floor_splits(df: DataFrame, order: Sequence[ColumnLike], splits: int, out: str = "split", by: Sequence[str] = ()) -> DataFrame:
+    """Splits of ``n // k`` rows of each ``by`` key, the remainder in the last; fewer rows than splits all go there."""
+    numbered = with_group_position(df, by, order, "__rn", "__n")
+    size = F.floor(F.col("__n") / splits)
+    split = F.when(size == 0, splits).otherwise(F.least(F.floor(F.try_divide(F.col("__rn") - 1, size)), F.lit(splits - 1)) + 1)
+    return numbered.withColumn(out, split.cast("int")).drop("__rn", "__n")
 
 
 def round_robin(df: DataFrame, order: Sequence[ColumnLike], ways: int, out: str = "slot") -> DataFrame:

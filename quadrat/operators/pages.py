@@ -80,26 +80,30 @@ class _Page(_Tables):
 
     def __init__(self, within: tuple[str, str, str] | None = None):
         super().__init__()
-        self.within, self.depth, self.inside = within, 0, []
+        self.within, self.tags, self.inside = within, [], []  # inside: places of wanted elements among the open tags
         self.links: list[list] = []
         self.open = None
 
     def handle_starttag(self, tag, attrs):
         super().handle_starttag(tag, attrs)
         if tag not in self.VOID:
-            self.depth += 1
             if self.within is not None and tag == self.within[0] and dict(attrs).get(self.within[1]) == self.within[2]:
-                self.inside.append((tag, self.depth))
+                self.inside.append(len(self.tags))
+            self.tags.append(tag)
         if tag == "a" and (self.within is None or self.inside):
             self.open = [dict(attrs).get("href"), [], self.get_starttag_text()]
             self.links.append(self.open)
 
     def handle_endtag(self, tag):
         super().handle_endtag(tag)
-        if self.inside and self.inside[-1] == (tag, self.depth):
-            self.inside.pop()
-        if tag not in self.VOID:
-            self.depth -= 1
+        # An end tag closes the last element of its name and all that was left open in it; it
+        # does not reach out of a wanted element, which only its own end tag closes.
+        first = self.inside[-1] if self.inside else 0
+        at = next((i for i in range(len(self.tags) - 1, first - 1, -1) if self.tags[i] == tag), None)
+        if at is not None:
+            del self.tags[at:]
+            while self.inside and self.inside[-1] >= at:
+                self.inside.pop()
         if tag == "a":
             self.open = None
 

@@ -8,6 +8,8 @@ the whole table is needed; a value held by a third of all rows is a single bin.
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
 from fractions import Fraction
 from itertools import accumulate
@@ -16,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quadrat.functions.missing import gt_m
 
+_LARGEST = sys.float_info.max
+
 
 def quantile_ranks(n: int, percent: float) -> list[int]:
     """1-based ranks whose mean is the quantile."""
@@ -24,26 +28,38 @@ def quantile_ranks(n: int, percent: float) -> list[int]:
     return [whole, whole + 1] if position == whole else [whole + 1]
 
 
+def _numbers(df: DataFrame, c: str) -> DataFrame:
+    return df.select(F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+
+
+def _extent(x: DataFrame) -> tuple[float, float, int, int, int]:
+    """Smallest and largest finite value, how many are finite, how many are minus infinity, how many there are."""
+    finite = F.when(F.col("x").between(-_LARGEST, _LARGEST), F.col("x"))
+    return tuple(x.agg(F.min(finite), F.max(finite), F.count(finite), F.count(F.when(F.col("x") < -_LARGEST, 1)), F.count("x")).first())
+
+
 def values_at_ranks(
     df: DataFrame, c: str, ranks: Sequence[int], bins: int = 4096, small: int = 100_000,
-    extent: tuple[float, float, int] | None = None,
+    extent: tuple[float, float, int, int] | None = None,
 ) -> dict[int, float]:
     """Exact values at 1-based ranks of the non-missing values of ``c``."""
-    x = df.select(F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    low, high, n = extent or x.agg(F.min("x"), F.max("x"), F.count("x")).first()
-    if not n:
-        return {}
+    x = _numbers(df, c)
+    low, high, n, below = extent or _extent(x)[:4]
+    found = {r: -math.inf for r in ranks if r <= below} | {r: math.inf for r in ranks if r > below + n}
+    inner = sorted({r for r in ranks if below < r <= below + n})
+    x = x.filter(F.col("x").between(-_LARGEST, _LARGEST))
     # (low, high, rows below, rows inside, ranks) for every interval still open
-    open_, found = [(low, high, 0, n, sorted(set(ranks)))], {}
+    open_ = [(low, high, below, n, inner)] if inner else []
     while open_:
         for lo, hi, _, _, wanted in open_:
             if lo == hi:
                 found.update(dict.fromkeys(wanted, lo))
         open_ = [iv for iv in open_ if iv[0] != iv[1]]
-        done = [iv for iv in open_ if iv[3] <= small]
+        small_ = {i for i, iv in enumerate(open_) if iv[3] <= small or iv[1] / 2 == iv[0] / 2}
+        done = [iv for i, iv in enumerate(open_) if i in small_]
         if done:
             found.update(_read_ranks(x, done))
-        open_ = _narrow(x, [iv for iv in open_ if iv[3] > small], bins)
+        open_ = _narrow(x, [iv for i, iv in enumerate(open_) if i not in small_], bins)
     return found
 
 
@@ -85,8 +101,9 @@ def _narrow(x: DataFrame, intervals, bins: int):
     low, width = F.lit(0.0), F.lit(1.0)
     for i, (lo, hi, *_) in enumerate(intervals):
         low = F.when(F.col("iv") == i, F.lit(lo)).otherwise(low)
-        width = F.when(F.col("iv") == i, F.lit(hi - lo)).otherwise(width)
-    bin_ = F.least(F.floor((F.col("x") - low) / width * bins), F.lit(bins - 1))
+        width = F.when(F.col("iv") == i, F.lit(hi / 2 - lo / 2)).otherwise(width)
+    # halves, because the distance of two large numbers may be no number
+    bin_ = F.least(F.floor((F.col("x") / 2 - low / 2) / width * bins), F.lit(bins - 1))
     rows = (
         _within(x, intervals).groupBy("iv", bin_.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
@@ -105,15 +122,19 @@ def _narrow(x: DataFrame, intervals, bins: int):
 
 def percentiles(df: DataFrame, c: str, percents: Sequence[float], **options) -> list[float | None]:
     """Exact percentiles: the mean of two neighbours when the position is whole."""
-    x = df.select(F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    low, high, n = x.agg(F.min("x"), F.max("x"), F.count("x")).first()
+    x = _numbers(df, c)
+    low, high, finite, below, n = _extent(x)
     if not n:
         return [None] * len(percents)
     wanted = [[min(max(r, 1), n) for r in quantile_ranks(n, p)] for p in percents]
     values = values_at_ranks(
-        df, c, [r for ranks in wanted for r in ranks], extent=(low, high, n), **options
+        df, c, [r for ranks in wanted for r in ranks], extent=(low, high, finite, below), **options
     )
-    return [sum(values[r] for r in ranks) / len(ranks) for ranks in wanted]
+    return [_mean([values[r] for r in ranks]) for ranks in wanted]
+
+
+def _mean(values: list[float]) -> float:
+    return values[0] if len(set(values)) == 1 else sum(v / len(values) for v in values) if max(map(abs, values)) > 1e300 else sum(values) / len(values)
 
 
 def bin_by_cuts(c: str, cuts: Sequence[float]) -> Column:

@@ -67,7 +67,3 @@ def insert_constants(df: DataFrame, position: int, **constants) -> DataFrame:
     names = df.columns
     new = [F.lit(v).alias(n) for n, v in constants.items()]
     return df.select(*names[:position], *new, *names[position:])
-
-
-def without_elements(items: Column | str, removed: Column) -> Column:
-    return F.array_except(F.col(items) if isinstance(items, str) else items, removed)

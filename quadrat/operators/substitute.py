@@ -1,24 +1,23 @@
 """Simultaneous term substitution and gazetteer removal.
 
-A short term list becomes one literal alternation.  A long one is first narrowed per
-text by an equi-join of the text's word n-grams with the term table, and the text is
-then rewritten with the few terms it can contain, so neither list length nor a frequent
-term puts a limit on size.
+An automaton over all terms finds the ones a text can contain, and the text is rewritten
+with these few. Terms go to the executors in parts of bounded size, usually one; each part
+is one pass over the texts, and nothing is shuffled.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from quadrat.functions.missing import ColumnLike, col
-from quadrat.functions.text import clean_place, drop_words
-from quadrat.session import fan_out
+from quadrat.functions.text import clean_place
+from quadrat.session import cut_lineage, fan_out
 
-# Term lists up to this length are compiled into the query as one pattern.
-LITERAL_TERMS = 2000
+# Terms sent to the executors at a time.
+TERMS_AT_ONCE = 200_000
 _MARK = "\u0001"
 
 
@@ -39,14 +38,6 @@ def substitution_table(cells: DataFrame, row: str = "row_no", items: str = "cell
     )
 
 
-def substitution_pairs(table: DataFrame) -> list[tuple[str, str]] | None:
-    """The table as ordered pairs, or None when it is too long for a literal."""
-    rows = table.limit(LITERAL_TERMS + 1).collect()
-    if len(rows) > LITERAL_TERMS:
-        return None
-    return [(r.variant, r.canonical) for r in sorted(rows, key=lambda r: r.rank)]
-
-
 def _rewrite(text: Column, pattern: Column, table: Column) -> Column:
     """Mark the matches, split at the marks, look up every second piece."""
     pieces = F.split(F.regexp_replace(text, pattern, F.lit(f"{_MARK}$1{_MARK}")), _MARK)
@@ -55,57 +46,73 @@ def _rewrite(text: Column, pattern: Column, table: Column) -> Column:
     )
 
 
-def substitute(c: ColumnLike, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Replace whole-word variants (any case) in one pass; replacements are not rescanned."""
-    if not pairs:
-        return col(c)
-    pattern = r"(?i)\b(" + "|".join(re.escape(v) for v, _ in pairs) + r")\b"
-    table = F.create_map(*[F.lit(x) for v, s in dict(pairs).items() for x in (v.lower(), s)])
-    return _rewrite(col(c), F.lit(pattern), table)
+def _parts(terms: DataFrame, limit: int) -> list[DataFrame]:
+    terms = cut_lineage(terms)
+    n = -(-terms.count() // limit)
+    return [terms] if n == 1 else [terms.filter(F.pmod(F.xxhash64(*terms.columns), F.lit(n)) == k) for k in range(n)]
 
 
-def _words(c: Column) -> Column:
-    return F.filter(F.split(F.lower(c), r"[^a-z0-9_]+"), lambda w: w != "")
+def with_terms(df: DataFrame, text: str, terms: DataFrame, out: str, limit: int | None = None) -> DataFrame:
+    """Add ``out``: an array of the rows of ``terms`` whose first column occurs in the text, in any case of A-Z.
 
+    A term occurs wherever its characters do; whether it stands as a whole word is left to the
+    pattern built from it. A null text has none.
+    """
+    kind = T.ArrayType(terms.schema)
+    done = df.withColumn(out, F.array().cast(kind))
+    for part in _parts(terms, limit or TERMS_AT_ONCE):
+        sent = df.sparkSession.sparkContext.broadcast([r.asDict(recursive=True) for r in part.toLocalIterator()])
+        done = done.mapInArrow(_finder(done, text, terms.columns[0], out, sent), done.schema)
+    return done
 
-def _grams(w: Column, n: int) -> Column:
-    """All runs of ``n`` consecutive words."""
-    starts = F.filter(F.transform(w, lambda x, i: i + 1), lambda i: i <= F.size(w) - n + 1)
-    return F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
 
+def _finder(df: DataFrame, text: str, term_name: str, out: str, sent):
+    at, to = df.columns.index(text), df.columns.index(out)
+    field = to_arrow_schema(T.StructType([df.schema[out]]))[0].type
 
-def matching_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str, longest: int) -> DataFrame:
-    """(key, term columns) for every term whose words occur consecutively in the text.
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
 
-    Distinct (text, n-gram) pairs are joined to the terms; a frequent n-gram only makes
-    the left side of the join heavy, which adaptive execution splits.
-    """
-    words = fan_out(df.select(key, text)).select(key, _words(F.col(text)).alias("w"))
-    grams = F.array_distinct(F.flatten(F.array(*[_grams(F.col("w"), n) for n in range(1, longest + 1)])))
-    grams = words.select(key, F.explode(grams).alias("gram"))
-    return grams.filter("gram <> ''").join(
-        terms.withColumn("gram", F.array_join(_words(F.col(term)), " ")), "gram"
-    ).drop("gram")
+        rows = sent.value
+        automaton = ahocorasick.Automaton()
+        by_term: dict[str, list[int]] = {}
+        for i, r in enumerate(rows):
+            if r[term_name]:
+                by_term.setdefault(_plain(r[term_name]), []).append(i)
+        for term, own in by_term.items():
+            automaton.add_word(term, own)
+        automaton.make_automaton()
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                met = []
+                for value, before in zip(batch.column(at).to_pylist(), batch.column(to).to_pylist()):
+                    hits = {i for _, own in automaton.iter(_plain(value)) for i in own} if value and by_term else ()
+                    met.append(before + [rows[i] for i in sorted(hits)])
+                columns = list(batch.columns)
+                columns[to] = pa.array(met, field)
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return find
 
 
-def _longest(terms: DataFrame, term: str) -> int:
-    return terms.agg(F.max(F.size(_words(F.col(term))))).first()[0] or 0
+def _plain(text: str) -> str:
+    """A-Z lower-cased and nothing else, as in a case-insensitive pattern."""
+    return text.lower() if text.isascii() else text.encode().lower().decode()
+
+
+def _quoted(term: Column) -> Column:
+    return F.concat(F.lit(r"\Q"), F.replace(term, F.lit(r"\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E"))
 
 
 def substitute_by_table(df: DataFrame, key: str, text: str, table: DataFrame, out: str) -> DataFrame:
-    """``substitute`` with a term table of any length; ``key`` identifies the text."""
-    pairs = substitution_pairs(table)
-    if pairs is not None:
-        return df.withColumn(out, substitute(text, pairs))
-    hits = matching_terms(df.filter(F.length(text) > 0), key, text, table, "variant", _longest(table, "variant"))
-    per_text = hits.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("rank", "variant", "canonical"))).alias("hits")
-    )
-    quoted = F.array_join(F.transform("hits", lambda h: F.concat(F.lit(r"\Q"), h["variant"], F.lit(r"\E"))), "|")
-    lookup = F.map_from_entries(F.transform("hits", lambda h: F.struct(F.lower(h["variant"]), h["canonical"])))
-    per_text = per_text.select(key, F.concat(F.lit(r"(?i)\b("), quoted, F.lit(r")\b")).alias("__p"), lookup.alias("__m"))
-    changed = F.when(F.col("__p").isNotNull(), _rewrite(F.col(text), F.col("__p"), F.col("__m"))).otherwise(F.col(text))
-    return df.join(per_text, key, "left").withColumn(out, changed).drop("__p", "__m")
+    """Replace whole-word variants (any case) in one pass; replacements are not rescanned."""
+    found = with_terms(fan_out(df), text, table.select("variant", "canonical", "rank"), "__hits")
+    hits = F.array_sort(F.transform("__hits", lambda h: F.struct(h["rank"].alias("rank"), h["variant"].alias("variant"), h["canonical"].alias("canonical"))))
+    pattern = F.concat(F.lit(r"(?i)\b("), F.array_join(F.transform(hits, lambda h: _quoted(h["variant"])), "|"), F.lit(r")\b"))
+    lookup = F.map_from_entries(F.transform(hits, lambda h: F.struct(h["variant"], h["canonical"])))
+    changed = F.when(F.size("__hits") > 0, _rewrite(F.col(text), pattern, lookup)).otherwise(F.col(text))
+    return found.withColumn(out, changed).drop("__hits")
 
 
 def cleaned_places(places: DataFrame, c: str) -> DataFrame:
@@ -113,24 +120,10 @@ def cleaned_places(places: DataFrame, c: str) -> DataFrame:
     return places.select(clean_place(c).alias("place")).filter("place is not null").distinct()
 
 
-def place_list(places: DataFrame) -> list[str] | None:
-    """Cleaned places longest first (so the longer of two nested names is removed whole)."""
-    rows = places.limit(LITERAL_TERMS + 1).collect()
-    if len(rows) > LITERAL_TERMS:
-        return None
-    return sorted((r.place for r in rows), key=lambda p: (-len(p), p))
-
-
 def remove_places(df: DataFrame, key: str, text: str, places: DataFrame, out: str) -> DataFrame:
-    """Remove every listed place name from the text."""
-    listed = place_list(places)
-    if listed is not None:
-        return df.withColumn(out, drop_words(text, listed))
-    hits = matching_terms(df.filter(F.length(text) > 0), key, text, places, "place", _longest(places, "place"))
-    per_text = hits.groupBy(key).agg(F.sort_array(
-        F.collect_set(F.struct((-F.length("place")).alias("n"), F.col("place")))
-    ).alias("hits"))
-    quoted = F.array_join(F.transform("hits", lambda h: F.concat(F.lit(r"\Q"), h["place"], F.lit(r"\E"))), "|")
-    per_text = per_text.select(key, F.concat(F.lit(r"(?i)\b("), quoted, F.lit(r")\b\s*")).alias("__p"))
-    changed = F.when(F.col("__p").isNotNull(), F.regexp_replace(F.col(text), F.col("__p"), F.lit(" "))).otherwise(F.col(text))
-    return df.join(per_text, key, "left").withColumn(out, changed).drop("__p")
+    """Remove every listed place name from the text, of nested names the longer one first."""
+    found = with_terms(fan_out(df), text, places.select("place").distinct(), "__hits")
+    longest = F.array_sort(F.transform("__hits", lambda h: F.struct((-F.length(h["place"])).alias("n"), h["place"].alias("place"))))
+    pattern = F.concat(F.lit(r"(?i)\b("), F.array_join(F.transform(longest, lambda h: _quoted(h["place"])), "|"), F.lit(r")\b\s*"))
+    changed = F.when(F.size("__hits") > 0, F.regexp_replace(F.col(text), pattern, F.lit(" "))).otherwise(F.col(text))
+    return found.withColumn(out, changed).drop("__hits")

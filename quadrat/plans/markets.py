@@ -41,5 +41,5 @@ def rerun_report(work: DataFrame, done: DataFrame, log: DataFrame, max_tries: in
     """Commodities with unfinished states: the states and the folded log of each."""
     rest = L.unresolved(work, done, ["ccode", "name"], "state", "states")
     states = J.expand_list(rest, "states", "state")
-    folded = L.fold_log(log, ["ccode", "state"], "attempt", "message", max_tries)
+    folded = L.fold_log(log, ["ccode", "state"], "attempt", "message")
     return states.join(folded, ["ccode", "state"], "left").select("ccode", "name", "state", F.col("log").alias("error"))

@@ -23,14 +23,16 @@ FARM_JOBS = ("Agricultural Labourer", *FARMER_JOBS)
 # Social categories from the highest down (fixed values).
 CASTES = ("Upper Caste", "Intermediate Caste", "OBC", "SC", "ST")
 OPEN_INCOME_LABELS = {"<=36000": "36000", ">3600000": "3600000"}
+# Household columns of the asset file (fixed values).
 ASSETS = (
-    "air_conditioners", "cars", "cattle", "computers", "coolers", "genset_inverters", "houses", "refrigerators",
-    "televisions", "tractors", "two_wheelers", "washing_machines",
+    "air_conditioners_owned", "cars_owned", "cattle_owned", "computers_owned", "coolers_owned", "genset_inverters_owned", "houses_owned",
+    "refrigerators_owned", "televisions_owned", "tractors_owned", "two_wheelers_owned", "washing_machines_owned",
 )
 GROUPS = ("age_group", "education_group", "gender_group", "income_group")
 BORROWING = (
-    "has_outstanding_borrowing", *(f"borrowed_from_{s}" for s in (
-        "bank", "money_lender", "employer", "rel_friends", "nbfc_dealer", "shg", "mfi", "chitfunds", "credit_cards", "shops", "other_sources")),
+    "has_outstanding_borrowing", "borrowed_from_bank", "borrowed_from_money_lender", "borrowed_from_employer", "borrowed_from_rel_friends",
+    "borrowed_from_nbfc_dealer", "borrowed_from_shg", "borrowed_from_mfi", "borrowed_from_chitfunds", "borrowed_from_credit_cards",
+    "borrowed_from_shops", "borrowed_from_other_sources",
 )
 YES_NO_PERSON = ("literacy", "has_bank_ac", "has_creditcard", "has_kisan_creditcard", "has_mobile")
 
@@ -99,7 +101,7 @@ def assets(raw: DataFrame) -> DataFrame:
     saved, outstanding = F.col("has_saved_in_real_estate"), F.col("has_outstanding_saving_in_real_e")
     return rows.select(
         "hh_id", (F.col("hh_non_response_w") * F.col("hh_weight_w")).alias("aspirational_adj_weight_hh"),
-        *[F.col(g).alias(f"hh_{g}") for g in GROUPS], *[F.col(f"{a}_owned").alias(f"hh_{a}_owned") for a in ASSETS],
+        *[F.col(g).alias(f"hh_{g}") for g in GROUPS], *[F.col(a).alias(f"hh_{a}") for a in ASSETS],
         F.when((saved == "Y") | (outstanding == "Y"), 1).when((saved == "N") & (outstanding == "N"), 0).alias("hh_real_estate"),
         M.clamp_negative("power_availability_in_hours_per_").alias("hh_daily_electricity_hrs"),
         (M.clamp_negative("water_availability_in_days_per_w") * M.clamp_negative("water_availability_in_hours_per_")).alias("hh_weekly_water_hrs"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quadrat.functions import language as L
 from quadrat.functions.missing import known_year_and_type
-from quadrat.functions.text import squeeze
+from quadrat.functions.text import squeeze, with_normal_form
 from quadrat.operators.abstracts import rebuild_text
 from quadrat.operators.groups import latest_value_map
 from quadrat.session import cut_lineage, fan_out
@@ -24,8 +24,14 @@ class PaperSubset:
 
 
 def records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Parsed JSON lines as flat rows, and the lines that are no record."""
-    good = lines.filter("record is not null").select("file_idx", "line_no", "record.*")
+    """Parsed JSON lines as flat rows, and the lines that are no record.
+
+    Fields of a record beyond the declared ones are kept as text in the map ``other``.
+    """
+    rows = lines.filter("record is not null")
+    declared = rows.schema["record"].dataType.names
+    other = F.map_filter(F.from_json("raw", "map<string,string>"), lambda k, _: ~k.isin(declared))
+    good = rows.select("file_idx", "line_no", "record.*", other.alias("other"))
     bad = lines.filter("record is null").select(
         F.lit("json").alias("error"), "file_idx", "line_no", F.col("raw").alias("payload"))
     return good, bad
@@ -42,7 +48,8 @@ def prepare(papers: DataFrame, year: int = 1980, exclude_doc: str = "Patent", de
     rebuilt = rebuild_text(kept, "indexed_abstract", "abstract", "abstract_failed")
     clean = rebuilt.withColumns({
         "title": squeeze(F.coalesce(F.col("title"), F.lit(""))), "abstract": squeeze("abstract"),
-    }).withColumn("detect_text", L.detection_text("title", "abstract"))
+    })
+    clean = with_normal_form(clean.withColumn("detect_text", L.detection_text("title", "abstract")), "detect_text", "NFKC")
     if detector is None:
         return clean.withColumn("lang", L.language("detect_text")).withColumn("lang_failed", F.lit(False)).drop("detect_text")
     return L.detect_with(clean, "detect_text", detector).drop("detect_text")

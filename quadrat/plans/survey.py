@@ -11,13 +11,18 @@ from quadrat.operators.reshape import columns_like
 
 WEIGHT = "poi_adj_weight_mem"
 # Age ranges and codes; the last one is open and takes unknown ages (fixed values).
-AGE_RANGES = [(15, 25, 1), *[(a, a + 4, a) for a in range(26, 61, 5)], (61, None, 61)]
+AGE_RANGES = [
+    (15, 25, 1), (26, 30, 26), (31, 35, 31), (36, 40, 36), (41, 45, 41), (46, 50, 46), (51, 55, 51), (56, 60, 56), (61, None, 61),
+]
 CASTE_ORDER = {1: "GEN", 2: "OBC", 3: "SC", 4: "ST"}
 FULL_CASTE_ORDER = {1: "Upper Caste", 2: "Intermediate Caste", 3: "OBC", 4: "SC", 5: "ST"}
 EDUCATION_ORDER = {1: "No Education", 2: "Primary & Above"}
-_INCOME_EDGES = [36, 48, 60, 72, 84, 100, 120, 150, 200, 250, 300, 400, 500, 600, 700, 800, 900, 1000, 1200, 1500, 1800, 2000, 2400, 3600]
+# Income groups in order (fixed values).
 INCOME_ORDER = {
-    0: "<=36000", **{i: f"{a}000 - {b}000" for i, (a, b) in enumerate(zip(_INCOME_EDGES, _INCOME_EDGES[1:]), 1)}, len(_INCOME_EDGES): ">3600000",
+    0: "<=36000", 1: "36000 - 48000", 2: "48000 - 60000", 3: "60000 - 72000", 4: "72000 - 84000", 5: "84000 - 100000", 6: "100000 - 120000",
+    7: "120000 - 150000", 8: "150000 - 200000", 9: "200000 - 250000", 10: "250000 - 300000", 11: "300000 - 400000", 12: "400000 - 500000",
+    13: "500000 - 600000", 14: "600000 - 700000", 15: "700000 - 800000", 16: "800000 - 900000", 17: "900000 - 1000000", 18: "1000000 - 1200000",
+    19: "1200000 - 1500000", 20: "1500000 - 1800000", 21: "1800000 - 2000000", 22: "2000000 - 2400000", 23: "2400000 - 3600000", 24: ">3600000",
 }
 RELIGIONS = ("Hindu", "Muslim", "Christian", "Sikh")
 LABELS = {

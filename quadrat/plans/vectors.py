@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from quadrat.operators import infer as I
-from quadrat.operators.merge import append
 from quadrat.operators.numbering import floor_splits
 from quadrat.sources.writers import write_vectors
 
@@ -21,7 +20,7 @@ def embed_papers(
     rows = papers.withColumn("__row", F.struct(F.col(key).alias("key"), F.col(at).alias("at")))
     inputs = I.compose_inputs(rows, "__row", input_types).select(
         "variant", F.col("__row.key").alias(key), F.col("__row.at").alias("__at"), "text")
-    parts = [floor_splits(inputs.filter(F.col("variant") == v), ["__at"], splits) for v in input_types]
-    vectors = I.embed_texts(append(*parts), ["variant", "split", key, "__at"], "text", load, batch_rows)
+    cut = floor_splits(inputs, ["__at"], splits, by=["variant"])
+    vectors = I.embed_texts(cut, ["variant", "split", key, "__at"], "text", load, batch_rows)
     write_vectors(vectors, target, key, "__at")
     return vectors.sparkSession.read.parquet(target)

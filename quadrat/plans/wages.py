@@ -22,7 +22,10 @@ CONTROLS = ["minExperience", "minExp2", Factor("minEducationBranch", base=1)]
 
 
 def with_state(jobs: DataFrame) -> DataFrame:
-    """The exclusive ``state_*`` indicators as one column; no indicator set is its own group."""
+    """The exclusive ``state_*`` indicators as one column; no indicator set is its own group.
+
+    A row with two states set is an error, because it would count for one of them only.
+    """
     from pyspark.sql import functions as F
 
     names = columns_like(jobs, "state_*")
@@ -30,7 +33,9 @@ def with_state(jobs: DataFrame) -> DataFrame:
     known = F.lit(True)
     for n in names:
         known = known & F.col(n).isNotNull()
-    return jobs.withColumn("state", F.when(known, picked))
+    several = sum((F.when(F.col(n) == 1, 1).otherwise(0) for n in names), F.lit(0)) > 1
+    wrong = F.raise_error(F.lit("a posting has more than one state")).cast("string")
+    return jobs.withColumn("state", F.when(several, wrong).when(known, picked))
 
 
 def wage_ladders(jobs: DataFrame, specifications=None) -> tuple[dict[str, Fit], dict[str, Fit]]:

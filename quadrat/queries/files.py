@@ -45,7 +45,7 @@ def json_lines_round_trip(t: Tables):
 
 @query("paper_errors", """
     SELECT error, count(*) AS n, min(line_no) AS first_line FROM
-      (SELECT 'abstract' AS error, doc_id AS line_no FROM documents WHERE 1950 + floor(n_chars / 100) <= 1980 AND n_chars >= 200 AND lang = 'es') GROUP BY 1
+      (SELECT 'abstract' AS error, doc_id AS line_no FROM documents WHERE 1950 + doc_id % 61 <= 1980 AND doc_id % 7 <> 3 AND lang = 'es') GROUP BY 1
 """)
 def paper_errors(t: Tables):
     """Indexes cut off in the middle end up in the quarantine, counted by error."""

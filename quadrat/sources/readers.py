@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 Paths = str | list[str]
 
@@ -18,12 +18,6 @@ def read_csv(spark: SparkSession, path: Paths, schema: T.StructType | str, encod
     )
 
 
-def import_names(names: Sequence[str], width: int = 32) -> list[str]:
-    """Lower-case names cut to the statistical package's width, letters and digits only."""
-    cleaned = ["".join(ch if ch.isalnum() else "_" for ch in n.lower())[:width] for n in names]
-    return cleaned
-
-
 def read_ragged(spark: SparkSession, path: Paths, encoding: str = "ISO-8859-1") -> DataFrame:
     """Headerless rows of differing length: (row_no, cells); empty cells are dropped.
 
@@ -31,7 +25,12 @@ def read_ragged(spark: SparkSession, path: Paths, encoding: str = "ISO-8859-1")
     """
     text = spark.read.option("encoding", encoding).option("lineSep", "\n").csv(
         path, schema="line string", sep="\u0001", quote="", ignoreLeadingWhiteSpace=False)
-    numbered = text.withColumn("row_no", F.monotonically_increasing_id())
+    lines = with_line_numbers(text.select(
+        "line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos")))
+    # one row per file
+    files = lines.groupBy("file").agg(F.max("line_no").alias("last"))
+    before = F.sum(F.col("last") + 1).over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1))
+    numbered = lines.join(files.select("file", F.coalesce(before, F.lit(0)).alias("before")), "file").withColumn("row_no", F.col("line_no") + F.col("before"))
     cell = F.regexp_extract_all(F.concat(F.lit(","), F.regexp_replace("line", "\r$", "")), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
     plain = F.transform(cell, lambda x: F.trim(F.replace(F.regexp_replace(x, r'^"|"$', ""), F.lit('""'), F.lit('"'))))
     return numbered.select("row_no", F.filter(plain, lambda x: x != "").alias("cells"))
@@ -71,8 +70,6 @@ def with_line_numbers(raw: DataFrame) -> DataFrame:
     every read); the blocks of a file are then added up from a table with one row per
     block.
     """
-    from pyspark.sql import Window as W
-
     blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
     before = F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
     offsets = blocks.withColumn("before", F.coalesce(before, F.lit(0))).drop("n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quadrat.plans import papers as P
-from quadrat.sources.readers import file_part, parse_record
+from quadrat.sources.readers import file_part, parse_record, with_line_numbers
 
 
 def ingest_papers(
@@ -18,17 +18,17 @@ def ingest_papers(
     own batch number, so a batch that is repeated after a failure replaces itself.
     """
     lines = spark.readStream.text(source).select(
-        F.col("value").alias("raw"), file_part(F.col("_metadata.file_name")).alias("file_idx"),
-        F.lit(None).cast("bigint").alias("line_no"),
-    ).withColumn("record", parse_record("raw", schema))
+        F.col("value").alias("raw"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
     def write(batch: DataFrame, number: int) -> None:
-        good, bad = P.records(batch)
+        numbered = with_line_numbers(batch.withColumn("pos", F.monotonically_increasing_id()))
+        good, bad = P.records(numbered.select("raw", file_part("file").alias("file_idx"), "line_no", parse_record("raw", schema).alias("record")))
         place = f"{target}/prepared/batch={number}"
         P.prepare(good, year, exclude_doc, detector).write.mode("overwrite").parquet(place)
         out = P.route(batch.sparkSession.read.parquet(place), lang, bad)
         out.subset.write.mode("overwrite").parquet(f"{target}/subset/batch={number}")
         out.errors.write.mode("overwrite").parquet(f"{target}/errors/batch={number}")
+        out.titles.write.mode("overwrite").parquet(f"{target}/titles/batch={number}")
 
     stream = (
         lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -24,10 +24,10 @@ def python_substitute(pairs, text):
 TEXTS = ["a b c", "New York city, new york", "b a; B-A", "york new", "", "the new york city hall", "x.y (c++)", "abc"]
 
 
-@pytest.mark.parametrize("literal", [2000, 0])
-def test_substitution_is_simultaneous(spark, monkeypatch, literal):
-    """Both the literal and the joined form equal one pass of a Python alternation."""
-    monkeypatch.setattr(U, "LITERAL_TERMS", literal)
+@pytest.mark.parametrize("limit", [200_000, 2])
+def test_substitution_is_simultaneous(spark, monkeypatch, limit):
+    """In one part or several it equals one pass of a Python alternation."""
+    monkeypatch.setattr(U, "TERMS_AT_ONCE", limit)
     table = term_table(spark, [["b", "a", "zzz"], ["a", "b"], ["NYC", "new york city", "new york"], ["last", "zzz"]])
     pairs = [("a", "b"), ("zzz", "last"), ("b", "a"), ("new york city", "NYC"), ("new york", "NYC")]
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, t string")
@@ -35,9 +35,17 @@ def test_substitution_is_simultaneous(spark, monkeypatch, literal):
     assert got == [python_substitute(pairs, t) for t in TEXTS]
 
 
-@pytest.mark.parametrize("literal", [2000, 0])
-def test_longer_place_goes_first(spark, monkeypatch, literal):
-    monkeypatch.setattr(U, "LITERAL_TERMS", literal)
+def test_variants_of_any_characters(spark):
+    """Accented, punctuated and quoted variants among more than 2,000 others."""
+    table = term_table(spark, [["and", "&"], ["cafe", "café"], ["ete", "é"], ["quoted", "a\\Eb"], *[[f"w{i}", f"v{i}"] for i in range(2500)]])
+    df = spark.createDataFrame([(0, "x&y café é a\\Eb c++ d"), (1, "V7 v2499 v2500 v7v"), (2, None), (3, "")], "id int, t string")
+    got = [r.o for r in U.substitute_by_table(df, "id", "t", table, "o").orderBy("id").collect()]
+    assert got == ["xandy cafe ete quoted c++ d", "w7 w2499 v2500 v7v", None, ""]
+
+
+@pytest.mark.parametrize("limit", [200_000, 1])
+def test_longer_place_goes_first(spark, monkeypatch, limit):
+    monkeypatch.setattr(U, "TERMS_AT_ONCE", limit)
     places = U.cleaned_places(spark.createDataFrame([("York",), ("New York ",), ("12",), (None,), ("baden-baden",)], "l string"), "l")
     df = spark.createDataFrame([(0, "in New York now"), (1, "york x"), (2, "Baden-Baden baden"), (3, "none")], "id int, t string")
     assert [r.o for r in U.remove_places(df, "id", "t", places, "o").orderBy("id").collect()] == ["in  now", " x", " baden", "none"]
@@ -140,9 +148,7 @@ def test_work_reports(spark):
     done = spark.createDataFrame([("c", "s1"), ("d", "s1")], "c string, s string")
     assert rows(L.unresolved(work, done, ["c"], "s")) == [("c", ["s2"])]
     log = spark.createDataFrame([("c", 2, "late"), ("c", 1, "early")], "c string, a int, m string")
-    assert rows(L.fold_log(log, ["c"], "a", "m", 2)) == [("c", "early >>> late")]
-    with pytest.raises(Exception, match="retry limit"):
-        L.fold_log(log, ["c"], "a", "m", 1).collect()
+    assert rows(L.fold_log(log, ["c"], "a", "m")) == [("c", "early >>> late")]
 
 
 def test_compose_and_embed(spark):
