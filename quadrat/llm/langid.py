@@ -96,7 +96,8 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("key is not null and lang is not null and text rlike '\\\\p{L}'")
     order = W.partitionBy("lang").orderBy(F.xxhash64(F.col("key").cast("string")), "key")
     picked = rows.select("lang", "key", F.row_number().over(order).alias("place")).filter(F.col("place") <= sample).select("lang", "key")
-    chosen = rows.join(picked.distinct(), ["lang", "key"], "left_semi").select("lang", "text")
+    picked = cut_lineage(picked.distinct())  # small and of known size, so that no text is shuffled to meet it
+    chosen = rows.join(picked, ["lang", "key"], "left_semi").select("lang", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
