@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quadrat.llm import chat, copies, langid, lines, pieces, quality, secrets, simhash, windows
+from quadrat.llm import chat, chunks, copies, langid, lines, pieces, quality, secrets, simhash, windows
 from quadrat.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,14 @@ def op5_secret_ownership(table) -> DataFrame:
     return secrets.secret_report(found)
 
 
+@query()
+def op6_gear_chunks(table) -> DataFrame:
+    """Passages that a document with a smaller id has too are dropped."""
+    kept = chunks.drop_repeated_passages(table("documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_chunks", "n_dropped", "n_passages", (F.col("n_passages") > 0).alias("repeated"),
+                       pieces.digest(F.col("kept").cast("binary")).alias("kept_sha256"))
+
+
 _LINE_KEY = r"translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
