@@ -3,7 +3,7 @@
 A text is the normalised TF-IDF vector of the runs of three bytes of its lower-cased words,
 counted in hashed buckets. Training vectors of a language are clustered on the sphere; a text
 gets the language of the centroid with the greatest cosine, and is rejected where even that
-one is farther away than any training text of its length is likely to be.
+one is so far away that they have next to nothing in common.
 """
 
 from __future__ import annotations
@@ -90,19 +90,20 @@ class Model:
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """Learn from at most ``sample`` texts of each language; rows without language, key or letters are passed over.
 
-    Vectors are clustered on the executors, one bounded group per language; the driver gets
-    document frequencies and centroids.
+    Of repeated rows with one key and language a single one counts. Vectors are clustered on the
+    executors, one bounded group per language; the driver gets document frequencies and centroids.
     """
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("key is not null and lang is not null and text rlike '\\\\p{L}'")
     order = W.partitionBy("lang").orderBy(F.xxhash64(F.col("key").cast("string")), "key")
     picked = rows.select("lang", "key", F.row_number().over(order).alias("place")).filter(F.col("place") <= sample).select("lang", "key")
     picked = cut_lineage(picked.distinct())  # small and of known size, so that no text is shuffled to meet it
-    chosen = rows.join(picked, ["lang", "key"], "left_semi").select("lang", "text")
+    chosen = rows.join(picked, ["lang", "key"], "left_semi").select("lang", "key", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(name, c) for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (c := counts(t)) is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in found], pa.string()), pa.array([c.astype(np.float32).tobytes() for _, c in found], pa.binary())], names=["lang", "tf"])
+            found = [(i, c) for i, t in enumerate(batch.column(2).to_pylist()) if (c := counts(t)) is not None]
+            at = pa.array([i for i, _ in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([c.astype(np.float32).tobytes() for _, c in found], pa.binary())], names=["lang", "key", "tf"])
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, np.zeros(BUCKETS, np.int64)
@@ -112,14 +113,15 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "df"])
 
-    table = cut_lineage(chosen.mapInArrow(vectors, "lang string, tf binary"))
+    made = chosen.mapInArrow(vectors, f"lang string, key {dict(rows.dtypes)['key']}, tf binary")
+    table = cut_lineage(made.groupBy("lang", "key").agg(F.min("tf").alias("tf")).select("lang", "tf"))
     parts = table.coalesce(8).mapInArrow(frequencies, "n bigint, df binary").collect()  # at most eight rows
     n = sum(r["n"] for r in parts)
     seen = sum((np.frombuffer(r["df"], np.int64) for r in parts), np.zeros(BUCKETS, np.int64))
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
-        tf = np.stack([np.frombuffer(b, np.float32) for b in group["tf"].iloc[:2 * sample]])  # twice: repeated rows share a key
+        tf = np.stack([np.frombuffer(b, np.float32) for b in group["tf"]])
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.tobytes() for c in cluster(unit(tf, idf))]})
 
     found = table.groupBy("lang").applyInPandas(centroids, "lang string, centre binary").collect()  # a few rows per language
