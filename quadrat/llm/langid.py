@@ -21,6 +21,7 @@ from quadrat.session import cut_lineage
 BUCKETS = 1 << 13
 CLUSTERS = 3
 SAMPLE = 600  # training texts of a language, the ones with the smallest hash of their id
+HANDS = 16  # groups of tasks whose samples are cut down before they meet
 ROUNDS = 12
 CHUNK = 1 << 20  # bytes counted at once
 FLOOR = 0.03  # cosine under which a text has next to nothing in common with any language
@@ -94,8 +95,11 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     executors, one bounded group per language; the driver gets document frequencies and centroids.
     """
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("key is not null and lang is not null and text rlike '\\\\p{L}'")
-    order = W.partitionBy("lang").orderBy(F.xxhash64(F.col("key").cast("string")), "key")
-    picked = rows.select("lang", "key", F.row_number().over(order).alias("place")).filter(F.col("place") <= sample).select("lang", "key")
+    picked = rows.select("lang", "key", F.pmod(F.spark_partition_id(), F.lit(HANDS)).alias("hand"))
+    for by in (["lang", "hand"], ["lang"]):  # however many tasks there are, the last step sees at most HANDS samples of a language
+        order = W.partitionBy(*by).orderBy(F.xxhash64(F.col("key").cast("string")), "key")
+        picked = picked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample).drop("place")
+    picked = picked.select("lang", "key")
     picked = cut_lineage(picked.distinct())  # small and of known size, so that no text is shuffled to meet it
     chosen = rows.join(picked, ["lang", "key"], "left_semi").select("lang", "key", "text")
 
@@ -121,7 +125,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
-        tf = np.stack([np.frombuffer(b, np.float32) for b in group["tf"]])
+        tf = np.stack([np.frombuffer(b, np.float32) for b in sorted(group["tf"])])  # one order, one outcome
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.tobytes() for c in cluster(unit(tf, idf))]})
 
     found = table.groupBy("lang").applyInPandas(centroids, "lang string, centre binary").collect()  # a few rows per language

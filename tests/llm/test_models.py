@@ -67,3 +67,10 @@ def test_quality_of_odd_rows(table):
     assert quality.score(df.limit(0), model).count() == 0
     assert quality.fit(df, df.filter("doc_id < 0").select("doc_id")) is None
     assert {(r["score"], r["predicted"]) for r in quality.score(df, None).collect()} == {(0.5, 1)}
+
+
+def test_language_sample_is_the_same_from_any_partitions(table):
+    rows = [(i, f"{'abc'[i % 3] * 3} word{i} text", "xyz"[i % 3]) for i in range(400)] + [(7, "bbb word7 text", "y")] * 200
+    models = [langid.fit(table("doc_id bigint, text string, lang string", rows, parts), sample=20) for parts in (1, 40)]
+    assert models[0].names == models[1].names and np.allclose(models[0].centres, models[1].centres, atol=1e-5)
+    assert np.array_equal(models[0].idf, models[1].idf)
