@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quadrat.functions import stats as S
 from quadrat.operators import describe as D
+from quadrat.queries.elimination import p_value
 from quadrat.queries.registry import Tables, query
 
 _NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -97,9 +98,16 @@ def ttest_groups(t: Tables):
     return _rounded(tests)
 
 
-@query("format_stars")
+@query("format_stars", f"""
+    WITH s AS ({_TTEST.format(c="n_chars")} UNION ALL {_TTEST.format(c="foreign_chars")}),
+         e AS (SELECT *, mu_1 - mu_2 AS b, n1 + n2 - 2 AS df, sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)) AS se FROM s),
+         p AS (SELECT *, b / se AS t, {p_value("(b / se)", "df")} AS p FROM e)
+    SELECT CASE variable WHEN 'n_chars' THEN 'Length' ELSE variable END || ' & ' || format('{{:.3f}}', mu_1) || ' & ' || format('{{:.3f}}', mu_2) || ' & '
+        || format('{{:.3f}}', b) || CASE WHEN p < 0.01 THEN '***' WHEN p < 0.05 THEN '**' WHEN p < 0.1 THEN '*' ELSE '' END
+        || ' & (' || format('{{:.3f}}', se) || ') & ' || format('{{:.3f}}', t) || ' \\\\' AS line FROM p
+""")
 def format_stars(t: Tables):
-    """Typeset t tests with significance marks (p values have no SQL equivalent)."""
+    """Typeset t tests with significance marks."""
     return D.t_test_lines(D.t_tests(_quality_rows(t), ["n_chars", "foreign_chars"], "quality", 0, 1), {"n_chars": "Length"})
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quadrat.operators import regress as E
+from quadrat.queries.elimination import clustered, p_value
 from quadrat.queries.registry import Tables, query
 
 
@@ -68,7 +69,20 @@ def fe_two_way(t: Tables):
     return E.coefficients([fit]).select("term", F.round("b", 6).alias("b"), F.lit(fit.n).cast("bigint").alias("n"))
 
 
-@query("fe_interactions")
+_CROSSED = ["N.l_returnflag", "R.l_returnflag", "O.l_linestatus", "N.l_returnflag#O.l_linestatus", "R.l_returnflag#O.l_linestatus", "disc"]
+
+
+@query("fe_interactions", f"""
+    WITH RECURSIVE r AS (
+        SELECT l_suppkey AS g, l_quantity AS w, l_extendedprice / 1000 AS y, (l_returnflag = 'N')::DOUBLE AS x1, (l_returnflag = 'R')::DOUBLE AS x2,
+               (l_linestatus = 'O')::DOUBLE AS x3, (l_returnflag = 'N' AND l_linestatus = 'O')::DOUBLE AS x4,
+               (l_returnflag = 'R' AND l_linestatus = 'O')::DOUBLE AS x5, l_discount * 100 AS x6
+        FROM lineitem WHERE l_quantity > 5 QUALIFY count(*) OVER (PARTITION BY l_suppkey) > 1),
+    d AS (SELECT 'one' AS m, g, w, 1 AS dfa, {", ".join(f"{c} - sum(w * {c}) OVER p / sum(w) OVER p AS {c}" for c in ["y", *[f"x{i}" for i in range(1, 7)]])}
+          FROM r WINDOW p AS (PARTITION BY g)),
+    {clustered(_CROSSED)}
+    SELECT term, round(b, 5) AS b, round(se, 5) AS se, round(t, 5) AS t, round({p_value("t", "df")}, 5) AS p FROM est
+""")
 def fe_interactions(t: Tables):
     """Full factorial of two factors, an extra interaction, on a subgroup."""
     rows = _lines(t).filter("qty > 5")
@@ -78,7 +92,36 @@ def fe_interactions(t: Tables):
     return _round(E.coefficients([fit]).select("term", "b", "se", "t", "p"), 5)
 
 
-@query("fe_two_way_ladder")
+# sample, model and its second key beside the year; the last model's singletons are left out of the common sample
+_LADDER = [(sample, model, key) for sample in ("all", "common") for model, key in (
+    ("A", "0"), ("B", "l_suppkey::VARCHAR"), ("C", "l_suppkey || '|' || l_returnflag"))]
+_VALUES = ["y", "x1", "x2", "x3"]
+
+
+def _less_mean(key: str) -> str:
+    return ", ".join(f"{c} - sum(n * {c}) OVER {key} / sum(n) OVER {key} AS {c}" for c in _VALUES)
+
+
+@query("fe_two_way_ladder", f"""
+    WITH RECURSIVE base AS (
+        SELECT *, count(*) OVER (PARTITION BY l_suppkey, l_returnflag) > 1 AS common, year(l_shipdate) AS a, l_extendedprice / 1000 AS y, l_quantity AS x1,
+               l_discount * 100 AS x2, (l_linestatus = 'O')::DOUBLE AS x3 FROM lineitem),
+    r AS ({" UNION ALL ".join(
+        f"SELECT '{sample}' AS sample, '{model}' AS model, l_suppkey AS g, a, {key} AS z, y, x1, x2, x3 FROM base"
+        + (" WHERE common" if sample == "common" or model == "C" else "") + f" QUALIFY count(*) OVER (PARTITION BY {key}) > 1" for sample, model, key in _LADDER)}),
+    c AS (SELECT sample, model, a, z, count(*) AS n, {", ".join(f"avg({v}) AS {v}" for v in _VALUES)} FROM r GROUP BY ALL),
+    it AS (SELECT 0 AS k, * FROM c
+           UNION ALL
+           SELECT k + 1, sample, model, a, z, n, {_less_mean("pa")} FROM
+             (SELECT k, sample, model, a, z, n, {_less_mean("pz")} FROM it WHERE k < 40 WINDOW pz AS (PARTITION BY sample, model, z))
+             WINDOW pa AS (PARTITION BY sample, model, a)),
+    years AS (SELECT sample, model, count(DISTINCT a) AS levels FROM r GROUP BY ALL),
+    d AS (SELECT sample || ' ' || model AS m, r.g, 1 AS w, levels + CASE model WHEN 'A' THEN 0 ELSE 1 END AS dfa,
+                 {", ".join(f"r.{v} - c.{v} + it.{v} AS {v}" for v in _VALUES)}
+          FROM r JOIN c USING (sample, model, a, z) JOIN it USING (sample, model, a, z) JOIN years USING (sample, model) WHERE it.k = 40),
+    {clustered(["qty", "disc", "O.l_linestatus"])}
+    SELECT split_part(m, ' ', 1) AS sample, split_part(m, ' ', 2) AS model, term, round(b, 5) AS b, round(se, 5) AS se, round(t, 5) AS t FROM est
+""")
 def fe_two_way_ladder(t: Tables):
     """Nested fixed-effect specifications, again on the sample of the last one."""
     specs = {
