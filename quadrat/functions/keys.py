@@ -151,10 +151,12 @@ def one_hot(df: DataFrame, c: str, prefix: str, values: Sequence | None = None)
     })
 
 
-def set_label(df: DataFrame, labels: Mapping[str, str]) -> DataFrame:
-    """Attach display labels as column metadata."""
+def set_label(df: DataFrame, labels: Mapping[str, str], values: Mapping[str, Mapping] | None = None) -> DataFrame:
+    """Attach display labels of columns, and of their values, as column metadata."""
     for name, text in labels.items():
         df = df.withMetadata(name, {**df.schema[name].metadata, "label": text})
+    for name, texts in (values or {}).items():
+        df = df.withMetadata(name, {**df.schema[name].metadata, "values": {str(v): t for v, t in texts.items()}})
     return df
 
 
@@ -162,3 +164,5 @@ def label_of(df: DataFrame, name: str) -> str:
     return df.schema[name].metadata.get("label", name)
 
 
+def value_label_of(df: DataFrame, name: str, value) -> str | None:
+    return df.schema[name].metadata.get("values", {}).get(str(value))

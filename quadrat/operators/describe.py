@@ -100,14 +100,18 @@ def t_tests(df: DataFrame, columns: Sequence[str], by: str, first, second, p_val
     return out.withColumn("p", stats.t_p_value("t", F.col("df").cast("double"))) if p_value else out
 
 
-def summary_lines(summary: DataFrame, labels: Mapping[str, str], cells: Sequence[tuple[str, int]]) -> DataFrame:
-    """Typeset body rows of a summary table."""
+def summary_lines(
+    summary: DataFrame, labels: Mapping[str, str], cells: Sequence[tuple[str, int]], headings: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Typeset body rows of a summary table; ``headings`` puts a line of its own before a variable."""
     from quadrat.functions.keys import recode
 
     label = F.coalesce(recode("variable", labels), F.col("variable")) if labels else F.col("variable")
-    return summary.select(
-        stats.table_line(label, *[stats.fixed_comma(F.col(c), d) for c, d in cells]).alias("line")
-    )
+    line = stats.table_line(label, *[stats.fixed_comma(F.col(c), d) for c, d in cells])
+    if not headings:
+        return summary.select(line.alias("line"))
+    heading = stats.table_line(recode("variable", headings), *[F.lit("") for _ in cells])
+    return summary.select(F.explode(F.when(F.col("variable").isin(*headings), F.array(heading, line)).otherwise(F.array(line))).alias("line"))
 
 
 def t_test_lines(tests: DataFrame, labels: Mapping[str, str] | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.functions import stats
-from quadrat.functions.keys import levels
+from quadrat.functions.keys import label_of, levels, value_label_of
 from quadrat.session import cut_lineage
 
 # --- design -----------------------------------------------------------------------------
@@ -170,14 +170,13 @@ def _components(cells: DataFrame, a: tuple[str, ...], b: tuple[str, ...]) -> int
 
     edges = cut_lineage(cells.select(node("a", a).alias("u"), node("b", b).alias("v")).distinct())
     label = edges.select("u").distinct().withColumn("label", F.col("u"))
-    before = None
     while True:
         to_v = edges.join(label, "u").groupBy("v").agg(F.min("label").alias("label"))
-        label = cut_lineage(edges.join(to_v, "v").groupBy("u").agg(F.min("label").alias("label")))
-        seen = label.agg(F.count_distinct("label"), F.sum(F.xxhash64("label").cast("decimal(38,0)"))).first()
-        if before is not None and seen[1] == before:
-            return seen[0]
-        before = seen[1]
+        found = edges.join(to_v, "v").groupBy("u").agg(F.min("label").alias("found"))
+        label = cut_lineage(label.join(found, "u").select("u", F.col("found").alias("label"), (F.col("found") != F.col("label")).alias("changed")))
+        if not label.filter("changed").limit(1).count():
+            return label.agg(F.count_distinct("label")).first()[0]
+        label = label.drop("changed")
 
 
 def _nested_in(cells: DataFrame, key: tuple[str, ...], cluster: str | None) -> bool:
@@ -447,32 +446,63 @@ def ladder_on_common_sample(
     return full, ladder(common, y, terms, specs, weight, cluster, **options)
 
 
-def regression_lines(fits: Sequence[Fit], keep: Sequence[str] | None = None) -> DataFrame:
-    """Typeset body rows: starred coefficients, standard errors below, then statistics."""
+# Statistics at the foot of a table: label and cell (labels are fixed values)
+_FOOT = {
+    "ymean": ("Mean of dependent variable", lambda: stats.fixed(F.col("ymean"))),
+    "r2": ("R-Squared", lambda: stats.fixed(F.col("r2"))),
+    "f": ("F", lambda: stats.fixed(F.col("f"))),
+    "n": ("Observations", lambda: stats.fixed_comma(F.col("n"), 0)),
+}
+
+
+def term_label(df: DataFrame, term: str) -> str:
+    """Display text of a term from the labels of its columns: a level shows its value label."""
+    def part(name: str) -> str:
+        level, dot, column = name.partition(".")
+        if name in df.columns or not dot or column not in df.columns:
+            return label_of(df, name) if name in df.columns else name
+        return value_label_of(df, column, level) or f"{label_of(df, column)}={level}"
+
+    return r" $\times$ ".join(part(p) for p in term.split("#"))
+
+
+def regression_lines(
+    fits: Sequence[Fit], keep: Sequence[str] | None = None, labels: Mapping[str, str] | None = None,
+    headings: Mapping[str, str] | None = None, statistics: Sequence[str] = ("ymean", "r2", "n"),
+    effects: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Typeset body rows: starred coefficients, standard errors below, then statistics and effects.
+
+    A term shows the text of ``labels`` or the label of its column.  ``headings`` puts a line
+    before a term, ``effects`` lists the models that absorb an effect, for a Yes/No line each.
+    """
     spark = fits[0].sample.sparkSession
     order = list(dict.fromkeys(t for f in fits for t in f.terms if keep is None or t in keep))
+    shown = {t: term_label(f.sample, t) for f in reversed(fits) for t in f.terms} | dict(labels or {})
     models = [f.model for f in fits]
     cells = coefficients(fits)
-    place = spark.createDataFrame([(t, i) for i, t in enumerate(order)], "term string, pos int")
+    place = spark.createDataFrame([(t, i, shown[t]) for i, t in enumerate(order)], "term string, pos int, shown string")
     cells = cells.join(place, "term").select(
-        "pos", "model", "term", stats.starred(F.col("b"), F.col("p")).alias("b"), stats.parenthesised(F.col("se")).alias("se")
+        "pos", "model", "shown", stats.starred(F.col("b"), F.col("p")).alias("b"), stats.parenthesised(F.col("se")).alias("se")
     )
     blank = F.lit("")
 
     def laid_out(value: str, label: Column, sub: int) -> DataFrame:
-        wide = cells.groupBy("pos", "term").pivot("model", models).agg(F.first(value))
+        wide = cells.groupBy("pos", "shown").pivot("model", models).agg(F.first(value))
         body = [F.coalesce(F.col(f"`{m}`"), blank) for m in models]
-        return wide.select((F.col("pos") * 2 + sub).alias("pos"), stats.table_line(label, *body).alias("line"))
+        return wide.select((F.col("pos") * 3 + sub).alias("pos"), stats.table_line(label, *body).alias("line"))
+
+    def fixed_line(label: str, body: Sequence[str]) -> str:
+        return " & ".join([label, *body]) + r" \\"
 
+    given = [(order.index(t) * 3, fixed_line(text, [""] * len(fits))) for t, text in (headings or {}).items() if t in order]
+    given += [(2_000_000 + i, fixed_line(text, ["Yes" if m in of else "No" for m in models])) for i, (text, of) in enumerate((effects or {}).items())]
     foot = fit_statistics(fits)
     foot = foot.select("model", F.inline(F.array(*[
-        F.struct(F.lit(1_000_000 + i).alias("pos"), F.lit(label).alias("label"), cell.alias("cell"))
-        for i, (label, cell) in enumerate([
-            ("Mean of dependent variable", stats.fixed(F.col("ymean"))),
-            ("R-Squared", stats.fixed(F.col("r2"))),
-            ("Observations", stats.fixed_comma(F.col("n"), 0)),
-        ])
+        F.struct(F.lit(1_000_000 + i).alias("pos"), F.lit(_FOOT[name][0]).alias("label"), _FOOT[name][1]().alias("cell"))
+        for i, name in enumerate(statistics)
     ])))
     foot = foot.groupBy("pos", "label").pivot("model", models).agg(F.first("cell")).select(
         "pos", stats.table_line(F.col("label"), *[F.coalesce(F.col(f"`{m}`"), blank) for m in models]).alias("line"))
-    return laid_out("b", F.col("term"), 0).unionByName(laid_out("se", blank, 1)).unionByName(foot).orderBy("pos").select("line")
+    body = laid_out("b", F.col("shown"), 1).unionByName(laid_out("se", blank, 2)).unionByName(foot)
+    return body.unionByName(spark.createDataFrame(given, "pos int, line string")).orderBy("pos").select("line")

@@ -40,6 +40,12 @@ def job_summary(jobs: DataFrame) -> DataFrame:
     return out.select("section", "variable", "mean", "sd", "n")
 
 
+def job_summary_lines(jobs: DataFrame) -> DataFrame:
+    """The typeset table, with a line naming each block of indicators before its first one."""
+    headings = {next(iter(block)): rf"\textbf{{\textit{{{section}:}}}}" for section, block in CATEGORIES.items()}
+    return D.summary_lines(job_summary(jobs), JOB_LABELS, STATISTICS, headings)
+
+
 def company_bins(sizes: DataFrame) -> DataFrame:
     """Companies binned by postings and by vacancies."""
     binned = Q.tiered_bins(sizes, "size_post", 5, POST_TIERS, "bins_post")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quadrat.functions import keys as K, missing as M
 from quadrat.operators import describe as D, groups as G
-from quadrat.operators.regress import Cross, Factor, Fit, absorb_regression
+from quadrat.operators.regress import Cross, Factor, Fit, absorb_regression, regression_lines
 from quadrat.operators.reshape import columns_like
 
 WEIGHT = "poi_adj_weight_mem"
@@ -59,7 +59,10 @@ def recode(raw: DataFrame) -> DataFrame:
         "ordered_education_level": K.label_codes("education_level", EDUCATION_ORDER),
         "ordered_hh_income_group": K.label_codes("hh_income_group", INCOME_ORDER),
     })
-    return K.set_label(rows, {n: text for n, text in LABELS.items() if n in rows.columns})
+    return K.set_label(rows, {n: text for n, text in LABELS.items() if n in rows.columns}, {
+        "ordered_caste_category": FULL_CASTE_ORDER, "ordered_std_caste_category": CASTE_ORDER,
+        "ordered_education_level": EDUCATION_ORDER, "ordered_hh_income_group": INCOME_ORDER,
+    })
 
 
 def summary(rows: DataFrame) -> DataFrame:
@@ -105,6 +108,11 @@ def regressions(rows: DataFrame, absorb: str = "psu_id", extra: list[str] | None
     return out
 
 
+def regression_table(fits: dict[str, Fit]) -> DataFrame:
+    """Typeset body of the models, with their F statistic."""
+    return regression_lines(list(fits.values()), statistics=("n", "ymean", "r2", "f"))
+
+
 def t_tests(rows: DataFrame) -> dict[str, DataFrame]:
     """Nine tables: three groupings, each for everyone, rural men and rural women."""
     subsets = {"all": F.lit(True), "rural_men": (F.col("rural") == 1) & (F.col("female") == 0), "rural_women": (F.col("rural") == 1) & (F.col("female") == 1)}

@@ -18,6 +18,13 @@ SPECIFICATIONS = {
     "F": ["monthYear", _PLACE, (*_PLACE, "month"), (*_PLACE, "year"), "companyId", (*_PLACE, "companyId"),
           (*_PLACE, "month", "companyId"), (*_PLACE, "year", "companyId")],
 }
+# Lines on absorbed effects and the key each one names (fixed values); states are regressors of every model.
+EFFECTS = {
+    "State FE": None, "Month-Yr FE": "monthYear", r"State $\times$ SOC FE": _PLACE, r"State $\times$ SOC $\times$ Month FE": (*_PLACE, "month"),
+    r"State $\times$ SOC $\times$ Year FE": (*_PLACE, "year"), "Company FE": "companyId", r"State $\times$ SOC $\times$ Company FE": (*_PLACE, "companyId"),
+    r"State $\times$ SOC $\times$ Company $\times$ Month FE": (*_PLACE, "month", "companyId"),
+    r"State $\times$ SOC $\times$ Company $\times$ Year FE": (*_PLACE, "year", "companyId"),
+}
 CONTROLS = ["minExperience", "minExp2", Factor("minEducationBranch", base=1)]
 
 
@@ -45,7 +52,9 @@ def wage_ladders(jobs: DataFrame, specifications=None) -> tuple[dict[str, Fit],
     return ladder_on_common_sample(rows, "ln_avgSalary_real", terms, specifications or SPECIFICATIONS, cluster="SOC")
 
 
-def wage_table(fits: dict[str, Fit]) -> DataFrame:
-    """Typeset body: technology coefficients and statistics, one column per model."""
+def wage_table(fits: dict[str, Fit], specifications=None) -> DataFrame:
+    """Typeset body: technology coefficients, statistics and absorbed effects, one column per model."""
+    specifications = specifications or SPECIFICATIONS
     terms = [t for f in fits.values() for t in f.terms if t.startswith("tech_")]
-    return regression_lines(list(fits.values()), keep=list(dict.fromkeys(terms)))
+    effects = {text: [m for m in fits if key is None or key in specifications[m]] for text, key in EFFECTS.items()}
+    return regression_lines(list(fits.values()), keep=list(dict.fromkeys(terms)), effects=effects)

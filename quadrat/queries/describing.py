@@ -136,14 +136,34 @@ def _job_sql() -> str:
     return f"WITH j AS ({_JOBS}) " + " UNION ALL ".join(parts)
 
 
+def _job_rows(t: Tables):
+    flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2)
+    return t.lineitem.select(
+        F.col("l_quantity").alias("vacancy"), F.col("l_linenumber").alias("minExperience"), (F.col("l_linenumber") + 2).alias("maxExperience"),
+        F.col("l_extendedprice").alias("avgSalary"), flag.alias("jobAgreementType"), F.quarter("l_shipdate").alias("sector"),
+        (F.col("l_linenumber") + F.when(F.col("l_linestatus") == "O", 2).otherwise(0)).alias("minEducationBranch"))
+
+
 @query("job_summary_table", _job_sql())
 def job_summary_table(t: Tables):
     """The descriptive table of postings: continuous variables, then blocks of indicators listwise."""
     from quadrat.plans.descriptives import job_summary
 
-    flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2)
-    jobs = t.lineitem.select(
-        F.col("l_quantity").alias("vacancy"), F.col("l_linenumber").alias("minExperience"), (F.col("l_linenumber") + 2).alias("maxExperience"),
-        F.col("l_extendedprice").alias("avgSalary"), flag.alias("jobAgreementType"), F.quarter("l_shipdate").alias("sector"),
-        (F.col("l_linenumber") + F.when(F.col("l_linestatus") == "O", 2).otherwise(0)).alias("minEducationBranch"))
-    return _rounded(job_summary(jobs))
+    return _rounded(job_summary(_job_rows(t)))
+
+
+def _job_lines_sql() -> str:
+    from quadrat.plans.descriptives import CATEGORIES, JOB_LABELS
+
+    label = "CASE variable " + " ".join(f"WHEN '{v}' THEN '{text}'" for v, text in JOB_LABELS.items()) + " ELSE variable END"
+    heads = [f"SELECT '\\textbf{{\\textit{{{section}:}}}} &  &  &  \\\\' AS line" for section in CATEGORIES]
+    return (f"SELECT {label} || ' & ' || format('{{:,.3f}}', mean) || ' & ' || format('{{:,.3f}}', sd) || ' & ' || format('{{:,}}', n) || ' \\\\' AS line "
+            f"FROM ({_job_sql()}) UNION ALL " + " UNION ALL ".join(heads))
+
+
+@query("job_summary_lines", _job_lines_sql())
+def job_summary_lines(t: Tables):
+    """The same table typeset, with a line before each block."""
+    from quadrat.plans.descriptives import job_summary_lines as lines
+
+    return lines(_job_rows(t))

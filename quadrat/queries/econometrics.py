@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from quadrat.functions.keys import set_label
 from quadrat.operators import regress as E
 from quadrat.queries.elimination import clustered, p_value
 from quadrat.queries.registry import Tables, query
@@ -133,3 +134,29 @@ def fe_two_way_ladder(t: Tables):
     both = E.coefficients(list(full.values())).withColumn("sample", F.lit("all")).unionByName(
         E.coefficients(list(common.values())).withColumn("sample", F.lit("common")))
     return _round(both.select("sample", "model", "term", "b", "se", "t"), 5)
+
+
+@query("publication_table", f"""
+    WITH RECURSIVE r AS (
+        SELECT * FROM (
+            SELECT 'A' AS m, l_suppkey AS g, 1 AS w, year(l_shipdate) AS z, l_extendedprice / 1000 AS y, (l_linestatus = 'O')::DOUBLE AS x1 FROM lineitem
+            UNION ALL SELECT 'B', l_suppkey, 1, l_suppkey, l_extendedprice / 1000, (l_linestatus = 'O')::DOUBLE FROM lineitem)
+        QUALIFY count(*) OVER (PARTITION BY m, z) > 1),
+    d AS (SELECT m, g, w, CASE m WHEN 'A' THEN (SELECT count(DISTINCT z) FROM r WHERE m = 'A') ELSE 1 END AS dfa,
+                 y AS y0, y - avg(y) OVER p AS y, x1 - avg(x1) OVER p AS x1 FROM r WINDOW p AS (PARTITION BY m, z)),
+    {clustered(["O.l_linestatus"])},
+    fit AS (SELECT e.*, ymean, 1 - rss / tss AS r2, {p_value("t", "df")} AS p FROM est e JOIN
+        (SELECT d.m, avg(y0) AS ymean, var_pop(y0) * count(*) AS tss, sum((d.y - b1 * d.x1) ** 2) AS rss FROM d JOIN slopes USING (m) GROUP BY d.m) USING (m)),
+    cells AS (
+        SELECT m, unnest(['Status: open', '', 'Observations', 'Mean of dependent variable', 'R-Squared', 'F']) AS label,
+               unnest([format('{{:.3f}}', b) || CASE WHEN p < 0.01 THEN '***' WHEN p < 0.05 THEN '**' WHEN p < 0.1 THEN '*' ELSE '' END, '(' || format('{{:.3f}}', se) || ')',
+                       format('{{:,}}', n), format('{{:.3f}}', ymean), format('{{:.3f}}', r2), format('{{:.3f}}', t * t)]) AS cell FROM fit)
+    SELECT label || ' & ' || max(cell) FILTER (m = 'A') || ' & ' || max(cell) FILTER (m = 'B') || ' \\\\' AS line FROM cells GROUP BY label
+    UNION ALL SELECT unnest(['\\textit{{Line:}} &  &  \\\\', 'Year FE & Yes & No \\\\', 'Supplier FE & No & Yes \\\\'])
+""")
+def publication_table(t: Tables):
+    """Two models side by side: labelled terms under a heading, statistics with F, absorbed effects."""
+    rows = set_label(_lines(t), {}, {"l_linestatus": {"O": "Status: open"}})
+    fits = [E.absorb_regression(rows, "price", [E.Factor("l_linestatus")], [key], cluster="l_suppkey", model=m) for m, key in (("A", "year"), ("B", "l_suppkey"))]
+    return E.regression_lines(
+        fits, headings={"O.l_linestatus": r"\textit{Line:}"}, statistics=("n", "ymean", "r2", "f"), effects={"Year FE": ["A"], "Supplier FE": ["B"]})

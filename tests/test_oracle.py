@@ -15,11 +15,12 @@ FORMATS = [
     "ragged_rows", "json_map_round_trip", "json_by_file", "map_and_matrix", "vector_sink", "right_join_codes", "fe_singletons",
     "missing_sorted_last", "worker_model",
 ]
+TABLES = ["format_stars", "fe_interactions", "publication_table", "job_summary_lines"]
 QUICK = [
     "key_pad_compose", "number_parse", "sentinel_missing", "onehot_encode", "left_join_chain", "validated_merge_indicator",
     "worklist_expand_report", "group_total_mean_max", "share_matrix_pivot", "composition_rank", "forward_fill_by_key", "quantile_tiers",
     "even_chunks", "weighted_crosstab", "ttest_groups", "wls_one_way_fe", "abstract_rebuild", "name_clean", "html_links", "village_tables",
-    "compose_inputs", "retry_ledger", *FORMATS,
+    "compose_inputs", "retry_ledger", *FORMATS, *TABLES,
 ]
 NAMES = sorted(entry_points.oracle_sql()) if os.environ.get("QUADRAT_ALL") else QUICK
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="shared tables are not here")

@@ -100,3 +100,36 @@ def test_ladder_on_common_sample(spark, data):
     lines = [r.line for r in E.regression_lines(list(full.values())).collect()]
     assert lines[0].startswith("x & ") and lines[-1].startswith("Observations & 501 & 500")
     assert [r.model for r in E.fit_statistics(list(full.values())).collect()] == ["A", "B"]
+
+
+def test_table_lines_with_labels_headings_and_effects(spark, data):
+    from quadrat.functions.keys import set_label
+
+    frame = set_label(spark.createDataFrame(data), {"x": "Exposure", "a": "Arm"}, {"b": {1: "Treated"}})
+    a, b = E.Factor("a"), E.Factor("b")
+    fits = [E.absorb_regression(frame, "y", ["x", E.Cross((a, b))], [k], cluster="g", model=k) for k in ("h", "g")]
+    lines = [r.line for r in E.regression_lines(
+        fits, headings={"1.a": "Design:"}, statistics=("n", "f"), effects={"H": ["h"], "G": ["g"]}).collect()]
+    labels = [line.split(" & ")[0] for line in lines]
+    assert labels == ["Exposure", "", "Design:", "Arm=1", "", "Arm=2", "", "Treated", "", r"Arm=1 $\times$ Treated", "", r"Arm=2 $\times$ Treated", "",
+                      "Observations", "F", "H", "G"]
+    assert lines[2] == r"Design: &  &  \\" and lines[-2:] == [r"H & Yes & No \\", r"G & No & Yes \\"]
+    assert E.regression_lines(fits, keep=["x"], labels={"x": "X"}).first().line.startswith("X & ")
+
+
+def test_components_of_a_long_chain(spark):
+    """A chain needs many rounds; labels have to settle everywhere before the components are counted."""
+    cells = spark.createDataFrame([(i // 2, (i + 1) // 2) for i in range(1, 9)] + [(100, 100)], "a int, b int")
+    assert E._components(cells, ("a",), ("b",)) == 2
+
+
+def test_wage_and_survey_tables(spark, data):
+    from quadrat.plans import survey, wages
+
+    frame = spark.createDataFrame(data.rename(columns={"x": "tech_ai"}))
+    fits = {m: E.absorb_regression(frame, "y", ["tech_ai"], ["g"], cluster="g", model=m) for m in ("A", "D")}
+    lines = [r.line for r in wages.wage_table(fits).collect()]
+    assert lines[0].startswith("tech_ai & ") and len(lines) == 14
+    assert lines[5] == r"State FE & Yes & Yes \\" and lines[7] == r"State $\times$ SOC FE & No & Yes \\" and lines[10] == r"Company FE & No & Yes \\"
+    assert [r.line.split(" & ")[0] for r in survey.regression_table(fits).collect()] == [
+        "tech_ai", "", "Observations", "Mean of dependent variable", "R-Squared", "F"]
