@@ -3,7 +3,7 @@
 A text is the normalised TF-IDF vector of the runs of three bytes of its lower-cased words,
 counted in hashed buckets. Training vectors of a language are clustered on the sphere; a text
 gets the language of the centroid with the greatest cosine, and is rejected where even that
-one is so far away that they have next to nothing in common.
+one is so far away that hardly a training text of this language and length is as far from its own.
 """
 
 from __future__ import annotations
@@ -24,7 +24,11 @@ SAMPLE = 600  # training texts of a language, the ones with the smallest hash of
 HANDS = 16  # groups of tasks whose samples are cut down before they meet
 ROUNDS = 12
 CHUNK = 1 << 20  # bytes counted at once
-FLOOR = 0.03  # cosine under which a text has next to nothing in common with any language
+FLOOR = 0.03  # cosine under which a text of any length has next to nothing in common with any language
+JUDGED = 7  # from 2^7 trigrams on the training texts of similar length set the floor; the cosine of a shorter text says too little
+LOW, PART = 0.01, 0.5  # the floor is this part of this quantile of their cosines
+LEAST, MANY = 20, 200  # taken from half of the texts of a language, but no fewer than the one and no more than the other if they suffice
+BANDS = 40
 UNKNOWN = "und"
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -63,9 +67,30 @@ def cluster(vectors: np.ndarray, k: int = CLUSTERS) -> np.ndarray:
     return centres.astype(np.float32)
 
 
+def band(tf: np.ndarray) -> np.ndarray:
+    """Powers of two in the number of trigrams of each row."""
+    return np.minimum(np.log2(np.maximum(tf.sum(axis=-1, dtype=np.float64), 1)).astype(np.int64), BANDS - 1)
+
+
+def floors(bands: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+    """The least accepted cosine of each band of lengths, from the training texts of one language and their cosines.
+
+    A band takes its neighbours too, and still shorter ones until there are enough texts: the cosine
+    rises with the length, so shorter texts never make a floor too strict.
+    """
+    out, enough = np.full(BANDS, FLOOR), max(LEAST, min(MANY, len(bands) // 2))
+    for b in range(JUDGED, BANDS):
+        for low in range(b - 1, JUDGED - 2, -1):
+            near = cosines[(bands >= low) & (bands <= b + 1)]
+            if len(near) >= (enough if low > JUDGED - 1 else LEAST):
+                out[b] = max(FLOOR, PART * float(np.quantile(near, LOW)))
+                break
+    return out
+
+
 class Model:
-    def __init__(self, idf: np.ndarray, names: list[str], centres: np.ndarray):
-        self.idf, self.names, self.centres = idf, names, centres
+    def __init__(self, idf: np.ndarray, names: list[str], centres: np.ndarray, least: np.ndarray):
+        self.idf, self.names, self.centres, self.least = idf, names, centres, least  # least: a row of floors per centroid
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, cosine, rejected) of each text."""
@@ -76,15 +101,17 @@ class Model:
             if not some or not self.names:
                 out.extend((UNKNOWN, 0.0, True) for _ in found)
                 continue
-            near = unit(np.stack(some), self.idf) @ self.centres.T
+            tf = np.stack(some)
+            near = unit(tf, self.idf) @ self.centres.T
             best, rows = near.argmax(axis=1), iter(range(len(some)))
+            least = self.least[best, band(tf)]
             for c in found:
                 if c is None:
                     out.append((UNKNOWN, 0.0, True))
                 else:
                     r = next(rows)
                     score = float(min(max(near[r, best[r]], 0.0), 1.0))
-                    out.append((self.names[best[r]], score, score < FLOOR))
+                    out.append((self.names[best[r]], score, bool(score < least[r])))
         return out
 
 
@@ -126,12 +153,16 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         tf = np.stack([np.frombuffer(b, np.float32) for b in sorted(group["tf"])])  # one order, one outcome
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.tobytes() for c in cluster(unit(tf, idf))]})
+        vectors = unit(tf, idf)
+        centres = cluster(vectors)
+        least = floors(band(tf), (vectors @ centres.T).max(axis=1)).tobytes()
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.tobytes() for c in centres], "least": least})
 
-    found = table.groupBy("lang").applyInPandas(centroids, "lang string, centre binary").collect()  # a few rows per language
+    found = table.groupBy("lang").applyInPandas(centroids, "lang string, centre binary, least binary").collect()  # a few rows per language
     found.sort(key=lambda r: (r["lang"], bytes(r["centre"])))
     centres = np.stack([np.frombuffer(r["centre"], np.float32) for r in found]) if found else np.zeros((0, BUCKETS), np.float32)
-    return Model(idf, [r["lang"] for r in found], centres)
+    least = np.stack([np.frombuffer(r["least"], np.float64) for r in found]) if found else np.zeros((0, BANDS))
+    return Model(idf, [r["lang"] for r in found], centres, least)
 
 
 def held_out(key: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:

@@ -1,5 +1,6 @@
 """Held-out accuracy of the two trained models, and their odd rows."""
 
+import random
 import zlib
 
 import numpy as np
@@ -74,3 +75,21 @@ def test_language_sample_is_the_same_from_any_partitions(table):
     models = [langid.fit(table("doc_id bigint, text string, lang string", rows, parts), sample=20) for parts in (1, 40)]
     assert models[0].names == models[1].names and np.allclose(models[0].centres, models[1].centres, atol=1e-5)
     assert np.array_equal(models[0].idf, models[1].idf)
+
+
+def test_unlearned_languages_and_random_letters_are_rejected(spark, table):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.fit(docs.filter(~langid.held_out("doc_id")))
+    italian = ("Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, perché la diritta via era smarrita. Quanto a dir qual era è cosa "
+               "dura questa selva selvaggia e aspra e forte che nel pensier rinnova la paura. Tanto è amara che poco è più morte. ")
+    finnish = ("Mieleni minun tekevi, aivoni ajattelevi lähteäni laulamahan, saa'ani sanelemahan, sukuvirttä suoltamahan, lajivirttä laulamahan. "
+               "Sanat suussani sulavat, puhe'et putoelevat, kielelleni kerkiävät, hampahilleni hajoovat. ")
+    polish = ("Litwo! Ojczyzno moja! ty jesteś jak zdrowie. Ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. Dziś piękność twą w całej "
+              "ozdobie widzę i opisuję, bo tęsknię po tobie. ")
+    rng = random.Random(1)
+    unlike = [t * n for t in (italian, finnish, polish) for n in (1, 5, 40)]
+    unlike += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n)) for n in (704, 3_500, 21_000, 100_000)]
+    unlike += ["".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(n)) for n in (704, 5_000, 30_000)]
+    assert all(rejected for _, _, rejected in model.predict(unlike))
+    letters = docs.filter("text rlike '\\\\p{L}'")
+    assert langid.predict(letters, model).filter("rejected").count() == 0
