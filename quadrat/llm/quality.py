@@ -112,7 +112,7 @@ def train(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
 def fit(df: DataFrame, positives: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model | None:
     """Learn from at most ``sample`` trusted texts (keys in ``positives``) and ``sample`` of all texts.
 
-    Null keys take no part. The features of the bounded samples are made on the executors; the
+    Null keys take no part; of repeated rows with one key a single one counts. The features of the bounded samples are made on the executors; the
     driver minimises the risk. Without positives there is no model.
     """
     order = [F.xxhash64(F.col("key").cast("string")), F.col("key")]
@@ -120,13 +120,14 @@ def fit(df: DataFrame, positives: DataFrame, key: str = "doc_id", text: str = "t
     trusted = positives.select(F.col(key).alias("key")).filter("key is not null").distinct()
     chosen = keys.join(trusted, "key", "left_semi").distinct().orderBy(*order).limit(sample).select("key", F.lit(True).alias("positive"))
     chosen = cut_lineage(chosen.union(keys.distinct().orderBy(*order).limit(sample).select("key", F.lit(False))))
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).join(chosen, "key").select("positive", "text")
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).join(chosen, "key").select("positive", "key", "text")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([features(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["positive", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([features(t).tobytes() for t in batch.column(2).to_pylist()], pa.binary())], names=["positive", "key", "x"])
 
-    found = sorted((r["positive"], bytes(r["x"])) for r in rows.mapInArrow(make, "positive boolean, x binary").collect())
+    made = rows.mapInArrow(make, f"positive boolean, key {dict(rows.dtypes)['key']}, x binary").groupBy("positive", "key").agg(F.min("x").alias("x"))
+    found = sorted((r["positive"], bytes(r["x"])) for r in made.select("positive", "x").collect())
     size = len(features(""))
     p, u = (np.frombuffer(b"".join(x for is_p, x in found if is_p == side), np.float32).reshape(-1, size) for side in (True, False))
     if not len(p) or not len(u):

@@ -93,3 +93,12 @@ def test_unlearned_languages_and_random_letters_are_rejected(spark, table):
     assert all(rejected for _, _, rejected in model.predict(unlike))
     letters = docs.filter("text rlike '\\\\p{L}'")
     assert langid.predict(letters, model).filter("rejected").count() == 0
+
+
+def test_a_repeated_id_counts_once_in_the_quality_sample(table, monkeypatch):
+    rows = [(i, f"some plain words in line {i}" if i % 3 else "*** !!! ***") for i in range(40)] + [(3, f"many rows {i}") for i in range(300)]
+    df = table("doc_id bigint, text string", rows)
+    sizes = []
+    monkeypatch.setattr(quality, "train", lambda p, u: sizes.append((len(p), len(u))))
+    quality.fit(df, df.filter("doc_id < 10").select("doc_id"), sample=20)
+    assert sizes == [(10, 20)]
