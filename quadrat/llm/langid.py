@@ -122,12 +122,13 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     executors, one bounded group per language; the driver gets document frequencies and centroids.
     """
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("key is not null and lang is not null and text rlike '\\\\p{L}'")
-    picked = rows.select("lang", "key", F.pmod(F.spark_partition_id(), F.lit(HANDS)).alias("hand"))
+    picked = rows.select("lang", "key").distinct()  # places are for texts, not for their repeated rows
+    picked = picked.withColumn("hand", F.pmod(F.spark_partition_id(), F.lit(HANDS)))
     for by in (["lang", "hand"], ["lang"]):  # however many tasks there are, the last step sees at most HANDS samples of a language
         order = W.partitionBy(*by).orderBy(F.xxhash64(F.col("key").cast("string")), "key")
         picked = picked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample).drop("place")
     picked = picked.select("lang", "key")
-    picked = cut_lineage(picked.distinct())  # small and of known size, so that no text is shuffled to meet it
+    picked = cut_lineage(picked)  # small and of known size, so that no text is shuffled to meet it
     chosen = rows.join(picked, ["lang", "key"], "left_semi").select("lang", "key", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

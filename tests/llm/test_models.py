@@ -102,3 +102,10 @@ def test_a_repeated_id_counts_once_in_the_quality_sample(table, monkeypatch):
     monkeypatch.setattr(quality, "train", lambda p, u: sizes.append((len(p), len(u))))
     quality.fit(df, df.filter("doc_id < 10").select("doc_id"), sample=20)
     assert sizes == [(10, 20)]
+
+
+def test_repeated_rows_take_one_place_of_the_language_sample(table):
+    rows = [(i, f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]} text", "x") for i in range(100)]
+    first = langid.fit(table("doc_id bigint, text string, lang string", rows), sample=20)
+    again = langid.fit(table("doc_id bigint, text string, lang string", rows + rows * 9, 8), sample=20)
+    assert np.array_equal(first.idf, again.idf) and np.allclose(first.centres, again.centres, atol=1e-5)
