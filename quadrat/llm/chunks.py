@@ -21,6 +21,7 @@ from quadrat.session import cut_lineage
 WINDOW = 16  # bytes that decide on a boundary
 CUT_BITS = 5  # a boundary every 32 bytes on average
 RUN_WORDS = 15  # words of the shortest run that is a passage
+LONG, UNIT = 30, 6  # code points of the longest single word; a longer piece without a blank counts a word for every UNIT
 BLOCK = 1 << 20
 _GEAR = np.random.default_rng(20).integers(0, 1 << 16, 256).astype(np.uint16)
 
@@ -48,6 +49,11 @@ def chunks(raw: bytes) -> tuple[list[int], list[int]]:
     return stops, np.array(digests, np.uint64).view(np.int64).tolist()
 
 
+def _words(part: bytes) -> int:
+    """Words of a run; scripts without blanks, minified code and encoded blocks are counted by their length."""
+    return sum(1 if len(w) <= LONG or (n := len(w.decode())) <= LONG else n // UNIT for w in part.split())
+
+
 def _drop(text: str | None, known: list[int] | None) -> tuple[int, int, int, str]:
     raw = (text or "").encode()
     stops, digests = chunks(raw)
@@ -59,7 +65,7 @@ def _drop(text: str | None, known: list[int] | None) -> tuple[int, int, int, str
             continue
         if run:
             part = raw[run[0][0]:run[-1][1]]
-            if len(part.split()) >= RUN_WORDS:
+            if _words(part) >= RUN_WORDS:
                 n, passages = n + len(run), passages + 1
             else:
                 kept.append(part)

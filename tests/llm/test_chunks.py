@@ -42,3 +42,12 @@ def test_passages_are_caught_and_clean_texts_left(table):
     hit = {r[0] for r in got if r[3]}
     assert not any(k is None or k < 30 or k >= 100 for k in hit) and len(hit) >= 28
     assert chunks.drop_repeated_passages(df.limit(0)).count() == 0
+
+
+def test_passages_without_blanks_are_caught(table):
+    rng = random.Random(4)
+    chinese, code = ("".join(chr(rng.randrange(low, high)) for _ in range(2_000)) for low, high in ((0x4E00, 0x9FA0), (0x21, 0x7F)))
+    rows = [(1, chinese), (2, chinese), (3, code), (4, "before " + code + " after"), (5, "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(2_000)))]
+    got = {r["doc_id"]: r for r in chunks.drop_repeated_passages(table("doc_id bigint, text string", rows)).collect()}
+    assert [got[i]["n_passages"] for i in range(1, 6)] == [0, 1, 0, 1, 0]
+    assert got[2]["kept"] == "" and len(got[4]["kept"]) < 400 and got[5]["kept"] == rows[4][1]
