@@ -110,4 +110,4 @@ def worklist_expand_report(t: Tables):
     messages = G.counts_by(t.events, ["user_id", "event_type"]).select(
         "user_id", K.recode("event_type", {k: i for i, k in enumerate(_KINDS, 1)}).alias("attempt"),
         F.concat_ws(" ", "event_type", F.col("n").cast("string")).alias("msg"))
-    return rest.join(L.fold_log(messages, ["user_id"], "attempt", "msg", max_tries=len(_KINDS)), "user_id")
+    return rest.join(L.fold_log(messages, ["user_id"], "attempt", "msg"), "user_id")
