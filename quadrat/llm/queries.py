@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quadrat.llm import chat, chunks, copies, langid, lines, pieces, quality, secrets, simhash, windows
+from quadrat.llm import bytepairs, chat, chunks, copies, langid, lines, pieces, quality, secrets, simhash, windows
 from quadrat.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 TOKENIZER = "piece_bpe_32k.model"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def tokenizer_path() -> str:
@@ -157,3 +158,11 @@ def op9_benchmark_wu_manber(table) -> DataFrame:
 def op10_content_sort(table) -> DataFrame:
     """Groups of equal texts and the row of each that stays."""
     return copies.exact_groups(table("documents"))
+
+
+@query()
+def op13_byte_pair_fold(table) -> DataFrame:
+    """Byte-level BPE ids of every text and the bytes decoded from them, as digests."""
+    import public_tokenizers
+
+    return bytepairs.token_report(table("documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
