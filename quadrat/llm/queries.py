@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quadrat.llm import bytepairs, chat, chunks, copies, langid, lines, pieces, quality, secrets, simhash, windows
+from quadrat.llm import bytepairs, chat, chunks, copies, dialogues, langid, lines, phrases, pieces, quality, secrets, simhash, windows
 from quadrat.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,6 +160,70 @@ def op10_content_sort(table) -> DataFrame:
     return copies.exact_groups(table("documents"))
 
 
+@query(r"""
+    WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+    worded AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece),
+    place AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, range(1, 5) t(k) WHERE len(w) >= k),
+    f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM place GROUP BY ALL),
+    size AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 30),
+    cut AS (SELECT lang, k, phrase, w, a, unnest(range(1, k)) AS i FROM cand),
+    sided AS (SELECT c.lang, c.k, c.phrase, a, i, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score FROM cut c
+              JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:i], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[i + 1:], ' ')),
+    best AS (SELECT * FROM sided QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+    sub AS (SELECT lang, k, w, a, m, unnest(range(1, k - m + 2)) AS i FROM cand, range(2, 4) t(m) WHERE m < k),
+    held AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM sub GROUP BY ALL),
+    free AS (SELECT b.* FROM best b LEFT JOIN held h USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+    FROM free JOIN size USING (lang) QUALIFY rank <= 2000
+""")
+def op11_toivonen_phrases(table) -> DataFrame:
+    """Each language's strongest phrases of two to four words."""
+    return phrases.collocations(table("documents"))
+
+
+@query(r"""
+    WITH RECURSIVE hashed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+               lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda c, j: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 20 AS h FROM conversations),
+    damaged AS (SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                       unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hashed WHERE h <> 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM damaged),
+    judged AS (SELECT *, CASE WHEN said = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate' WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+                      left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair FROM placed),
+    seen AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n FROM judged GROUP BY conv_id),
+    walk AS (
+        SELECT conv_id, 1::BIGINT AS pos, n, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM seen
+        UNION ALL
+        SELECT conv_id, pos, n, q, cost, audit, lines FROM (
+            WITH one AS (SELECT * FROM walk WHERE pos <= n + 1),
+            two AS (SELECT conv_id, pos, n, CASE q WHEN 2 THEN 3 ELSE 2 END AS q, cost + 5 AS cost, audit || 'I' AS audit, list_append(lines, CASE q WHEN 2 THEN 'assistant:' ELSE 'user:' END) AS lines FROM one),
+            three AS (SELECT conv_id, pos, n, CASE q WHEN 2 THEN 3 ELSE 2 END AS q, cost + 5 AS cost, audit || 'I' AS audit, list_append(lines, CASE q WHEN 2 THEN 'assistant:' ELSE 'user:' END) AS lines FROM two),
+            ready AS (FROM one UNION ALL FROM two UNION ALL FROM three),
+            edited AS (
+                SELECT r.conv_id, r.pos + 1 AS pos, n, e.q, r.cost + e.cost AS cost, audit || letter AS audit, CASE WHEN letter = 'D' THEN lines ELSE list_append(lines, coalesce(new_role, role) || ':' || text) END AS lines
+                FROM ready r JOIN judged j ON r.conv_id = j.conv_id AND r.pos = j.pos,
+                LATERAL (SELECT 'D' AS letter, r.q AS q, 2 AS cost, NULL AS new_role
+                         UNION ALL SELECT 'K', CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, NULL
+                         WHERE fault NOT IN ('blank', 'duplicate') AND ((r.q = 0 AND initial IN ('s', 'u')) OR (r.q IN (1, 3) AND initial = 'u') OR (r.q = 2 AND initial = 'a'))
+                         UNION ALL SELECT 'R', CASE r.q WHEN 2 THEN 3 ELSE 2 END, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, CASE r.q WHEN 2 THEN 'assistant' ELSE 'user' END WHERE fault NOT IN ('blank', 'duplicate')) e
+                UNION ALL SELECT conv_id, pos + 1, n, q, cost, audit, lines FROM ready WHERE pos = n + 1 AND q IN (0, 3))
+            SELECT * FROM edited QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1)
+    ),
+    best AS (SELECT * FROM walk WHERE pos = n + 2 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1),
+    original AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+           coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+    FROM original LEFT JOIN seen USING (conv_id) LEFT JOIN best USING (conv_id)
+""")
+def op12_conversation_repair(table) -> DataFrame:
+    """Damaged conversations, their faults, and the cheapest edits that give them their structure back."""
+    original = table("conversations").select("conv_id", "turn", "role", "text")
+    return dialogues.repair_report(original, dialogues.damaged(original))
+
+
 @query()
 def op13_byte_pair_fold(table) -> DataFrame:
     """Byte-level BPE ids of every text and the bytes decoded from them, as digests."""
