@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quadrat.llm.components import components
 from quadrat.llm.rows import append_columns
@@ -113,5 +113,23 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return docs.join(grouped.select("fp", "root"), "fp").join(smallest, "root").select(F.col("key").alias(key), "fp", "component_id")
 
 
+def one_of_each_group(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` that stand for their group of near copies: the one with the group's smallest key.
+
+    Groups go by the text, not by the key: a key repeated with unlike texts is judged for each
+    of them. Of several rows with that key in the group one stays, whichever columns it has: the
+    smallest fingerprint, then the smallest text. Rows with a null key stay only where nobody in
+    their group has a key, one for each fingerprint. Other columns pass through.
+    """
+    groups = near_groups(df, key, text)
+    stays = groups.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("fp").alias("fp")).filter("component_id is not null")
+    alone = groups.filter("component_id is null").select("component_id", "fp").distinct()
+    chosen = stays.unionByName(alone).select(F.col("component_id").alias("__of_key"), F.col("fp").alias("__of_fp"))
+    marked = with_fingerprint(df, text, "__fp")
+    kept = marked.join(chosen, F.col(key).eqNullSafe(F.col("__of_key")) & (F.col("__fp") == F.col("__of_fp")), "left_semi")
+    first = W.partitionBy(key, "__fp").orderBy(F.asc_nulls_last(text))
+    return kept.withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").select(*[f"`{c}`" for c in df.columns])
+
+
 def hex16(fp: str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
