@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quadrat.llm import langid, lines, pieces, similar, windows
+from quadrat.llm import langid, lines, pieces, simhash, windows
 from quadrat.llm.queries import tokenizer_path
 from quadrat.session import cut_lineage, tune
 
@@ -12,31 +12,41 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; the model learns from the rows outside the held-out fold."""
+    """Documents whose language is recognised; the model learns from the rows outside the held-out fold.
+
+    Null texts and texts without a letter go, rows without an id are judged like others, repeated
+    rows alike, and very long texts as a whole.
+    """
     model = langid.fit(docs.filter(~langid.held_out("doc_id")))
     return langid.predict(docs, model).filter("not rejected").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that another document keeps; ``n_chars`` follows the text."""
+    """Texts without lines that another document keeps; ``n_chars`` follows the text.
+
+    Every row stays: null texts become empty, repeated rows are treated alike, rows without an
+    id are not changed.
+    """
     kept = lines.drop_repeated_lines(docs).withColumn("text", F.col("kept"))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8 or more); rows without an id stay."""
-    gone = similar.similar_groups(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """The document with the smallest id of each group of near copies (three-word shingles, two bits or fewer)."""
+    return simhash.one_of_each_group(docs).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark. Null and empty texts hold none and stay, as do all repeats of a clean row."""
     found = windows.find(docs, windows.patterns(spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
     return found.filter(F.size("spans") == 0).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, their number, and digests of the ids and of the text decoded from them."""
+    """Token ids of each text, their number, and digests of the ids and of the text decoded from them.
+
+    One row for each row, repeated ones and those without an id too; a null text counts as empty.
+    """
     coded = pieces.encode_decode(docs.select("doc_id", "text"), tokenizer_path())
     return coded.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), pieces.digest("ids").alias("ids_sha256"),
                         pieces.digest(F.col("decoded").cast("binary")).alias("decoded_sha256"))
