@@ -38,6 +38,14 @@ def test_rows_of_the_pipeline(spark):
     assert got == sorted(want) and 0 < len(got) < docs.count()
 
 
+def test_unlike_texts_of_one_id_stay_apart(spark):
+    a, b, c = "the cat sat on the mat and looked at the dog", "le chien court dans la rue avec un chat noir", "der Hund und die Katze sind in dem Haus"
+    rows = [(1, a), (5, a), (5, b), (5, b), (None, a), (None, c), (None, c), (9, None), (10, ""), (2, "w " * 100_000), (3, "w " * 200_000)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0, "x") for k, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, FP string").repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs, DATA).select("doc_id", "text").collect()
+    assert sorted((str(r[0]), r[1]) for r in kept) == sorted([("1", a), ("5", b), ("None", c), ("9", None), ("2", "w " * 100_000)], key=lambda r: (r[0], r[1]))
+
+
 def test_stages_keep_the_columns_and_take_odd_rows(spark):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     rows = [(i, f"the cat number {i} sat on the mat and looked at the dog for a while", "en", "s", 0) for i in range(30)]
