@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quadrat.functions import missing as M
 from quadrat.operators import describe as D, groups as G, quantiles as Q, reshape as R
+from quadrat.session import cut_lineage
 
 # Upper tiers (bound, code) above the quintiles (fixed values).
 POST_TIERS = ((500, 8), (200, 7), (100, 6))
@@ -48,7 +49,7 @@ def job_summary_lines(jobs: DataFrame) -> DataFrame:
 
 def company_bins(sizes: DataFrame) -> DataFrame:
     """Companies binned by postings and by vacancies."""
-    binned = Q.tiered_bins(sizes, "size_post", 5, POST_TIERS, "bins_post")
+    binned = Q.tiered_bins(cut_lineage(sizes), "size_post", 5, POST_TIERS, "bins_post")
     return Q.tiered_bins(binned, "size_vac", 5, VACANCY_TIERS, "bins_vac")
 
 

@@ -6,6 +6,7 @@ from quadrat.functions import missing as M
 from quadrat.operators import groups as G, merge as J, quantiles as Q, reshape as R
 from quadrat.queries.ordering import CUTS
 from quadrat.queries.registry import Tables, query
+from quadrat.session import cut_lineage
 
 
 @query("group_total_mean_max", """
@@ -29,7 +30,7 @@ def group_total_mean_max(t: Tables):
 def size_bins(t: Tables):
     """Customers binned by their order count: quintiles, then hard tiers."""
     size = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("size"))
-    return Q.tiered_bins(size, "size", 5, [(13, 6), (15, 7), (17, 8)], "bin")
+    return Q.tiered_bins(cut_lineage(size), "size", 5, [(13, 6), (15, 7), (17, 8)], "bin")
 
 
 @query("share_matrix_pivot", f"""

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quadrat.operators import groups as G, numbering as N, quantiles as Q
 from quadrat.queries.registry import Tables, query
+from quadrat.session import cut_lineage
 
 # Exact percentile cut points of column ``v`` of relation ``src`` as SQL.
 CUTS = """
@@ -62,7 +63,7 @@ def quantile_bins(t: Tables):
 """)
 def quantile_tiers(t: Tables):
     size = t.lineitem.groupBy("l_partkey").agg(F.sum("l_quantity").alias("size"))
-    return Q.tiered_bins(size, "size", 5, [(1200, 8), (1000, 7), (900, 6)], "bin").select("l_partkey", "bin")
+    return Q.tiered_bins(cut_lineage(size), "size", 5, [(1200, 8), (1000, 7), (900, 6)], "bin").select("l_partkey", "bin")
 
 
 @query("even_chunks", "SELECT doc_id, ntile(32) OVER (ORDER BY doc_id)::INTEGER AS chunk FROM documents")

@@ -185,3 +185,26 @@ def test_listwise(spark):
 def test_first_n_too_large(spark):
     with pytest.raises(ValueError):
         N.first_n(spark.range(3), ["id"], 5)
+
+
+def test_quantiles_when_the_sketch_misses(spark):
+    rng = random.Random(8)
+    xs = [round(rng.gauss(0, 100), 1) for _ in range(3000)] + [5.0] * 2000
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    ordered, ranks = sorted(xs), [1, 2, 700, 2500, 2501, 4999, 5000]
+    want = {r: ordered[r - 1] for r in ranks}
+    for guesses in ([(-50.0, -40.0), (-45.0, 5.0), (90.0, 91.0)], [(1e6, 2e6)], [(-1e6, 1e6)], [(5.0, 5.0)]):
+        for small in (10, 100_000):
+            assert Q.values_at_ranks(df, "x", ranks, bins=16, small=small, guesses=guesses) == want
+
+
+def test_quantiles_read_their_input_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(float(i),) for i in range(1000)], "x double").mapInArrow(counted, "x double")
+    assert Q.percentiles(df, "x", [10, 25, 50, 75, 90]) == [99.5, 249.5, 499.5, 749.5, 899.5] and reads.value == 1000
