@@ -18,7 +18,6 @@ from quadrat.session import cut_lineage, fan_out
 
 # Terms sent to the executors at a time.
 TERMS_AT_ONCE = 200_000
-_MARK = "\u0001"
 
 
 def substitution_table(cells: DataFrame, row: str = "row_no", items: str = "cells") -> DataFrame:
@@ -39,11 +38,9 @@ def substitution_table(cells: DataFrame, row: str = "row_no", items: str = "cell
 
 
 def _rewrite(text: Column, pattern: Column, table: Column) -> Column:
-    """Mark the matches, split at the marks, look up every second piece."""
-    pieces = F.split(F.regexp_replace(text, pattern, F.lit(f"{_MARK}$1{_MARK}")), _MARK)
-    return F.array_join(
-        F.transform(pieces, lambda x, i: F.when(i % 2 == 1, F.try_element_at(table, F.lower(x))).otherwise(x)), ""
-    )
+    """The text between the matches and, for each match, what the table has for it."""
+    between, met = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(1))
+    return F.array_join(F.zip_with(between, met, lambda x, m: F.concat(x, F.coalesce(F.try_element_at(table, F.lower(m)), m, F.lit("")))), "")
 
 
 def _parts(terms: DataFrame, limit: int) -> list[DataFrame]:

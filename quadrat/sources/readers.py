@@ -18,24 +18,73 @@ def read_csv(spark: SparkSession, path: Paths, schema: T.StructType | str, encod
     )
 
 
+# A quoted cell's text, and any number of whole cells with their commas; possessive, so matching needs no recursion.
+_QUOTED = r'(?:[^"]++|"")*+'
+_CELLS = rf'(?:(?:"{_QUOTED}"[^,]*+|[^",][^,]*+|),)*+'
+
+
 def read_ragged(spark: SparkSession, path: Paths, encoding: str = "ISO-8859-1") -> DataFrame:
     """Headerless rows of differing length: (row_no, cells); empty cells are dropped.
 
-    Quoted cells are parsed by Spark; ``row_no`` follows file and line order.
+    A quoted cell may hold commas, doubled quotes and line ends, and be of any length; a quote
+    inside an unquoted cell is an ordinary character. ``row_no`` follows file and first line.
+    An unclosed quote takes the rest of its file into one cell.
     """
-    text = spark.read.option("encoding", encoding).option("lineSep", "\n").csv(
-        path, schema="line string", sep="\u0001", quote="", ignoreLeadingWhiteSpace=False)
-    lines = with_line_numbers(text.select(
-        "line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos")))
-    # one row per file
-    files = lines.groupBy("file").agg(F.max("line_no").alias("last"))
-    before = F.sum(F.col("last") + 1).over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1))
-    numbered = lines.join(files.select("file", F.coalesce(before, F.lit(0)).alias("before")), "file").withColumn("row_no", F.col("line_no") + F.col("before"))
-    cell = F.regexp_extract_all(F.concat(F.lit(","), F.regexp_replace("line", "\r$", "")), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
-    plain = F.transform(cell, lambda x: F.trim(F.replace(F.regexp_replace(x, r'^"|"$', ""), F.lit('""'), F.lit('"'))))
+    text = spark.read.text(path, lineSep="\n")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos")]
+    line = F.regexp_replace(F.decode(F.col("value").cast("binary"), encoding), "\r$", "").alias("line")
+    lines = with_line_numbers(text.select(line, *place).withColumn("part", F.col("block")))
+    records = _whole_records(lines)
+    files = lines.groupBy("file").agg((F.max("line_no") + 1).alias("lines"))
+    numbered = records.join(_lines_before(files), "file").withColumn("row_no", F.col("line_no") + F.col("before"))
+    cell = F.regexp_extract_all(F.concat(F.lit(","), F.col("line")), F.lit(rf',("{_QUOTED}"|[^,]*+)'), F.lit(1))
+    plain = F.transform(cell, lambda x: F.trim(F.replace(F.regexp_replace(x, r'^"|"\z', ""), F.lit('""'), F.lit('"'))))
     return numbered.select("row_no", F.filter(plain, lambda x: x != "").alias("cells"))
 
 
+def _lines_before(files: DataFrame) -> DataFrame:
+    """``(file, before)``: how many lines stand in the files of smaller name. One row per file."""
+    before = F.sum("lines").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1))
+    return files.select("file", F.coalesce(before, F.lit(0)).alias("before"))
+
+
+def _whole_records(lines: DataFrame) -> DataFrame:
+    """``(file, line_no, line)`` with the lines of a quoted cell joined, under the number of the first.
+
+    Whether a line ends inside a quoted cell depends on whether it began inside one, so each
+    line is a function of one bit: it fixes the bit, keeps it, or turns it. The bit before a
+    line is what the last fixing line left, turned once for each turning line since. It is
+    worked out inside each file block, from a table with one row per block.
+    """
+    from_outside = F.col("line").rlike(rf'^{_CELLS}"{_QUOTED}\z')
+    from_inside = F.col("line").rlike(rf'^{_QUOTED}\z') | F.col("line").rlike(rf'^{_QUOTED}"[^,]*+,{_CELLS}"{_QUOTED}\z')
+    bits = lines.withColumns({"outside": from_outside, "inside": from_inside})
+    own = W.partitionBy("file", "part").orderBy("line_no").rowsBetween(W.unboundedPreceding, -1)
+    turns = F.coalesce(F.sum((F.col("outside") & ~F.col("inside")).cast("int")).over(own), F.lit(0))
+    fixed = F.when(F.col("outside") == F.col("inside"), F.struct("outside", "turns"))
+    bits = bits.withColumn("turns", turns).withColumn("fixed", F.last(fixed, ignorenulls=True).over(own))
+    after = bits.groupBy("file", "part").agg(
+        F.sum((F.col("outside") & ~F.col("inside")).cast("int")).alias("all_turns"), F.max_by(fixed, F.when(fixed.isNotNull(), F.col("line_no"))).alias("last_fixed"))
+    earlier = W.partitionBy("file").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    so_far = F.coalesce(F.sum("all_turns").over(earlier), F.lit(0))
+    left = F.when(F.col("last_fixed").isNotNull(), F.struct(F.col("last_fixed.outside").alias("bit"), (F.col("so_far") + F.col("last_fixed.turns")).alias("turns")))
+    entry = after.withColumn("so_far", so_far).withColumn("before", F.last(left, ignorenulls=True).over(earlier))
+    turned = lambda bit, n: (bit.cast("int") + n) % 2 == 1
+    entered = F.when(F.col("before").isNotNull(), turned(F.col("before.bit"), F.col("so_far") - F.col("before.turns"))).otherwise(F.col("so_far") % 2 == 1)
+    known = bits.join(entry.select("file", "part", entered.alias("entered")), ["file", "part"])
+    began = F.when(F.col("fixed").isNotNull(), turned(F.col("fixed.outside"), F.col("turns") - F.col("fixed.turns"))).otherwise(turned(F.col("entered"), F.col("turns")))
+    known = known.select("file", "part", "line_no", "line", began.alias("began"), F.when(began, F.col("inside")).otherwise(F.col("outside")).alias("open"))
+    single = known.filter("not began and not open").select("file", "line_no", "line")
+    pieces = known.filter("began or open")
+    first = W.partitionBy("file", "part").orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
+    pieces = pieces.withColumn("own_first", F.last(F.when(~F.col("began"), F.col("line_no")), ignorenulls=True).over(first))
+    parts = pieces.groupBy("file", "part").agg(F.max("own_first").alias("last_first"))
+    parts = parts.select("file", "part", F.last("last_first", ignorenulls=True).over(earlier).alias("carried"))
+    joined = pieces.join(parts, ["file", "part"]).groupBy("file", F.coalesce("own_first", "carried").alias("line_no")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("line"))
+    return single.unionByName(joined)
+
+
 def file_part(file_name: Column | str = "file") -> Column:
     """The part of a file name between the last underscore and its suffix."""
     return F.regexp_extract(file_name, r"([^_./]*)\.[^./]*$", 1)
