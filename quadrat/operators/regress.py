@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.functions import stats
 from quadrat.functions.keys import label_of, levels, value_label_of
-from quadrat.session import cut_lineage
+from quadrat.operators.graph import components
+from quadrat.session import Scratch, cut_lineage
 
 # --- design -----------------------------------------------------------------------------
 
@@ -106,6 +107,7 @@ class Fit:
     absorbed: int
     sample: DataFrame = field(repr=False)
     model: str = ""
+    steps: int = 0  # iterations of the fixed effects
 
     def rows(self) -> list[tuple]:
         out = []
@@ -166,17 +168,10 @@ def _prune_singletons(cells: DataFrame, keys: Sequence[tuple[str, ...]]) -> Data
 def _components(cells: DataFrame, a: tuple[str, ...], b: tuple[str, ...]) -> int:
     """Connected components of the graph that links levels of two absorbed keys."""
     def node(side: str, k: tuple[str, ...]) -> Column:
-        return F.concat_ws("\u0001", F.lit(side), *[F.col(c).cast("string") for c in k])
+        return F.to_json(F.struct(F.lit(side).alias("side"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(k)]))
 
-    edges = cut_lineage(cells.select(node("a", a).alias("u"), node("b", b).alias("v")).distinct())
-    label = edges.select("u").distinct().withColumn("label", F.col("u"))
-    while True:
-        to_v = edges.join(label, "u").groupBy("v").agg(F.min("label").alias("label"))
-        found = edges.join(to_v, "v").groupBy("u").agg(F.min("label").alias("found"))
-        label = cut_lineage(label.join(found, "u").select("u", F.col("found").alias("label"), (F.col("found") != F.col("label")).alias("changed")))
-        if not label.filter("changed").limit(1).count():
-            return label.agg(F.count_distinct("label")).first()[0]
-        label = label.drop("changed")
+    found, _ = components(cells.select(node("a", a).alias("u"), node("b", b).alias("v")))
+    return found.filter("node = root").count()
 
 
 def _nested_in(cells: DataFrame, key: tuple[str, ...], cluster: str | None) -> bool:
@@ -223,55 +218,63 @@ def _with_effects(rows: DataFrame, keys: Sequence[tuple[str, ...]], effects: Seq
 
 def _solve_effects(
     cells: DataFrame, keys: Sequence[tuple[str, ...]], columns: Sequence[str], scale: Mapping[str, float],
-    tol: float, max_sweeps: int,
-) -> list[DataFrame]:
-    """One table per key with the effects ``v_c`` whose sum is the projection of each column.
-
-    Keys are updated in turn: the new effects of a key are the means of what the other
-    keys leave over.  Two rounds (``r`` to ``u`` to ``v``) are run per step and
-    extrapolated (Irons and Tuck).  The cells stay as they are; each update writes one
-    row per level, so the plan does not grow with the iterations.
+    tol: float, max_steps: int,
+) -> tuple[list[DataFrame], int]:
+    """One table per key with the effects ``v_c`` whose sum is the projection of each column, and the steps taken.
+
+    The normal equations of the level effects are solved by conjugate gradients,
+    preconditioned with the level weights, for all columns at once. A step joins each cell
+    with the directions of its levels and adds the products up by level, all keys in one
+    shuffle; it writes one table with a row per level, and the table of the step before is
+    removed. It ends when no level's mean of what is left over exceeds ``tol`` times the
+    column's spread.
     """
     means = {c: F.col(f"m_{c}") for c in columns}
     if len(keys) == 1:
-        return [cut_lineage(_level_means(cells, keys[0], means, "v"))]
-
-    def update(i: int, tables: list[tuple[DataFrame, str]], name: str) -> DataFrame:
-        rows, residual = cells, dict(means)
-        for j, (k, (table, now)) in enumerate(zip(keys, tables)):
-            if j != i:
-                rows = rows.join(table.select(*k, *[F.col(f"{now}_{c}").alias(f"e{j}_{c}") for c in columns]), list(k))
-                residual = {c: r - F.col(f"e{j}_{c}") for c, r in residual.items()}
-        return cut_lineage(_level_means(rows, keys[i], residual, name).join(tables[i][0], list(keys[i])))
-
-    zero = {f"r_{c}": F.lit(0.0) for c in columns}
-    tables = [(cells.select(*k).distinct().withColumns(zero), "r") for k in keys]
+        return [cut_lineage(_level_means(cells, keys[0], means, "v"))], 0
+
+    def level(k: tuple[str, ...]) -> Column:
+        return F.array(*[F.col(c).cast("string") for c in k])
+
+    def by_level(rows: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
+        levels_ = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"l{i}").alias("level")) for i in range(len(keys))]))
+        spread = rows.select(levels_.alias("at"), *[e.alias(n) for n, e in sums.items()])
+        return spread.groupBy(F.col("at.k").alias("k"), F.col("at.level").alias("level")).agg(*[F.sum(n).alias(n) for n in sums])
+
+    scratch = Scratch(cells.sparkSession)
+    placed = scratch.cut(cells.select(*[level(k).alias(f"l{i}") for i, k in enumerate(keys)], "__w", *means.values()))
+    start = by_level(placed, {"d": F.col("__w"), **{f"r_{c}": F.col("__w") * m for c, m in means.items()}})
+    state = scratch.cut(start.filter("d > 0").withColumns({**{f"x_{c}": F.lit(0.0) for c in columns}, **{f"p_{c}": F.col(f"r_{c}") / F.col("d") for c in columns}}))
+    size = state.agg(*[F.sum(F.col(f"r_{c}") * F.col(f"r_{c}") / F.col("d")).alias(c) for c in columns]).first()
+    energy = {c: size[c] or 0.0 for c in columns}
     largest = float("inf")
-    for _ in range(0, max_sweeps, 2):
-        for name in ("u", "v"):
-            for i in range(len(keys)):
-                tables[i] = (update(i, tables, name), name)
-        found = [t for t, _ in tables]
-        rows = _with_effects(cells, keys, found, "ruv", columns)
-
-        def left(name: str, c: str) -> Column:
-            return reduce(lambda x, j: x - F.col(f"{name}{j}_{c}"), range(len(keys)), F.col(f"m_{c}"))
-
-        d1 = {c: left("v", c) - left("u", c) for c in columns}
-        d2 = {c: d1[c] - left("u", c) + left("r", c) for c in columns}
-        seen = rows.agg(
-            *[F.max(F.abs(d1[c])).alias(f"m_{c}") for c in columns],
-            *[F.sum(F.col("__w") * d1[c] * d2[c]).alias(f"p_{c}") for c in columns],
-            *[F.sum(F.col("__w") * d2[c] * d2[c]).alias(f"q_{c}") for c in columns],
-        ).first()
+    for steps in range(1, max_steps + 1):
+        rows = placed
+        for i in range(len(keys)):
+            rows = rows.join(state.filter(F.col("k") == i).select(F.col("level").alias(f"l{i}"), *[F.col(f"p_{c}").alias(f"p{i}_{c}") for c in columns]), f"l{i}")
+        total = {c: reduce(lambda a, b: a + b, [F.col(f"p{i}_{c}") for i in range(len(keys))]) for c in columns}
+        turned = by_level(rows, {f"q_{c}": F.col("__w") * e for c, e in total.items()})
+        met = scratch.cut(state.join(turned, ["k", "level"]))
+        scratch.drop(keep=(placed, met))
+        along = met.agg(*[F.sum(F.col(f"p_{c}") * F.col(f"q_{c}")).alias(c) for c in columns]).first()
+        alpha = {c: energy[c] / along[c] if along[c] and along[c] > 0 else 0.0 for c in columns}
+        x = {c: F.col(f"x_{c}") + F.lit(alpha[c]) * F.col(f"p_{c}") for c in columns}
+        r = {c: F.col(f"r_{c}") - F.lit(alpha[c]) * F.col(f"q_{c}") for c in columns}
+        seen = met.agg(
+            *[F.sum(r[c] * r[c] / F.col("d")).alias(f"e_{c}") for c in columns], *[F.max(F.abs(r[c]) / F.col("d")).alias(f"m_{c}") for c in columns]).first()
         largest = max((seen[f"m_{c}"] or 0.0) / scale[c] for c in columns)
         if largest < tol:
-            return found
-        factor = {c: seen[f"p_{c}"] / seen[f"q_{c}"] if seen[f"q_{c}"] else 0.0 for c in columns}
-        tables = [(t.select(*k, *[
-            (F.col(f"v_{c}") - F.lit(factor[c]) * (F.col(f"v_{c}") - F.col(f"u_{c}"))).alias(f"r_{c}") for c in columns
-        ]), "r") for k, t in zip(keys, found)]
-    raise ArithmeticError(f"fixed effects did not converge in {max_sweeps} sweeps (last change {largest:.3g})")
+            found = met.select("k", "level", *[x[c].alias(f"v_{c}") for c in columns])
+            effects = [cut_lineage(
+                cells.select(*k).distinct().withColumn("level", level(k)).join(found.filter(F.col("k") == i).drop("k"), "level").drop("level"))
+                for i, k in enumerate(keys)]
+            scratch.drop()
+            return effects, steps
+        beta = {c: seen[f"e_{c}"] / energy[c] if energy[c] else 0.0 for c in columns}
+        energy = {c: seen[f"e_{c}"] for c in columns}
+        state = met.select("k", "level", "d", *[x[c].alias(f"x_{c}") for c in columns], *[r[c].alias(f"r_{c}") for c in columns],
+                           *[(r[c] / F.col("d") + F.lit(beta[c]) * F.col(f"p_{c}")).alias(f"p_{c}") for c in columns])
+    raise ArithmeticError(f"fixed effects did not converge in {max_steps} steps (last mean left over {largest:.3g})")
 
 
 # --- estimator --------------------------------------------------------------------------
@@ -279,7 +282,7 @@ def _solve_effects(
 
 def absorb_regression(
     df: DataFrame, y: str, terms: Sequence[Term], absorb: Sequence[Sequence[str] | str],
-    weight: str | None = None, cluster: str | None = None, tol: float = 1e-8, max_sweeps: int = 1000,
+    weight: str | None = None, cluster: str | None = None, tol: float = 1e-9, max_sweeps: int = 1000,
     model: str = "",
 ) -> Fit:
     """Regress ``y`` on ``terms`` with absorbed fixed effects.
@@ -319,7 +322,7 @@ def absorb_regression(
         *([F.min(cluster).alias("__cmin"), F.max(cluster).alias("__cmax")] if cluster else []),
     )
     cells = _prune_singletons(cut_lineage(cells), keys)
-    effects = _solve_effects(cells, keys, values, scale, tol, max_sweeps)
+    effects, steps = _solve_effects(cells, keys, values, scale, tol, max_sweeps)
     # rows of dropped singletons have no level here and leave with the inner joins
     within = _with_effects(centred, keys, effects, "v", values)
     residual = {c: reduce(lambda x, j: x - F.col(f"v{j}_{c}"), range(len(keys)), F.col(c)) for c in values}
@@ -392,7 +395,7 @@ def absorb_regression(
         depvar=y, terms=[labels[i] for i in kept], omitted=[labels[i] for i in range(len(names)) if i not in kept],
         b=b, vcov=vcov, n=n, r2=1 - rss / tss if tss else float("nan"), r2_within=1 - rss / yy if yy else float("nan"),
         f=wald, ymean=totals["wy"] / totals["w"] + (shift["y"] or 0.0), df_model=k, df_resid=int(df_resid), clusters=m, absorbed=absorbed,
-        sample=sample, model=model,
+        sample=sample, model=model, steps=steps,
     )
 
 

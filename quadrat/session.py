@@ -80,3 +80,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Steps of an iteration: written like :func:`cut_lineage`, and removed when they are no longer read."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.made: list[tuple[str, DataFrame]] = []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path = new_folder(self.spark, "step")
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.made.append((path, back))
+        return back
+
+    def drop(self, keep: tuple[DataFrame, ...] = ()) -> None:
+        """Remove all steps but those of ``keep``; nothing lazy may depend on them any more."""
+        stay = [(path, df) for path, df in self.made if any(df is k for k in keep)]
+        for path, df in self.made:
+            if not any(df is k for k in keep):
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.made = stay

@@ -133,3 +133,28 @@ def test_wage_and_survey_tables(spark, data):
     assert lines[5] == r"State FE & Yes & Yes \\" and lines[7] == r"State $\times$ SOC FE & No & Yes \\" and lines[10] == r"Company FE & No & Yes \\"
     assert [r.line.split(" & ")[0] for r in survey.regression_table(fits).collect()] == [
         "tech_ai", "", "Observations", "Mean of dependent variable", "R-Squared", "F"]
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    from quadrat.operators.graph import components
+
+    chain = [(i, i + 1) for i in range(10_000)]
+    rows = chain + [(50_000, i) for i in range(50_001, 53_000)] + [(60_000, 60_000), (None, 3), (7, 6), (7, 6)]
+    found, rounds = components(spark.createDataFrame(rows, "u bigint, v bigint").repartition(4))
+    got = {r["node"]: r["root"] for r in found.collect()}
+    assert got == {i: 0 for i in range(10_001)} | {i: 50_000 for i in range(50_000, 53_000)} | {60_000: 60_000}
+    assert rounds <= 20
+    empty, rounds = components(spark.createDataFrame([], "u bigint, v bigint"))
+    assert empty.count() == 0
+
+
+def test_step_folders_are_removed(spark, data):
+    from pathlib import Path
+
+    from quadrat.session import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = len(list(folder.glob("step-*")))
+    fit = E.absorb_regression(spark.createDataFrame(data), "y", ["x", "z"], ["g", "h", "a"], cluster="g")
+    assert 0 < fit.steps <= 20
+    assert len(list(folder.glob("step-*"))) - before < 15  # cells, effects and products, nothing of the steps
