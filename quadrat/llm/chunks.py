@@ -2,8 +2,9 @@
 
 A gear hash rolls over the bytes of a text; a chunk ends where the top bits of the hash of
 the last 16 bytes are zero. Boundaries depend on those bytes alone, so text inserted before
-a passage moves none of the boundaries inside it. Chunks are compared by 64-bit digest;
-single chunks decide nothing: only a run of neighbouring chunks with enough words is dropped.
+a passage moves none of the boundaries inside it. Two neighbouring chunks together are
+compared by 64-bit digest, so that whatever counts as known stands in line somewhere else, and
+only a run of such pairs, each overlapping the next by a chunk, with enough words is dropped.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quadrat.llm.rows import append_columns, without
+from quadrat.llm.rows import joined_rows, without
 from quadrat.session import cut_lineage
 
 WINDOW = 16  # bytes that decide on a boundary
@@ -43,9 +44,10 @@ def ends(raw: bytes) -> list[int]:
 
 
 def chunks(raw: bytes) -> tuple[list[int], list[int]]:
-    """Chunk ends and signed 64-bit digests."""
+    """Chunk ends, and signed 64-bit digests of every two neighbours (of the only chunk, if there is one)."""
     stops = ends(raw)
-    digests = [xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip([0, *stops], stops)]
+    starts = [0, *stops]
+    digests = [xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(starts, stops[1:] or stops)]
     return stops, np.array(digests, np.uint64).view(np.int64).tolist()
 
 
@@ -54,24 +56,28 @@ def _words(part: bytes) -> int:
     return sum(1 if len(w) <= LONG or (n := len(w.decode())) <= LONG else n // UNIT for w in part.split())
 
 
+def runs(stops: list[int], digests: list[int], known: set[int]) -> list[tuple[int, int]]:
+    """Chunks [first, after last) of every run of known pairs; pairs overlap, so two runs may share no chunk but touch."""
+    found, first, width = [], None, 2 if len(stops) > 1 else 1
+    for i, d in enumerate([*digests, None]):
+        if d is not None and d in known:
+            first = i if first is None else first
+        elif first is not None:
+            found.append((first, i - 1 + width))
+            first = None
+    return [(a if k == 0 else max(a, found[k - 1][1]), b) for k, (a, b) in enumerate(found)]
+
+
 def _drop(text: str | None, known: list[int] | None) -> tuple[int, int, int, str]:
     raw = (text or "").encode()
     stops, digests = chunks(raw)
-    gone, kept, run, n = set(known or ()), [], [], 0
-    passages = 0
-    for a, b, d in [*zip([0, *stops], stops, digests), (len(raw), len(raw), None)]:
-        if d is not None and d in gone:
-            run.append((a, b))
-            continue
-        if run:
-            part = raw[run[0][0]:run[-1][1]]
-            if _words(part) >= RUN_WORDS:
-                n, passages = n + len(run), passages + 1
-            else:
-                kept.append(part)
-            run = []
-        kept.append(raw[a:b])
-    return len(stops), n, passages, b"".join(kept).decode()
+    kept, at, n, passages = [], 0, 0, 0
+    for a, b in runs(stops, digests, set(known)) if known else []:
+        start, end = stops[a - 1] if a else 0, stops[b - 1]
+        if _words(raw[start:end]) >= RUN_WORDS:
+            kept.append(raw[at:start])
+            at, n, passages = end, n + b - a, passages + 1
+    return len(stops), n, passages, b"".join([*kept, raw[at:]]).decode()
 
 
 def drop_repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -97,8 +103,5 @@ def drop_repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("key is not null")
     sent = cut_lineage(rows.mapInArrow(send, f"key {dict(rows.dtypes)['key']}, digest bigint"))
     shared = sent.groupBy("digest").agg(F.min("key").alias("owner"), F.max("key").alias("last")).filter("owner <> last").select("digest", "owner")
-    known = sent.join(shared, "digest").filter("key <> owner").groupBy("key").agg(F.collect_set("digest").alias("__known"))
-    both = df.join(known.withColumnRenamed("key", "__key"), F.col(key) == F.col("__key"), "left").drop("__key")
-    both = both.withColumn("__both", F.struct(F.col(text).alias("text"), F.col("__known").alias("known"))).drop("__known")
-    return append_columns(both, "__both", "n_chunks bigint, n_dropped bigint, n_passages bigint, kept string",
-                          lambda: lambda values: [_drop(v["text"], v["known"]) for v in values]).drop("__both")
+    known = sent.join(shared, "digest").filter("key <> owner").groupBy("key").agg(F.collect_set("digest").alias("known"))
+    return joined_rows(df, key, text, known.withColumnRenamed("key", "of"), "known", "n_chunks bigint, n_dropped bigint, n_passages bigint, kept string", _drop)

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quadrat.llm.rows import append_columns, without
+from quadrat.llm.rows import joined_rows, without
 from quadrat.session import cut_lineage
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -147,8 +147,5 @@ def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text",
     df = without(df, ["n_lines", "n_dropped", "kept"])
     lines = cut_lineage(suspects(df, key, text, bits).distinct())
     repeated = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.max("key").alias("owner")).filter(F.col("n") >= holders)
-    dropped = lines.join(repeated.select("line", "owner"), "line").filter("key <> owner").groupBy("key").agg(F.collect_list("line").alias("__dropped"))
-    both = df.join(dropped.withColumnRenamed("key", "__key"), F.col(key) == F.col("__key"), "left").drop("__key")
-    both = both.withColumn("__both", F.struct(F.col(text).alias("text"), F.col("__dropped").alias("dropped"))).drop("__dropped")
-    return append_columns(both, "__both", "n_lines bigint, n_dropped bigint, kept string",
-                          lambda: lambda rows: [_keep(r["text"], r["dropped"]) for r in rows]).drop("__both")
+    dropped = lines.join(repeated.select("line", "owner"), "line").filter("key <> owner").groupBy(F.col("key").alias("of")).agg(F.collect_list("line").alias("dropped"))
+    return joined_rows(df, key, text, dropped, "dropped", "n_lines bigint, n_dropped bigint, kept string", _keep)

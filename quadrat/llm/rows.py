@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
@@ -43,3 +43,15 @@ def append_columns(df: DataFrame, column: str, fields: str, make: Callable[[], C
                     names=[batch.schema.names[i] for i in old] + arrow.names)
 
     return kept.mapInArrow(step, schema)
+
+
+def joined_rows(df: DataFrame, key: str, text: str, found: DataFrame, name: str, fields: str, of: Callable[[object, object], tuple]) -> DataFrame:
+    """Add ``fields`` computed by ``of`` from the text of each row and what ``found`` (``of``, ``name``) has for its key.
+
+    The row travels in one column, so its own names cannot clash with those of the join.
+    """
+    rows = df.select(F.struct(*[f"`{c}`" for c in df.columns]).alias("row"), F.col(key).alias("key"))
+    both = rows.join(found, F.col("key") == F.col("of"), "left").select("row", F.struct(F.col("row")[text].alias("text"), F.col(name).alias("found")).alias("both"))
+    made = append_columns(both, "both", fields, lambda: lambda values: [of(v["text"], v["found"]) for v in values])
+    added = T._parse_datatype_string(fields).names
+    return made.select("row.*", *added)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.llm.rows import append_columns, without
 from quadrat.session import cut_lineage
@@ -119,31 +119,41 @@ def find(df: DataFrame, table: DataFrame, text: str = "text", limit: int = PATTE
     """Add ``n_words``, ``spans`` and ``items`` to every row: hit words as [first, after last, ...], and the items met.
 
     The patterns go to the executors in parts of bounded size, usually one; each part is one
-    pass over the texts. A null text has no words. Columns called like the new ones are replaced.
+    pass over the texts. A null or empty text has no words; every row is judged by itself, so
+    ties and repeated rows need no rule; an empty table stays empty, and without patterns nothing
+    is hit. Very long texts are searched whole. Columns called like the new ones are replaced.
     """
     context = df.sparkSession.sparkContext
     fields = "n_words bigint, spans array<bigint>, items array<string>"
-    out = df
-    for k, part in enumerate(_blocks(table, limit)):
+    kept = without(df, ["n_words", "spans", "items"])
+    rows = kept.select(F.struct(*[f"`{c}`" for c in kept.columns]).alias("row"), F.col(text).alias("text"))
+    found = None
+    for part in _blocks(table, limit):
         sent = context.broadcast([(bytes(r["words"]).split(b" "), r["item"]) for r in part.toLocalIterator()])
 
         def make(sent=sent):
             ready = searches(sent.value)
             return lambda texts: [scan(t, ready) for t in texts]
 
-        if k == 0:
-            out = append_columns(without(out, ["n_words", "spans", "items"]), text, fields, make)
+        if found is None:
+            found = append_columns(rows, "text", fields, make)
             continue
-        names = ["n_words", "spans", "items"]
-        out = append_columns(cut_lineage(out.withColumnsRenamed({n: f"{n}_so_far" for n in names})), text, fields, make)
-        both = F.concat("spans_so_far", "spans")
-        out = out.withColumn("spans", _union(both)).withColumn("items", F.array_distinct(F.concat("items_so_far", "items"))).drop(*[f"{n}_so_far" for n in names])
-    return out
+        before = cut_lineage(found.withColumnsRenamed({"spans": "spans_so_far", "items": "items_so_far"}))
+        found = append_columns(before, "text", fields, make)
+        found = found.select("row", "text", "n_words", _union(F.concat("spans_so_far", "spans")).alias("spans"),
+                             F.array_distinct(F.concat("items_so_far", "items")).alias("items"))
+    return found.select("row.*", "n_words", "spans", "items")
 
 
-@F.udf(T.ArrayType(T.LongType()), useArrow=True)
-def _union(flat):
-    return merged(list(zip(flat[::2], flat[1::2])))
+def _union(flat: Column) -> Column:
+    """Spans [first, after last, ...] joined where they touch or overlap."""
+    pairs = F.sort_array(F.transform(F.sequence(F.lit(0), (F.size(flat) / 2).cast("int") - 1), lambda i: F.struct(F.get(flat, 2 * i).alias("a"), F.get(flat, 2 * i + 1).alias("b"))))
+
+    def add(done: Column, span: Column) -> Column:
+        return F.when((F.size(done) > 0) & (span["a"] <= F.try_element_at(done, F.lit(-1))), F.concat(
+            F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.greatest(F.try_element_at(done, F.lit(-1)), span["b"])))).otherwise(F.concat(done, F.array(span["a"], span["b"])))
+
+    return F.when(F.size(flat) > 0, F.aggregate(pairs, F.array().cast("array<bigint>"), add)).otherwise(F.array().cast("array<bigint>"))
 
 
 def hit_words() -> Column:

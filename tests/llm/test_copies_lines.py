@@ -75,7 +75,7 @@ def got_lines(df, **kw):
 
 def test_lines(table):
     rows = line_rows()
-    df = table("doc_id bigint, text string, N_LINES int, line string", [(*r, 0, "z") for r in rows])
+    df = table("doc_id bigint, text string, N_LINES int, line string, __key int, __dropped int, __both int, of int, row int", [(*r, 0, "z", 0, 0, 0, 0, 0) for r in rows])
     assert got_lines(df) == brute_lines(rows)
 
 

@@ -50,7 +50,7 @@ def case():
 
 def test_find(table):
     docs, items = case()
-    df = table("doc_id bigint, text string, SPANS int, items string", [(*d, 1, "") for d in docs])
+    df = table("doc_id bigint, text string, SPANS int, items string, spans_so_far int, items_so_far int, row int", [(*d, 1, "", 0, 0, 0) for d in docs])
     bench = windows.patterns(table("item_id bigint, text string, words int", [(*i, 1) for i in items]))
     assert found(df, bench) == brute(docs, items)
     assert found(df, bench, limit=7) == brute(docs, items)  # several passes
