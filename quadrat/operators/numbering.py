@@ -7,6 +7,7 @@ hot, is ever held by one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -71,15 +72,11 @@ def with_group_position(
 
 def even_chunks(df: DataFrame, order: Sequence[ColumnLike], chunks: int, out: str = "chunk") -> DataFrame:
     """Contiguous chunks 1..k; the first ``n % k`` chunks hold one row more."""
-    numbered = with_row_numbers(df, order, out="__rn")
-    n = numbered.count()
-    size, extra = divmod(n, chunks)
+    numbered = _numbered(df, order, (), "__rn", 0, "__n")  # the number of rows comes with the offsets
+    rn, size, extra = F.col("__rn"), F.floor(F.col("__n") / chunks), F.col("__n") % chunks
     wide = extra * (size + 1)
-    rn = F.col("__rn")
-    chunk = F.when(rn < wide, F.floor(rn / F.lit(size + 1))).otherwise(
-        F.lit(extra) + F.floor((rn - F.lit(wide)) / F.lit(max(size, 1)))
-    )
-    return numbered.withColumn(out, (chunk + 1).cast("int")).drop("__rn")
+    chunk = F.when(rn < wide, F.floor(rn / (size + 1))).otherwise(extra + F.floor((rn - wide) / F.greatest(size, F.lit(1))))
+    return numbered.withColumn(out, (chunk + 1).cast("int")).drop("__rn", "__n")
 
 
 def floor_splits(df: DataFrame, order: Sequence[ColumnLike], splits: int, out: str = "split", by: Sequence[str] = ()) -> DataFrame:
@@ -96,25 +93,56 @@ def round_robin(df: DataFrame, order: Sequence[ColumnLike], ways: int, out: str
     return numbered.withColumn(out, F.pmod(F.col("__rn"), F.lit(ways)).cast("int")).drop("__rn")
 
 
+_FAN = 1 << 16  # blocks, blocks of blocks, .. that one window sees
+
+
+def _floor_div(c: str, n: int) -> Column:
+    """Whole-number division towards minus infinity, exact beyond the precision of doubles."""
+    whole = F.col(c).cast("bigint")
+    return F.call_function("div", whole - F.pmod(whole, F.lit(n).cast("bigint")), F.lit(n).cast("bigint"))
+
+
+def _opening(closing: DataFrame, keys: Sequence[str], levels: int) -> DataFrame:
+    """``(keys, __block, __opening)``: the last value that an earlier block of the key closed with.
+
+    Blocks are taken in groups of ``_FAN``; inside a group a window looks back, and what the
+    group opens with comes from the same step over the groups, which are ``_FAN`` times fewer.
+    On the last level all groups of a key fit in one window.
+    """
+    if levels == 0:
+        back = W.partitionBy(*keys, F.col("__block") * 0).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+        return closing.select(*keys, "__block", F.last("__closing", ignorenulls=True).over(back).alias("__opening"))
+    grouped = closing.withColumn("__group", _floor_div("__block", _FAN))
+    upper = grouped.groupBy(*keys, F.col("__group").alias("__block")).agg(
+        F.max_by("__closing", F.when(F.col("__closing").isNotNull(), F.col("__block"))).alias("__closing"))
+    above = _opening(cut_lineage(upper), keys, levels - 1)
+    back = W.partitionBy(*keys, "__group").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    inside = grouped.withColumn("__near", F.last("__closing", ignorenulls=True).over(back))
+    above = above.select(*[F.col(k).alias(f"__a{i}") for i, k in enumerate(keys)], F.col("__block").alias("__of_group"), F.col("__opening").alias("__far"))
+    on = F.col("__group") == F.col("__of_group")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__a{i}"))
+    return inside.join(above, on, "left").select(*keys, "__block", F.coalesce("__near", "__far").alias("__opening"))
+
+
 def forward_fill(
     df: DataFrame, value: str, line: str, by: Sequence[str] = (), out: str | None = None,
     block_lines: int = 1_000_000,
 ) -> DataFrame:
     """Carry the last non-missing ``value`` down the lines of each ``by`` group.
 
-    Lines are cut into blocks of ``block_lines`` consecutive numbers.  Each block is
-    filled on its own and takes its opening value from a table with one row per block.
+    Lines are cut into blocks of ``block_lines`` consecutive numbers. Each block is filled on
+    its own and takes its opening value from a scan over the blocks, the blocks of blocks, and
+    so on, so that no window sees all blocks of a table or of a hot group.
     """
     keys = list(by)
-    blocked = df.withColumn("__block", F.floor(F.col(line) / F.lit(block_lines)))
-    closing = blocked.groupBy(*keys, "__block").agg(
+    blocked = df.withColumn("__block", _floor_div(line, block_lines))
+    closing = cut_lineage(blocked.groupBy(*keys, "__block").agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(line))).alias("__closing")
-    )
-    earlier = W.partitionBy(*(keys or [F.lit(0)])).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
-    opening = closing.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__block").alias("__b"),
-        F.last("__closing", ignorenulls=True).over(earlier).alias("__opening"),
-    )
+    ))
+    levels = max(1, math.ceil((63 - math.log2(block_lines)) / math.log2(_FAN)))
+    opening = _opening(closing, keys, levels).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__block").alias("__b"), "__opening")
     on = F.col("__block") == F.col("__b")
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))

@@ -115,3 +115,23 @@ def ingest_incremental(t: Tables):
         papers.filter(group).drop("lang").write.mode("append").json(f"{root}/raw")
         ingest_papers(t.spark, f"{root}/raw", f"{root}/out", f"{root}/state")
     return t.spark.read.parquet(f"{root}/out/prepared").select("id", "batch")
+
+
+@query("title_map_runs", """
+    WITH kept AS (SELECT doc_id::VARCHAR AS id, doc_id % 5 = 0 AS changed, string_split(text, chr(10))[1] AS line FROM documents WHERE lang = 'en' AND 1950 + doc_id % 61 <= 1980 AND doc_id % 7 <> 3)
+    SELECT id, CASE WHEN changed THEN 'revised ' || id ELSE trim(regexp_replace(line, '\\s+', ' ', 'g')) END AS title FROM kept
+""")
+def title_map_runs(t: Tables):
+    """The title map after two runs, the second with new titles for some papers, and a compaction between reads."""
+    from quadrat.operators.ngrams import detector, fit
+    from quadrat.streaming.ingest import compact_titles, ingest_papers, title_map
+
+    root = new_folder(t.spark, "ingest")
+    papers = paper_table(t).drop("file_idx", "line_no").join(t.documents.filter("lang = 'en'").select(F.col("doc_id").cast("string").alias("id")), "id")
+    english = detector(fit(t.documents.filter("lang = 'en'"), "lang", "text"))
+    revised = papers.filter("id % 5 = 0").withColumn("title", F.concat(F.lit("revised "), "id"))
+    for run in (papers, revised):
+        run.write.mode("append").json(f"{root}/raw")
+        ingest_papers(t.spark, f"{root}/raw", f"{root}/out", f"{root}/state", detector=english)
+    compact_titles(t.spark, f"{root}/out", 1)
+    return title_map(t.spark, f"{root}/out")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quadrat.plans import papers as P
+from quadrat.session import cut_lineage
 from quadrat.sources.readers import file_part, parse_record, with_line_numbers
 
 
@@ -35,3 +36,28 @@ def ingest_papers(
         .trigger(availableNow=True).start()
     )
     stream.awaitTermination()
+
+
+def title_map(spark: SparkSession, target: str) -> DataFrame:
+    """``(id, title)`` over all batches so far: the title of an id's latest batch.
+
+    Batches are versions of the map. They are merged here by id, with one partial aggregation;
+    :func:`compact_titles` merges them for good, so that the work does not grow with the number
+    of runs. An empty folder is an error, as for any table.
+    """
+    versions = spark.read.option("recursiveFileLookup", "false").parquet(f"{target}/titles")
+    latest = versions.groupBy("id").agg(F.max_by("title", "batch").alias("title"))
+    return latest
+
+
+def compact_titles(spark: SparkSession, target: str, upto: int) -> None:
+    """Merge the title versions of batches ``0..upto`` into that of batch ``upto``.
+
+    The merged version is written beside the others and only then put in their place; a run
+    that is lost in between leaves versions that merge to the same map.
+    """
+    old = spark.read.parquet(f"{target}/titles").filter(F.col("batch") <= upto)
+    merged = cut_lineage(old.groupBy("id").agg(F.max_by("title", "batch").alias("title")))
+    merged.write.mode("overwrite").parquet(f"{target}/titles/batch={upto}")
+    for (number,) in old.select("batch").distinct().filter(F.col("batch") < upto).collect():  # one row per batch
+        spark.createDataFrame([], merged.schema).write.mode("overwrite").parquet(f"{target}/titles/batch={number}")

@@ -208,3 +208,19 @@ def test_quantiles_read_their_input_once(spark):
 
     df = spark.createDataFrame([(float(i),) for i in range(1000)], "x double").mapInArrow(counted, "x double")
     assert Q.percentiles(df, "x", [10, 25, 50, 75, 90]) == [99.5, 249.5, 499.5, 749.5, 899.5] and reads.value == 1000
+
+
+@pytest.mark.parametrize("by", [(), ("g",)])
+def test_forward_fill_of_sparse_lines(spark, by, monkeypatch):
+    monkeypatch.setattr(N, "_FAN", 1 << 12)
+    rng = random.Random(12)
+    lines = sorted(rng.sample(range(-500, 100_000), 400) + [2**62])
+    data = [(n, rng.choice(["a", "b", None]), rng.choice(["x", "y"]) if rng.random() < 0.2 else None) for n in lines]
+    got = N.forward_fill(spark.createDataFrame(data, "line bigint, g string, v string"), "v", "line", by=by, block_lines=10)
+    last, want = {}, []
+    for n, g, v in data:
+        last[g if by else 0] = v or last.get(g if by else 0)
+        want.append((n, g, last[g if by else 0]))
+    assert rows(got.select("line", "g", "v"), "line") == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
