@@ -4,14 +4,14 @@ A sample of the documents proposes frequent words and phrases at a lowered thres
 pass counts, exactly and over all documents, every word and every phrase whose two shorter
 parts (without its last and without its first word) are both proposed: the proposals and their
 negative border. A phrase of the border that turns out frequent is a failure of the sample: it
-joins the proposals, and a further pass counts the phrases that it opens, until a pass finds no
-failure. What is frequent is then known completely, whatever the sample proposed.
+joins the proposals, and an expansion pass counts the phrases that it opens, and those that these
+open in turn, until nothing is left to open. What is frequent is then known completely, whatever
+the sample proposed.
 
 The proposals reach the tasks as a Bloom filter over hashes of (language, phrase), sized for
 their number up to ``MOST_BITS``. Its rare false answers, and any beyond a full filter, only
-let more phrases be counted. The filter alone says in which pass a phrase is counted, the
-first in which it holds both parts, so that every phrase is counted in exactly one pass.
-Phrases are counted as strings, not as hashes.
+let more phrases be counted. The filters alone say in which pass a phrase is counted, so that
+every phrase is counted in one pass only. Phrases are counted as strings, not as hashes.
 """
 
 from __future__ import annotations
@@ -36,9 +36,9 @@ SCALE = 2_000_000
 NO_LANGUAGE = "und"
 ALL_WORDS = b""  # stands for the number of all words; no phrase is empty
 
-STEP = 256  # documents whose words exist at once
-WORDS_AT_ONCE = 1 << 20
-ENTRIES = 1 << 19  # counts held by a task before they are sent on
+STEP = 64  # documents whose words exist at once
+WORDS_AT_ONCE = 1 << 18
+ENTRIES = 1 << 18  # counts held by a task before they are sent on
 SLICES = 64
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29  # of the filter: 128 KiB to 64 MiB
 BITS_EACH = 12
@@ -89,20 +89,23 @@ class Filter:
         for s, packed in (slices or {}).items():
             self.bytes[s * self.per_slice // 8:(s + 1) * self.per_slice // 8] = np.frombuffer(packed, np.uint8)
 
-    def places(self, h: np.ndarray) -> Iterator[np.ndarray]:
-        base = (h >> _TOP_BITS) * np.uint64(self.per_slice)
-        low, step = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(26)) | np.uint64(1)
-        for k in range(PROBES):
-            yield base + (low + np.uint64(k) * step) % np.uint64(self.per_slice)
+    def place(self, h: np.ndarray, k: int) -> np.ndarray:
+        """Bit number of the k-th probe; slices have a power of two of bits."""
+        return (h >> _TOP_BITS) * np.uint64(self.per_slice) + ((h + np.uint64(k) * ((h >> np.uint64(26)) | np.uint64(1))) & np.uint64(self.per_slice - 1))
 
     def add(self, h: np.ndarray) -> None:
-        for p in self.places(h):
+        for k in range(PROBES):
+            p = self.place(h, k)
             np.bitwise_or.at(self.bytes, p >> np.uint64(3), np.left_shift(1, (p & np.uint64(7)).astype(np.uint8), dtype=np.uint8))
 
     def has(self, h: np.ndarray) -> np.ndarray:
-        found = np.ones(len(h), bool)
-        for p in self.places(h):
-            found &= (self.bytes[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        size, at = len(h), np.arange(len(h))  # those that all probes so far have found
+        for k in range(PROBES):
+            p = self.place(h, k)
+            hit = np.flatnonzero(self.bytes[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1)
+            at, h = at[hit], h[hit]
+        found = np.zeros(size, bool)
+        found[at] = True
         return found
 
     def slice(self, s: int) -> bytes:
@@ -137,40 +140,62 @@ def _bits_for(n: int) -> int:
     return min(max(LEAST_BITS, 1 << (BITS_EACH * n).bit_length()), MOST_BITS)
 
 
+class _Words:
+    """Hash of every word seen, and whether the filters hold it; the full stop between pieces is in none."""
+
+    def __init__(self, lang: str, now: Filter, before: Filter | None):
+        self.seed, self.now, self.before = np.uint64(xxhash.xxh64_intdigest(lang.encode())), now, before
+        self.number: dict[bytes, int] = {b".": 0}
+        self.hash, self.new, self.old = np.zeros(1, np.uint64), np.zeros(1, bool), np.zeros(1, bool)
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        fresh = list(set(words).difference(self.number))
+        if fresh:
+            self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh))))
+            h = np.array([xxhash.xxh64_intdigest(w) for w in fresh], np.uint64) ^ self.seed
+            self.hash = np.concatenate([self.hash, h])
+            self.new = np.concatenate([self.new, self.now.has(h)])
+            self.old = np.concatenate([self.old, np.zeros(len(h), bool) if self.before is None else self.before.has(h)])
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+
 class _Counts:
-    """Phrases of texts in one language after another, counted as far as the filters of this pass say."""
+    """Phrases of texts in one language after another, counted as far as the filters of this pass say.
+
+    The first pass (``before`` is None) counts all words and the phrases whose parts ``now``
+    holds. A later one counts what ``before`` left out: phrases whose parts ``now`` holds or
+    that are counted in this pass themselves.
+    """
 
     def __init__(self, now: Filter, before: Filter | None, longest: int):
         self.now, self.before, self.longest = now, before, longest
         self.counted: dict[str, Counter] = {}
-        self.hash: dict[bytes, int] = {}
+        self.known: dict[str, _Words] = {}
 
     def add(self, lang: str, words: list[bytes]) -> None:
         counted = self.counted.setdefault(lang, Counter())
         if self.before is None:
             counted.update(words)
             counted[ALL_WORDS] += len(words) - counted.pop(b".", 0)
-        known, hashed = self.hash, xxhash.xxh64_intdigest
-        for w in set(words).difference(known):
-            known[w] = hashed(w)
-        h1 = np.fromiter(map(known.__getitem__, words), np.uint64, len(words)) ^ np.uint64(hashed(lang.encode()))
-        if len(known) > ENTRIES:
-            known.clear()
-        inside = np.fromiter(map(b".".__ne__, words), bool, len(words))
-        h, new = h1, self.now.has(h1) & inside
-        old = np.zeros(len(h1), bool) if self.before is None else self.before.has(h1) & inside
+        known = self.known.setdefault(lang, _Words(lang, self.now, self.before))
+        at = known.numbers(words)
+        h1, new, old = known.hash[at], known.new[at], known.old[at]
+        h = h1
         for k in range(2, self.longest + 1):  # h, new, old: of the phrases of k - 1 words that start here
             both, held = new[:-1] & new[1:], old[:-1] & old[1:]
-            counted.update([b" ".join(words[i:i + k]) for i in np.flatnonzero(both & ~held).tolist()])
-            h = _joined(h[:-1], h1[k - 1:])
-            new, old = self._within(self.now, h, both), self._within(self.before, h, held)
-
-    @staticmethod
-    def _within(proposed: Filter | None, h: np.ndarray, where: np.ndarray) -> np.ndarray:
-        found, some = np.zeros(len(h), bool), np.flatnonzero(where)
-        if len(some):
-            found[some] = proposed.has(h[some])
-        return found
+            fresh = both & ~held
+            counted.update([b" ".join(words[i:i + k]) for i in np.flatnonzero(fresh).tolist()])
+            if k < self.longest:
+                h = _joined(h[:-1], h1[k - 1:])
+                new, old = np.zeros(len(h), bool), np.zeros(len(h), bool)
+                some = np.flatnonzero(both)
+                new[some] = self.now.has(h[some])
+                if self.before is not None:
+                    some = np.flatnonzero(held & new)
+                    old[some] = self.before.has(h[some])
+                    new |= fresh
+        if len(known.number) > ENTRIES:
+            del self.known[lang]
 
     def size(self) -> int:
         return sum(map(len, self.counted.values()))
@@ -221,29 +246,46 @@ def _with_held(rows: DataFrame, proposed: Filter) -> DataFrame:
     return rows.select("lang", "phrase", "f").mapInArrow(ask, "lang string, phrase string, f bigint, held boolean")
 
 
-def _mine(docs: DataFrame, proposals: DataFrame | None, threshold: int, longest: int) -> DataFrame:
-    """All ``(lang, phrase, f)`` with ``f >= threshold`` and up to ``longest`` words; the phrase ``ALL_WORDS`` has the number of all words.
+def _frequent(docs: DataFrame, now: Filter, before: Filter | None, threshold: int, longest: int) -> DataFrame:
+    """What a pass finds frequent, written: ``(lang, phrase, f, held)``, ``held`` if ``now`` has it."""
+    found = _counts(docs, now, before, longest).filter((F.col("f") >= threshold) | (F.col("phrase") == ALL_WORDS.decode()))
+    return cut_lineage(_with_held(found, now))
 
-    The first pass counts the proposals and their border, each further one what the failures
-    of the pass before it open. Without proposals this is the level-wise search.
-    """
-    now, before, counted = Filter(LEAST_BITS), None, None
-    if proposals is not None:
-        now = make_filter(proposals, _bits_for(2 * proposals.count()))
-    while True:
-        found = _counts(docs, now, before, longest).filter((F.col("f") >= threshold) | (F.col("phrase") == ALL_WORDS.decode()))
-        frequent = cut_lineage(_with_held(found, now))
-        counted = frequent if counted is None else counted.unionByName(frequent)
-        failed = frequent.filter(~F.col("held") & (F.col("phrase") != ALL_WORDS.decode()) & (F.size(F.split("phrase", " ")) < longest))
-        n = failed.count()
-        if n == 0:
-            return counted.select("lang", "phrase", "f")
-        if before is None and proposals is None:
-            grown, now = make_filter(failed, _bits_for(16 * n)), Filter(LEAST_BITS)  # nothing was proposed yet
-        else:
-            grown = make_filter(failed, now.bits)
-            grown.bytes |= now.bytes
+
+def _failed(frequent: DataFrame, longest: int) -> DataFrame:
+    """Frequent phrases that were not proposed and that longer ones may build on."""
+    return frequent.filter(~F.col("held") & (F.col("phrase") != ALL_WORDS.decode()) & (F.size(F.split("phrase", " ")) < longest))
+
+
+def _proposals(part: DataFrame, threshold: int) -> DataFrame:
+    """What the sample finds frequent, level by level; phrases of the greatest length need no proposal."""
+    words = _frequent(part, Filter(LEAST_BITS), None, threshold, 1)
+    found, now, before = words, make_filter(_failed(words, LONGEST), _bits_for(16 * words.count())), Filter(LEAST_BITS)
+    for longest in range(2, LONGEST):
+        level = _frequent(part, now, before, threshold, longest)
+        found = found.unionByName(level)
+        grown = make_filter(level, now.bits)
+        grown.bytes |= now.bytes
         now, before = grown, now
+    return found.filter(F.col("phrase") != ALL_WORDS.decode()).select("lang", "phrase").distinct()
+
+
+def _mine(docs: DataFrame, proposals: DataFrame, threshold: int) -> DataFrame:
+    """All ``(lang, phrase, f)`` with ``f >= threshold``; the phrase ``ALL_WORDS`` has the number of all words.
+
+    The first pass counts the proposals and their border. Failures of the border call for an
+    expansion pass, which goes on from a phrase that it opens to longer ones at once, without
+    waiting for its count: every phrase with frequent parts alone is then counted, so the
+    search is closed.
+    """
+    now = make_filter(proposals, _bits_for(2 * proposals.count()))
+    counted = _frequent(docs, now, None, threshold, LONGEST)
+    failed = _failed(counted, LONGEST)
+    if not failed.isEmpty():
+        grown = make_filter(failed, now.bits)
+        grown.bytes |= now.bytes
+        counted = counted.unionByName(_frequent(docs, grown, now, threshold, LONGEST))
+    return counted.select("lang", "phrase", "f")
 
 
 def frequent_phrases(df: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text", threshold: int = THRESHOLD, proposed: int = PROPOSED) -> tuple[DataFrame, DataFrame]:
@@ -257,8 +299,8 @@ def frequent_phrases(df: DataFrame, key: str = "doc_id", lang: str = "lang", tex
     text_bytes = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
     rows = df.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), text_bytes, F.col(key).cast("string").alias("key"))
     part = rows.filter(F.xxhash64("key").bitwiseAND(F.lit(SAMPLE - 1)) == 0).select("lang", "text")
-    proposals = _mine(part, None, proposed, LONGEST - 1)
-    counted = _mine(rows.select("lang", "text"), proposals, threshold, LONGEST)
+    proposals = cut_lineage(_proposals(cut_lineage(part), proposed))
+    counted = _mine(rows.select("lang", "text"), proposals, threshold)
     every = F.col("phrase") == ALL_WORDS.decode()
     return counted.filter(~every), counted.filter(every).select("lang", F.col("f").alias("n"))
 
