@@ -12,9 +12,12 @@ from quadrat.operators import groups as G
 from quadrat.operators.merge import ensure_unique, left_join_chain
 from quadrat.operators.numbering import forward_fill
 from quadrat.operators.reshape import to_wide
+from quadrat.session import cut_lineage
 
 # Age group -> category; 0 is all ages, 2 is 15-29, 3 is 30-49 (fixed values).
-AGE_CATEGORY = {0: 0, **{g: 1 for g in (1, 2, 3)}, **{g: 2 for g in (4, 5, 6)}, **{g: 3 for g in range(7, 11)}, **{g: 1 for g in range(11, 19)}}
+AGE_CATEGORY = {
+    0: 0, 1: 1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 2, 7: 3, 8: 3, 9: 3, 10: 3, 11: 1, 12: 1, 13: 1, 14: 1, 15: 1, 16: 1, 17: 1, 18: 1,
+}
 AGE_NAMES = {0: "AllAges", 2: "Ages15_29", 3: "Ages30_49"}
 # Two counties that were one entity in the other sources (fixed values).
 SPLIT_COUNTIES, JOINED_COUNTY = ["02063", "02066"], "02261"
@@ -106,5 +109,5 @@ def county_table(t: Mapping[str, DataFrame]) -> DataFrame:
         law_officers(t["law_employees"], counties), opioids, unemployment_counts(t["unemployment"]),
         education_shares(t["education"]), vote_shares(t["party_votes"]),
     ]
-    joined = left_join_chain(base, [ensure_unique(p, ["FIPS"]) for p in parts], "FIPS")
+    joined = left_join_chain(base, [ensure_unique(cut_lineage(p), ["FIPS"]) for p in parts], "FIPS")  # a row per county
     return joined.select(*[F.col(f"`{c}`") for c in FINAL_COLUMNS]).orderBy(F.col("State").asc_nulls_last(), F.col("County").asc_nulls_last())

@@ -154,7 +154,7 @@ def read_prompt(spark: SparkSession, path: str) -> str:
 
 
 def read_monthly(spark: SparkSession, path: Paths, schema: T.StructType | str) -> DataFrame:
-    """Monthly CSV files read as one table, the month taken from the date in the file name."""
+    """Monthly CSV files read as one table, the month taken from the date in the name of the file or its folder."""
     rows = spark.read.schema(schema).option("header", True).csv(path)
-    stamp = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{8})", 1)
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), r".*_(\d{8})(?=[_./])", 1)
     return rows.select("*", F.month(F.to_date(stamp, "yyyyMMdd")).alias("file_month"))
