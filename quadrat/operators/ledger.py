@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quadrat.session import fan_out, new_folder
+from quadrat.session import cut_lineage, fan_out, new_folder
 
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -66,15 +67,18 @@ def run_until_done(
     ])
     booked = read_ledger(spark, ledger, schema)
     first = (booked.agg(F.max("attempt")).first()[0] or 0) + 1
+    pending = df.join(booked.filter("ok").select(*keys), list(keys), "left_anti")
     for attempt in range(first, first + max_tries):
-        done = booked.filter("ok").select(*keys)
-        pending = df.join(done, list(keys), "left_anti")
         make = (lambda n=attempt: load(n)) if attempt_arg else load
         outcome = attempt_rows(pending, keys, make, result, batch_rows).withColumn("attempt", F.lit(attempt))
         outcome.write.mode("append").parquet(ledger)
         booked = read_ledger(spark, ledger, schema)
-        if booked.filter((F.col("attempt") == attempt) & ~F.col("ok")).limit(1).count() == 0:
+        failed = booked.filter((F.col("attempt") == attempt) & ~F.col("ok")).select(*keys).distinct()
+        if failed.isEmpty():
             break
+        again = failed.withColumnsRenamed({k: f"__failed_{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__failed_{k}")) for k in keys])
+        pending = cut_lineage(pending.join(again, same, "left_semi"))  # the next round reads only what failed in this one
     from quadrat.operators.groups import first_rows
 
     return first_rows(booked, keys, [F.col("ok").desc(), F.col("attempt").desc()])

@@ -44,27 +44,33 @@ def merge_one_to_many(
 
     ``keep`` lists the wanted origins: 1 master only, 2 using only, 3 both.  Missing
     keys match missing keys.  A column found on both sides takes the master value on
-    matched rows.  The using side is the left of the join, so a hot key can be split.
+    matched rows.  The using side is the left of the join, so a hot key can be split; rows
+    of the master alone come from an anti-join with the distinct keys, not from a full join.
     """
     keys = list(on)
     if validate:
         ensure_unique(master.select(*keys), keys)
-    m = master.withColumn("__m", F.lit(True)).alias("m")
-    u = using.withColumn("__u", F.lit(True)).alias("u")
-    kept = set(keep)
-    how = (
-        "inner" if kept == {3} else "left" if 1 not in kept else "right" if 2 not in kept else "full"
-    )
-    joined = u.join(m, _same_keys(keys, "u", "m"), how)
-    in_m, in_u = F.col("m.__m").isNotNull(), F.col("u.__u").isNotNull()
-    origin = F.when(in_m & in_u, 3).when(in_m, 1).otherwise(2)
-    out = []
-    for c in [*keys, *[c for c in master.columns if c not in keys]]:
-        side = F.when(in_m, F.col(f"m.`{c}`"))
-        out.append((side.otherwise(F.col(f"u.`{c}`")) if c in using.columns else side).alias(c))
-    out += [F.col(f"u.`{c}`") for c in using.columns if c not in master.columns]
-    picked = joined if kept == {1, 2, 3} else joined.filter(origin.isin([int(k) for k in kept]))
-    return picked.select(*out, *([origin.alias(indicator)] if indicator else []))
+    m, u = master.withColumn("__m", F.lit(True)).alias("m"), using.alias("u")
+    kept = {int(k) for k in keep}
+    rest = [c for c in master.columns if c not in keys]
+    own = [c for c in using.columns if c not in master.columns]
+    legs = []
+    if kept & {2, 3}:
+        joined = u.join(m, _same_keys(keys, "u", "m"), "left" if 2 in kept else "inner")
+        both = F.col("m.__m").isNotNull()
+        out = []
+        for c in [*keys, *rest]:
+            side = F.when(both, F.col(f"m.`{c}`"))
+            out.append((side.otherwise(F.col(f"u.`{c}`")) if c in using.columns else side).alias(c))
+        out += [F.col(f"u.`{c}`") for c in own]
+        picked = joined if kept & {2, 3} != {2} else joined.filter(~both)
+        legs.append(picked.select(*out, *([F.when(both, 3).otherwise(2).alias(indicator)] if indicator else [])))
+    if 1 in kept:  # the master rows that no using row has; every using key counts once here
+        seen = using.select(*keys).distinct().alias("u")
+        alone = m.join(seen, _same_keys(keys, "m", "u"), "left_anti")
+        empty = [F.lit(None).cast(using.schema[c].dataType).alias(c) for c in own]
+        legs.append(alone.select(*[F.col(f"m.`{c}`") for c in [*keys, *rest]], *empty, *([F.lit(1).alias(indicator)] if indicator else [])))
+    return reduce(lambda x, y: x.unionByName(y), legs)
 
 
 def left_join_chain(base: DataFrame, tables: Sequence[DataFrame], on: str) -> DataFrame:
