@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.functions import stats
 from quadrat.functions.missing import complete_cases
+from quadrat.session import cut_lineage
 
 # statistic name -> aggregate of one column
 _STATISTICS = {
@@ -42,7 +43,7 @@ def tabulate(df: DataFrame, c: str, weight: str | None = None) -> DataFrame:
     """One-way percent; rows with a missing value or weight are left out."""
     w = F.lit(1.0) if weight is None else F.col(weight)
     rows = complete_cases(df, [c] if weight is None else [c, weight])
-    counted = rows.groupBy(c).agg(F.sum(w).alias("w"))
+    counted = cut_lineage(rows.groupBy(c).agg(F.sum(w).alias("w")))  # a row per category, read twice
     return counted.select(c, (F.lit(100.0) * F.col("w") / counted.agg(F.sum("w")).scalar()).alias("pct"))
 
 
@@ -50,10 +51,10 @@ def crosstab(df: DataFrame, row: str, column: str, weight: str | None = None) ->
     """Two-way percent of the grand total in long form, margins marked ``Total``."""
     w = F.lit(1.0) if weight is None else F.col(weight)
     rows = complete_cases(df, [row, column] if weight is None else [row, column, weight])
-    cube = rows.cube(row, column).agg(
+    cube = cut_lineage(rows.cube(row, column).agg(
         F.sum(w).alias("w"), F.grouping(row).alias("__gr"), F.grouping(column).alias("__gc")
-    )
-    grand = rows.agg(F.sum(w)).scalar()
+    ))
+    grand = cube.filter("__gr = 1 and __gc = 1").select("w").agg(F.max("w")).scalar()
 
     def shown(c: str) -> Column:
         return F.when(F.col("__gr" if c == row else "__gc") == 1, "Total").otherwise(F.col(c).cast("string")).alias(c)

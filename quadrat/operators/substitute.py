@@ -7,7 +7,7 @@ is one pass over the texts, and nothing is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -49,23 +49,29 @@ def _parts(terms: DataFrame, limit: int) -> list[DataFrame]:
     return [terms] if n == 1 else [terms.filter(F.pmod(F.xxhash64(*terms.columns), F.lit(n)) == k) for k in range(n)]
 
 
-def with_terms(df: DataFrame, text: str, terms: DataFrame, out: str, limit: int | None = None) -> DataFrame:
+def _listed(c: str | Sequence[str]) -> list[str]:
+    return [c] if isinstance(c, str) else list(c)
+
+
+def with_terms(df: DataFrame, text: str | Sequence[str], terms: DataFrame, out: str | Sequence[str], limit: int | None = None) -> DataFrame:
     """Add ``out``: an array of the rows of ``terms`` whose first column occurs in the text, in any case of A-Z.
 
     A term occurs wherever its characters do; whether it stands as a whole word is left to the
-    pattern built from it. A null text has none.
+    pattern built from it. A null text has none. Several texts of a row (with as many names in
+    ``out``) are searched in the same pass, by one automaton.
     """
+    texts, outs = _listed(text), _listed(out)
     kind = T.ArrayType(terms.schema)
-    done = df.withColumn(out, F.array().cast(kind))
+    done = df.withColumns({o: F.array().cast(kind) for o in outs})
     for part in _parts(terms, limit or TERMS_AT_ONCE):
         sent = df.sparkSession.sparkContext.broadcast([r.asDict(recursive=True) for r in part.toLocalIterator()])
-        done = done.mapInArrow(_finder(done, text, terms.columns[0], out, sent), done.schema)
+        done = done.mapInArrow(_finder(done, texts, terms.columns[0], outs, sent), done.schema)
     return done
 
 
-def _finder(df: DataFrame, text: str, term_name: str, out: str, sent):
-    at, to = df.columns.index(text), df.columns.index(out)
-    field = to_arrow_schema(T.StructType([df.schema[out]]))[0].type
+def _finder(df: DataFrame, texts: list[str], term_name: str, outs: list[str], sent):
+    places = [(df.columns.index(t), df.columns.index(o)) for t, o in zip(texts, outs)]
+    field = to_arrow_schema(T.StructType([df.schema[outs[0]]]))[0].type
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
@@ -82,12 +88,13 @@ def _finder(df: DataFrame, text: str, term_name: str, out: str, sent):
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
-                met = []
-                for value, before in zip(batch.column(at).to_pylist(), batch.column(to).to_pylist()):
-                    hits = {i for _, own in automaton.iter(_plain(value)) for i in own} if value and by_term else ()
-                    met.append(before + [rows[i] for i in sorted(hits)])
                 columns = list(batch.columns)
-                columns[to] = pa.array(met, field)
+                for at, to in places:
+                    met = []
+                    for value, before in zip(batch.column(at).to_pylist(), batch.column(to).to_pylist()):
+                        hits = {i for _, own in automaton.iter(_plain(value)) for i in own} if value and by_term else ()
+                        met.append(before + [rows[i] for i in sorted(hits)])
+                    columns[to] = pa.array(met, field)
                 yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return find
@@ -102,14 +109,19 @@ def _quoted(term: Column) -> Column:
     return F.concat(F.lit(r"\Q"), F.replace(term, F.lit(r"\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E"))
 
 
-def substitute_by_table(df: DataFrame, key: str, text: str, table: DataFrame, out: str) -> DataFrame:
+def substitute_by_table(df: DataFrame, key: str, text: str | Sequence[str], table: DataFrame, out: str | Sequence[str]) -> DataFrame:
     """Replace whole-word variants (any case) in one pass; replacements are not rescanned."""
-    found = with_terms(fan_out(df), text, table.select("variant", "canonical", "rank"), "__hits")
-    hits = F.array_sort(F.transform("__hits", lambda h: F.struct(h["rank"].alias("rank"), h["variant"].alias("variant"), h["canonical"].alias("canonical"))))
-    pattern = F.concat(F.lit(r"(?i)\b("), F.array_join(F.transform(hits, lambda h: _quoted(h["variant"])), "|"), F.lit(r")\b"))
-    lookup = F.map_from_entries(F.transform(hits, lambda h: F.struct(h["variant"], h["canonical"])))
-    changed = F.when(F.size("__hits") > 0, _rewrite(F.col(text), pattern, lookup)).otherwise(F.col(text))
-    return found.withColumn(out, changed).drop("__hits")
+    texts, outs = _listed(text), _listed(out)
+    hit = [f"__hits{i}" for i in range(len(texts))]
+    found = with_terms(fan_out(df), texts, table.select("variant", "canonical", "rank"), hit)
+
+    def changed(t: str, h: str) -> Column:
+        hits = F.array_sort(F.transform(h, lambda x: F.struct(x["rank"].alias("rank"), x["variant"].alias("variant"), x["canonical"].alias("canonical"))))
+        pattern = F.concat(F.lit(r"(?i)\b("), F.array_join(F.transform(hits, lambda x: _quoted(x["variant"])), "|"), F.lit(r")\b"))
+        lookup = F.map_from_entries(F.transform(hits, lambda x: F.struct(x["variant"], x["canonical"])))
+        return F.when(F.size(h) > 0, _rewrite(F.col(t), pattern, lookup)).otherwise(F.col(t))
+
+    return found.withColumns({o: changed(t, h) for t, o, h in zip(texts, outs, hit)}).drop(*hit)
 
 
 def cleaned_places(places: DataFrame, c: str) -> DataFrame:
@@ -117,10 +129,15 @@ def cleaned_places(places: DataFrame, c: str) -> DataFrame:
     return places.select(clean_place(c).alias("place")).filter("place is not null").distinct()
 
 
-def remove_places(df: DataFrame, key: str, text: str, places: DataFrame, out: str) -> DataFrame:
+def remove_places(df: DataFrame, key: str, text: str | Sequence[str], places: DataFrame, out: str | Sequence[str]) -> DataFrame:
     """Remove every listed place name from the text, of nested names the longer one first."""
-    found = with_terms(fan_out(df), text, places.select("place").distinct(), "__hits")
-    longest = F.array_sort(F.transform("__hits", lambda h: F.struct((-F.length(h["place"])).alias("n"), h["place"].alias("place"))))
-    pattern = F.concat(F.lit(r"(?i)\b("), F.array_join(F.transform(longest, lambda h: _quoted(h["place"])), "|"), F.lit(r")\b\s*"))
-    changed = F.when(F.size("__hits") > 0, F.regexp_replace(F.col(text), pattern, F.lit(" "))).otherwise(F.col(text))
-    return found.withColumn(out, changed).drop("__hits")
+    texts, outs = _listed(text), _listed(out)
+    hit = [f"__hits{i}" for i in range(len(texts))]
+    found = with_terms(fan_out(df), texts, places.select("place").distinct(), hit)
+
+    def changed(t: str, h: str) -> Column:
+        longest = F.array_sort(F.transform(h, lambda x: F.struct((-F.length(x["place"])).alias("n"), x["place"].alias("place"))))
+        pattern = F.concat(F.lit(r"(?i)\b("), F.array_join(F.transform(longest, lambda x: _quoted(x["place"])), "|"), F.lit(r")\b\s*"))
+        return F.when(F.size(h) > 0, F.regexp_replace(F.col(t), pattern, F.lit(" "))).otherwise(F.col(t))
+
+    return found.withColumns({o: changed(t, h) for t, o, h in zip(texts, outs, hit)}).drop(*hit)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.functions import text as X
 from quadrat.operators.substitute import remove_places, substitute_by_table
@@ -12,23 +12,28 @@ from quadrat.session import fan_out
 
 
 def clean_text(
-    df: DataFrame, key: str, c: str, out: str, places: DataFrame, phrases: DataFrame, words: DataFrame,
+    df: DataFrame, key: str, c: str | Sequence[str], out: str | Sequence[str], places: DataFrame, phrases: DataFrame, words: DataFrame,
     stopwords: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add the cleaned text of ``c``; the order of the steps is part of the result.
 
     Markup and Unicode first, then character classes, stopwords, places, organisation
-    abbreviations, and at last the phrase and the word dictionary.
+    abbreviations, and at last the phrase and the word dictionary. Several texts of a row go
+    through each list together.
     """
+    given, outs = ([c], [out]) if isinstance(c, str) else (list(c), list(out))
     stop = X.english_stopwords() if stopwords is None else stopwords
-    rough = X.squeeze(F.coalesce(X.decomposed_text(F.col(c)), F.lit("")))
-    rough = X.space_after_comma(X.keep_name_characters(X.sentence_marks(rough)))
-    step = df.withColumn(out, X.squeeze(X.drop_words(rough, stop)))
-    step = remove_places(step, key, out, places, out)
-    step = step.withColumn(out, X.squeeze(X.collapse_dots(X.drop_words(out, X.ORG_ABBREVIATIONS))))
-    step = substitute_by_table(step, key, out, phrases, out)
-    step = substitute_by_table(step, key, out, words, out)
-    return step.withColumn(out, X.squeeze(X.collapse_dots(out)))
+
+    def rough(name: str) -> Column:
+        text = X.squeeze(F.coalesce(X.decomposed_text(F.col(name)), F.lit("")))
+        return X.squeeze(X.drop_words(X.space_after_comma(X.keep_name_characters(X.sentence_marks(text))), stop))
+
+    step = df.withColumns({o: rough(g) for g, o in zip(given, outs)})
+    step = remove_places(step, key, outs, places, outs)
+    step = step.withColumns({o: X.squeeze(X.collapse_dots(X.drop_words(o, X.ORG_ABBREVIATIONS))) for o in outs})
+    step = substitute_by_table(step, key, outs, phrases, outs)
+    step = substitute_by_table(step, key, outs, words, outs)
+    return step.withColumns({o: X.squeeze(X.collapse_dots(o)) for o in outs})
 
 
 def clean_names(
@@ -36,8 +41,7 @@ def clean_names(
     stopwords: Sequence[str] | None = None,
 ) -> DataFrame:
     """(key, nameDesc_clean): both texts cleaned, placeholders dropped, joined."""
-    rows = fan_out(df.select(key, name, description))
-    for c in (name, description):
-        rows = clean_text(rows, key, c, f"{c}_clean", places, phrases, words, stopwords)
+    both = (name, description)
+    rows = clean_text(fan_out(df.select(key, *both)), key, both, [f"{c}_clean" for c in both], places, phrases, words, stopwords)
     parts = [X.drop_placeholder(f"{c}_clean") for c in (name, description)]
     return rows.select(key, X.join_name_parts(*parts).alias("nameDesc_clean"))

@@ -42,12 +42,12 @@ def json_map_round_trip(t: Tables):
 
 
 @query("json_by_file", """
-    SELECT source AS file_idx, count(*) AS n, sum(doc_id)::BIGINT AS ids, sum(length(coalesce(text, '')))::BIGINT AS characters FROM documents WHERE source IS NOT NULL GROUP BY 1
+    SELECT source AS file_idx, count(*) AS n, sum(doc_id)::BIGINT AS ids, sum(length(coalesce(text, '')))::BIGINT AS characters FROM documents GROUP BY 1
 """)
 def json_by_file(t: Tables):
     """Documents as JSON lines by origin, read back."""
     path = new_folder(t.spark, "by_file")
-    O.write_json_by_file(t.documents.filter("source is not null").select("doc_id", "text", F.col("source").alias("file_idx")), path)
+    O.write_json_by_file(t.documents.select("doc_id", "text", F.col("source").alias("file_idx")), path)
     rows = t.spark.read.schema("doc_id bigint, text string, file_idx string").json(path)
     return rows.groupBy("file_idx").agg(
         F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("ids"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("characters"))

@@ -1,28 +1,11 @@
-"""Registered queries next to their SQL on the smallest tables.
-
-A spread of queries runs by default; ``QUADRAT_ALL=1`` runs every one of them, and
-``tests/compare.py`` does the same at any scale factor.
-"""
-
-import os
+"""Every registered query next to its SQL on the smallest tables; ``tests/compare.py`` does the same at any scale factor."""
 
 import pytest
 from compare import DATA, connect, difference
 
 import __spark_entry__ as entry_points
+from quadrat.queries import ORACLES
 
-FORMATS = [
-    "ragged_rows", "json_map_round_trip", "json_by_file", "map_and_matrix", "vector_sink", "right_join_codes", "fe_singletons",
-    "missing_sorted_last", "worker_model",
-]
-TABLES = ["format_stars", "fe_interactions", "publication_table", "job_summary_lines"]
-QUICK = [
-    "key_pad_compose", "number_parse", "sentinel_missing", "onehot_encode", "left_join_chain", "validated_merge_indicator",
-    "worklist_expand_report", "group_total_mean_max", "share_matrix_pivot", "composition_rank", "forward_fill_by_key", "quantile_tiers",
-    "even_chunks", "weighted_crosstab", "ttest_groups", "wls_one_way_fe", "abstract_rebuild", "name_clean", "html_links", "village_tables",
-    "compose_inputs", "retry_ledger", *FORMATS, *TABLES,
-]
-NAMES = sorted(entry_points.oracle_sql()) if os.environ.get("QUADRAT_ALL") else QUICK
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="shared tables are not here")
 
 
@@ -31,7 +14,7 @@ def con():
     return connect("sf0.001")
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
     df = entry_points.queries()[name](spark, str(DATA / "sf0.001"))
     assert difference(df, con, entry_points.oracle_sql()[name]) is None
