@@ -34,7 +34,8 @@ def examples(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", r
     assistant turn, or of a conversation without one, make a last example with nothing
     trainable. Null texts and roles count as empty; turns of equal number stand in the order of
     role and text, null numbers first, repeated rows are kept; rows without a conversation form
-    one of their own.
+    one of their own. An empty table gives no example. A conversation, and each example, is one
+    value of a row, however long its texts are.
     """
     blank = F.lit("")
     said = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), blank).alias("role"), F.coalesce(F.col(text), blank).alias("text"))
@@ -62,7 +63,14 @@ def turns_of(text: str) -> Column:
 
 
 def read_back(made: DataFrame, conversation: str = "conv_id") -> DataFrame:
-    """Per conversation: turns and trainable text as the examples say them, as counts and digests."""
+    """Per conversation: turns and trainable text as the examples say them, as counts and digests.
+
+    Expects the rows of ``examples``: one example of each conversation is ``whole``, and
+    ``example_no`` orders the others. An empty text has the digest of nothing; a conversation
+    without assistant turns has an empty trainable text; rows without a conversation are one of
+    their own. Repeated turns count each. An empty table gives no row. The trainable text of a
+    conversation is one value of a row, however long it is.
+    """
     loss = unescape(F.substr("text", (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int")))
     said = F.when(F.col("whole"), turns_of("text"))
     rows = made.select(conversation, "example_no", F.length("text").alias("chars"), loss.alias("loss"), F.size(said).alias("n_turns"),

@@ -90,7 +90,7 @@ def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among the unlabelled, from scores of texts the first model did not see."""
+    """Share of positives among the unlabelled, from scores of texts the first model did not see; kept between 0.05 and 0.98."""
     w = _descend(positive[::2], unlabelled[::2], 0)
     p, u = (np.sort(x[1::2] @ w[:-1] + w[-1]) for x in (positive, unlabelled))
     cuts = p[:max(len(p) // 2, 1)]  # cuts that keep at least half of the positives

@@ -103,7 +103,8 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
     Rows of one fingerprint are one group from the start, however many they are; a fingerprint
     of a text without words (null texts too) is 0 and links like any other. Repeated rows stay
-    repeated. A null key keeps its row and gets the group's smallest key that is not null.
+    repeated. A null key keeps its row and gets the group's smallest key that is not null. Very
+    long texts are read whole, some thousand shingles at a time; an empty table gives no row.
     """
     docs = cut_lineage(with_fingerprint(df.select(F.col(key).alias("key"), F.col(text).alias("text"))).select("key", "fp"))
     first = cut_lineage(docs.groupBy("fp").agg(F.min("key").alias("least")))
