@@ -38,7 +38,8 @@ ALL_WORDS = b""  # stands for the number of all words; no phrase is empty
 
 STEP = 64  # documents whose words exist at once
 WORDS_AT_ONCE = 1 << 18
-ENTRIES = 1 << 18  # counts held by a task before they are sent on
+ENTRIES = 1 << 18  # words and counts held by a task before they are sent on
+PAIRS = 3 << 20  # pairs of words held by a task, 8 bytes each, before they are counted and sent on
 SLICES = 64
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29  # of the filter: 128 KiB to 64 MiB
 BITS_EACH = 12
@@ -146,12 +147,14 @@ class _Words:
     def __init__(self, lang: str, now: Filter, before: Filter | None):
         self.seed, self.now, self.before = np.uint64(xxhash.xxh64_intdigest(lang.encode())), now, before
         self.number: dict[bytes, int] = {b".": 0}
+        self.words = [b"."]
         self.hash, self.new, self.old = np.zeros(1, np.uint64), np.zeros(1, bool), np.zeros(1, bool)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         fresh = list(set(words).difference(self.number))
         if fresh:
             self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh))))
+            self.words += fresh
             h = np.array([xxhash.xxh64_intdigest(w) for w in fresh], np.uint64) ^ self.seed
             self.hash = np.concatenate([self.hash, h])
             self.new = np.concatenate([self.new, self.now.has(h)])
@@ -171,6 +174,7 @@ class _Counts:
         self.now, self.before, self.longest = now, before, longest
         self.counted: dict[str, Counter] = {}
         self.known: dict[str, _Words] = {}
+        self.pairs: dict[str, list[np.ndarray]] = {}  # by language, as two word numbers in one
 
     def add(self, lang: str, words: list[bytes]) -> None:
         counted = self.counted.setdefault(lang, Counter())
@@ -184,7 +188,10 @@ class _Counts:
         for k in range(2, self.longest + 1):  # h, new, old: of the phrases of k - 1 words that start here
             both, held = new[:-1] & new[1:], old[:-1] & old[1:]
             fresh = both & ~held
-            counted.update([b" ".join(words[i:i + k]) for i in np.flatnonzero(fresh).tolist()])
+            if k == 2:
+                self.pairs.setdefault(lang, []).append((at[:-1] << 32 | at[1:])[fresh])
+            else:
+                counted.update([b" ".join(words[i:i + k]) for i in np.flatnonzero(fresh).tolist()])
             if k < self.longest:
                 h = _joined(h[:-1], h1[k - 1:])
                 new, old = np.zeros(len(h), bool), np.zeros(len(h), bool)
@@ -194,20 +201,32 @@ class _Counts:
                     some = np.flatnonzero(held & new)
                     old[some] = self.before.has(h[some])
                     new |= fresh
-        if len(known.number) > ENTRIES:
-            del self.known[lang]
 
-    def size(self) -> int:
-        return sum(map(len, self.counted.values()))
+    def full(self) -> bool:
+        held = sum(map(len, self.counted.values())) + sum(len(w.words) for w in self.known.values())
+        return held > ENTRIES or sum(len(p) for parts in self.pairs.values() for p in parts) > PAIRS
 
     def flush(self) -> Iterator[pa.RecordBatch]:
+        for lang, parts in self.pairs.items():
+            met, n = np.unique(np.concatenate(parts), return_counts=True)
+            words = self.known[lang].words
+            for i in range(0, len(met), 1 << 16):
+                part = met[i:i + (1 << 16)]
+                said = [words[a] + b" " + words[b] for a, b in zip((part >> 32).tolist(), (part & 0xFFFFFFFF).tolist())]
+                yield _rows(lang, said, n[i:i + (1 << 16)])
         for lang, counted in self.counted.items():
             items = list(counted.items())
             for i in range(0, len(items), 1 << 16):
-                phrases, n = zip(*items[i:i + (1 << 16)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+                said, n = zip(*items[i:i + (1 << 16)])
+                yield _rows(lang, said, n)
         self.counted.clear()
+        self.pairs.clear()
+        if sum(len(w.words) for w in self.known.values()) > ENTRIES // 2:
+            self.known.clear()
+
+
+def _rows(lang: str, said, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(said)), pa.array(said, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
 
 
 def _counts(docs: DataFrame, now: Filter, before: Filter | None, longest: int) -> DataFrame:
@@ -227,7 +246,7 @@ def _counts(docs: DataFrame, now: Filter, before: Filter | None, longest: int) -
                         counts.add(lang, held.pop(lang))
                 for lang, words in held.items():
                     counts.add(lang, words)
-                if counts.size() > ENTRIES:
+                if counts.full():
                     yield from counts.flush()
         yield from counts.flush()
 
