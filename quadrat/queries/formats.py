@@ -41,6 +41,18 @@ def json_map_round_trip(t: Tables):
     return rows.groupBy("nation").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("customer").alias("customers"), F.min("name").alias("first_name"))
 
 
+@query("statistical_files", """
+    SELECT l_returnflag AS flag, count(*) AS n, sum(l_orderkey)::BIGINT AS keys, round(sum(l_extendedprice), 2) AS price FROM lineitem GROUP BY 1
+""")
+def statistical_files(t: Tables):
+    """Order lines saved as statistical files, three of their columns read back by ranges of rows."""
+    path = new_folder(t.spark, "statistical")
+    O.write_statistical(t.lineitem.select("l_orderkey", "l_returnflag", F.col("l_extendedprice").cast("double").alias("price"), F.col("l_quantity").cast("double").alias("qty")), path)
+    rows = S.read_statistical(t.spark, path, ["l_orderkey", "l_returnflag", "price"], "l_orderkey bigint, l_returnflag string, price double")
+    return rows.groupBy(F.col("l_returnflag").alias("flag")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"), F.round(F.sum("price"), 2).alias("price"))
+
+
 @query("json_by_file", """
     SELECT source AS file_idx, count(*) AS n, sum(doc_id)::BIGINT AS ids, sum(length(coalesce(text, '')))::BIGINT AS characters FROM documents GROUP BY 1
 """)

@@ -128,24 +128,144 @@ def with_line_numbers(raw: DataFrame) -> DataFrame:
 
 
 def read_json_map(spark: SparkSession, path: Paths, value_schema: str, key: str = "key") -> DataFrame:
-    """A JSON object with dynamic keys as (key, fields of the value) rows."""
-    whole = spark.read.text(path, wholetext=True)
-    parsed = F.from_json("value", f"map<string,{value_schema}>")
-    return whole.select(F.explode(parsed).alias(key, "v")).select(key, "v.*")
+    """JSON objects with dynamic keys, one a file, as (key, fields of the value) rows.
+
+    An object may be of any size and on one line: files are cut at commas by the scan, and
+    commas between entries are told from those inside values by string state and depth. A
+    key that stands twice gives two rows, an empty file none; text that is no JSON object is
+    an error.
+    """
+    text = spark.read.text(path, lineSep=",")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos")]
+    pieces = with_line_numbers(text.select(F.col("value").alias("piece"), *place).withColumn("part", F.col("block")))
+    entries = _whole_entries(pieces)
+    parsed = F.from_json("entry", f"map<string,{value_schema}>")
+    wrong = F.raise_error(F.concat(F.lit("no JSON object with whole entries in "), F.col("file"))).cast(f"map<string,{value_schema}>")
+    return entries.select(F.explode(F.coalesce(parsed, wrong)).alias(key, "v")).select(key, "v.*")
 
 
-def read_statistical(spark: SparkSession, path: Paths, columns: Sequence[str], schema: str) -> DataFrame:
-    """Chunked statistical-format files, one file per task, only the asked columns."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _whole_entries(pieces: DataFrame) -> DataFrame:
+    """``(file, entry)``: each entry of a file's object as an object of its own.
+
+    A piece turns the string state by its quotes and changes the depth by its brackets
+    outside strings, so it is known for both states it may be entered in. Pieces are added
+    up inside each file block for both, and the blocks of a file from a table with one row
+    per block.
+    """
+    bare = F.split(F.regexp_replace("piece", r"(?s)\\.", ""), '"')
+
+    def change(odd: int) -> Column:
+        outside = F.array_join(F.filter(bare, lambda x, i: i % 2 == odd), "")
+        return F.length(F.regexp_replace(outside, r"[^\[{]", "")) - F.length(F.regexp_replace(outside, r"[^\]}]", ""))
+
+    known = pieces.select("file", "part", "line_no", "piece", ((F.size(bare) - 1) % 2).alias("turn"), change(0).alias("c0"), change(1).alias("c1"))
+    own = W.partitionBy("file", "part").orderBy("line_no")
+    before, upto = own.rowsBetween(W.unboundedPreceding, -1), own.rowsBetween(W.unboundedPreceding, 0)
+    known = known.withColumn("turned", F.coalesce(F.sum("turn").over(before), F.lit(0)) % 2)
+    same = F.col("turned") == 0
+    known = known.withColumns({"c0": F.when(same, F.col("c0")).otherwise(F.col("c1")), "c1": F.when(same, F.col("c1")).otherwise(F.col("c0"))})
+    known = known.withColumns({"d0": F.sum("c0").over(upto), "d1": F.sum("c1").over(upto)})
+    blocks = known.groupBy("file", "part").agg(F.sum("turn").alias("turn"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    earlier = W.partitionBy("file").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    blocks = blocks.withColumn("inside", F.coalesce(F.sum("turn").over(earlier), F.lit(0)) % 2)
+    depth = F.sum(F.when(F.col("inside") == 0, F.col("c0")).otherwise(F.col("c1"))).over(earlier)
+    blocks = blocks.select("file", "part", "inside", F.coalesce(depth, F.lit(0)).alias("depth"))
+    placed = known.join(blocks, ["file", "part"])
+    outer = F.col("inside") == 0
+    after = F.col("depth") + F.when(outer, F.col("d0")).otherwise(F.col("d1"))
+    at = after - F.when(outer, F.col("c0")).otherwise(F.col("c1"))
+    opens = (F.col("line_no") == 0) | ((at == 1) & ((F.col("inside") + F.col("turned")) % 2 == 0))
+    placed = placed.select("file", "part", "line_no", "piece", (after == 0).alias("closed"), F.last(F.when(opens, F.col("line_no")), ignorenulls=True).over(upto).alias("own_first"))
+    carried = placed.groupBy("file", "part").agg(F.max("own_first").alias("first"))
+    carried = carried.select("file", "part", F.last("first", ignorenulls=True).over(earlier).alias("carried"))
+    lead = F.when(F.col("line_no") == 0, F.regexp_replace("piece", r"^\s*\{", "")).otherwise(F.concat(F.when(F.col("line_no") == F.col("first"), "").otherwise(","), "piece"))
+    cut = F.when(F.col("closed"), F.regexp_replace("text", r"\}\s*\z", "")).otherwise(F.col("text"))
+    rows = placed.join(carried, ["file", "part"]).withColumn("first", F.coalesce("own_first", "carried")).withColumn("text", lead).withColumn("text", cut)
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"])
+    return rows.groupBy("file", "first").agg(F.concat(F.lit("{"), F.array_join(in_order, ""), F.lit("}")).alias("entry")).select("file", "entry")
+
+
+_PART_BYTES = 64 << 20  # of a statistical file in one task
+
+
+def _store(path: str):
+    """File system and name of a path, for tasks that read a file from some place on."""
+    from pyarrow import fs
+
+    if path.startswith(("file:", "/")):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def _seekable(path: str) -> bool:
+    """Whether tasks can open the file themselves; some stores are reached by Spark only."""
+    try:
+        store, name = _store(path)
+        return store.get_file_info(name).is_file
+    except (OSError, ValueError, NotImplementedError):
+        return False
+
+
+def read_statistical(spark: SparkSession, path: Paths, columns: Sequence[str], schema: str, part_bytes: int = _PART_BYTES) -> DataFrame:
+    """Statistical files as one table, only the asked columns, with the ``file`` a row comes from.
+
+    Rows have a fixed width, so a file of any size is cut into ranges of rows of about
+    ``part_bytes``, each read by a task of its own from its place on. Long strings kept
+    outside the rows are loaded by every task of their file. A file in a store that only
+    Spark reaches is read whole by one task, which ends at 2 GB.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    wanted, out = list(columns), f"{schema}, file string"
+    first = files.select("path").first()
+
+    def chunks(reader, name: str, left: int | None = None) -> Iterator[pd.DataFrame]:
+        while left is None or left > 0:
+            try:
+                chunk = reader.read(min(100_000, left) if left else 100_000)
+            except StopIteration:
+                return
+            if chunk.empty:
+                return
+            yield chunk[wanted].assign(file=name.rsplit("/", 1)[-1])
+            left = left - len(chunk) if left else None
+
+    def options(source) -> dict:
+        return {"filepath_or_buffer": source, "columns": wanted, "convert_categoricals": False, "iterator": True}
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from io import BytesIO
 
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"]):
-                with pd.read_stata(BytesIO(content), columns=list(columns), chunksize=100_000, convert_categoricals=False) as chunks:
-                    for chunk in chunks:
-                        yield chunk[list(columns)].assign(file=name.rsplit("/", 1)[-1])
+                with pd.read_stata(**options(BytesIO(content))) as reader:
+                    yield from chunks(reader, name)
+
+    if first is None or not _seekable(first[0]):
+        return files.select("path", "content").mapInPandas(whole, out)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, f"{schema}, file string")
+    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, size in zip(batch["path"], batch["length"]):
+                store, at = _store(name)
+                with store.open_input_file(at) as source, pd.read_stata(**options(source)) as reader:
+                    reader._ensure_open()
+                    rows = reader._nobs
+                step = max(1, rows * part_bytes // max(size, 1))
+                starts = range(0, rows, step)
+                yield pd.DataFrame({"path": name, "start": starts, "n": [min(step, rows - s) for s in starts]})
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, start, n in zip(batch["path"], batch["start"], batch["n"]):
+                store, at = _store(name)
+                with store.open_input_file(at) as source, pd.read_stata(**options(source)) as reader:
+                    reader._lines_read = int(start)  # pandas has no public way to begin at a row
+                    yield from chunks(reader, name, int(n))
+
+    total = files.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // part_bytes))
+    parts = files.select("path", "length").mapInPandas(ranges, "path string, start bigint, n bigint")
+    return parts.repartition(tasks, "path", "start").mapInPandas(read, out)
 
 
 def read_prompt(spark: SparkSession, path: str) -> str:

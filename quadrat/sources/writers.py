@@ -52,3 +52,36 @@ def write_vectors(df: DataFrame, path: str, key: str = "id", order: str | None =
 def write_lines(lines: DataFrame, path: str, append: bool = False) -> None:
     """Typeset body rows as text."""
     lines.select("line").coalesce(1).write.mode("append" if append else "overwrite").text(path)
+
+
+def write_statistical(df: DataFrame, path: str) -> None:
+    """Rows as statistical files, one per Arrow batch of a task; missing text becomes empty text.
+
+    A file is named after its task and batch, so an attempt that is run again writes over its
+    own files. Names and types must be such as the format has.
+    """
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    from quadrat.sources.readers import _store
+
+    store, folder = _store(path)
+    store.create_dir(folder, recursive=True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from io import BytesIO
+
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        for i, batch in enumerate(b for b in batches if len(b)):
+            made = BytesIO()
+            batch.to_stata(made, write_index=False, version=118)
+            store, folder = _store(path)
+            store.create_dir(folder, recursive=True)
+            with store.open_output_stream(f"{folder}/part-{task:05d}-{i:05d}.dta") as sink:
+                sink.write(made.getvalue())
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    df.mapInPandas(run, "n bigint").write.format("noop").mode("overwrite").save()

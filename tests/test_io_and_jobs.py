@@ -53,6 +53,42 @@ def test_maps_prompts_and_statistical_files(spark, tmp_path):
     assert rows(got, "uniqueId") == [(1, "a", "1.dta"), (2, "a", "2.dta"), (11, "b", "1.dta"), (12, "b", "2.dta")]
 
 
+def test_json_map_of_one_line_is_read_by_several_tasks(spark, tmp_path):
+    tricky = {'a,"b': {"name": 'x},"y\\', "tags": ["[", "{,", '"'], "inner": {"n": 1}}, "": {"name": "", "tags": [], "inner": None}, "é,": {"name": ",,", "tags": None}}
+    made = {**tricky, **{f"k{i}": {"name": f'{i}, "{i}" }}{{ ' + "," * (i % 7), "tags": ["]"] * (i % 3), "inner": {"n": i}} for i in range(3000)}}
+    (tmp_path / "one.json").write_text(json.dumps(made, ensure_ascii=False))
+    (tmp_path / "two.json").write_text(json.dumps({"z": {"name": "last"}}, indent=2) + "\n")
+    (tmp_path / "none.json").write_text(" {\n} \n")
+    (tmp_path / "empty.json").write_text("")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9999")
+    try:
+        got = S.read_json_map(spark, str(tmp_path / "*.json"), "struct<name:string,tags:array<string>,inner:struct<n:int>>")
+        found = {r.key: (r.name, r.tags, r.inner and r.inner.n) for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    made["z"] = {"name": "last"}
+    assert found == {k: (v["name"], v.get("tags"), (v.get("inner") or {}).get("n")) for k, v in made.items()}
+    (tmp_path / "bad").write_text('{"a": {"name": "x"}, oops}')
+    with pytest.raises(Exception, match="no JSON object"):
+        S.read_json_map(spark, str(tmp_path / "bad"), "struct<name:string>").collect()
+
+
+def test_statistical_file_is_read_in_ranges(spark, tmp_path):
+    n = 5000
+    made = pd.DataFrame({"id": range(n), "name": [f"é{i}" for i in range(n)], "x": [i / 4 if i % 5 else None for i in range(n)]})
+    for version in (114, 118):
+        made.assign(name=made["name"].str.replace("é", "e") if version == 114 else made["name"]).to_stata(tmp_path / f"v{version}.dta", write_index=False, version=version)
+    made.head(0).to_stata(tmp_path / "none.dta", write_index=False)
+    got = S.read_statistical(spark, str(tmp_path), ["x", "id"], "x double, id bigint", part_bytes=10_000)
+    assert got.rdd.getNumPartitions() > 8
+    found = got.withColumn("task", F.spark_partition_id()).toPandas()
+    for name in ("v114.dta", "v118.dta"):
+        of = found[found["file"] == name].sort_values("id")
+        assert of["id"].tolist() == list(range(n)) and of["x"].fillna(-1).tolist() == made["x"].fillna(-1).tolist() and of["task"].nunique() > 3
+    assert set(found["file"]) == {"v114.dta", "v118.dta"}
+
+
 def test_writers(spark, tmp_path):
     df = spark.createDataFrame([("a/b_c", "x", 1), ("d", "y", 2)], "k string, s string, n int")
     O.write_csv_by_key(df, str(tmp_path / "csv"), O.safe_key("k", "s"))
