@@ -3,18 +3,19 @@
 However many iterations are needed, the rows are read three times: for the overall
 means, to collapse them to cells (one per combination of the absorbed keys), and to
 subtract the effects that were found.  Iterations read the cells and write one small
-table of effects per absorbed key.  Only sums of products leave the executors; the
-k x k algebra happens on the driver.
+table of effects per absorbed key; the rows less their effects are written once.  Only
+sums of products leave the executors; the k x k algebra happens on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.functions import stats
@@ -277,6 +278,34 @@ def _solve_effects(
     raise ArithmeticError(f"fixed effects did not converge in {max_steps} steps (last mean left over {largest:.3g})")
 
 
+# --- products ---------------------------------------------------------------------------
+
+
+def _products(frame: DataFrame, columns: Sequence[str], weight: Column) -> np.ndarray:
+    """Sums over the rows of ``weight`` times the product of every two columns, as a matrix.
+
+    A task multiplies its Arrow batches into one block, whose entries are then added up
+    by place: one aggregation column, however many terms there are.
+    """
+    k = len(columns)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, k))
+        for batch in batches:
+            w, *x = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            x = np.column_stack(x)
+            total += x.T @ (x * w[:, None])
+        i, j = np.triu_indices(k)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype("int32")), pa.array(j.astype("int32")), pa.array(total[i, j])], ["i", "j", "v"])
+
+    placed = frame.select(weight.alias("__by"), *columns).mapInArrow(blocks, "i int, j int, v double")
+    found = placed.groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros((k, k))
+    i, j, v = (found.column(c).to_numpy() for c in ("i", "j", "v"))
+    out[i, j] = out[j, i] = v
+    return out
+
+
 # --- estimator --------------------------------------------------------------------------
 
 
@@ -319,6 +348,7 @@ def absorb_regression(
     cells = centred.groupBy(*key_columns).agg(
         F.count(F.lit(1)).alias("__n"), F.sum("__w").alias("__w"),
         *[F.try_divide(F.sum(F.col("__w") * F.col(c)), F.sum("__w")).alias(f"m_{c}") for c in values],
+        *[F.sum(F.col("__w") * F.col(c) * F.col(c)).alias(f"q_{c}") for c in values],
         *([F.min(cluster).alias("__cmin"), F.max(cluster).alias("__cmax")] if cluster else []),
     )
     cells = _prune_singletons(cut_lineage(cells), keys)
@@ -326,62 +356,33 @@ def absorb_regression(
     # rows of dropped singletons have no level here and leave with the inner joins
     within = _with_effects(centred, keys, effects, "v", values)
     residual = {c: reduce(lambda x, j: x - F.col(f"v{j}_{c}"), range(len(keys)), F.col(c)) for c in values}
-    within = within.select(
-        *([cluster] if cluster else []), "__w",
-        *[F.col(c).alias(f"raw_{c}") for c in values], *[r.alias(c) for c, r in residual.items()],
-    )
+    within = cut_lineage(within.select(*([cluster] if cluster else []), "__w", *[r.alias(c) for c, r in residual.items()]))
 
-    # one pass: products per cluster (or overall), raw sums of squares for the collinearity test
-    pairs = [(a, b) for i, a in enumerate(values) for b in values[i:]]
-    sums = [F.sum(F.col("__w") * F.col(a) * F.col(b)).alias(f"p_{a}_{b}") for a, b in pairs]
-    sums += [F.sum(F.col("__w") * F.col(f"raw_{c}") * F.col(f"raw_{c}")).alias(f"q_{c}") for c in values]
-    sums += [F.sum("__w").alias("w"), F.sum(F.col("__w") * F.col("raw_y")).alias("wy"), F.count(F.lit(1)).alias("n")]
-    if cluster:
-        parts = cut_lineage(within.groupBy(cluster).agg(*sums))
-        totals = parts.agg(*[F.sum(c).alias(c) for c in parts.columns if c != cluster], F.count(F.lit(1)).alias("clusters")).first()
-    else:
-        parts, totals = None, within.agg(*sums).first()
+    totals = cells.agg(
+        F.sum("__n").alias("n"), F.sum("__w").alias("w"), F.sum(F.col("__w") * F.col("m_y")).alias("wy"), *[F.sum(f"q_{c}").alias(f"q_{c}") for c in values]).first()
     n = totals["n"]
     if not n:
         raise ValueError("no observations left")
-
-    def moment(a: str, b: str) -> float:
-        return totals[f"p_{a}_{b}"] if (a, b) in index else totals[f"p_{b}_{a}"]
-
-    index = set(pairs)
-    gram = np.array([[moment(a, b) for b in names] for a in names]).reshape(len(names), len(names))
-    cross = np.array([moment("y", a) for a in names])
+    moments = _products(within, values, F.col("__w"))
+    gram, cross = moments[1:, 1:], moments[0, 1:]
     kept = _independent(gram, np.array([totals[f"q_{a}"] for a in names]))
     inverse = np.linalg.inv(gram[np.ix_(kept, kept)]) if kept else np.zeros((0, 0))
     b = inverse @ cross[kept]
 
-    yy = totals["p_y_y"]
+    yy = moments[0, 0]
     rss = yy - 2 * b @ cross[kept] + b @ gram[np.ix_(kept, kept)] @ b
     tss = totals["q_y"] - totals["wy"] ** 2 / totals["w"]
     absorbed, nested = _absorbed_df(cells, keys, cluster)
     k = len(kept)
     if cluster:
-        m = totals["clusters"]
-        score = [
-            F.col(f"p_y_{names[i]}") - reduce(
-                lambda p, q: p + q,
-                [F.col(f"p_{min((names[i], names[j]), key=values.index)}_{max((names[i], names[j]), key=values.index)}") * F.lit(float(c)) for j, c in zip(kept, b)],
-            )
-            for i in kept
-        ]
-        scores = parts.select(*[s.alias(f"s{i}") for i, s in enumerate(score)])
-        upper = [(i, j) for i in range(k) for j in range(i, k)]
-        meat = np.zeros((k, k))
-        if k:
-            flat = scores.agg(*[F.sum(F.col(f"s{i}") * F.col(f"s{j}")) for i, j in upper]).first()
-            for (i, j), v in zip(upper, flat):
-                meat[i, j] = meat[j, i] = v
+        scores, m = _scores(within, cluster, names, kept, b)
+        meat = _products(scores, scores.columns, F.lit(1.0)) if k else np.zeros((0, 0))
         small = (m / (m - 1)) * ((n - 1) / (n - k - absorbed - nested)) if m > 1 else float("nan")
         vcov, df_resid = small * inverse @ meat @ inverse, min(m - 1, n - k - absorbed)
     else:
         m, df_resid = None, n - k - absorbed
         vcov = inverse * (rss / df_resid if df_resid > 0 else np.nan)
-        if weight is not None:
+        if weight is not None and k:
             vcov = _robust(within, names, kept, b, inverse, n, df_resid)
     wald = None
     if k:
@@ -399,17 +400,25 @@ def absorb_regression(
     )
 
 
-def _robust(within, names, kept, b, inverse, n, df_resid) -> np.ndarray:
+def _left_over(names: Sequence[str], kept: Sequence[int], b: np.ndarray) -> Column:
+    """What the estimates leave of ``y``."""
+    parts = [F.col("y"), *[F.col(names[i]) * F.lit(-float(c)) for i, c in zip(kept, b)]]
+    while len(parts) > 1:  # added up in pairs, so that the expression stays shallow
+        parts = [reduce(lambda p, q: p + q, parts[i:i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def _scores(within: DataFrame, cluster: str, names: Sequence[str], kept: Sequence[int], b: np.ndarray) -> tuple[DataFrame, int]:
+    """One row of weighted residual sums per cluster, and the number of clusters."""
+    left = within.withColumn("__u", F.col("__w") * _left_over(names, kept, b))
+    found = cut_lineage(left.groupBy(cluster).agg(*[F.sum(F.col(names[i]) * F.col("__u")).alias(f"s{i}") for i in kept], F.lit(1).alias("one")))
+    return found.select(*[f"s{i}" for i in kept]), found.count()
+
+
+def _robust(within: DataFrame, names: Sequence[str], kept: Sequence[int], b: np.ndarray, inverse: np.ndarray, n: int, df_resid: int) -> np.ndarray:
     """Heteroskedasticity-robust covariance for weighted models without clusters."""
-    residual = F.col("y")
-    for j, c in zip(kept, b):
-        residual = residual - F.col(names[j]) * F.lit(float(c))
-    upper = [(i, j) for i in range(len(kept)) for j in range(i, len(kept))]
-    scored = within.withColumn("__u", F.col("__w") * residual)
-    flat = scored.agg(*[F.sum(F.col("__u") * F.col("__u") * F.col(names[kept[i]]) * F.col(names[kept[j]])) for i, j in upper]).first()
-    meat = np.zeros((len(kept), len(kept)))
-    for (i, j), v in zip(upper, flat):
-        meat[i, j] = meat[j, i] = v
+    scored = within.withColumn("__u", F.col("__w") * _left_over(names, kept, b))
+    meat = _products(scored, [names[i] for i in kept], F.col("__u") * F.col("__u"))
     return (n / df_resid) * inverse @ meat @ inverse
 
 

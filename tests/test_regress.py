@@ -158,3 +158,22 @@ def test_step_folders_are_removed(spark, data):
     fit = E.absorb_regression(spark.createDataFrame(data), "y", ["x", "z"], ["g", "h", "a"], cluster="g")
     assert 0 < fit.steps <= 20
     assert len(list(folder.glob("step-*"))) - before < 15  # cells, effects and products, nothing of the steps
+
+
+def test_three_hundred_terms(spark):
+    made = np.random.default_rng(3)
+    n, k = 1500, 300
+    x, g, w = made.normal(size=(n, k)), made.integers(0, 40, n), made.uniform(0.5, 2, n)
+    y = x @ made.normal(size=k) + g + made.normal(size=n)
+    df = spark.createDataFrame(pd.DataFrame(x, columns=[f"t{i}" for i in range(k)]).assign(g=g, w=w, y=y))
+    fit = E.absorb_regression(df, "y", [f"t{i}" for i in range(k)], ["g"], weight="w", cluster="g")
+
+    def within(v):
+        return v - np.array([np.average(v[g == level], axis=0, weights=w[g == level]) for level in range(40)])[g]
+
+    xd, yd = within(x), within(y)
+    inverse = np.linalg.inv(xd.T @ (xd * w[:, None]))
+    b = inverse @ (xd.T @ (w * yd))
+    scores = np.array([(xd[g == level] * (w * (yd - xd @ b))[g == level, None]).sum(axis=0) for level in range(40)])
+    se = np.sqrt(np.diag(40 / 39 * (n - 1) / (n - k - 1) * inverse @ (scores.T @ scores) @ inverse))
+    assert np.allclose(fit.b, b, atol=1e-8) and np.allclose(np.sqrt(np.diag(fit.vcov)), se, atol=1e-8) and fit.clusters == 40 and fit.n == n
