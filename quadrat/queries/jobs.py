@@ -129,3 +129,101 @@ def table_sink(t: Tables):
     O.write_table(t.orders.limit(0), path)
     saved = O.write_table(t.orders, path)
     return saved.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.max("o_orderdate").alias("last"))
+
+
+# Households are customers, their members the orders, sampling units the nations; each answer follows from the keys.
+_PEOPLE = """
+    SELECT o_custkey AS hh_id, o_orderkey AS k, c_nationkey AS psu_id, CASE WHEN o_orderkey % 11 <> 0 THEN left(o_orderpriority, 1)::INTEGER END AS caste,
+           CASE WHEN o_orderkey % 19 <> 0 THEN 5 + o_orderkey % 70 END AS age, (1 + o_orderkey % 4) * (1 + o_custkey % 3) / 2.0 AS weight,
+           CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS female, CASE WHEN o_orderkey % 10 = 1 THEN NULL ELSE (o_orderkey % 2 = 0)::INTEGER END AS married,
+           CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS working, (o_orderkey % 4 < 2)::INTEGER AS self_employed, (c_nationkey % 2 = 0)::INTEGER AS rural,
+           (o_orderkey % 23 = 0 OR (o_orderkey % 4 < 2 AND o_orderkey % 5 = 0))::INTEGER AS owns_farm, (o_orderkey % 7 = 0 OR o_orderkey % 5 < 2)::INTEGER AS farm_work,
+           CASE o_orderkey % 6 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE o_orderkey % 6 END AS work, CASE o_orderkey % 9 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE o_orderkey % 9 END AS home
+    FROM orders JOIN customer ON c_custkey = o_custkey
+    WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0 AND (o_orderkey % 19 = 0 OR o_orderkey % 70 >= 10)"""
+_HOUSES = """
+    SELECT c_custkey AS hh_id, CASE WHEN c_custkey % 5 < 4 THEN c_custkey % 5 END AS houses,
+           CASE WHEN c_custkey % 3 = 0 OR c_custkey % 7 = 0 THEN 1 WHEN c_custkey % 3 = 1 THEN 0 END AS estate, greatest(0, c_custkey % 8 - 2) * (c_custkey % 6) AS water,
+           CASE c_custkey % 4 WHEN 0 THEN 36000.0 WHEN 1 THEN 48000.0 WHEN 2 THEN 3600000.0 END AS ceiling, CASE c_custkey % 9 WHEN 0 THEN 1 WHEN 1 THEN NULL ELSE 0 END AS borrows
+    FROM customer WHERE c_custkey % 10 <> 3"""
+_PANEL = f"""
+    WITH p AS ({_PEOPLE}), h AS ({_HOUSES}),
+    ranks AS (SELECT a.psu_id, a.caste, sum(CASE WHEN b.caste < a.caste THEN b.n ELSE 0 END) / sum(b.n) AS caste_rank
+              FROM (SELECT psu_id, caste, count(*) AS n FROM p WHERE caste IS NOT NULL GROUP BY 1, 2) a
+              JOIN (SELECT psu_id, caste, count(*) AS n FROM p WHERE caste IS NOT NULL GROUP BY 1, 2) b ON a.psu_id = b.psu_id GROUP BY 1, 2),
+    months AS (SELECT o_custkey AS hh_id, avg(CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END) AS income, avg(CASE WHEN o_orderkey % 12 <> 0 THEN o_totalprice / 2 END) AS expense,
+                      avg(CASE WHEN o_custkey % 2 = 0 THEN 0.0 WHEN o_orderkey % 12 <> 0 THEN o_totalprice / 4 END) AS rent,
+                      avg((1 + o_orderkey % 3) / 2.0 * (1 + o_custkey % 4) / 4.0) AS weight FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
+    panel AS (SELECT p.*, caste_rank, max(owns_farm) OVER (PARTITION BY p.hh_id) AS hh_farm, m.income, m.expense, m.weight AS hh_weight, h.estate, h.houses, h.water, h.ceiling, h.borrows, m.rent
+              FROM p LEFT JOIN ranks USING (psu_id, caste) LEFT JOIN months m ON m.hh_id = p.hh_id LEFT JOIN h ON h.hh_id = p.hh_id)
+"""
+
+
+def _panel(t: Tables):
+    """The four survey files, made from orders and customers, as one person panel."""
+    pick = lambda key, *values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values) + 1).cast("int"))
+    k, hh = F.col("o_orderkey"), F.col("o_custkey")
+    coded = lambda n: F.when(k % n == 0, -100.0).when(k % n == 1, -5.0).otherwise((k % n).cast("double"))
+    rank = F.substring("o_orderpriority", 1, 1).cast("int")
+    people = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("psu_id")), "o_custkey").select(
+        hh.alias("hh_id"), k.alias("mem_id"), "psu_id", F.lit(18).alias("wave_no"), F.when(k % 13 == 0, "Refused").otherwise("Accepted").alias("response_status"),
+        F.when(k % 17 == 0, "Emigrated").otherwise("Member of the household").alias("member_status"), F.when(k % 19 != 0, 5 + k % 70).alias("age_yrs"),
+        (1.0 + k % 4).alias("ge15_mem_weight_w"), ((1 + hh % 3) / 2).alias("ge15_mem_non_response_w"),
+        F.when(F.col("o_orderstatus") == "F", "F").when(F.col("o_orderstatus") == "O", "M").otherwise("Not Stated").alias("gender"),
+        F.when(k % 10 == 1, "Not Stated").when(k % 2 == 0, "Married").otherwise("Unmarried").alias("marital_status"),
+        F.when(F.col("psu_id") % 2 == 0, "RURAL").otherwise("URBAN").alias("region_type"), pick("o_orderkey", "Hindu", "Religion not stated", "Sikh").alias("religion"),
+        F.when(k % 11 == 0, "Not Stated").otherwise(F.element_at(F.array(*[F.lit(c) for c in panel.CASTES]), rank)).alias("caste_category"),
+        *[pick("o_orderkey", "Y", "N", "Not Stated").alias(c) for c in panel.YES_NO_PERSON],
+        pick("o_orderkey", "Small Farmer", "Agricultural Labourer", "Clerk", "Clerk", "").alias("nature_of_occupation"),
+        pick("o_orderkey", "Fishing", "Data Not Available", *["Trade"] * 5).alias("industry_of_occupation"),
+        pick("o_orderkey", "Employed", "Unemployed, not willing and not looking for a job", "Not Applicable").alias("employment_status"),
+        pick("o_orderkey", "Self-employed", "Self-employed", "Casual", "Casual").alias("employment_arrangement"), F.when(k % 23 == 0, "Own-farm").otherwise("home").alias("place_of_work"),
+        coded(6).alias("time_spent_on_work_for_employer"), coded(9).alias("time_spent_on_work_for_hh_and_me"), F.lit(1.0).alias("time_spent_on_learning"))
+    price = F.col("o_totalprice").cast("double")
+    months = t.orders.select(
+        hh.alias("hh_id"), F.when(F.col("o_orderstatus") == "P", "").otherwise("Accepted").alias("response_status"), F.when(k % 11 == 0, -99.0).otherwise(price).alias("total_income"),
+        F.when(k % 12 == 0, -100.0).otherwise(price / 2).alias("total_expenditure"),
+        F.when(hh % 2 == 0, 0.0).when(k % 12 == 0, -99.0).otherwise(price / 4).alias("monthly_expense_on_house_rent"),
+        ((k % 3 + 1) / 2).alias("hh_weight_ms"), ((hh % 4 + 1) / 4).alias("hh_non_response_ms"))
+    c = F.col("c_custkey")
+    owned = F.when(c % 5 < 4, c % 5)
+    aspirations = t.customer.select(
+        c.alias("hh_id"), F.when(c % 10 == 3, "Refused").otherwise("Accepted").alias("response_status"), F.lit(1.0).alias("hh_non_response_w"), F.lit(1.0).alias("hh_weight_w"),
+        *[pick("c_custkey", "<=36000", "36000 - 48000", ">3600000", "Not Stated").alias(g) for g in panel.GROUPS], *[owned.alias(a) for a in panel.ASSETS],
+        F.when(c % 3 == 0, "Y").when(c % 3 == 1, "N").otherwise("Not applicable").alias("has_saved_in_real_estate"), F.when(c % 7 == 0, "Y").otherwise("N").alias("has_outstanding_saving_in_real_e"),
+        (c % 8 - 2).alias("power_availability_in_hours_per_"), (c % 8 - 2).alias("water_availability_in_days_per_w"), (c % 6).alias("water_availability_in_hours_per_"),
+        *[F.when(c % 9 == 0, "Y").when(c % 9 == 1, "Not Stated").otherwise("N").alias(b) for b in panel.BORROWING])
+    return panel.person_panel(panel.persons(people), months, months, aspirations)
+
+
+@query("person_panel_job", f"""{_PANEL}
+    SELECT hh_id || '_' || k AS personal_id, round(weight, 6) AS weight, round(caste_rank, 6) AS caste_rank, female, married, rural, working AS currently_employed, working AS labour_force,
+           self_employed, owns_farm, hh_farm AS hh_owns_farm, farm_work AS agricultural_work, round(24.0 - work - home, 4)::DOUBLE AS time_spent_on_self,
+           round(income, 4) AS income, round(expense, 4) AS expense, round(hh_weight, 6) AS hh_weight, estate AS hh_real_estate, water::DOUBLE AS water, ceiling::DOUBLE AS ceiling, borrows,
+           CASE WHEN (estate = 1 AND (houses IS NULL OR houses > 1) AND coalesce(rent = 0, false)) OR (estate = 1 AND (houses IS NULL OR houses > 0) AND (rent IS NULL OR rent > 0)) OR hh_farm = 1
+                THEN 1 ELSE 0 END AS extra_land
+    FROM panel
+""")
+def person_panel_job(t: Tables):
+    """The panel job up to its persons."""
+    r = lambda name, digits, out=None: F.round(name, digits).alias(out or name)
+    return _panel(t).select(
+        "personal_id", r("poi_adj_weight_mem", 6, "weight"), r("caste_rank", 6), "female", "married", "rural", "currently_employed", "labour_force", "self_employed", "owns_farm",
+        "hh_owns_farm", "agricultural_work", r("time_spent_on_self", 4), r("hh_monthly_income", 4, "income"), r("hh_monthly_expense", 4, "expense"),
+        r("income_adj_avg_weight_hh", 6, "hh_weight"), "hh_real_estate", F.col("hh_weekly_water_hrs").cast("double").alias("water"), F.col("hh_income_group_ceil").alias("ceiling"),
+        F.col("hh_borrowed_from_bank").alias("borrows"), F.col("hh_extra_land_owned").alias("extra_land"))
+
+
+@query("household_panel_job", f"""{_PANEL},
+    modes AS (SELECT hh_id, caste FROM panel GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY hh_id ORDER BY count(*) DESC, coalesce(caste, 9)) = 1)
+    SELECT p.hh_id, p.caste, min(k) AS mem_id, round(any_value(caste_rank), 6) AS caste_rank, count(*) AS members FROM panel p JOIN modes m ON p.hh_id = m.hh_id AND p.caste IS NOT DISTINCT FROM m.caste
+    GROUP BY 1, 2
+""")
+def household_panel_job(t: Tables):
+    """The whole panel job: one row per household under its modal category, with the members in it."""
+    people = cut_lineage(_panel(t))
+    homes = panel.household_panel(people, ["hh_id", "wave_no", "caste_category", "mem_id", "caste_rank"])
+    members = people.groupBy("hh_id", "caste_category").agg(F.count(F.lit(1)).alias("members")).alias("n")
+    same = F.col("h.hh_id").eqNullSafe(F.col("n.hh_id")) & F.col("h.caste_category").eqNullSafe(F.col("n.caste_category"))
+    caste = K.recode("h.caste_category", {c: i for i, c in enumerate(panel.CASTES, 1)})
+    return homes.alias("h").join(members, same).select("h.hh_id", caste.cast("int").alias("caste"), "h.mem_id", F.round("h.caste_rank", 6).alias("caste_rank"), "n.members")
