@@ -151,9 +151,9 @@ _PANEL = f"""
     ranks AS (SELECT a.psu_id, a.caste, sum(CASE WHEN b.caste < a.caste THEN b.n ELSE 0 END) / sum(b.n) AS caste_rank
               FROM (SELECT psu_id, caste, count(*) AS n FROM p WHERE caste IS NOT NULL GROUP BY 1, 2) a
               JOIN (SELECT psu_id, caste, count(*) AS n FROM p WHERE caste IS NOT NULL GROUP BY 1, 2) b ON a.psu_id = b.psu_id GROUP BY 1, 2),
-    months AS (SELECT o_custkey AS hh_id, avg(CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END) AS income, avg(CASE WHEN o_orderkey % 12 <> 0 THEN o_totalprice / 2 END) AS expense,
-                      avg(CASE WHEN o_custkey % 2 = 0 THEN 0.0 WHEN o_orderkey % 12 <> 0 THEN o_totalprice / 4 END) AS rent,
-                      avg((1 + o_orderkey % 3) / 2.0 * (1 + o_custkey % 4) / 4.0) AS weight FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
+    months AS (SELECT o_custkey AS hh_id, avg(CASE WHEN o_orderkey % 11 <> 0 THEN cents END) AS income, avg(CASE WHEN o_orderkey % 12 <> 0 THEN cents * 3 END) AS expense,
+                      avg(CASE WHEN o_custkey % 2 = 0 THEN 0.0 WHEN o_orderkey % 12 <> 0 THEN cents END) AS rent,
+                      avg((1 + o_orderkey % 3) / 2.0 * (1 + o_custkey % 4) / 4.0) AS weight FROM (SELECT *, round(o_totalprice * 100)::DOUBLE AS cents FROM orders) WHERE o_orderstatus <> 'P' GROUP BY 1),
     panel AS (SELECT p.*, caste_rank, max(owns_farm) OVER (PARTITION BY p.hh_id) AS hh_farm, m.income, m.expense, m.weight AS hh_weight, h.estate, h.houses, h.water, h.ceiling, h.borrows, m.rent
               FROM p LEFT JOIN ranks USING (psu_id, caste) LEFT JOIN months m ON m.hh_id = p.hh_id LEFT JOIN h ON h.hh_id = p.hh_id)
 """
@@ -179,11 +179,11 @@ def _panel(t: Tables):
         pick("o_orderkey", "Employed", "Unemployed, not willing and not looking for a job", "Not Applicable").alias("employment_status"),
         pick("o_orderkey", "Self-employed", "Self-employed", "Casual", "Casual").alias("employment_arrangement"), F.when(k % 23 == 0, "Own-farm").otherwise("home").alias("place_of_work"),
         coded(6).alias("time_spent_on_work_for_employer"), coded(9).alias("time_spent_on_work_for_hh_and_me"), F.lit(1.0).alias("time_spent_on_learning"))
-    price = F.col("o_totalprice").cast("double")
+    cents = F.round(F.col("o_totalprice") * 100).cast("double")  # whole numbers, so that means are exact
     months = t.orders.select(
-        hh.alias("hh_id"), F.when(F.col("o_orderstatus") == "P", "").otherwise("Accepted").alias("response_status"), F.when(k % 11 == 0, -99.0).otherwise(price).alias("total_income"),
-        F.when(k % 12 == 0, -100.0).otherwise(price / 2).alias("total_expenditure"),
-        F.when(hh % 2 == 0, 0.0).when(k % 12 == 0, -99.0).otherwise(price / 4).alias("monthly_expense_on_house_rent"),
+        hh.alias("hh_id"), F.when(F.col("o_orderstatus") == "P", "").otherwise("Accepted").alias("response_status"), F.when(k % 11 == 0, -99.0).otherwise(cents).alias("total_income"),
+        F.when(k % 12 == 0, -100.0).otherwise(cents * 3).alias("total_expenditure"),
+        F.when(hh % 2 == 0, 0.0).when(k % 12 == 0, -99.0).otherwise(cents).alias("monthly_expense_on_house_rent"),
         ((k % 3 + 1) / 2).alias("hh_weight_ms"), ((hh % 4 + 1) / 4).alias("hh_non_response_ms"))
     c = F.col("c_custkey")
     owned = F.when(c % 5 < 4, c % 5)
@@ -199,7 +199,7 @@ def _panel(t: Tables):
 @query("person_panel_job", f"""{_PANEL}
     SELECT hh_id || '_' || k AS personal_id, round(weight, 6) AS weight, round(caste_rank, 6) AS caste_rank, female, married, rural, working AS currently_employed, working AS labour_force,
            self_employed, owns_farm, hh_farm AS hh_owns_farm, farm_work AS agricultural_work, round(24.0 - work - home, 4)::DOUBLE AS time_spent_on_self,
-           round(income, 4) AS income, round(expense, 4) AS expense, round(hh_weight, 6) AS hh_weight, estate AS hh_real_estate, water::DOUBLE AS water, ceiling::DOUBLE AS ceiling, borrows,
+           income, expense, round(hh_weight, 6) AS hh_weight, estate AS hh_real_estate, water::DOUBLE AS water, ceiling::DOUBLE AS ceiling, borrows,
            CASE WHEN (estate = 1 AND (houses IS NULL OR houses > 1) AND coalesce(rent = 0, false)) OR (estate = 1 AND (houses IS NULL OR houses > 0) AND (rent IS NULL OR rent > 0)) OR hh_farm = 1
                 THEN 1 ELSE 0 END AS extra_land
     FROM panel
@@ -209,7 +209,7 @@ def person_panel_job(t: Tables):
     r = lambda name, digits, out=None: F.round(name, digits).alias(out or name)
     return _panel(t).select(
         "personal_id", r("poi_adj_weight_mem", 6, "weight"), r("caste_rank", 6), "female", "married", "rural", "currently_employed", "labour_force", "self_employed", "owns_farm",
-        "hh_owns_farm", "agricultural_work", r("time_spent_on_self", 4), r("hh_monthly_income", 4, "income"), r("hh_monthly_expense", 4, "expense"),
+        "hh_owns_farm", "agricultural_work", r("time_spent_on_self", 4), F.col("hh_monthly_income").alias("income"), F.col("hh_monthly_expense").alias("expense"),
         r("income_adj_avg_weight_hh", 6, "hh_weight"), "hh_real_estate", F.col("hh_weekly_water_hrs").cast("double").alias("water"), F.col("hh_income_group_ceil").alias("ceiling"),
         F.col("hh_borrowed_from_bank").alias("borrows"), F.col("hh_extra_land_owned").alias("extra_land"))
 
