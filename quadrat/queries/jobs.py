@@ -1,9 +1,11 @@
 """Composed jobs and file sources over whole tables, each with its own way to the same rows in SQL."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from quadrat.functions import keys as K, text as X
-from quadrat.plans import county, panel
+from quadrat.plans import county, panel, survey
 from quadrat.queries.registry import Tables, query
 from quadrat.session import cut_lineage, new_folder
 from quadrat.sources import readers as S, writers as O
@@ -227,3 +229,81 @@ def household_panel_job(t: Tables):
     same = F.col("h.hh_id").eqNullSafe(F.col("n.hh_id")) & F.col("h.caste_category").eqNullSafe(F.col("n.caste_category"))
     caste = K.recode("h.caste_category", {c: i for i, c in enumerate(panel.CASTES, 1)})
     return homes.alias("h").join(members, same).select("h.hh_id", caste.cast("int").alias("caste"), "h.mem_id", F.round("h.caste_rank", 6).alias("caste_rank"), "n.members")
+
+
+# Survey rows are order lines; a line's answers follow from its number ``k``.
+_ANSWERS = """
+    SELECT l_orderkey AS hh, CASE WHEN k % 29 <> 0 THEN 15 + k % 60 END AS age, k % 2 AS female, (l_suppkey % 3 < 2)::INTEGER AS rural, (k % 5 < 3)::INTEGER AS married, (k % 4 < 3)::INTEGER AS literacy,
+           CASE WHEN k % 31 <> 0 AND k % 4 = 3 THEN 1 ELSE 2 END AS education, CASE k % 7 % 4 WHEN 0 THEN 'Hindu' WHEN 1 THEN 'Muslim' WHEN 2 THEN 'Other Religion' ELSE 'Sikh' END AS religion,
+           CASE WHEN k % 37 <> 0 THEN 1 + k // 3 % 4 END AS caste, CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS employed, (k % 8 < 5)::INTEGER AS emp_work_force, (k % 7 < 4)::INTEGER AS labour_force,
+           CASE WHEN k % 6 < 5 THEN (k % 6 < 2)::INTEGER END AS self_employed, CASE WHEN k % 3 = 0 THEN l_quantity END AS time_spent_on_work, round(l_discount * 100) AS time_spent_on_hh,
+           (24 - k % 9)::DOUBLE AS time_spent_on_self, round(l_tax * 100) AS time_spent_on_learning, 1 + l_orderkey % 5 AS wealth, l_quantity AS w
+    FROM (SELECT *, l_orderkey * 7 + l_linenumber AS k FROM lineitem)"""
+_BANDS = [(low, high) for low, high, _ in survey.AGE_RANGES]
+_BINARY = {
+    **{c: c for c in ("female", "rural", "married", "literacy")},
+    **{f"agbinary{i}": f"coalesce(age BETWEEN {low} AND {high}, false)::INTEGER" if high else f"(age >= {low} OR age IS NULL)::INTEGER" for i, (low, high) in enumerate(_BANDS, 1)},
+    **{f"religionbinary{i}": f"(religion = '{r}')::INTEGER" for i, r in enumerate(("Hindu", "Muslim", "Other Religion", "Sikh"), 1)},
+    **{f"castebinary{i}": f"(caste = {i})::INTEGER" for i in range(1, 5)}, **{f"edubinary{i}": f"(education = {i})::INTEGER" for i in (1, 2)},
+    **{c: c for c in ("labour_force", "emp_work_force", "employed", "self_employed")},
+}
+_PAIRS = {"employed": ("female", "employed"), "work_force": ("female", "emp_work_force"), "labour_force": ("female", "labour_force"), "pca_caste": ("wealth", "caste"),
+          "education_caste": ("education", "caste"), "education_pca": ("education", "wealth")}
+_SUBSETS = {"all": "true", "rural_men": "rural = 1 AND female = 0", "rural_women": "rural = 1 AND female = 1"}
+_SIDES = {"caste": _BINARY["castebinary1"], "religion": _BINARY["religionbinary2"], "education": "education - 1"}
+
+
+def _survey(t: Tables):
+    """Order lines as answers of a survey, recoded."""
+    k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    number = lambda condition: condition.cast("int")
+    pick = lambda at, *values: F.element_at(F.array(*[F.lit(v) for v in values]), (at % len(values) + 1).cast("int"))
+    raw = t.lineitem.select(
+        F.col("l_suppkey").alias("psu_id"), F.col("l_orderkey").alias("hh_id"), F.col("l_linenumber").alias("mem_id"), F.when(k % 29 != 0, 15 + k % 60).alias("age_yrs"),
+        number(k % 2).alias("female"), number(F.col("l_suppkey") % 3 < 2).alias("rural"), number(k % 5 < 3).alias("married"), number(k % 4 < 3).alias("literacy"),
+        F.when(k % 31 == 0, None).when(k % 4 == 3, "No Education").otherwise("Graduate").alias("education"), pick(k % 7, "Hindu", "Muslim", "Jain", "Sikh").alias("religion"),
+        pick(k, *panel.CASTES).alias("caste_category"), F.when(k % 37 != 0, pick(F.floor(k / 3), "GEN", "OBC", "SC", "ST")).alias("std_caste_category"),
+        F.when(k % 3 == 0, "Employed").when(k % 3 == 1, "Unemployed").alias("employment_status"), number(k % 8 < 5).alias("employed"), number(k % 7 < 4).alias("labour_force"),
+        F.when(k % 6 < 5, number(k % 6 < 2)).alias("self_employed"), F.col("l_quantity").cast("double").alias("time_spent_on_work"), F.round(F.col("l_discount") * 100).alias("time_spent_on_hh"),
+        (24.0 - k % 9).alias("time_spent_on_self"), F.round(F.col("l_tax") * 100).alias("time_spent_on_learning"), number(k % 9 < 4).alias("hh_has_outstanding_borrowing"),
+        number(k % 4 == 1).alias("hh_extra_land_owned"), (1 + F.col("l_orderkey") % 5).alias("hh_wealth_index1_quintile"), F.lit("<=36000").alias("hh_income_group"),
+        F.col("l_quantity").cast("double").alias(survey.WEIGHT))
+    return survey.recode(raw)
+
+
+@query("survey_summary_job", f"""
+    WITH s AS ({_ANSWERS}) {" UNION ALL ".join(
+        f"SELECT '{n}' AS variable, round(avg({e}), 8) AS mean, round(stddev_samp({e}), 8) AS sd, min({e})::DOUBLE AS min, max({e})::DOUBLE AS max FROM s" for n, e in _BINARY.items())}
+""")
+def survey_summary_job(t: Tables):
+    """Recodes, dummies and the summary table of the survey job."""
+    return survey.summary(_survey(t)).select("variable", F.round("mean", 8).alias("mean"), F.round("sd", 8).alias("sd"), "min", "max")
+
+
+@query("survey_tables_job", f"""
+    WITH s AS ({_ANSWERS}) {" UNION ALL ".join(
+        f"SELECT '{n}' AS tab, CASE WHEN grouping({r}) = 1 THEN 'Total' ELSE {r}::VARCHAR END AS r, CASE WHEN grouping({c}) = 1 THEN 'Total' ELSE {c}::VARCHAR END AS c, "
+        f"round(100.0 * sum(w) / (SELECT sum(w) FROM s WHERE {r} IS NOT NULL AND {c} IS NOT NULL), 6) AS pct FROM s WHERE {r} IS NOT NULL AND {c} IS NOT NULL GROUP BY CUBE ({r}, {c})"
+        for n, (r, c) in _PAIRS.items())}
+    UNION ALL SELECT 'caste', caste::VARCHAR, NULL, round(100.0 * sum(w) / (SELECT sum(w) FROM s WHERE caste IS NOT NULL), 6) FROM s WHERE caste IS NOT NULL GROUP BY caste
+""")
+def survey_tables_job(t: Tables):
+    """The seven weighted tables of the survey job."""
+    tables = survey.weighted_tables(cut_lineage(_survey(t)))
+    column = lambda df, i: F.col(df.columns[i]).cast("string") if len(df.columns) > i + 1 else F.lit(None).cast("string")
+    long = [df.select(F.lit(n).alias("tab"), column(df, 0).alias("r"), column(df, 1).alias("c"), F.round("pct", 6).alias("pct")) for n, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), long)
+
+
+@query("survey_tests_job", f"""
+    WITH s AS ({_ANSWERS}), x AS ({" UNION ALL ".join(
+        f"SELECT '{g}_{n}' AS test, '{v}' AS variable, {e} AS side, {v}::DOUBLE AS x FROM s WHERE {cond}" for g, e in _SIDES.items() for n, cond in _SUBSETS.items() for v in survey.TIME_AND_WORK)}),
+    m AS (SELECT test, variable, count(x) FILTER (side = 0) AS n1, count(x) FILTER (side = 1) AS n2, avg(x) FILTER (side = 0) AS a, avg(x) FILTER (side = 1) AS b,
+                 var_samp(x) FILTER (side = 0) AS v, var_samp(x) FILTER (side = 1) AS w FROM x GROUP BY 1, 2)
+    SELECT test, variable, n1, n2, round(a - b, 6) AS b, round(sqrt(((n1 - 1) * v + (n2 - 1) * w) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)), 6) AS se, n1 + n2 - 2 AS df FROM m
+""")
+def survey_tests_job(t: Tables):
+    """The nine tables of t tests of the survey job."""
+    tests = survey.t_tests(cut_lineage(_survey(t)))
+    long = [df.select(F.lit(n).alias("test"), "variable", "n1", "n2", F.round("b", 6).alias("b"), F.round("se", 6).alias("se"), "df") for n, df in tests.items()]
+    return reduce(lambda a, b: a.unionByName(b), long)
