@@ -5,8 +5,10 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from quadrat.functions import keys as K, text as X
-from quadrat.plans import county, panel, survey
+from quadrat.operators import infer as I
+from quadrat.plans import county, entities, markets, panel, survey, vectors, villages
 from quadrat.queries.registry import Tables, query
+from quadrat.queries.text import _COMPONENTS, components, village_pages
 from quadrat.session import cut_lineage, new_folder
 from quadrat.sources import readers as S, writers as O
 
@@ -307,3 +309,75 @@ def survey_tests_job(t: Tables):
     tests = survey.t_tests(cut_lineage(_survey(t)))
     long = [df.select(F.lit(n).alias("test"), "variable", "n1", "n2", F.round("b", 6).alias("b"), F.round("se", 6).alias("se"), "df") for n, df in tests.items()]
     return reduce(lambda a, b: a.unionByName(b), long)
+
+
+_BARE = "replace(replace({c}, '_', ''), '/', '')"
+
+
+@query("village_job", f"""
+    WITH w AS (SELECT o_orderkey AS k, concat_ws('_', {", ".join(_BARE.format(c=c) for c in ("r_name", "n_name", "c_mktsegment"))}, o_orderkey) AS file_key FROM orders JOIN customer ON c_custkey = o_custkey
+               JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE o_orderkey % 10 <> 2),
+    v AS (SELECT l_orderkey AS k, 'Village O''' || concat_ws('-', l_returnflag, l_linenumber, l_partkey, l_suppkey, l_linestatus) AS village, l_quantity AS new_groups, l_partkey::VARCHAR AS code FROM lineitem)
+    SELECT file_key, village, new_groups, code, NULL AS error FROM w JOIN v USING (k) WHERE k % 10 NOT IN (0, 1)
+    UNION ALL SELECT file_key, NULL, NULL, NULL, CASE WHEN k % 10 = 0 OR min(village) IS NULL THEN 'no page' ELSE 'no link for ' || min(village) END
+              FROM w LEFT JOIN v USING (k) GROUP BY k, file_key HAVING k % 10 < 2 OR min(village) IS NULL
+""")
+def village_job(t: Tables):
+    """The whole village job: councils (orders) of the hierarchy, their pages, and the councils that failed."""
+    names = [F.col(c).alias(n) for c, n in zip(("r_name", "n_name", "c_mktsegment"), villages.LEVELS)]
+    places = t.region.join(t.nation, F.col("r_regionkey") == F.col("n_regionkey")).join(t.customer, F.col("n_nationkey") == F.col("c_nationkey"))
+    council = F.col("o_orderkey").cast("string").alias(villages.LEVELS[3])
+    grams = t.orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(*names, council, "o_orderkey")
+    done = grams.filter("o_orderkey % 10 = 2").select(villages.safe_key(*villages.LEVELS).alias("file_key"))
+    work = cut_lineage(villages.gram_worklist(
+        t.region.select(names[0]), places.select(*names[:2]).distinct(), places.select(*names).distinct(), grams.select(*villages.LEVELS), done))
+    pages = village_pages(t).filter("l_orderkey % 10 <> 0").withColumn(
+        "html", F.when(F.col("l_orderkey") % 10 == 1, F.replace("html", F.lit("SHGList("), F.lit("Other("))).otherwise(F.col("html")))
+    keyed = pages.join(work.select("file_key", F.col("Grampanchayat").cast("bigint").alias("l_orderkey")), "l_orderkey").select("file_key", "html")
+    good, errors = villages.village_table(work, cut_lineage(keyed))
+    rows = good.select("file_key", F.col("Village").alias("village"), F.col("New").alias("new_groups"), "code", F.lit(None).cast("string").alias("error"))
+    return rows.unionByName(errors, allowMissingColumns=True)
+
+
+@query("market_job", """
+    SELECT r_name AS state, c_mktsegment || '-' || c_custkey // 50 AS district, c_name AS market, n_name AS commodity, n_nationkey::VARCHAR AS commodity_code, (c_custkey % 97)::VARCHAR AS arrival,
+           '01-Feb-2024' AS first_day, (c_custkey // 50)::VARCHAR AS district_code
+    FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = c_custkey // 50 % 6
+""")
+def market_job(t: Tables):
+    """Commodities (nations) by state (regions): the work list, and the market tables of the pages stored for it."""
+    states = t.region.groupBy().agg(F.sort_array(F.collect_list("r_name")).alias("states"))  # one row
+    report = t.nation.select(F.col("n_nationkey").cast("string").alias("ccode"), F.col("n_name").alias("name")).withColumn(
+        "states", F.concat(states.scalar(), F.array(F.lit("Nowhere"))))
+    work, _ = markets.work_list(report, t.region.select(F.col("r_regionkey").cast("string").alias("scode"), F.col("r_name").alias("name")), "01-02-2024", "05-02-2024", slots=3)
+    part = F.floor(F.col("c_custkey") / 50)
+    row = F.concat(F.lit("<tr><td>"), F.col("c_name"), F.lit("</td><td>"), (F.col("c_custkey") % 97).cast("string"), F.lit("</td></tr>"))
+    tables = t.customer.groupBy(F.col("c_nationkey").cast("string").alias("ccode"), (part % 6).cast("string").alias("scode"), "c_mktsegment", part.alias("part")).agg(
+        F.array_join(F.sort_array(F.collect_list(row)), "").alias("rows"))
+    pages = tables.select("ccode", "scode", F.concat_ws("-", "c_mktsegment", F.col("part").cast("string")).alias("district"), F.concat(
+        F.lit("<table title='x,"), F.col("part").cast("string"), F.lit("'><tr><th>Market</th><th>Arrivall</th></tr>"), "rows", F.lit("</table>")).alias("html"))
+    found = markets.market_rows(work, pages)
+    return found.select(F.col("State").alias("state"), "district", F.col("Market").alias("market"), F.col("Commodity").alias("commodity"), F.col("Commodity Code").alias("commodity_code"),
+                        F.col("Arrival").alias("arrival"), F.col("Start").alias("first_day"), F.col("District Code").alias("district_code"))
+
+
+@query("entity_job", """
+    SELECT conv_id AS paper, turn, role AS dates, trim(array_to_string(regexp_extract_all(text, '\\b[A-Z][a-z]+\\b'), ', ')) AS ner FROM conversations WHERE text IS NOT NULL
+""")
+def entity_job(t: Tables):
+    """The entity job with its ledger, over every turn that has a text."""
+    rows = t.conversations.filter("text is not null").select(
+        F.col("conv_id").alias("paperId"), F.col("turn").alias("excerptId"), F.col("role").alias("dateRange"), F.col("text").alias("excerpt"))
+    found, _ = entities.extract_entities(rows, "List the names.", ledger=new_folder(t.spark, "ledger"), batch_rows=64, max_tries=2)
+    return found.select(F.col("paperId").alias("paper"), F.col("excerptId").alias("turn"), F.col("dateRange").alias("dates"), "ner")
+
+
+@query("vector_job", f"""
+    WITH c AS ({_COMPONENTS}), v AS ({" UNION ALL ".join(f"SELECT '{v}' AS variant, doc_id FROM c WHERE " + " AND ".join(f"coalesce({'refs' if p == 'references' else p}, '') <> ''" for p in ps) for v, ps in I.INPUT_TYPES.items())}),
+         r AS (SELECT variant, doc_id, row_number() OVER (PARTITION BY variant ORDER BY doc_id) - 1 AS rn, count(*) OVER (PARTITION BY variant) // 10 AS size FROM v)
+    SELECT variant, (CASE WHEN size = 0 THEN 10 ELSE least(rn // size, 9) + 1 END)::INTEGER AS split, doc_id FROM r
+""")
+def vector_job(t: Tables):
+    """The embedding job as written and read back: the ids of every variant and split."""
+    saved = vectors.embed_papers(components(t), new_folder(t.spark, "vectors"), key="doc_id", batch_rows=64)
+    return saved.filter(F.size("embedding") > 0).select("variant", F.col("split").cast("int").alias("split"), "doc_id")
