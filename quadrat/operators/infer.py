@@ -37,9 +37,13 @@ EmbedFn = Callable[[Sequence[str]], np.ndarray]
 
 
 def compose_inputs(
-    df: DataFrame, key: str, input_types: Mapping[str, Sequence[str]] = INPUT_TYPES, sep: str = SEPARATOR
+    df: DataFrame, key: str, input_types: Mapping[str, Sequence[str]] = INPUT_TYPES, sep: str = SEPARATOR,
+    spread: bool = True,
 ) -> DataFrame:
-    """(variant, key, text) for every variant whose components are all present; one scan."""
+    """(variant, key, text) for every variant whose components are all present; one scan.
+
+    Without ``spread`` the rows stay in the partitions they come in.
+    """
     def part(c: str):
         return prefixed(c, COMPONENT_PREFIX[c]) if c in COMPONENT_PREFIX else F.col(c)
 
@@ -49,7 +53,7 @@ def compose_inputs(
         ))
         for v, cs in input_types.items()
     ])
-    return fan_out(df).select(key, F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("i")).select(
+    return (fan_out(df) if spread else df).select(key, F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("i")).select(
         "i.variant", key, "i.text"
     )
 
@@ -79,9 +83,12 @@ def hashed_words(dimensions: int = 64) -> EmbedFn:
 
 def embed_texts(
     df: DataFrame, keys: Sequence[str], text: str, load: Callable[[], EmbedFn] = hashed_words,
-    batch_rows: int = 16, max_tokens: int = MAX_TOKENS,
+    batch_rows: int = 16, max_tokens: int = MAX_TOKENS, spread: bool = True,
 ) -> DataFrame:
-    """keys + ``embedding``; the model is loaded once per task and fed in small batches."""
+    """keys + ``embedding``; the model is loaded once per task and fed in small batches.
+
+    Without ``spread`` the rows stay in the partitions they come in.
+    """
     schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys) + ", embedding array<float>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,7 +100,8 @@ def embed_texts(
             ]
             yield batch[list(keys)].assign(embedding=[np.asarray(v, dtype="float32") for v in vectors])
 
-    ready = fan_out(df.select(*keys, text)).select(*keys, first_tokens(F.coalesce(F.col(text), F.lit("")), max_tokens).alias("__t"))
+    given = df.select(*keys, text)
+    ready = (fan_out(given) if spread else given).select(*keys, first_tokens(F.coalesce(F.col(text), F.lit("")), max_tokens).alias("__t"))
     return ready.mapInPandas(run, schema)
 
 
