@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from html import unescape
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quadrat.functions.keys import number_from_text, title_case
 from quadrat.functions.missing import blank_to_null, mentions
@@ -14,6 +16,16 @@ from quadrat.functions.text import capture, squeeze
 from quadrat.session import cut_lineage, fan_out
 
 
+# Tags as most pages have them: quoted attributes, nothing else. A table cell without markup is one match.
+# What holds text instead of tags is left to the parser.
+_SPACE, _NAMED = r"[ \t\r\n]", r"[a-zA-Z][-a-zA-Z0-9_:.]*+"
+_ATTRIBUTES = rf"""(?:{_SPACE}++{_NAMED}=(?:"[^"]*+"|'[^']*+'))*+"""
+_PLAIN_TAG = re.compile(
+    rf"<(t[dh]){_ATTRIBUTES}{_SPACE}*+>([^<]*+)</\1{_SPACE}*+>|(<(/)?([a-zA-Z][a-zA-Z0-9]*+)((?(4)|{_ATTRIBUTES})){_SPACE}*+>)")
+_ATTRIBUTE = re.compile(rf"""({_NAMED})=("[^"]*+"|'[^']*+')""")
+_RAW_TEXT = frozenset({"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"})
+
+
 class _Tables(HTMLParser):
     """Rows of every table; a nested table is a table of its own, numbered by opening tag."""
 
@@ -84,14 +96,47 @@ class _Page(_Tables):
         self.links: list[list] = []
         self.open = None
 
+    def read(self, text: str) -> None:
+        """The whole page. Plain tags are cut out by one pattern; a page with anything else goes through the parser."""
+        pieces = _PLAIN_TAG.split(text)  # text, cell, text in the cell, whole tag, slash, name, attributes, text, ...
+        names = {name.lower() for name in set(pieces[5::7]) if name}
+        if "<" in "".join(pieces[::7]) or not _RAW_TEXT.isdisjoint(names) or (self.within is not None and self.within[0] in ("td", "th")):
+            self.feed(text)
+            self.close()
+            return
+        data, start, end, stack = self.handle_data, self._start, self.handle_endtag, self.stack
+        if pieces[0]:
+            data(unescape(pieces[0]))
+        columns = [pieces[i::7] for i in range(1, 8)]
+        for cell, inner, raw, slash, name, attributes, after in zip(*columns):
+            if cell:
+                if "&" in inner:
+                    inner = unescape(inner)
+                if inner and self.open is not None:
+                    self.open[1].append(inner)
+                if stack and (cells := stack[-1]["cells"]) is not None:
+                    if stack[-1]["cell"] is not None:
+                        self._end_cell(stack[-1])
+                    cells.append(" ".join(inner.split()))
+            elif slash:
+                end(name.lower())
+            else:
+                start(name.lower(), [(n.lower(), unescape(v[1:-1])) for n, v in _ATTRIBUTE.findall(attributes)] if attributes else (), raw)
+            if after:
+                data(unescape(after) if "&" in after else after)
+        self.close()
+
     def handle_starttag(self, tag, attrs):
+        self._start(tag, attrs, self.get_starttag_text())
+
+    def _start(self, tag, attrs, raw):
         super().handle_starttag(tag, attrs)
         if tag not in self.VOID:
             if self.within is not None and tag == self.within[0] and dict(attrs).get(self.within[1]) == self.within[2]:
                 self.inside.append(len(self.tags))
             self.tags.append(tag)
         if tag == "a" and (self.within is None or self.inside):
-            self.open = [dict(attrs).get("href"), [], self.get_starttag_text()]
+            self.open = [dict(attrs).get("href"), [], raw]
             self.links.append(self.open)
 
     def handle_endtag(self, tag):
@@ -99,8 +144,10 @@ class _Page(_Tables):
         # An end tag closes the last element of its name and all that was left open in it; it
         # does not reach out of a wanted element, which only its own end tag closes.
         first = self.inside[-1] if self.inside else 0
-        at = next((i for i in range(len(self.tags) - 1, first - 1, -1) if self.tags[i] == tag), None)
-        if at is not None:
+        at = len(self.tags) - 1
+        while at >= first and self.tags[at] != tag:
+            at -= 1
+        if at >= first:
             del self.tags[at:]
             while self.inside and self.inside[-1] >= at:
                 self.inside.pop()
@@ -115,8 +162,11 @@ class _Page(_Tables):
 
 _ROW = ["table_no", "row_no", "cells", "header", "table_id", "table_title"]
 _LINK = ["link_no", "href", "anchor_text", "raw_tag"]
-_ROW_DDL = "table_no int, row_no int, cells array<string>, header array<string>, table_id string, table_title string"
-_LINK_DDL = "link_no int, href string, anchor_text string, raw_tag string"
+_DDL = (
+    "table_no int, row_no int, cells array<string>, header array<string>, table_id string, table_title string, "
+    "link_no int, href string, anchor_text string, raw_tag string")
+_TEXTS = pa.list_(pa.string())
+PAGES_AT_ONCE = 256
 
 
 def parse_pages(pages: DataFrame, page: str, html: str, within: tuple[str, str, str] | None = None) -> DataFrame:
@@ -125,22 +175,42 @@ def parse_pages(pages: DataFrame, page: str, html: str, within: tuple[str, str,
     Table rows have a ``table_no``, anchors have a ``link_no``; the other columns are
     missing.
     """
-    key = pages.schema[page]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        of_row, of_link, rows, links, headers, header = [], [], [], [], [], []
+        for k, text in enumerate(batch.column(1).to_pylist()):
+            reader = _Page(within)
+            reader.read(text or "")
+            last = None
+            for row in reader.rows:  # a table's header is written once and taken for all its rows
+                if row[3] is not last:
+                    last = row[3]
+                    headers.append(last)
+                header.append(len(headers) - 1)
+            rows += reader.rows
+            of_row += [k] * len(reader.rows)
+            links += [(i, h, "".join(t), raw) for i, (h, t, raw) in enumerate(reader.links)]
+            of_link += [k] * len(reader.links)
+        no, at, cells, _, ids, titles = zip(*rows) if rows else [()] * 6
+        link, href, anchor, raw = zip(*links) if links else [()] * 4
+        n, m = len(rows), len(links)
+
+        def joined(values, kind, first: bool) -> pa.Array:
+            given = values if isinstance(values, pa.Array) else pa.array(values, kind)
+            return pa.concat_arrays([given, pa.nulls(m, kind)] if first else [pa.nulls(n, kind), given])
+
+        number, string = pa.int32(), pa.string()
+        return pa.RecordBatch.from_arrays([
+            batch.column(0).take(pa.array(of_row + of_link, pa.int64())), joined(no, number, True), joined(at, number, True), joined(cells, _TEXTS, True),
+            joined(pa.array(headers, _TEXTS).take(pa.array(header, pa.int64())), _TEXTS, True), joined(ids, string, True), joined(titles, string, True),
+            joined(link, number, False), joined(href, string, False), joined(anchor, string, False), joined(raw, string, False),
+        ], names=[page, *_ROW, *_LINK])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for k, text in zip(batch[page], batch[html]):
-                parser = _Page(within)
-                parser.feed(text or "")
-                parser.close()
-                out += [(k, *row, None, None, None, None) for row in parser.rows]
-                out += [(k, None, None, None, None, None, None, i, h, "".join(t), raw) for i, (h, t, raw) in enumerate(parser.links)]
-            frame = pd.DataFrame(out, columns=[page, *_ROW, *_LINK])
-            yield frame.astype({c: "Int32" for c in ("table_no", "row_no", "link_no")})
-
-    return fan_out(pages.select(page, html)).mapInPandas(
-        run, f"`{page}` {key.dataType.simpleString()}, {_ROW_DDL}, {_LINK_DDL}")
+            for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+                yield parsed(batch.slice(at, PAGES_AT_ONCE))
+
+    return fan_out(pages.select(page, html)).mapInArrow(run, T.StructType([pages.schema[page], *T.StructType.fromDDL(_DDL).fields]))
 
 
 def table_rows(parsed: DataFrame, page: str) -> DataFrame:
