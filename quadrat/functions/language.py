@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quadrat.functions.missing import ColumnLike, col, let
 from quadrat.functions.text import drop_bullets, title_and_body
@@ -18,6 +18,7 @@ FUNCTION_WORDS: Mapping[str, Sequence[str]] = {
     "fr": ("le", "les", "et", "des", "du", "une", "dans", "est", "pour", "que", "qui", "sur", "au", "par", "avec", "pas", "la", "un"),
 }
 NO_LANGUAGE = "nan"
+AT_ONCE = 256  # texts shown to a detector at once
 
 
 def words(c: ColumnLike) -> Column:
@@ -50,32 +51,37 @@ def detect_with(
     df: DataFrame, text: str, load: Callable[[], Callable[[Sequence[str]], Sequence[str]]],
     out: str = "lang", failed: str = "lang_failed",
 ) -> DataFrame:
-    """Run an injected detector, loaded once per worker task, over Arrow batches.
+    """Run an injected detector, loaded once per worker task, over batches of at most ``AT_ONCE`` texts.
 
     A batch the detector rejects is halved; a text it rejects alone gets no language and a
-    set failure flag.
+    set failure flag. The other columns pass through as they are.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    at = df.columns.index(text)
+
+    def detected(predict: Callable[[Sequence[str]], Sequence[str]], texts: list) -> tuple[list, list]:
+        langs: list = [None if t else NO_LANGUAGE for t in texts]
+        bad = [False] * len(texts)
+        waiting = [[i for i, t in enumerate(texts) if t]]
+        while waiting:
+            part = waiting.pop()
+            try:
+                for i, lang in zip(part, predict([texts[i] for i in part]) if part else [], strict=True):
+                    langs[i] = lang
+            except Exception:
+                half = len(part) // 2
+                if half:
+                    waiting += [part[:half], part[half:]]
+                else:
+                    bad[part[0]] = True
+        return langs, bad
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = load()
-        for batch in batches:
-            texts = batch[text].tolist()
-            langs: list = [None if t else NO_LANGUAGE for t in texts]
-            bad = [False] * len(texts)
-            waiting = [[i for i, t in enumerate(texts) if t]]
-            while waiting:
-                part = waiting.pop()
-                try:
-                    for i, lang in zip(part, predict([texts[i] for i in part]) if part else [], strict=True):
-                        langs[i] = lang
-                except Exception:
-                    half = len(part) // 2
-                    if half:
-                        waiting += [part[:half], part[half:]]
-                    else:
-                        bad[part[0]] = True
-            yield batch.assign(**{out: langs, failed: bad})
-
-    from pyspark.sql import types as T
+        for whole in batches:
+            for start in range(0, whole.num_rows, AT_ONCE):  # few texts at a time exist as Python objects
+                batch = whole.slice(start, AT_ONCE)
+                langs, bad = detected(predict, batch.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(bad)], names=[*batch.schema.names, out, failed])
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType()), T.StructField(failed, T.BooleanType())])
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
