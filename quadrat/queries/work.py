@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from quadrat.functions import text as X
 from quadrat.operators import groups as G, infer as I, ledger as L, numbering as N
 from quadrat.queries.registry import Tables, query
-from quadrat.queries.text import _COMPONENTS, _SQUEEZED, _digest, components, paper_table
+from quadrat.queries.text import _COMPONENTS, _SQUEEZED, _digest, as_papers, by_language, components
 from quadrat.session import new_folder
 
 
@@ -110,9 +110,9 @@ def ingest_incremental(t: Tables):
     from quadrat.streaming.ingest import ingest_papers
 
     root = new_folder(t.spark, "ingest")
-    papers = paper_table(t).drop("file_idx", "line_no").join(t.documents.select(F.col("doc_id").cast("string").alias("id"), "lang"), "id")
     for group in ("lang = 'en'", "lang <> 'en'"):
-        papers.filter(group).drop("lang").write.mode("append").json(f"{root}/raw")
+        papers = as_papers(by_language(t).filter(group)).drop("file_idx", "line_no")
+        papers.write.mode("append").json(f"{root}/raw")
         ingest_papers(t.spark, f"{root}/raw", f"{root}/out", f"{root}/state")
     return t.spark.read.parquet(f"{root}/out/prepared").select("id", "batch")
 
@@ -127,7 +127,7 @@ def title_map_runs(t: Tables):
     from quadrat.streaming.ingest import compact_titles, ingest_papers, title_map
 
     root = new_folder(t.spark, "ingest")
-    papers = paper_table(t).drop("file_idx", "line_no").join(t.documents.filter("lang = 'en'").select(F.col("doc_id").cast("string").alias("id")), "id")
+    papers = as_papers(by_language(t).filter("lang = 'en'")).drop("file_idx", "line_no")
     english = detector(fit(t.documents.filter("lang = 'en'"), "lang", "text"))
     revised = papers.filter("id % 5 = 0").withColumn("title", F.concat(F.lit("revised "), "id"))
     for run in (papers, revised):

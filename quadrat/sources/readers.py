@@ -117,12 +117,12 @@ def with_line_numbers(raw: DataFrame) -> DataFrame:
 
     Lines are counted inside each file block (the split of a file scan is the same on
     every read); the blocks of a file are then added up from a table with one row per
-    block.
+    block, which is sent to the lines, so that these are not shuffled.
     """
     blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
     before = F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
     offsets = blocks.withColumn("before", F.coalesce(before, F.lit(0))).drop("n")
-    return raw.join(offsets, ["file", "block"]).withColumn(
+    return raw.join(F.broadcast(offsets), ["file", "block"]).withColumn(
         "line_no", (F.col("pos") - F.col("first") + F.col("before")).cast("bigint")
     ).drop("block", "pos", "first", "before")
 
