@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from quadrat.operators import ledger as L
 from quadrat.plans import papers as P
 from quadrat.queries.registry import Tables, query
-from quadrat.queries.text import paper_table
-from quadrat.session import new_folder
+from quadrat.queries.text import as_papers, by_language
+from quadrat.session import cut_lineage, new_folder
 from quadrat.sources import readers as S, writers as O
 
 
@@ -49,9 +49,9 @@ def json_lines_round_trip(t: Tables):
 """)
 def paper_errors(t: Tables):
     """Indexes cut off in the middle end up in the quarantine, counted by error."""
-    lang = t.documents.select(F.col("doc_id").cast("string").alias("id"), "lang")
-    papers = paper_table(t).join(lang, "id")
+    papers = as_papers(by_language(t), "lang")
     cut = F.when(F.col("lang") == "es", F.expr("substring(indexed_abstract, 1, length(indexed_abstract) - 2)")).otherwise(F.col("indexed_abstract"))
     errors = P.route(P.prepare(papers.withColumn("indexed_abstract", cut).drop("lang"))).errors
+    errors = cut_lineage(errors.select("error", "line_no"))  # read twice
     first = errors.groupBy("error").agg(F.min("line_no").alias("first_line"))
     return L.error_counts(errors, stage="error").join(first, "error")
