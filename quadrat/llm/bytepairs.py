@@ -1,17 +1,15 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions.
-
-A text is cut by the tokenizer's pattern. Each distinct word is a byte array, here a string of
-one ISO-8859-1 character per byte, and a fold joins the adjacent pieces of lowest rank, the
-leftmost first, until no two are in the rank map. The map is a literal of the plan: 65,536
-buckets by hash, so that a look-up costs the same at any vocabulary size.
-
-Words are counted over the whole corpus. The most frequent ones, at most ``REMEMBERED`` of at
-most ``SHORT`` bytes, are folded once and looked up in a second literal, whose size is thus
-bounded; every other word is folded where it stands. What is remembered decides on the work,
-never on the ids.
-
-The fold joins one pair a step and copies the pieces, which would be quadratic for a word
-of a million characters. Longer words than ``WINDOW`` bytes are therefore taken window by
+"""Byte-level BPE encoding and decoding.
+
+A text is cut by the tokenizer's pattern, in Spark. The words of an Arrow batch go on as a
+dictionary and indices: each distinct word is folded once a batch, and the ids of all its
+places are gathered with numpy. A fold joins the adjacent pieces of lowest rank, the leftmost
+first, until no two have a rank. A task remembers at most ``REMEMBERED`` words of at most
+``SHORT`` bytes between batches; what is remembered decides on the work, never on the ids.
+Nothing is shuffled or gathered, and the ranks go to the tasks as they are, not as part of
+the plan, whose text the driver keeps.
+
+The fold joins one pair a step and looks at all pieces for it, which would be quadratic for a
+word of a million characters. Longer words than ``WINDOW`` bytes are therefore taken window by
 window: the last pieces so far and the next bytes are folded together. If the first of those
 pieces comes out again, every two neighbours are as they would be alone, and so the pieces
 are those of the whole; if not, more pieces are folded again, in the end all of them.
@@ -22,20 +20,17 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from itertools import chain
 
 import numpy as np
-import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from quadrat.llm.rows import append_columns
-from quadrat.session import cut_lineage
+from quadrat.llm.rows import STEP
 
-BUCKETS = 1 << 16
-MARK = "\u0100"  # stands between pieces, whose characters are below it
-NONE = "\U0010ffff"  # rank of a pair that is not in the map
 WINDOW = 256
-OVERLAP = (4, 64)  # pieces folded again, first and second try
+OVERLAP = 4  # pieces folded again at first
 REMEMBERED = 1 << 17
 SHORT = 32
 
@@ -78,22 +73,9 @@ class Ranks:
         if any(bytes([b]) not in self.of for b in range(256)):
             raise ValueError("every byte must have a rank")
         self.size = max(self.of.values()) + 1
-        if any(self._folded(token) != [token] for token in self.of):
+        if any(_fold(token, self.of) != [token] for token in self.of):
             raise ValueError("every token must come out of joining its own bytes")
 
-    def _folded(self, token: bytes) -> list[bytes]:
-        parts = [token[i:i + 1] for i in range(len(token))]
-        while len(parts) > 1:
-            rank, k = min((self.of.get(a + b, self.size), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
-            if rank == self.size:
-                break
-            parts[k:k + 2] = [parts[k] + parts[k + 1]]
-        return parts
-
-    def literal(self) -> Column:
-        """Array of buckets, each a map from byte string to rank, which is written as one character."""
-        return _bucketed({token.decode("latin-1"): chr(rank if rank < 0xD800 else rank + 0x800) for token, rank in self.of.items()}, "string")
-
     def surfaces(self) -> Column:
         """Array of byte strings by rank."""
         by_rank = [""] * self.size
@@ -102,79 +84,66 @@ class Ranks:
         return F.from_json(F.lit(json.dumps(by_rank)), "array<string>")
 
 
-def _bucketed(entries: dict[str, object], kind: str) -> Column:
-    buckets: list[dict[str, object]] = [{} for _ in range(BUCKETS)]
-    for key, value in entries.items():
-        buckets[xxhash.xxh64_intdigest(key.encode(), 42) % BUCKETS][key] = value
-    return F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{kind}>>")
-
-
-def _found(buckets: Column, key: Column) -> Column:
-    return F.element_at(F.get(buckets, F.xxhash64(key).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), key)
-
-
-def _first(pieces: Column, n: Column) -> Column:
-    """The first ``n`` of the marked pieces."""
-    return F.call_function("substring_index", pieces, F.lit(MARK), n)
-
-
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     """``then(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def _fold(word: Column, ranks: Column) -> Column:
-    """Pieces of a byte string by ranked joins.
-
-    The state is two strings: the pieces with ``MARK`` between them, and one character for each
-    piece, the rank of its pair with the next one. Strings are cut and joined several times
-    faster than arrays.
-    """
-    n = F.length(word)
-    rank = lambda pair: F.coalesce(_found(ranks, pair), F.lit(NONE))
-    start = F.struct(
-        F.array_join(F.split(word, ""), MARK).alias("pieces"),
-        F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.when(i < n, rank(F.substr(word, i, F.lit(2)))).otherwise(NONE)), "").alias("ranks"))
+def _fold(word: bytes, of: Mapping[bytes, int]) -> list[bytes]:
+    """Pieces of a byte string by ranked joins."""
+    none = float("inf")
+    pieces = [word[i:i + 1] for i in range(len(word))]
+    ranks = [of.get(a + b, none) for a, b in zip(pieces, pieces[1:])]  # of every piece with the next one
+    while ranks and (best := min(ranks)) < none:
+        at = ranks.index(best)
+        pieces[at:at + 2] = [pieces[at] + pieces[at + 1]]
+        del ranks[at]
+        if at:
+            ranks[at - 1] = of.get(pieces[at - 1] + pieces[at], none)
+        if at < len(ranks):
+            ranks[at] = of.get(pieces[at] + pieces[at + 1], none)
+    return pieces
 
-    def step(s: Column, _: Column) -> Column:
-        def merge(at: Column) -> Column:
-            return _let(_first(s["pieces"], at), lambda upto: _let(F.substr(s["pieces"], F.length(upto) + 2), lambda rest: F.struct(
-                F.concat(upto, rest).alias("pieces"),
-                F.concat(
-                    F.substr(s["ranks"], F.lit(1), at - 2),
-                    F.when(at > 1, rank(F.replace(F.substring_index(F.concat(upto, F.substring_index(rest, MARK, 1)), MARK, -2), F.lit(MARK), F.lit("")))).otherwise(""),
-                    F.when(at + 1 < F.length(s["ranks"]), rank(F.replace(F.substring_index(F.concat(F.substring_index(upto, MARK, -1), rest), MARK, 2), F.lit(MARK), F.lit("")))).otherwise(NONE),
-                    F.substr(s["ranks"], at + 2)).alias("ranks"))))
 
-        return _let(F.array_min(F.split(s["ranks"], "")), lambda best: F.when(best < NONE, _let(F.instr(s["ranks"], best), merge)).otherwise(s))
-
-    return F.split(F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: s["pieces"]), MARK)
+def _fold_long(word: bytes, of: Mapping[bytes, int]) -> list[bytes]:
+    """``_fold`` window by window."""
+    done: list[bytes] = []
+    for i in range(0, len(word), WINDOW):
+        size = min(OVERLAP, len(done))
+        while True:
+            again = done[len(done) - size:]
+            found = _fold(b"".join(again) + word[i:i + WINDOW], of)
+            if size == len(done) or found[0] == again[0]:
+                break
+            size = min(16 * size, len(done))
+        done[len(done) - size:] = found
+    return done
 
 
-def _fold_long(word: Column, ranks: Column) -> Column:
-    """``_fold`` window by window."""
-    def tail(s: Column, k: int) -> Column:
-        return F.slice(s, F.greatest(F.size(s) - (k - 1), F.lit(1)), F.lit(k))
+def _encoded(word: str, of: Mapping[bytes, int]) -> list[int]:
+    """Ids of one word: its own rank if it has one, else those of its folded pieces."""
+    whole = word.encode()
+    if whole in of:
+        return [of[whole]]
+    return [of[piece] for piece in (_fold if len(whole) <= WINDOW else _fold_long)(whole, of)]
 
-    def again(s: Column, more: Column, sizes: tuple[int, ...]) -> Column:
-        if not sizes:
-            return _fold(F.concat(F.array_join(s, ""), more), ranks)
-        kept = F.slice(s, F.lit(1), F.greatest(F.size(s) - sizes[0], F.lit(0)))
-        return _let(_fold(F.concat(F.array_join(tail(s, sizes[0]), ""), more), ranks), lambda f: F.when(
-            (F.size(kept) == 0) | (F.get(f, F.lit(0)) == F.get(s, F.size(kept))), F.concat(kept, f)).otherwise(again(s, more, sizes[1:])))
 
-    starts = F.sequence(F.lit(1), F.length(word), F.lit(WINDOW))
-    return F.aggregate(starts, F.array().cast("array<string>"), lambda s, i: again(s, F.substr(word, i, F.lit(WINDOW)), OVERLAP))
+def _lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All values of an array of lists, and where the list of each row begins and the last one ends."""
+    ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(), dtype="int64")
+    return column.flatten(), np.concatenate([[0], ends])
 
 
-def _encoded(word: Column, ranks: Column) -> Column:
-    """Ids of one word: its own rank if it has one, else those of its folded pieces."""
-    def ids(bytes_: Column) -> Column:
-        pieces = F.when(F.length(bytes_) <= WINDOW, _fold(bytes_, ranks)).otherwise(_fold_long(bytes_, ranks))
-        number = lambda c: _let(F.ascii(c), lambda code: F.when(code < 0xD800, code).otherwise(code - 0x800))
-        return _let(_found(ranks, bytes_), lambda own: F.when(own.isNotNull(), F.array(number(own))).otherwise(F.transform(pieces, lambda p: number(_found(ranks, p)))))
+def _last_column(df: DataFrame, name: str, kind: str, make: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
+    """``df`` with its last column replaced by ``name``, computed from it in Arrow; ``make`` runs once per task."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = make()
+        for whole in batches:
+            for at in range(0, whole.num_rows, STEP):
+                batch = whole.slice(at, STEP)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made(batch.columns[-1])], names=[*batch.schema.names[:-1], name])
 
-    return _let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ids)
+    return df.mapInArrow(step, T.StructType([*df.schema[:-1], *T._parse_datatype_string(f"`{name}` {kind}")]))
 
 
 def words(text: Column, pattern: str) -> Column:
@@ -182,34 +151,41 @@ def words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def frequent_words(df: DataFrame, pattern: str, text: str = "text", most: int = REMEMBERED) -> DataFrame:
-    """``(word, n)`` of the most frequent words of the corpus, at most ``most``; words tied at the end of the list are left out."""
-    seen = df.select(F.explode(words(F.col(text), pattern)).alias("word")).filter(F.octet_length("word") <= SHORT)
-    counts = cut_lineage(seen.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    level = F.when(F.col("n") < 1000, F.col("n")).otherwise(F.floor(F.log2("n") * 64) * 1000).alias("level")  # finite in number, like the counts themselves
-    sizes = sorted(((r["level"], r["size"]) for r in counts.groupBy(level).agg(F.count(F.lit(1)).alias("size")).collect()), reverse=True)
-    least, total = None, 0
-    for at, size in sizes:
-        total += size
-        if total > most:
-            break
-        least = at
-    return counts.filter(level >= least if least is not None else F.lit(False))
-
-
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", most: int = REMEMBERED) -> DataFrame:
     """Add ``ids``: the ids (array of int) of every whole text, without special tokens.
 
     A null or empty text has none. Rows, repeated ones too, are kept one to one; no row is
-    needed by another. A column called like ``ids`` in any letter case is replaced.
+    needed by another. A column called like ``ids`` in any letter case is replaced. A task
+    remembers the ids of at most ``most`` words.
     """
-    ranks = Ranks(path).literal()
-    common = frequent_words(df, pattern, text, most)
-    folded = common.select("word", _let(ranks, lambda r: _encoded(F.col("word"), r)).alias("ids"))
-    known = {r["word"]: r["ids"] for r in cut_lineage(folded).toLocalIterator()}  # at most ``most`` short words
-    lookup = F.struct(ranks.alias("ranks"), _bucketed(known, "array<int>").alias("known"))
-    coded = _let(lookup, lambda all_: F.transform(words(F.col(text), pattern), lambda w: F.coalesce(_found(all_["known"], w), _encoded(w, all_["ranks"]))))
-    return df.select(*[f"`{c}`" for c in df.columns if c.lower() != ids.lower()], F.flatten(coded).alias(ids))
+    of = Ranks(path).of
+
+    def make() -> Callable[[pa.Array], pa.Array]:
+        known: dict[str, list[int]] = {}
+
+        def ids_of(word: str) -> list[int]:
+            found = known.get(word)
+            if found is None:
+                found = _encoded(word, of)
+                if len(known) < most and len(word) <= SHORT:
+                    known[word] = found
+            return found
+
+        def coded(column: pa.Array) -> pa.Array:
+            said, begins = _lists(column)
+            said = said.dictionary_encode()
+            folded = [ids_of(w) for w in said.dictionary.to_pylist()]
+            sizes = np.fromiter(map(len, folded), "int64", len(folded))
+            flat = np.fromiter(chain.from_iterable(folded), "int32", int(sizes.sum()))
+            at = said.indices.to_numpy()
+            upto = np.concatenate([[0], np.cumsum(sizes[at])])  # ids before each word
+            place = np.repeat((np.cumsum(sizes) - sizes)[at] - upto[:-1], sizes[at]) + np.arange(upto[-1])
+            return pa.ListArray.from_arrays(pa.array(upto[begins], pa.int32()), pa.array(flat[place], pa.int32()))
+
+        return coded
+
+    kept = [f"`{c}`" for c in df.columns if c.lower() != ids.lower()]
+    return _last_column(df.select(*kept, words(F.col(text), pattern).alias(ids)), ids, "array<int>", make)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -221,9 +197,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
 def token_report(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, number of ids, and digests of the ids and of the bytes decoded from them."""
     coded = decode(encode(df.select(F.col(key).alias("key"), F.col(text).alias("text")), path, pattern), path)
-    report = coded.select("key", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    report = coded.select("key", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 
-    def digests(all_ids: list) -> list[tuple[str]]:
-        return [(hashlib.sha256(np.asarray(i, "<u4").tobytes()).hexdigest(),) for i in all_ids]
+    def digests(column: pa.Array) -> pa.Array:
+        all_ids, begins = _lists(column)
+        numbers = all_ids.to_numpy().astype("<u4")
+        return pa.array([hashlib.sha256(numbers[a:b].tobytes()).hexdigest() for a, b in zip(begins, begins[1:])], pa.string())
 
-    return append_columns(report, "ids", "ids_sha256 string", lambda: digests).select(F.col("key").alias(key), "n_tokens", "ids_sha256", "decoded_sha256")
+    return _last_column(report, "ids_sha256", "string", lambda: digests).select(F.col("key").alias(key), "n_tokens", "ids_sha256", "decoded_sha256")

@@ -48,3 +48,17 @@ def test_query_over_the_table(spark, library):
         ids = library.encode_ordinary(r["text"] or "")
         want.append((r["doc_id"], len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest()))
     assert got == sorted(want)
+
+
+def test_long_words_and_few_remembered(table, library):
+    rng = random.Random(2)
+    texts = ["ab" * 40_000, "".join(rng.choice("etaoinshrdlu") for _ in range(20_000)), "語" * 5000 + "z" * 777, "-" * 100_000, " " * 50_000 + "end", "aab" * 3000 + " tail"]
+    df = table("doc_id bigint, text string", list(enumerate(texts)))
+    for most in (bytepairs.REMEMBERED, 1):
+        got = bytepairs.encode(df, PATH, PATTERN, most=most).collect()
+        assert [r["ids"] for r in sorted(got)] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_the_driver_holds_no_table_of_words_in_the_plan(table):
+    df = table("doc_id bigint, text string", [(i, f"some words of text {i % 3}") for i in range(9)])
+    assert len(bytepairs.encode(df, PATH, PATTERN)._jdf.queryExecution().toString()) < 200_000
