@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from quadrat.operators import regress as E
 
@@ -177,3 +178,66 @@ def test_three_hundred_terms(spark):
     scores = np.array([(xd[g == level] * (w * (yd - xd @ b))[g == level, None]).sum(axis=0) for level in range(40)])
     se = np.sqrt(np.diag(40 / 39 * (n - 1) / (n - k - 1) * inverse @ (scores.T @ scores) @ inverse))
     assert np.allclose(fit.b, b, atol=1e-8) and np.allclose(np.sqrt(np.diag(fit.vcov)), se, atol=1e-8) and fit.clusters == 40 and fit.n == n
+
+
+def _counted(spark, frame):
+    """The same rows, and a count of how many were read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def through(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    return frame.mapInPandas(through, frame.schema), seen
+
+
+def test_a_ladder_reads_the_rows_a_few_times(spark, data):
+    df, seen = _counted(spark, spark.createDataFrame(data))
+    specs = {"A": ["h"], "B": ["g"], "C": ["g", "h"]}
+    E.ladder(df, "y", ["x", "z"], specs, cluster="g")
+    assert 0 < seen.value <= 2 * len(data)  # whatever the number of models
+
+
+def test_models_of_a_ladder_leave_out_their_own_null_keys(spark, data):
+    df = spark.createDataFrame(data).withColumn("h", F.when(F.col("x") < 2.5, F.col("h")))
+    fits = E.ladder(df, "y", ["x"], {"A": ["g"], "C": ["g", "h"]}, cluster="g")
+    alone = E.absorb_regression(df.filter("h is not null"), "y", ["x"], ["g", "h"], cluster="g")
+    assert alone.n == fits["C"].n < fits["A"].n
+    assert np.allclose(alone.vcov, fits["C"].vcov, rtol=1e-7, atol=0)
+
+
+def _by_dummies(pdf, x, keys):
+    """Slopes by least squares on indicators of all levels, singletons dropped."""
+    while True:
+        kept = pdf[np.all([pdf.groupby(k)[x[0]].transform("size") > 1 for k in keys], axis=0)]
+        if len(kept) == len(pdf):
+            break
+        pdf = kept
+    dummies = [np.asarray(pd.get_dummies(pdf.groupby(k).ngroup()), "float64") for k in keys]
+    m = np.column_stack([pdf[x], *dummies])
+    return np.linalg.lstsq(m, pdf["y"].to_numpy(), rcond=None)[0][:len(x)], len(pdf)
+
+
+def test_ladder_on_common_sample_against_indicators(spark):
+    rng = np.random.default_rng(11)
+    n = 900
+    pdf = pd.DataFrame({"g": rng.integers(0, 90, n), "h": rng.integers(0, 40, n), "a": rng.integers(0, 6, n), "f": rng.choice(["p", "q", "r"], n),
+                        "x": rng.normal(size=n), "z": rng.normal(size=n) * 3 + 5})
+    pdf["y"] = 100 + pdf.x - pdf.z / 2 + pdf.g / 10 + pdf.h / 50 + (pdf.f == "q") + rng.normal(size=n)
+    pdf.loc[0, "f"] = "o"  # base level of all rows, on a row that the last model drops
+    pdf.loc[0, "h"] = 9999
+    specs = {"D": ["g", "a"]}
+    for rare in (False, True):
+        frame = pdf if rare else pdf.iloc[1:]
+        full, common = E.ladder_on_common_sample(spark.createDataFrame(frame), "y", ["x", E.Factor("f"), "z"], specs, cluster="h")
+        last = full["D"].sample.toPandas()
+        for fits, rows in ((full, frame), (common, last)):
+            levels = sorted(rows.f.unique())[1:]
+            terms = ["x", *[f"{v}.f" for v in levels], "z"]
+            wide = rows.assign(**{f"{v}.f": (rows.f == v) * 1.0 for v in levels})
+            for name, keys in specs.items():
+                b, used = _by_dummies(wide, terms, keys)
+                assert fits[name].terms == terms and fits[name].n == used
+                assert np.allclose(fits[name].b, b, atol=1e-7)
+        assert common["D"].n == full["D"].n == len(last)
