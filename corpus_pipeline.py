@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quadrat.llm import langid, lines, pieces, simhash, windows
@@ -11,6 +14,16 @@ from quadrat.session import cut_lineage, tune
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _stage(make: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that anybody may call alone: it sets the session as :func:`run` does, so that whole texts reach Python in bounded batches."""
+    @functools.wraps(make)
+    def tuned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return make(tune(spark), docs, sf_dir)
+
+    return tuned
+
+
+@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the model learns from the rows outside the held-out fold.
 
@@ -21,6 +34,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).filter("not rejected").select(*COLUMNS)
 
 
+@_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that another document keeps; ``n_chars`` follows the text.
 
@@ -31,17 +45,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies (three-word shingles, two bits or fewer)."""
     return simhash.one_of_each_group(docs).select(*COLUMNS)
 
 
+@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark. Null and empty texts hold none and stay, as do all repeats of a clean row."""
     found = windows.find(docs, windows.patterns(spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
     return found.filter(F.size("spans") == 0).select(*COLUMNS)
 
 
+@_stage
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, their number, and digests of the ids and of the text decoded from them.
 

@@ -11,8 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quadrat.llm.rows import append_columns
@@ -24,6 +24,7 @@ SAMPLE = 600  # training texts of a language, the ones with the smallest hash of
 HANDS = 16  # groups of tasks whose samples are cut down before they meet
 ROUNDS = 12
 CHUNK = 1 << 20  # bytes counted at once
+AT_ONCE = 128  # texts whose counts exist at once
 FLOOR = 0.03  # cosine under which a text of any length has next to nothing in common with any language
 JUDGED = 7  # from 2^7 trigrams on the training texts of similar length set the floor; the cosine of a shorter text says too little
 LOW, PART = 0.01, 0.5  # the floor is this part of this quantile of their cosines
@@ -48,9 +49,12 @@ def counts(text: str | None) -> np.ndarray | None:
 
 
 def unit(tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    v = (np.log1p(tf) * idf).astype(np.float32)
+    v = np.log1p(tf)
+    v *= idf
+    v = v.astype(np.float32, copy=False)
     size = np.sqrt((v * v).sum(axis=-1, keepdims=True))
-    return v / np.where(size > 0, size, 1)
+    v /= np.where(size > 0, size, 1)
+    return v
 
 
 def cluster(vectors: np.ndarray, k: int = CLUSTERS) -> np.ndarray:
@@ -95,8 +99,8 @@ class Model:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, cosine, rejected) of each text."""
         out: list[tuple[str, float, bool]] = []
-        for i in range(0, len(texts), 128):
-            found = [counts(t) for t in texts[i:i + 128]]
+        for i in range(0, len(texts), AT_ONCE):
+            found = [counts(t) for t in texts[i:i + AT_ONCE]]
             some = [c for c in found if c is not None]
             if not some or not self.names:
                 out.extend((UNKNOWN, 0.0, True) for _ in found)
@@ -115,6 +119,16 @@ class Model:
         return out
 
 
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, key, counts) of the texts with a letter, few at a time."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, AT_ONCE):
+            batch = whole.slice(start, AT_ONCE)
+            found = [(i, c.astype(np.float32).tobytes()) for i, t in enumerate(batch.column(2).to_pylist()) if (c := counts(t)) is not None]
+            at = pa.array([i for i, _ in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([c for _, c in found], pa.binary())], names=["lang", "key", "tf"])
+
+
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """Learn from at most ``sample`` texts of each language; rows without language, key or letters are passed over.
 
@@ -131,35 +145,36 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     picked = cut_lineage(picked)  # small and of known size, so that no text is shuffled to meet it
     chosen = rows.join(picked, ["lang", "key"], "left_semi").select("lang", "key", "text")
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(i, c) for i, t in enumerate(batch.column(2).to_pylist()) if (c := counts(t)) is not None]
-            at = pa.array([i for i, _ in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([c.astype(np.float32).tobytes() for _, c in found], pa.binary())], names=["lang", "key", "tf"])
-
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for tf in batch.column(1).to_pylist():
-                n, total = n + 1, total + (np.frombuffer(tf, np.float32) > 0)
+            for tf in batch.column(1):
+                n += 1
+                total += np.frombuffer(tf.as_buffer(), np.float32) > 0
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "df"])
 
-    made = chosen.mapInArrow(vectors, f"lang string, key {dict(rows.dtypes)['key']}, tf binary")
+    made = chosen.mapInArrow(_vectors, f"lang string, key {dict(rows.dtypes)['key']}, tf binary")
     table = cut_lineage(made.groupBy("lang", "key").agg(F.min("tf").alias("tf")).select("lang", "tf"))
     parts = table.coalesce(8).mapInArrow(frequencies, "n bigint, df binary").collect()  # at most eight rows
     n = sum(r["n"] for r in parts)
     seen = sum((np.frombuffer(r["df"], np.int64) for r in parts), np.zeros(BUCKETS, np.int64))
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
 
-    def centroids(group: pd.DataFrame) -> pd.DataFrame:
-        tf = np.stack([np.frombuffer(b, np.float32) for b in sorted(group["tf"])])  # one order, one outcome
-        vectors = unit(tf, idf)
+    def centroids(group: pa.Table) -> pa.Table:
+        packed = group.column("tf")
+        vectors = np.empty((len(packed), BUCKETS), np.float32)
+        for row, i in enumerate(pc.sort_indices(packed).to_pylist()):  # one order, one outcome
+            vectors[row] = np.frombuffer(packed[i].as_buffer(), np.float32)
+        bands = band(vectors)
+        for i in range(0, len(vectors), AT_ONCE):  # vectors take the place of their counts
+            vectors[i:i + AT_ONCE] = unit(vectors[i:i + AT_ONCE], idf)
         centres = cluster(vectors)
-        least = floors(band(tf), (vectors @ centres.T).max(axis=1)).tobytes()
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.tobytes() for c in centres], "least": least})
+        least = floors(bands, (vectors @ centres.T).max(axis=1)).tobytes()
+        return pa.table({"lang": pa.array([group.column("lang")[0].as_py()] * len(centres), pa.string()),
+                         "centre": pa.array([c.tobytes() for c in centres], pa.binary()), "least": pa.array([least] * len(centres), pa.binary())})
 
-    found = table.groupBy("lang").applyInPandas(centroids, "lang string, centre binary, least binary").collect()  # a few rows per language
+    found = table.groupBy("lang").applyInArrow(centroids, "lang string, centre binary, least binary").collect()  # a few rows per language
     found.sort(key=lambda r: (r["lang"], bytes(r["centre"])))
     centres = np.stack([np.frombuffer(r["centre"], np.float32) for r in found]) if found else np.zeros((0, BUCKETS), np.float32)
     least = np.stack([np.frombuffer(r["least"], np.float64) for r in found]) if found else np.zeros((0, BANDS))

@@ -9,6 +9,7 @@ more through and changes no result.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quadrat.llm.rows import joined_rows, without
+from quadrat.llm.rows import STEP, joined_rows, without
 from quadrat.session import cut_lineage
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -62,20 +63,21 @@ def _has(filter_: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def _send_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept: list[bytes] = []
+    kept = array("Q")  # hashes, not lines: eight bytes each
+    hashed = xxhash.xxh64_intdigest
 
     def flush() -> Iterator[pa.RecordBatch]:
-        once, n = np.unique(_hashes(kept), return_counts=True)
+        once, n = np.unique(np.array(kept, np.uint64), return_counts=True)
         slices = _slice(once)
         for s in np.unique(slices).tolist():
             own = slices == s
             h = np.concatenate([once[own], once[own & (n > 1)]])
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([h.tobytes()], pa.binary())], names=["slice", "hashes"])
-        kept.clear()
+        del kept[:]
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            kept.extend({k for k in keys_of(text) if k is not None})
+        for text in batch.column(0):
+            kept.extend(map(hashed, {k for k in keys_of(text.as_py()) if k is not None}))
             if len(kept) >= FLUSH:
                 yield from flush()
     if kept:
@@ -107,20 +109,22 @@ def suspects(df: DataFrame, key: str = "key", text: str = "text", bits: int = BI
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = {s: np.frombuffer(b, np.uint8) for s, b in sent.value.items()}
-        for batch in batches:
-            names = batch.column(0)
-            lines, owner = [], []
-            for row, value in enumerate(batch.column(1).to_pylist()):
-                own = {k for k in keys_of(value) if k is not None}
-                lines.extend(own)
-                owner.extend([row] * len(own))
-            h = _hashes(lines)
-            slices, found = _slice(h), np.zeros(len(h), bool)
-            for s in np.unique(slices).tolist():
-                at = np.flatnonzero(slices == s)
-                found[at] = _has(twice[s], _places(h[at], bits // SLICES))
-            at = np.flatnonzero(found).tolist()
-            yield pa.RecordBatch.from_arrays([names.take(pa.array([owner[i] for i in at], pa.int64())), pa.array([lines[i] for i in at], pa.binary())], names=["key", "line"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, STEP):  # the lines of few texts exist at once
+                batch = whole.slice(start, STEP)
+                names = batch.column(0)
+                lines, owner = [], []
+                for row, value in enumerate(batch.column(1)):
+                    own = {k for k in keys_of(value.as_py()) if k is not None}
+                    lines.extend(own)
+                    owner.extend([row] * len(own))
+                h = _hashes(lines)
+                slices, found = _slice(h), np.zeros(len(h), bool)
+                for s in np.unique(slices).tolist():
+                    at = np.flatnonzero(slices == s)
+                    found[at] = _has(twice[s], _places(h[at], bits // SLICES))
+                at = np.flatnonzero(found).tolist()
+                yield pa.RecordBatch.from_arrays([names.take(pa.array([owner[i] for i in at], pa.int64())), pa.array([lines[i] for i in at], pa.binary())], names=["key", "line"])
 
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("key is not null")
     return rows.mapInArrow(probe, f"key {dict(rows.dtypes)['key']}, line binary")

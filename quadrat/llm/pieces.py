@@ -57,12 +57,14 @@ class Encoder:
         self.automaton = ahocorasick.Automaton()
         self.right_edge: dict[int, list[tuple[float, str]]] = {}
         self.left_edge: dict[int, list[tuple[float, str]]] = {}
+        shared: dict[tuple[float, str], tuple[float, str]] = {}  # pieces end in few different ways: equal steps are kept once
         for piece, i in vocabulary.id.items():
             self.automaton.add_word(piece, (i, len(piece)))
             merges, final = self._merged(piece)
             if final == 1:  # else the piece never comes out of merging its own characters
-                self.left_edge[i] = _edge(piece[0], [(cost, at_left, joined) for cost, at_left, _, joined in merges])
-                self.right_edge[i] = _edge(piece[-1], [(cost, at_right, joined) for cost, _, at_right, joined in merges])
+                left = _edge(piece[0], [(cost, at_left, joined) for cost, at_left, _, joined in merges])
+                right = _edge(piece[-1], [(cost, at_right, joined) for cost, _, at_right, joined in merges])
+                self.left_edge[i], self.right_edge[i] = ([shared.setdefault(s, s) for s in edge] for edge in (left, right))
         self.automaton.make_automaton()
         self.length = {i: len(p) for i, p in vocabulary.text.items()}
         self.begin, self.end = struct.pack("<I", vocabulary.begin), struct.pack("<I", vocabulary.end)

@@ -15,7 +15,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",  # whole texts go to Python: rows alone do not bound a batch
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",  # whole texts go to Python: rows alone do not bound a batch
 }
 
 

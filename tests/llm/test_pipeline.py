@@ -2,15 +2,22 @@
 
 import hashlib
 import struct
+import tracemalloc
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from test_copies_lines import brute_lines
 from test_simhash import brute_fingerprint, roots
 from test_windows import brute as brute_windows
 
 import corpus_pipeline
+from quadrat.llm import langid, lines
 from quadrat.llm.queries import tokenizer_path
+from quadrat.session import RUNTIME_CONF, tune
 
 DATA = "/root/testdata/sf0.001"
 
@@ -58,3 +65,36 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark):
             assert docs.columns == corpus_pipeline.COLUMNS and docs.schema["n_chars"].dataType.simpleString() == "bigint"
         last = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
         assert last.select(F.count("ids")).first()[0] == docs.count()
+
+
+def test_every_stage_bounds_the_batches_it_sends_to_python(spark):
+    docs = spark.createDataFrame([(i, f"the cat {i} sat on the mat", "en", "s", 20) for i in range(9)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(name, "1g")
+            stage(spark, docs, DATA)
+            assert spark.conf.get(name) == RUNTIME_CONF[name]
+    finally:
+        tune(spark)
+
+
+def test_steps_hold_few_texts_and_no_lines(spark):
+    rows = 1500
+    text = [" ".join(f"w{i}x{k} some words of the text" for k in range(20)) + f"\na line of text number {i} that is long enough\nthe one line that all texts have" for i in range(rows)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * rows), pa.array(range(rows)), pa.array(text)], names=["lang", "key", "text"])
+    tracemalloc.start()
+    try:
+        seen = [(b.num_rows, bytes(b.column(2)[0].as_py())) for b in langid._vectors(iter([batch]))]
+        assert sum(n for n, _ in seen) == rows and max(n for n, _ in seen) <= langid.AT_ONCE
+        assert seen[0][1] == langid.counts(text[0]).astype("f4").tobytes()
+        assert tracemalloc.get_traced_memory()[1] < 32e6  # counts of all texts at once take 98 MB
+        single = batch.select(["text"])
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        sent = b"".join(b.column(1)[0].as_py() for b in lines._send_hashes(iter([single])))
+        assert tracemalloc.get_traced_memory()[1] - before < 700e3
+    finally:
+        tracemalloc.stop()
+    want = Counter(xxhash.xxh64_intdigest(k) for t in text for k in set(lines.keys_of(t)) if k)
+    assert Counter(np.frombuffer(sent, np.uint64).tolist()) == {h: min(n, 2) for h, n in want.items()}
