@@ -8,6 +8,7 @@ from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quadrat.functions.keys import number_from_text, title_case
@@ -166,18 +167,29 @@ _DDL = (
     "table_no int, row_no int, cells array<string>, header array<string>, table_id string, table_title string, "
     "link_no int, href string, anchor_text string, raw_tag string")
 _TEXTS = pa.list_(pa.string())
+_TYPES = {n: _TEXTS if n in ("cells", "header") else pa.int32() if n.endswith("_no") else pa.string() for n in (*_ROW, *_LINK)}
 PAGES_AT_ONCE = 256
 
 
-def parse_pages(pages: DataFrame, page: str, html: str, within: tuple[str, str, str] | None = None) -> DataFrame:
+def parse_pages(
+    pages: DataFrame, page: str, html: str, within: tuple[str, str, str] | None = None,
+    keep: Sequence[str] = (), wanted: Sequence[str] = (*_ROW, *_LINK), page_no: str | None = None, spread: bool = True,
+) -> DataFrame:
     """Every table row and every anchor of each page, from one parse.
 
     Table rows have a ``table_no``, anchors have a ``link_no``; the other columns are
-    missing.
+    missing.  Columns of the page named in ``keep`` stay, and only the ``wanted`` ones are
+    made.  With ``page_no``, what belongs to a page comes in one piece under its number in
+    the task: the page itself (neither row nor anchor), its rows, its anchors.  Pages that
+    a shuffle has dealt out already need no ``spread``.
     """
-    def parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        of_row, of_link, rows, links, headers, header = [], [], [], [], [], []
-        for k, text in enumerate(batch.column(1).to_pylist()):
+    own = [page, *keep]
+    read = pages.select(*own, html)
+
+    def parsed(batch: pa.RecordBatch, first: int) -> pa.RecordBatch:
+        of, rows, links, headers, header = [], [], [], [], []
+        of_row, of_link, row_at, link_at = [], [], [], []
+        for k, text in enumerate(batch.column(len(own)).to_pylist()):
             reader = _Page(within)
             reader.read(text or "")
             last = None
@@ -186,31 +198,37 @@ def parse_pages(pages: DataFrame, page: str, html: str, within: tuple[str, str,
                     last = row[3]
                     headers.append(last)
                 header.append(len(headers) - 1)
+            n, m = len(reader.rows), len(reader.links)
+            if page_no:
+                row_at += [None, *range(len(rows), len(rows) + n), *[None] * m]
+                link_at += [None] * (1 + n) + [*range(len(links), len(links) + m)]
+                of += [k] * (1 + n + m)
             rows += reader.rows
-            of_row += [k] * len(reader.rows)
+            of_row += [k] * n
             links += [(i, h, "".join(t), raw) for i, (h, t, raw) in enumerate(reader.links)]
-            of_link += [k] * len(reader.links)
-        no, at, cells, _, ids, titles = zip(*rows) if rows else [()] * 6
-        link, href, anchor, raw = zip(*links) if links else [()] * 4
-        n, m = len(rows), len(links)
-
-        def joined(values, kind, first: bool) -> pa.Array:
-            given = values if isinstance(values, pa.Array) else pa.array(values, kind)
-            return pa.concat_arrays([given, pa.nulls(m, kind)] if first else [pa.nulls(n, kind), given])
-
-        number, string = pa.int32(), pa.string()
-        return pa.RecordBatch.from_arrays([
-            batch.column(0).take(pa.array(of_row + of_link, pa.int64())), joined(no, number, True), joined(at, number, True), joined(cells, _TEXTS, True),
-            joined(pa.array(headers, _TEXTS).take(pa.array(header, pa.int64())), _TEXTS, True), joined(ids, string, True), joined(titles, string, True),
-            joined(link, number, False), joined(href, string, False), joined(anchor, string, False), joined(raw, string, False),
-        ], names=[page, *_ROW, *_LINK])
+            of_link += [k] * m
+        if not page_no:
+            row_at, link_at, of = [*range(len(rows)), *[None] * len(links)], [None] * len(rows) + [*range(len(links))], of_row + of_link
+        at_row, at_link, at_page = (pa.array(x, pa.int64()) for x in (row_at, link_at, of))
+        made = {}
+        for names, values, at in ((_ROW, rows, at_row), (_LINK, links, at_link)):
+            for i, n in enumerate(names):
+                if n in wanted:
+                    given = pa.array(headers, _TEXTS).take(pa.array(header, pa.int64())) if n == "header" else pa.array([v[i] for v in values], _TYPES[n])
+                    made[n] = given.take(at)
+        number = {page_no: pa.array([first + k for k in of], pa.int64())} if page_no else {}
+        return pa.RecordBatch.from_pydict(number | {n: batch.column(i).take(at_page) for i, n in enumerate(own)} | {n: made[n] for n in wanted})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = 0
         for batch in batches:
             for at in range(0, batch.num_rows, PAGES_AT_ONCE):
-                yield parsed(batch.slice(at, PAGES_AT_ONCE))
+                yield parsed(batch.slice(at, PAGES_AT_ONCE), first + at)
+            first += batch.num_rows
 
-    return fan_out(pages.select(page, html)).mapInArrow(run, T.StructType([pages.schema[page], *T.StructType.fromDDL(_DDL).fields]))
+    made = {f.name: f for f in T.StructType.fromDDL(_DDL).fields}
+    numbered = [T.StructField(page_no, T.LongType())] if page_no else []
+    return (fan_out(read) if spread else read).mapInArrow(run, T.StructType([*numbered, *[pages.schema[n] for n in own], *[made[n] for n in wanted]]))
 
 
 def table_rows(parsed: DataFrame, page: str) -> DataFrame:
@@ -257,13 +275,19 @@ def parse_village_pages(pages: DataFrame, page: str, html: str, table_id: str =
     return cut_lineage(parse_pages(pages, page, html, within=("table", "id", table_id)))
 
 
+def _village_cells(raw: str = "village") -> list[Column]:
+    """Cells of a row by name, the village under ``raw``; blank ones are missing."""
+    return [blank_to_null(F.get("cells", F.lit(i))).alias(n) for i, n in enumerate((raw, *VILLAGE_COUNTS), start=1)]
+
+
+def _linked(group: int) -> Column:
+    return capture("href", VILLAGE_LINK, group, fallback="raw_tag")
+
+
 def village_rows(parsed: DataFrame, page: str) -> DataFrame:
     """First table of each page as village rows: no totals, no empty rows, numbers coerced."""
     rows = table_rows(parsed, page).filter("table_no = 0 and row_no > 0")
-    cells = rows.select(
-        page, "row_no", blank_to_null(F.get("cells", F.lit(1))).alias("village"),
-        *[blank_to_null(F.get("cells", F.lit(i))).alias(n) for i, n in enumerate(VILLAGE_COUNTS, start=2)],
-    )
+    cells = rows.select(page, "row_no", *_village_cells())
     kept = cells.na.drop("all", subset=["village", *VILLAGE_COUNTS]).filter(~mentions("village", "Total"))
     return kept.select(
         page, "row_no", clean_village_name("village").alias("village"),
@@ -274,9 +298,74 @@ def village_rows(parsed: DataFrame, page: str) -> DataFrame:
 def village_links(parsed: DataFrame, page: str) -> DataFrame:
     """(page, village, code, short name) per village link; the last link of a village wins."""
     named = anchors(parsed, page).select(
-        page, "link_no",
-        *[capture("href", VILLAGE_LINK, i, fallback="raw_tag").alias(n) for i, n in ((1, "code"), (2, "short_name"), (3, "name"))],
+        page, "link_no", *[_linked(i).alias(n) for i, n in ((1, "code"), (2, "short_name"), (3, "name"))],
     ).withColumn("village", clean_village_name("name"))
     from quadrat.operators.groups import last_row
 
     return last_row(named, [page, "village"], ["link_no"]).select(page, "village", "code", "short_name")
+
+
+#: What an entry of :func:`village_entries` is.
+PAGE, ROW, LINK = 0, 1, 2
+
+
+def village_entries(
+    pages: DataFrame, page: str, html: str, keep: Sequence[str] = (), table_id: str = "example", spread: bool = True
+) -> DataFrame:
+    """The rows of :func:`village_rows` with the last link of their village on the same page.
+
+    ``kind`` tells apart: one PAGE of each page, ``whole`` if every named row has its link,
+    else with the smallest village that has none, ``filled`` if there are rows at all; its
+    ROWs, where a missing ``link_no`` is a missing link; and the last LINK of every village
+    without a row, for rows on other pages of the same council.  Nothing is shuffled.
+    """
+    wanted = ["table_no", "row_no", "cells", "link_no", "href", "raw_tag"]
+    parsed = parse_pages(pages, page, html, ("table", "id", table_id), keep, wanted, "page_no", spread)
+    own = ["page_no", page, *keep]
+    kind = F.when(F.col("table_no").isNotNull(), ROW).when(F.col("link_no").isNotNull(), LINK).otherwise(PAGE).cast("byte")
+    cells = parsed.select(*own, kind.alias("kind"), "table_no", "row_no", *_village_cells("cell"), "link_no", "href", "raw_tag")
+    filled = F.coalesce("cell", *VILLAGE_COUNTS).isNotNull() & ~mentions("cell", "Total")
+    kept = cells.filter((F.col("kind") != ROW) | ((F.col("table_no") == 0) & (F.col("row_no") > 0) & filled))
+    link = F.col("kind") == LINK
+    named = kept.select(
+        *own, "kind", clean_village_name(F.when(link, _linked(3)).otherwise(F.col("cell"))).alias("village"),
+        *[number_from_text(n, "double").alias(n) for n in VILLAGE_COUNTS],
+        "link_no", *[F.when(link, _linked(i)).alias(n) for i, n in ((1, "code"), (2, "short_name"))])
+    carried, of_link = [page, *keep, "kind", *VILLAGE_COUNTS], ["link_no", "code", "short_name"]
+    schema = T.StructType([*[named.schema[n] for n in (*carried, *of_link, "village")], T.StructField("whole", T.BooleanType()), T.StructField("filled", T.BooleanType())])
+
+    def linked(entries: pa.Table) -> Iterator[pa.RecordBatch]:
+        kinds, villages = entries.column("kind").to_pylist(), entries.column("village").to_pylist()
+        starts = [i for i, k in enumerate(kinds) if k == PAGE]
+        at, link_at, names, whole, filled = [], [], [], [], []
+        for start, end in zip(starts, [*starts[1:], len(kinds)]):
+            rows = [i for i in range(start, end) if kinds[i] == ROW]
+            links = {villages[i]: i for i in range(start + len(rows) + 1, end) if villages[i] is not None}
+            found = [links.get(villages[i]) for i in rows]
+            lost = [villages[i] for i, link in zip(rows, found) if link is None and villages[i] is not None]
+            rest = sorted(set(links.values()).difference(found))
+            at += [start, *rows, *rest]
+            link_at += [None, *found, *rest]
+            names += [min(lost, default=None), *[villages[i] for i in (*rows, *rest)]]
+            whole += [not lost] * (1 + len(rows) + len(rest))
+            filled += [bool(rows)] * (1 + len(rows) + len(rest))
+        made = entries.select(carried).take(pa.array(at, pa.int64()))
+        linked = entries.select(of_link).take(pa.array(link_at, pa.int64()))
+        for n, values in (*zip(of_link, linked.columns), ("village", pa.array(names, pa.string())), ("whole", pa.array(whole)), ("filled", pa.array(filled))):
+            made = made.append_column(n, values)
+        yield from made.to_batches(max_chunksize=10_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = pc.index(batch.column("page_no"), batch.column("page_no")[-1]).as_py()  # where the last page of the batch begins
+            if last or (waiting and waiting[-1].column("page_no")[-1] != batch.column("page_no")[0]):
+                yield from linked(pa.Table.from_batches([*waiting, batch.slice(0, last)]).combine_chunks())
+                waiting = []
+            waiting.append(batch.slice(last))
+        if waiting:
+            yield from linked(pa.Table.from_batches(waiting).combine_chunks())
+
+    return named.mapInArrow(run, schema)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quadrat.operators import merge as J, pages as H
+from quadrat.operators.groups import last_row
+from quadrat.session import cut_lineage
 from quadrat.sources.writers import safe_key
 
 LEVELS = ["State", "District", "Block", "Grampanchayat"]
@@ -17,21 +19,62 @@ def gram_worklist(states: DataFrame, districts: DataFrame, blocks: DataFrame, gr
     return work if done is None else J.drop_in(work, done, ["file_key"])
 
 
-def village_table(work: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def village_table(work: DataFrame, pages: DataFrame, html: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Village rows with link codes, and the councils that failed with the reason.
 
     ``pages`` has (file_key, html).  A village without a link fails its whole council,
     as does a council without a page or table.
+
+    A page settles its own council, so its rows are written with their links and are not
+    shuffled to find them.  Councils with several pages, or listed several times, are put
+    together from all of these by joins.  Pages may name the council they were stored for
+    (the columns of ``LEVELS``); its rows are then not joined to the list either.  Pages
+    that joins put together can come without ``html``, as the columns that ``html`` is made
+    of: it is made where it is parsed, and does not travel.
     """
-    here = pages.join(work.select("file_key"), "file_key", "left_semi")
-    parsed = H.parse_village_pages(here, "file_key", "html")
-    rows, links = H.village_rows(parsed, "file_key"), H.village_links(parsed, "file_key")
-    found, missed = J.strict_lookup(rows, links.withColumn("link", F.struct("code", "short_name")), ["file_key", "village"], "link")
-    reason = work.select("file_key").join(pages.select("file_key").distinct().withColumn("page", F.lit(True)), "file_key", "left")
-    reason = reason.join(rows.select("file_key").distinct().withColumn("table", F.lit(True)), "file_key", "left")
-    reason = reason.join(missed.groupBy("file_key").agg(F.min("village").alias("village")), "file_key", "left")
-    text = F.when(F.col("page").isNull(), "no page").when(F.col("table").isNull(), "no table").when(
+    named = [n for n in LEVELS if n in pages.columns] if set(LEVELS) <= set(pages.columns) else []
+    here = J.keep_in(pages, work, ["file_key"])
+    if html is not None:
+        here = here.withColumn("html", html)
+    entries = cut_lineage(H.village_entries(here, "file_key", "html", named, spread=html is None), "zstd")
+    stored = entries.filter(F.col("kind") == H.PAGE).groupBy("file_key").agg(
+        F.count(F.lit(1)).alias("pages"), F.max("filled").alias("filled"), F.min("village").alias("village"))
+    listed = work.filter("file_key is not null").groupBy("file_key").agg(F.count(F.lit(1)).alias("times"))
+    councils = listed.join(stored, "file_key", "left")
+    odd = councils.select("file_key", "filled", F.expr("coalesce(times > 1 or pages > 1, false)").alias("several"), _failure().alias("error"))
+    odd = cut_lineage(odd.filter("several or error is not null"))  # the other councils have one page each, and all of its rows are good
+    errors = odd.filter("not several").select("file_key", "error")
+    errors = errors.unionByName(work.filter("file_key is null").select("file_key", F.lit("no page").alias("error")))
+    linked = entries.filter((F.col("kind") == H.ROW) & F.col("link_no").isNotNull())
+    columns = ["file_key", *LEVELS, F.col("village").alias("Village"), *H.VILLAGE_COUNTS, "code", "short_name"]
+
+    def of_councils(rows: DataFrame) -> DataFrame:
+        return rows.drop(*named).join(work.select("file_key", *LEVELS), "file_key")
+
+    shared = odd.filter("several").select("file_key", "filled")
+    if shared.isEmpty():
+        good = linked.filter("whole")
+        return (good if named else of_councils(good)).select(*columns), errors
+    shared = cut_lineage(shared)  # few as a rule: joined without a shuffle then
+    good = J.drop_in(linked.filter("whole"), shared, ["file_key"])
+    good = (good if named else of_councils(good)).select(*columns)
+    more, failed = _shared_councils(J.keep_in(entries, shared, ["file_key"]), J.keep_in(work, shared, ["file_key"]), shared)
+    return good.unionByName(of_councils(more).select(*columns)), errors.unionByName(failed)
+
+
+def _failure() -> Column:
+    """Why a council failed, from its pages: ``filled`` is missing without a page, ``village`` is the first one without a link."""
+    return F.when(F.col("filled").isNull(), "no page").when(~F.col("filled"), "no table").when(
         F.col("village").isNotNull(), F.concat(F.lit("no link for "), "village"))
-    errors = reason.select("file_key", text.alias("error")).filter("error is not null")
-    good = J.drop_in(found, errors, ["file_key"]).join(work.select("file_key", *LEVELS), "file_key")
-    return good.select("file_key", *LEVELS, F.col("village").alias("Village"), *H.VILLAGE_COUNTS, "link.code", "link.short_name"), errors
+
+
+def _shared_councils(entries: DataFrame, work: DataFrame, councils: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows and failures of councils whose rows and links may stand on different pages."""
+    rows = entries.filter(F.col("kind") == H.ROW).select("file_key", "village", *H.VILLAGE_COUNTS)
+    links = last_row(entries.filter("link_no is not null and village is not null"), ["file_key", "village"], ["link_no"])
+    links = links.select("file_key", "village", F.struct("code", "short_name").alias("link"))
+    found, missed = J.strict_lookup(rows, links, ["file_key", "village"], "link")
+    reason = councils.join(missed.groupBy("file_key").agg(F.min("village").alias("village")), "file_key", "left")
+    failed = reason.select("file_key", _failure().alias("error")).filter("error is not null")
+    good = J.drop_in(found, failed, ["file_key"]).select("file_key", "village", *H.VILLAGE_COUNTS, "link.code", "link.short_name")
+    return good, work.select("file_key").join(failed, "file_key")

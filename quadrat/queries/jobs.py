@@ -8,7 +8,7 @@ from quadrat.functions import keys as K, text as X
 from quadrat.operators import infer as I
 from quadrat.plans import county, entities, markets, panel, survey, vectors, villages
 from quadrat.queries.registry import Tables, query
-from quadrat.queries.text import _COMPONENTS, components, village_pages
+from quadrat.queries.text import _COMPONENTS, components, village_lines, village_page
 from quadrat.session import cut_lineage, new_folder
 from quadrat.sources import readers as S, writers as O
 
@@ -330,11 +330,11 @@ def village_job(t: Tables):
     grams = t.orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(*names, council, "o_orderkey")
     done = grams.filter("o_orderkey % 10 = 2").select(villages.safe_key(*villages.LEVELS).alias("file_key"))
     work = cut_lineage(villages.gram_worklist(
-        t.region.select(names[0]), places.select(*names[:2]).distinct(), places.select(*names).distinct(), grams.select(*villages.LEVELS), done))
-    pages = village_pages(t).filter("l_orderkey % 10 <> 0").withColumn(
-        "html", F.when(F.col("l_orderkey") % 10 == 1, F.replace("html", F.lit("SHGList("), F.lit("Other("))).otherwise(F.col("html")))
-    keyed = pages.join(work.select("file_key", F.col("Grampanchayat").cast("bigint").alias("l_orderkey")), "l_orderkey").select("file_key", "html")
-    good, errors = villages.village_table(work, cut_lineage(keyed))
+        t.region.select(names[0]), places.select(*names[:2]).distinct(), places.select(*names).distinct(), grams.select(*villages.LEVELS), done), "zstd")
+    councils = work.select("file_key", *villages.LEVELS, F.col("Grampanchayat").cast("bigint").alias("l_orderkey"))
+    pages = village_lines(t).filter("l_orderkey % 10 <> 0").join(councils, "l_orderkey")
+    html = F.when(F.col("l_orderkey") % 10 == 1, F.replace(village_page(), F.lit("SHGList("), F.lit("Other("))).otherwise(village_page())
+    good, errors = villages.village_table(work, pages, html)
     rows = good.select("file_key", F.col("Village").alias("village"), F.col("New").alias("new_groups"), "code", F.lit(None).cast("string").alias("error"))
     return rows.unionByName(errors, allowMissingColumns=True)
 

@@ -72,14 +72,14 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written table.
 
     The result survives the loss of any executor, is computed once however often it is
     read, and its size is known to the planner.
     """
     path = new_folder(df.sparkSession, "step")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
