@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 from html import unescape
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -180,15 +181,16 @@ def parse_pages(
     Table rows have a ``table_no``, anchors have a ``link_no``; the other columns are
     missing.  Columns of the page named in ``keep`` stay, and only the ``wanted`` ones are
     made.  With ``page_no``, what belongs to a page comes in one piece under its number in
-    the task: the page itself (neither row nor anchor), its rows, its anchors.  Pages that
-    a shuffle has dealt out already need no ``spread``.
+    the task: the page itself (neither row nor anchor), its rows, its anchors; only the
+    first has the columns of the page.  Pages that a shuffle has dealt out already need no
+    ``spread``.
     """
     own = [page, *keep]
     read = pages.select(*own, html)
 
     def parsed(batch: pa.RecordBatch, first: int) -> pa.RecordBatch:
-        of, rows, links, headers, header = [], [], [], [], []
-        of_row, of_link, row_at, link_at = [], [], [], []
+        rows, links, headers, header = [], [], [], []
+        of_row, of_link, row_at, link_at, page_at, numbers = [], [], [], [], [], []
         for k, text in enumerate(batch.column(len(own)).to_pylist()):
             reader = _Page(within)
             reader.read(text or "")
@@ -202,21 +204,22 @@ def parse_pages(
             if page_no:
                 row_at += [None, *range(len(rows), len(rows) + n), *[None] * m]
                 link_at += [None] * (1 + n) + [*range(len(links), len(links) + m)]
-                of += [k] * (1 + n + m)
+                page_at += [k, *[None] * (n + m)]
+                numbers += [first + k] * (1 + n + m)
             rows += reader.rows
             of_row += [k] * n
             links += [(i, h, "".join(t), raw) for i, (h, t, raw) in enumerate(reader.links)]
             of_link += [k] * m
         if not page_no:
-            row_at, link_at, of = [*range(len(rows)), *[None] * len(links)], [None] * len(rows) + [*range(len(links))], of_row + of_link
-        at_row, at_link, at_page = (pa.array(x, pa.int64()) for x in (row_at, link_at, of))
+            row_at, link_at, page_at = [*range(len(rows)), *[None] * len(links)], [None] * len(rows) + [*range(len(links))], of_row + of_link
+        at_row, at_link, at_page = (pa.array(x, pa.int64()) for x in (row_at, link_at, page_at))
         made = {}
         for names, values, at in ((_ROW, rows, at_row), (_LINK, links, at_link)):
             for i, n in enumerate(names):
                 if n in wanted:
-                    given = pa.array(headers, _TEXTS).take(pa.array(header, pa.int64())) if n == "header" else pa.array([v[i] for v in values], _TYPES[n])
-                    made[n] = given.take(at)
-        number = {page_no: pa.array([first + k for k in of], pa.int64())} if page_no else {}
+                    given, of = (headers, pa.array(header, pa.int64()).take(at)) if n == "header" else ([v[i] for v in values], at)
+                    made[n] = pa.array(given, _TYPES[n]).take(of)
+        number = {page_no: pa.array(numbers, pa.int64())} if page_no else {}
         return pa.RecordBatch.from_pydict(number | {n: batch.column(i).take(at_page) for i, n in enumerate(own)} | {n: made[n] for n in wanted})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +231,8 @@ def parse_pages(
 
     made = {f.name: f for f in T.StructType.fromDDL(_DDL).fields}
     numbered = [T.StructField(page_no, T.LongType())] if page_no else []
-    return (fan_out(read) if spread else read).mapInArrow(run, T.StructType([*numbered, *[pages.schema[n] for n in own], *[made[n] for n in wanted]]))
+    given = [T.StructField(n, pages.schema[n].dataType, pages.schema[n].nullable or bool(page_no)) for n in own]
+    return (fan_out(read) if spread else read).mapInArrow(run, T.StructType([*numbered, *given, *[made[n] for n in wanted]]))
 
 
 def table_rows(parsed: DataFrame, page: str) -> DataFrame:
@@ -305,55 +309,55 @@ def village_links(parsed: DataFrame, page: str) -> DataFrame:
     return last_row(named, [page, "village"], ["link_no"]).select(page, "village", "code", "short_name")
 
 
-#: What an entry of :func:`village_entries` is.
-PAGE, ROW, LINK = 0, 1, 2
-
-
 def village_entries(
     pages: DataFrame, page: str, html: str, keep: Sequence[str] = (), table_id: str = "example", spread: bool = True
 ) -> DataFrame:
-    """The rows of :func:`village_rows` with the last link of their village on the same page.
+    """One row per page: the rows of :func:`village_rows` with the last link of their village on the page.
 
-    ``kind`` tells apart: one PAGE of each page, ``whole`` if every named row has its link,
-    else with the smallest village that has none, ``filled`` if there are rows at all; its
-    ROWs, where a missing ``link_no`` is a missing link; and the last LINK of every village
-    without a row, for rows on other pages of the same council.  Nothing is shuffled.
+    A row of ``rows`` without a ``link_no`` has no link; ``lost`` is the smallest village of
+    such rows, ``filled`` says whether there are rows at all.  ``links`` has the last link of
+    every other village, for rows on other pages.  Nothing is shuffled.
     """
-    wanted = ["table_no", "row_no", "cells", "link_no", "href", "raw_tag"]
-    parsed = parse_pages(pages, page, html, ("table", "id", table_id), keep, wanted, "page_no", spread)
-    own = ["page_no", page, *keep]
-    kind = F.when(F.col("table_no").isNotNull(), ROW).when(F.col("link_no").isNotNull(), LINK).otherwise(PAGE).cast("byte")
-    cells = parsed.select(*own, kind.alias("kind"), "table_no", "row_no", *_village_cells("cell"), "link_no", "href", "raw_tag")
+    parsed = parse_pages(
+        pages, page, html, ("table", "id", table_id), keep, ["table_no", "row_no", "cells", "link_no", "href", "raw_tag"], "page_no", spread)
+    own, of_link = [page, *keep], ["link_no", "code", "short_name"]
+    row, link = F.col("table_no").isNotNull(), F.col("link_no").isNotNull()
+    cells = parsed.select("page_no", *own, "table_no", "row_no", *_village_cells("cell"), "link_no", "href", "raw_tag")
     filled = F.coalesce("cell", *VILLAGE_COUNTS).isNotNull() & ~mentions("cell", "Total")
-    kept = cells.filter((F.col("kind") != ROW) | ((F.col("table_no") == 0) & (F.col("row_no") > 0) & filled))
-    link = F.col("kind") == LINK
-    named = kept.select(
-        *own, "kind", clean_village_name(F.when(link, _linked(3)).otherwise(F.col("cell"))).alias("village"),
+    named = cells.filter(F.col("table_no").isNull() | ((F.col("table_no") == 0) & (F.col("row_no") > 0) & filled)).select(
+        "page_no", *own, F.when(row, 1).when(link, 2).otherwise(0).cast("byte").alias("kind"),
+        clean_village_name(F.when(link, _linked(3)).otherwise(F.col("cell"))).alias("village"),
         *[number_from_text(n, "double").alias(n) for n in VILLAGE_COUNTS],
         "link_no", *[F.when(link, _linked(i)).alias(n) for i, n in ((1, "code"), (2, "short_name"))])
-    carried, of_link = [page, *keep, "kind", *VILLAGE_COUNTS], ["link_no", "code", "short_name"]
-    schema = T.StructType([*[named.schema[n] for n in (*carried, *of_link, "village")], T.StructField("whole", T.BooleanType()), T.StructField("filled", T.BooleanType())])
-
-    def linked(entries: pa.Table) -> Iterator[pa.RecordBatch]:
-        kinds, villages = entries.column("kind").to_pylist(), entries.column("village").to_pylist()
-        starts = [i for i, k in enumerate(kinds) if k == PAGE]
-        at, link_at, names, whole, filled = [], [], [], [], []
-        for start, end in zip(starts, [*starts[1:], len(kinds)]):
-            rows = [i for i in range(start, end) if kinds[i] == ROW]
-            links = {villages[i]: i for i in range(start + len(rows) + 1, end) if villages[i] is not None}
-            found = [links.get(villages[i]) for i in rows]
-            lost = [villages[i] for i, link in zip(rows, found) if link is None and villages[i] is not None]
-            rest = sorted(set(links.values()).difference(found))
-            at += [start, *rows, *rest]
-            link_at += [None, *found, *rest]
-            names += [min(lost, default=None), *[villages[i] for i in (*rows, *rest)]]
-            whole += [not lost] * (1 + len(rows) + len(rest))
-            filled += [bool(rows)] * (1 + len(rows) + len(rest))
-        made = entries.select(carried).take(pa.array(at, pa.int64()))
-        linked = entries.select(of_link).take(pa.array(link_at, pa.int64()))
-        for n, values in (*zip(of_link, linked.columns), ("village", pa.array(names, pa.string())), ("whole", pa.array(whole)), ("filled", pa.array(filled))):
-            made = made.append_column(n, values)
-        yield from made.to_batches(max_chunksize=10_000)
+    of_rows, of_links = (T.StructType([named.schema[n] for n in names]) for names in (["village", *VILLAGE_COUNTS, *of_link], ["village", *of_link]))
+    schema = T.StructType([
+        *[named.schema[n] for n in own], T.StructField("rows", T.ArrayType(of_rows)), T.StructField("links", T.ArrayType(of_links)),
+        T.StructField("lost", T.StringType()), T.StructField("filled", T.BooleanType())])
+
+    def linked(entries: pa.RecordBatch) -> pa.RecordBatch:
+        kinds, villages = entries.column("kind").to_numpy(), entries.column("village").to_pylist()
+        starts = (kinds == 0).nonzero()[0]
+        ends = [*starts[1:].tolist(), len(kinds)]
+        first_links = [start + 1 + n for start, n in zip(starts.tolist(), np.add.reduceat(kinds == 1, starts, dtype=int).tolist())]
+        row_at, found, rest, lost, rows_to, links_to = [], [], [], [], [0], [0]
+        for start, first, end in zip(starts.tolist(), first_links, ends):
+            last = dict(zip(villages[first:end], range(first, end)))
+            last.pop(None, None)
+            hits = [last.get(v) for v in villages[start + 1:first]]
+            row_at += range(start + 1, first)
+            found += hits
+            rest += sorted(set(last.values()).difference(hits))
+            lost.append(min((v for v, h in zip(villages[start + 1:first], hits) if h is None and v is not None), default=None) if None in hits else None)
+            rows_to.append(len(row_at))
+            links_to.append(len(rest))
+        row_at, found, rest = (pa.array(x, pa.int64()) for x in (row_at, found, rest))
+        taken = {n: entries.column(n).take(row_at) for n in ("village", *VILLAGE_COUNTS)} | {n: entries.column(n).take(found) for n in of_link}
+        others = {n: entries.column(n).take(rest) for n in ("village", *of_link)}
+        lists = [
+            pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.StructArray.from_arrays([*columns.values()], [*columns]))
+            for to, columns in ((rows_to, taken), (links_to, others))]
+        values = [*[entries.column(n).take(pa.array(starts)) for n in own], *lists, pa.array(lost, pa.string()), pc.greater(pc.list_value_length(lists[0]), 0)]
+        return pa.RecordBatch.from_arrays(values, schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -362,10 +366,10 @@ def village_entries(
                 continue
             last = pc.index(batch.column("page_no"), batch.column("page_no")[-1]).as_py()  # where the last page of the batch begins
             if last or (waiting and waiting[-1].column("page_no")[-1] != batch.column("page_no")[0]):
-                yield from linked(pa.Table.from_batches([*waiting, batch.slice(0, last)]).combine_chunks())
+                yield linked(pa.concat_batches([*waiting, batch.slice(0, last)]))
                 waiting = []
             waiting.append(batch.slice(last))
         if waiting:
-            yield from linked(pa.Table.from_batches(waiting).combine_chunks())
+            yield linked(pa.concat_batches(waiting))
 
     return named.mapInArrow(run, schema)

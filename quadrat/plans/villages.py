@@ -37,27 +37,27 @@ def village_table(work: DataFrame, pages: DataFrame, html: Column | None = None)
     if html is not None:
         here = here.withColumn("html", html)
     entries = cut_lineage(H.village_entries(here, "file_key", "html", named, spread=html is None), "zstd")
-    stored = entries.filter(F.col("kind") == H.PAGE).groupBy("file_key").agg(
-        F.count(F.lit(1)).alias("pages"), F.max("filled").alias("filled"), F.min("village").alias("village"))
+    stored = entries.groupBy("file_key").agg(F.count(F.lit(1)).alias("pages"), F.max("filled").alias("filled"), F.min("lost").alias("village"))
     listed = work.filter("file_key is not null").groupBy("file_key").agg(F.count(F.lit(1)).alias("times"))
     councils = listed.join(stored, "file_key", "left")
     odd = councils.select("file_key", "filled", F.expr("coalesce(times > 1 or pages > 1, false)").alias("several"), _failure().alias("error"))
     odd = cut_lineage(odd.filter("several or error is not null"))  # the other councils have one page each, and all of its rows are good
     errors = odd.filter("not several").select("file_key", "error")
     errors = errors.unionByName(work.filter("file_key is null").select("file_key", F.lit("no page").alias("error")))
-    linked = entries.filter((F.col("kind") == H.ROW) & F.col("link_no").isNotNull())
+    shared = odd.filter("several").select("file_key", "filled")
     columns = ["file_key", *LEVELS, F.col("village").alias("Village"), *H.VILLAGE_COUNTS, "code", "short_name"]
 
     def of_councils(rows: DataFrame) -> DataFrame:
         return rows.drop(*named).join(work.select("file_key", *LEVELS), "file_key")
 
-    shared = odd.filter("several").select("file_key", "filled")
-    if shared.isEmpty():
-        good = linked.filter("whole")
-        return (good if named else of_councils(good)).select(*columns), errors
-    shared = cut_lineage(shared)  # few as a rule: joined without a shuffle then
-    good = J.drop_in(linked.filter("whole"), shared, ["file_key"])
+    whole, some = entries.filter("lost is null"), not shared.isEmpty()
+    if some:
+        shared = cut_lineage(shared)  # few as a rule: joined without a shuffle then
+        whole = J.drop_in(whole, shared, ["file_key"])
+    good = whole.select("file_key", *named, F.inline("rows")).filter("link_no is not null")
     good = (good if named else of_councils(good)).select(*columns)
+    if not some:
+        return good, errors
     more, failed = _shared_councils(J.keep_in(entries, shared, ["file_key"]), J.keep_in(work, shared, ["file_key"]), shared)
     return good.unionByName(of_councils(more).select(*columns)), errors.unionByName(failed)
 
@@ -70,9 +70,10 @@ def _failure() -> Column:
 
 def _shared_councils(entries: DataFrame, work: DataFrame, councils: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows and failures of councils whose rows and links may stand on different pages."""
-    rows = entries.filter(F.col("kind") == H.ROW).select("file_key", "village", *H.VILLAGE_COUNTS)
-    links = last_row(entries.filter("link_no is not null and village is not null"), ["file_key", "village"], ["link_no"])
-    links = links.select("file_key", "village", F.struct("code", "short_name").alias("link"))
+    rows = entries.select("file_key", F.inline("rows"))
+    links = rows.filter("link_no is not null").unionByName(entries.select("file_key", F.inline("links")), allowMissingColumns=True)
+    links = last_row(links, ["file_key", "village"], ["link_no"]).select("file_key", "village", F.struct("code", "short_name").alias("link"))
+    rows = rows.select("file_key", "village", *H.VILLAGE_COUNTS)
     found, missed = J.strict_lookup(rows, links, ["file_key", "village"], "link")
     reason = councils.join(missed.groupBy("file_key").agg(F.min("village").alias("village")), "file_key", "left")
     failed = reason.select("file_key", _failure().alias("error")).filter("error is not null")

@@ -83,10 +83,12 @@ def test_link_on_another_page(spark):
 def test_page_of_many_rows(spark):
     rows = "".join(f"<tr><td>{i}</td><td><a href=\"javascript:SHGList('{i}','x','v {i}')\">V {i}</a></td><td>{i}</td></tr>" for i in range(25_000))
     pages = spark.createDataFrame([("k", f"<table id='example'><tr><th>h</th></tr>{rows}</table>"), ("l", None)], "file_key string, html string")
-    entries = H.village_entries(pages.coalesce(1), "file_key", "html")
-    found = entries.filter(F.col("kind") == H.ROW).agg(F.count("link_no"), F.sum((F.concat(F.lit("V "), "code") == F.col("village")).cast("int")), F.sum("New")).first()
+    entries = H.village_entries(pages.coalesce(1).withColumn("State", F.lit("s")), "file_key", "html", ["State"])
+    assert [r.State for r in entries.select("State").collect()] == ["s", "s"]
+    rows = entries.select("file_key", F.inline("rows"))
+    found = rows.agg(F.count("link_no"), F.sum((F.concat(F.lit("V "), "code") == F.col("village")).cast("int")), F.sum("New")).first()
     assert tuple(found) == (25_000, 25_000, sum(range(25_000)))
-    assert sorted((r.file_key, r.filled) for r in entries.filter(F.col("kind") == H.PAGE).collect()) == [("k", True), ("l", False)]
+    assert sorted((r.file_key, r.filled, len(r.links)) for r in entries.collect()) == [("k", True, 0), ("l", False, 0)]
 
 
 def test_job_neither_writes_pages_nor_shuffles_rows(spark, tmp_path, monkeypatch):
